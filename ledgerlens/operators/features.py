@@ -56,13 +56,12 @@ def _against_average(prior_sum, prior_count):
 
 
 def _account_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
+    money = F.col("amount").cast(sweep.MONEY)
     line = sweep.unfold(df, "account_id", "transaction_timestamp", "transaction_id",
                         {"velocity": sweep.hours(cfg["velocity_window_hours"])}, hot, ["amount"])
-    folded = line.totals(
-        acc_rows=(F.lit(1), None), acc_sum=(F.col("amount").cast(sweep.MONEY), None, sweep.MONEY),
-        acc_n=(F.lit(1), "velocity"),
-        acc_amount=(F.col("amount").cast(sweep.MONEY), "velocity", sweep.MONEY)).fold()
-    return folded.select(
+    line.scan({"acc_rows": (F.lit(1), None), "acc_sum": (money, None, sweep.MONEY),
+               "acc_n": (F.lit(1), "velocity"), "acc_amount": (money, "velocity", sweep.MONEY)})
+    return line.fold().select(
         *df.columns,
         _against_average(F.col("prior_acc_sum"), F.col("prior_acc_rows"))
         .alias("amount_vs_account_average"),
@@ -71,7 +70,7 @@ def _account_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
         .alias("transaction_amount_account_24h"))
 
 
-def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
+def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys, source: DataFrame) -> DataFrame:
     """All customer-level history in one timeline: one exchange, several passes over it."""
     money = F.col("amount").cast(sweep.MONEY)
     line = sweep.unfold(
@@ -79,22 +78,19 @@ def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
         {"velocity": sweep.hours(cfg["velocity_window_hours"]),
          "behaviour": sweep.days(cfg["behaviour_window_days"])}, hot,
         ["amount", "merchant_country", "merchant_category", "device_id", "is_cross_border",
-         "transaction_status"])
+         "transaction_status"], source)
     line.appearances("merchant_country", ["behaviour"])
     line.appearances("merchant_category", ["behaviour"])
     line.appearances("device_id", [None])
     crossing = flag(truthy(F.col("is_cross_border")))
     failed = flag(differs(F.col("transaction_status"), F.lit("Approved")))
-    line.raw_scan({
-        "cust_rows": (line.delta(F.lit(1), None), "bigint"),
-        "cust_sum": (line.delta(money, None), sweep.MONEY),
-        "cust_n": (line.delta(F.lit(1), "velocity"), "bigint"),
-        "cust_amount": (line.delta(money, "velocity"), sweep.MONEY),
-        "cust_cross": (line.delta(crossing, "behaviour"), "bigint"),
-        "cust_failed": (line.delta(failed, "velocity"), "bigint"),
-        **line.sum_marks(cust_countries=("merchant_country", "behaviour"),
-                         cust_categories=("merchant_category", "behaviour")),
-    }, {"cust_time": F.col("_at")})
+    line.scan(
+        sums={"cust_rows": (F.lit(1), None), "cust_sum": (money, None, sweep.MONEY),
+              "cust_n": (F.lit(1), "velocity"), "cust_amount": (money, "velocity", sweep.MONEY),
+              "cust_cross": (crossing, "behaviour"), "cust_failed": (failed, "velocity")},
+        marks={"cust_countries": ("merchant_country", "behaviour"),
+               "cust_categories": ("merchant_category", "behaviour")},
+        lasts={"cust_time": F.col("_at")})
     folded = line.fold(keep=["_mark_device_id_None"])
     time_us = F.unix_micros(F.col("transaction_timestamp").cast("timestamp"))
     rapid_us = int(cfg["rapid_transaction_minutes"]) * 60_000_000
@@ -119,7 +115,7 @@ def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
 def history(df: DataFrame, cfg: dict = FEATURES, hot_customers: HotKeys = NONE,
             hot_accounts: HotKeys = NONE) -> DataFrame:
     """Prior averages, velocity, distinct counts, conditional counts, rapid flag, device novelty."""
-    return _customer_side(_account_side(df, cfg, hot_accounts), cfg, hot_customers)
+    return _customer_side(_account_side(df, cfg, hot_accounts), cfg, hot_customers, df)
 
 
 def session_context(df: DataFrame, sessions: DataFrame, customers: DataFrame,

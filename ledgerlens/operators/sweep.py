@@ -70,36 +70,54 @@ class Timeline:
     key: str
     windows: dict
     hot: HotKeys
-    rows: list
+    hot_events: DataFrame | None  # narrow events of the hot keys only, for segment totals
     metrics: list = field(default_factory=list)
-
-    # -- building blocks ------------------------------------------------------------------------
+    presence: dict = field(default_factory=dict)
 
     def kind(self, window: str) -> int:
         return 1 + list(self.windows).index(window)
 
     def delta(self, value: Column, window: str | None) -> Column:
         """+value when the row enters, -value when it leaves ``window`` (None: it never leaves)."""
-        entering = F.when(F.col("_kind") == 0, value)
+        change = F.when(F.col("_kind") == 0, value)
         if window is not None:
-            entering = entering.when(F.col("_kind") == self.kind(window), -value)
-        zero = F.lit(0)
-        return F.coalesce(entering, zero)
+            change = change.when(F.col("_kind") == self.kind(window), -value)
+        return F.coalesce(change, F.lit(0))
 
-    def _scan(self, by: list, sums: dict, lasts: dict | None = None) -> None:
-        """Add ``prior_<name>``: the total (or last value) over the strictly earlier events.
+    # -- segment openings (hot keys only) -------------------------------------------------------
 
-        ``sums`` maps a name to (delta column, sql type).
-        """
-        lasts = lasts or {}
-        events = self.events
-        for name, (delta, kind) in sums.items():
-            events = events.withColumn(f"_d_{name}", delta.cast(kind))
-        for name, value in lasts.items():
-            events = events.withColumn(f"_l_{name}", F.when(F.col("_kind") == 0, value))
-        if self.hot:
-            events = events.unionByName(self._openings(events, by, sums, lasts),
-                                        allowMissingColumns=True)
+    def _segment_totals(self, by: list, sums: dict, lasts: dict) -> DataFrame:
+        """Totals per (hot key, segment), combined on the map side before the shuffle."""
+        aggregates = [F.sum(delta.cast(kind)).cast(kind).alias(f"_d_{name}")
+                      for name, (delta, kind) in sums.items()]
+        aggregates += [
+            F.max(F.when(F.col("_kind") == 0, F.struct("_at", "_id", value.alias("v"))))
+            .getField("v").alias(f"_l_{name}") for name, value in lasts.items()]
+        return self.hot_events.groupBy(*by, "_segment").agg(*aggregates)
+
+    @staticmethod
+    def _openings(totals: DataFrame, by: list, sums: dict, lasts: dict) -> DataFrame:
+        """What each segment starts from: the totals of all earlier segments of its group."""
+        earlier = (Window.partitionBy(*by).orderBy("_segment")
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        columns = {f"_o_{name}": F.coalesce(F.sum(f"_d_{name}").over(earlier), F.lit(0)).cast(kind)
+                   for name, (_, kind) in sums.items()}
+        columns |= {f"_o_{name}": F.last(f"_l_{name}", ignorenulls=True).over(earlier)
+                    for name in lasts}
+        return totals.withColumns(columns)
+
+    def _run(self, by: list, sums: dict, lasts: dict, openings: DataFrame | None) -> None:
+        """Add ``prior_<name>``: the total (or last value) over the strictly earlier events."""
+        events = self.events.withColumns(
+            {f"_d_{name}": delta.cast(kind) for name, (delta, kind) in sums.items()}
+            | {f"_l_{name}": F.when(F.col("_kind") == 0, value) for name, value in lasts.items()})
+        if openings is not None:
+            opening_rows = openings.select(
+                *by, "_segment", F.lit(_START).alias("_at"), F.lit(-1).alias("_phase"),
+                F.lit(-1).alias("_kind"),
+                *[F.col(f"_o_{name}").alias(f"_d_{name}") for name in sums],
+                *[F.col(f"_o_{name}").alias(f"_l_{name}") for name in lasts])
+            events = events.unionByName(opening_rows, allowMissingColumns=True)
         window = (Window.partitionBy(self.key, "_segment", *[c for c in by if c != self.key])
                   .orderBy("_at", "_phase", "_id")
                   .rowsBetween(Window.unboundedPreceding, -1))
@@ -109,83 +127,71 @@ class Timeline:
                   for name in lasts}
         events = events.withColumns(added).drop(
             *[f"_d_{name}" for name in sums], *[f"_l_{name}" for name in lasts])
-        self.events = events.where(F.col("_phase") >= 0) if self.hot else events
-
-    def _openings(self, events: DataFrame, by: list, sums: dict, lasts: dict) -> DataFrame:
-        """One opening row per (hot key, segment) with the totals of all earlier segments."""
-        aggregates = [F.sum(f"_d_{name}").alias(f"_d_{name}") for name in sums]
-        aggregates += [
-            F.max(F.when(F.col(f"_l_{name}").isNotNull(),
-                         F.struct(F.col("_at"), F.col("_id"), F.col(f"_l_{name}").alias("v"))))
-            .getField("v").alias(f"_l_{name}") for name in lasts]
-        totals = (events.where(F.col(self.key).isin(list(self.hot.values)))
-                  .groupBy(*by, "_segment").agg(*aggregates))
-        earlier = (Window.partitionBy(*by).orderBy("_segment")
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        columns = [F.sum(f"_d_{name}").over(earlier).cast(kind).alias(f"_d_{name}")
-                   for name, (_, kind) in sums.items()]
-        columns += [F.last(f"_l_{name}", ignorenulls=True).over(earlier).alias(f"_l_{name}")
-                    for name in lasts]
-        return totals.select(*by, "_segment", F.lit(_START).alias("_at"),
-                             F.lit(-1).alias("_phase"), F.lit(-1).alias("_kind"), *columns)
+        self.events = events.where(F.col("_phase") >= 0) if openings is not None else events
 
     # -- metrics --------------------------------------------------------------------------------
 
-    def totals(self, **specs) -> "Timeline":
-        """name=(value, window) or name=(value, window, sql type): prior totals per key."""
-        sums = {}
-        for name, spec in specs.items():
-            value, window = spec[0], spec[1]
-            kind = spec[2] if len(spec) > 2 else "bigint"
-            sums[name] = (self.delta(value, window), kind)
-        self._scan([self.key], sums)
-        self.metrics += [f"prior_{name}" for name in specs]
-        return self
-
-    def previous(self, **values) -> "Timeline":
-        """name=column: the value on the key's immediately preceding row."""
-        self._scan([self.key], {}, values)
-        self.metrics += [f"prior_{name}" for name in values]
-        return self
-
-    def scan(self, sums: dict, lasts: dict) -> "Timeline":
-        """Totals and previous values in one pass; ``sums`` as in :meth:`totals`."""
-        self._scan([self.key],
-                   {n: (self.delta(s[0], s[1]), s[2] if len(s) > 2 else "bigint")
-                    for n, s in sums.items()}, lasts)
-        self.metrics += [f"prior_{name}" for name in [*sums, *lasts]]
-        return self
-
     def appearances(self, value: str, windows: list) -> "Timeline":
         """Mark, per window, where ``value`` appears (+1) or vanishes (-1) for the key.
 
         Adds ``_mark_<value>_<window>``; a missing value counts as one more value.  With window
         None the mark is 1 on the first row that ever carries the value.
         """
+        by = [self.key, value]
         names = {window: f"n_{value}_{window}" for window in windows}
-        self._scan([self.key, value],
-                   {names[w]: (self.delta(F.lit(1), w), "bigint") for w in windows})
+        sums = {names[w]: (self.delta(F.lit(1), w), "bigint") for w in windows}
+        openings = None
+        if self.hot:
+            openings = self._openings(self._segment_totals(by, sums, {}), by, sums, {})
+            for window, name in names.items():
+                before = F.col(f"_o_{name}")
+                after = before + F.col(f"_d_{name}")
+                self.presence[value, window] = openings.select(
+                    *by, "_segment", ((after > 0).cast("bigint") - (before > 0).cast("bigint"))
+                    .alias("_change"))
+        self._run(by, sums, {}, openings)
+        marks = {}
         for window, name in names.items():
             before = F.col(f"prior_{name}")
             mark = F.when((F.col("_kind") == 0) & (before == 0), 1)
             if window is not None:
                 mark = mark.when((F.col("_kind") == self.kind(window)) & (before == 1), -1)
-            self.events = self.events.withColumn(
-                f"_mark_{value}_{window}", F.coalesce(mark, F.lit(0))).drop(f"prior_{name}")
+            marks[f"_mark_{value}_{window}"] = F.coalesce(mark, F.lit(0))
+        self.events = self.events.withColumns(marks).drop(*[f"prior_{n}" for n in names.values()])
         return self
 
-    def mark(self, value: str, window: str | None) -> Column:
-        return F.col(f"_mark_{value}_{window}")
+    def scan(self, sums: dict, marks: dict | None = None, lasts: dict | None = None) -> "Timeline":
+        """One pass per key over everything asked for.
 
-    def sum_marks(self, **specs) -> dict:
-        """name=(value, window) -> entries for ``_scan`` that count the distinct values present."""
-        return {name: (self.mark(value, window), "bigint")
-                for name, (value, window) in specs.items()}
-
-    def raw_scan(self, sums: dict, lasts: dict | None = None) -> "Timeline":
-        """Totals over ready-made delta columns: name -> (delta, sql type)."""
-        self._scan([self.key], sums, lasts)
-        self.metrics += [f"prior_{name}" for name in [*sums, *(lasts or {})]]
+        sums:  name -> (value, window) or (value, window, sql type): prior total of ``value``.
+        marks: name -> (value column, window) or (value column, window, weight): how many values
+               are present; with a weight, the sum of the weights of the values present.
+        lasts: name -> column: the value on the key's immediately preceding row.
+        """
+        marks, lasts = marks or {}, lasts or {}
+        plain = {n: (self.delta(s[0], s[1]), s[2] if len(s) > 2 else "bigint")
+                 for n, s in sums.items()}
+        weights = {n: (m[2] if len(m) > 2 else F.lit(1)) for n, m in marks.items()}
+        marked = {n: (F.col(f"_mark_{m[0]}_{m[1]}") * weights[n], "bigint")
+                  for n, m in marks.items()}
+        openings = None
+        if self.hot:
+            by = [self.key]
+            totals = self._segment_totals(by, plain, lasts)
+            for name, spec in marks.items():
+                changes = self.presence[spec[0], spec[1]]
+                totals = totals.unionByName(
+                    changes.groupBy(*by, "_segment").agg(
+                        F.sum(F.col("_change") * weights[name]).cast("bigint")
+                        .alias(f"_d_{name}")), allowMissingColumns=True)
+            if marks:
+                totals = totals.groupBy(*by, "_segment").agg(
+                    *[F.sum(f"_d_{n}").cast(k).alias(f"_d_{n}")
+                      for n, (_, k) in {**plain, **marked}.items()],
+                    *[F.first(f"_l_{n}", ignorenulls=True).alias(f"_l_{n}") for n in lasts])
+            openings = self._openings(totals, by, {**plain, **marked}, lasts)
+        self._run([self.key], {**plain, **marked}, lasts, openings)
+        self.metrics += [f"prior_{name}" for name in [*sums, *marks, *lasts]]
         return self
 
     def fold(self, keep: list | None = None) -> DataFrame:
@@ -198,43 +204,52 @@ class Timeline:
             else:
                 column = F.when(F.col(self.key).isNotNull(), column)
             metrics.append(column.alias(name))
-        marks = [F.col(c) for c in self.events.columns if c.startswith("_mark_") and c in (keep or [])]
         return (self.events.where(F.col("_kind") == 0)
-                .select("_row.*", *metrics, *marks))
+                .select("_row.*", *metrics, *[F.col(mark) for mark in keep or []]))
 
 
-def unfold(df: DataFrame, key: str, time: str, row_id: str, windows: dict | None = None,
-           hot: HotKeys = NONE, carry: list | None = None) -> Timeline:
-    """Lay the rows of every ``key`` out on a timeline.
-
-    ``windows`` maps a name to a length in microseconds.  ``carry`` lists the input columns that
-    measures refer to: leaving events need them too; every other column travels only with the row
-    itself.
-    """
-    windows = windows or {}
-    carry = [c for c in (carry or []) if c != key]
-    rows = list(df.columns)
-    ends = F.array(F.lit(0), *[F.lit(1 + i) for i in range(len(windows))])
+def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, hot: HotKeys,
+             carry: list, payload: list) -> DataFrame:
     base = df.select(
         F.col(key), *[F.col(c) for c in carry], F.col(row_id).alias("_id"),
         F.unix_micros(F.col(time).cast("timestamp")).alias("_t"),
-        F.struct(*[F.col(c) for c in rows]).alias("_row"))
-    events = base.withColumn("_kind", F.explode(ends)) if windows else base.withColumn("_kind", F.lit(0))
+        *([F.struct(*[F.col(c) for c in payload]).alias("_row")] if payload else []))
+    kinds = F.array(*[F.lit(i) for i in range(1 + len(windows))])
+    events = base.withColumn("_kind", F.explode(kinds) if windows else F.lit(0))
     at = F.when(F.col("_kind") == 0, F.col("_t"))
     for index, length in enumerate(windows.values()):
         at = at.when(F.col("_kind") == 1 + index, F.col("_t") + F.lit(int(length)))
     events = (events.withColumn("_at", at)
-              .withColumn("_phase", F.when(F.col("_kind") == 0, 0).otherwise(1))
-              .withColumn("_row", F.when(F.col("_kind") == 0, F.col("_row")))
-              .drop("_t"))
+              .withColumn("_phase", F.when(F.col("_kind") == 0, 0).otherwise(1)).drop("_t"))
+    if payload:
+        events = events.withColumn("_row", F.when(F.col("_kind") == 0, F.col("_row")))
     segment = F.when(F.col(key).isNull(), F.pmod(F.xxhash64("_id"), F.lit(_NULL_SPREAD)))
     if hot:
         segment = segment.when(F.col(key).isin(list(hot.values)),
                                F.floor(F.col("_at") / F.lit(hot.segment_us)))
-    events = events.withColumn("_segment", segment.otherwise(F.lit(0)).cast("bigint"))
+    return events.withColumn("_segment", segment.otherwise(F.lit(0)).cast("bigint"))
+
+
+def unfold(df: DataFrame, key: str, time: str, row_id: str, windows: dict | None = None,
+           hot: HotKeys = NONE, carry: list | None = None,
+           source: DataFrame | None = None) -> Timeline:
+    """Lay the rows of every ``key`` out on a timeline.
+
+    ``windows`` maps a name to a length in microseconds.  ``carry`` lists the input columns that
+    measures refer to: leaving events need them too; every other column travels only with the row
+    itself.  ``source`` may name a cheaper frame with the same rows (key, time, id and carried
+    columns) from which the segment totals of hot keys are taken.
+    """
+    windows = windows or {}
+    carry = [c for c in (carry or []) if c != key]
+    events = _lay_out(df, key, time, row_id, windows, hot, carry, list(df.columns))
+    hot_events = None
+    if hot:
+        rows = (source if source is not None else df).where(F.col(key).isin(list(hot.values)))
+        hot_events = _lay_out(rows, key, time, row_id, windows, hot, carry, [])
     # Hash on the key (and segment) once; every later pass refines that grouping in place.
     events = events.repartition(F.col(key), F.col("_segment"))
-    return Timeline(events, key, windows, hot, rows)
+    return Timeline(events, key, windows, hot, hot_events)
 
 
 HOUR_US = 3_600_000_000

@@ -51,10 +51,9 @@ def ft_velocity_ties(spark, sf_dir):
     line = sweep.unfold(df, "customer_id", "transaction_timestamp", "transaction_id",
                         {"half_year": sweep.days(180)}, hot, ["amount", "merchant_category"])
     line.appearances("merchant_category", ["half_year"])
-    line.raw_scan({
-        "n": (line.delta(F.lit(1), "half_year"), "bigint"),
-        "amount": (line.delta(F.col("amount").cast(sweep.MONEY), "half_year"), sweep.MONEY),
-        **line.sum_marks(categories=("merchant_category", "half_year"))})
+    line.scan({"n": (F.lit(1), "half_year"),
+               "amount": (F.col("amount").cast(sweep.MONEY), "half_year", sweep.MONEY)},
+              {"categories": ("merchant_category", "half_year")})
     return shape(line.fold().select("transaction_id", "prior_n", "prior_amount",
                                     "prior_categories"), _AMOUNTS)
 
