@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import aggregates, features
+from ..operators import aggregates, features, rules
 from ..sources import banking
 from ..workspace import fresh_folder, prepare
 from .fixtures import AML_T, CASES_T, FEATURES_T, MONITOR_T, RISK_T
@@ -72,3 +72,23 @@ class Bank:
     def customer_features(self) -> DataFrame:
         return self.publish("customer_features", aggregates.customer_features(
             self.tables, self.features, self.features_cfg))
+
+    @cached_property
+    def books(self) -> dict:
+        return rules.codebooks(self.tables["transactions"])
+
+    def aml_prepared(self) -> DataFrame:
+        return rules.prepare(self.tables, self.features, self.hot["hot_customers"])
+
+    def rule_history(self) -> DataFrame:
+        return rules.with_history(self.aml_prepared(), self.aml_cfg, self.books, **self.hot,
+                                  source=self.tables["transactions"])
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return self.publish("aml_alerts", rules.evaluate(self.rule_history(), self.aml_cfg))
+
+    @cached_property
+    def aml_summary(self) -> DataFrame:
+        return self.publish("aml_customer_summary",
+                            rules.customer_summary(self.alerts, self.aml_cfg))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["feature_queries"]
+MODULES = ["feature_queries", "rule_queries"]
 
 
 def all_queries() -> dict:

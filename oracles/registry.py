@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["features"]
+MODULES = ["features", "rules"]
 
 
 def all_sql() -> dict:
