@@ -114,59 +114,74 @@ def codebooks(transactions: DataFrame) -> dict:
 # -- history ------------------------------------------------------------------------------------
 
 
-def with_history(prepared: DataFrame, cfg: dict, books: dict, hot_customers: HotKeys = NONE,
+# Which history a rule reads; the others need none.
+_CUSTOMER_RULES = {"AML002", "AML003", "AML005", "AML007", "AML010"}
+
+
+def with_history(prepared: DataFrame, cfg: dict, rules: list | None = None,
+                 books: dict | None = None, hot_customers: HotKeys = NONE,
                  hot_accounts: HotKeys = NONE, source: DataFrame | None = None) -> DataFrame:
-    """All prior-only history the rules read: one timeline per account, one per customer."""
-    rows = list(prepared.columns)
-    account = sweep.unfold(prepared, "account_id", "transaction_timestamp", "transaction_id",
-                           {}, hot_accounts, [], source)
-    account.scan({}, {}, {"account_time": F.col("_at")})
-    df = account.fold()
+    """The prior-only history that the enabled rules read, and nothing else.
 
+    At most one timeline per account and one per customer, whatever the number of rules.
+    """
+    wanted = {r for r in cfg["enabled_rules"] if rules is None or r in rules}
+    df = prepared
+    if "AML006" in wanted:
+        line = sweep.unfold(df, "account_id", "transaction_timestamp", "transaction_id",
+                            {}, hot_accounts, [], source)
+        df = line.scan({}, {}, {"account_time": F.col("_at")}).fold()
+    if wanted & _CUSTOMER_RULES:
+        df = _customer_history(df, cfg, wanted, books or {}, hot_customers, source)
+    return df
+
+
+def _customer_history(df, cfg, wanted, books, hot, source):
+    rows = list(df.columns)
     money = F.col("amount").cast(sweep.MONEY)
     small = F.col("amount") < float(cfg["structuring_reporting_threshold"])
     failed = flag(differs(F.col("transaction_status"), F.lit("Approved")))
+    windows, sums, lasts, sets, keep = {}, {}, {}, {}, []
+    if "AML002" in wanted:
+        windows["structuring"] = sweep.hours(cfg["structuring_window_hours"])
+        sums["small_n"] = (flag(small), "structuring")
+        sums["small_sum"] = (F.when(small, money), "structuring", sweep.MONEY)
+    if "AML003" in wanted:
+        lasts["row"] = F.struct(F.col("_at").alias("at"), "amount", "channel", "merchant_country")
+    if "AML005" in wanted:
+        windows["crossing"] = sweep.days(cfg["cross_border_window_days"])
+        sums["window_n"] = (F.lit(1), "crossing")
+        sums["window_cross"] = (flag(F.col("is_cross_border")), "crossing")
+        sets["geography"] = ("merchant_country", "crossing")
+    if "AML007" in wanted:
+        windows["failing"] = sweep.hours(cfg["failed_transaction_window_hours"])
+        sums["failed_n"] = (failed, "failing")
+    if "AML010" in wanted:
+        sums["rows_n"] = (F.lit(1), None)
+        sets["categories"] = ("merchant_category", None)
+        sets["channels"] = ("channel", None)
     line = sweep.unfold(
-        df, "customer_id", "transaction_timestamp", "transaction_id",
-        {"structuring": sweep.hours(cfg["structuring_window_hours"]),
-         "crossing": sweep.days(cfg["cross_border_window_days"]),
-         "failing": sweep.hours(cfg["failed_transaction_window_hours"])},
-        hot_customers,
+        df, "customer_id", "transaction_timestamp", "transaction_id", windows, hot,
         ["amount", "merchant_country", "merchant_category", "channel", "is_cross_border",
          "transaction_status"], source)
-    line.appearances("merchant_country", ["crossing"])
-    line.appearances("merchant_category", [None])
-    line.appearances("channel", [None])
-    marks = {"countries": ("merchant_country", "crossing")}
-    for name, column, window in (("geo", "merchant_country", "crossing"),
-                                 ("cat", "merchant_category", None), ("chn", "channel", None)):
+    marks = {}
+    for name, (column, window) in sets.items():
+        line.appearances(column, [window])
+        if window is not None:
+            marks[f"{name}_n"] = (column, window)
+        else:
+            keep.append(f"_mark_{column}_None")
         for word in range(books[column].words):
             marks[f"{name}_{word}"] = (column, window, books[column].weight(word))
-    line.scan(
-        sums={"small_n": (flag(small), "structuring"),
-              "small_sum": (F.when(small, money), "structuring", sweep.MONEY),
-              "window_n": (F.lit(1), "crossing"),
-              "window_cross": (flag(F.col("is_cross_border")), "crossing"),
-              "failed_n": (failed, "failing"),
-              "rows_n": (F.lit(1), None)},
-        marks=marks,
-        lasts={"row": F.struct(F.col("_at").alias("at"), "amount", "channel",
-                               "merchant_country")})
-    first = ["_mark_merchant_category_None", "_mark_channel_None"]
-    folded = line.fold(keep=first)
-
-    def words(name, column):
-        return [F.col(f"prior_{name}_{word}") for word in range(books[column].words)]
-
-    return folded.select(
-        *rows, "prior_account_time", "prior_small_n", "prior_small_sum", "prior_window_n",
-        "prior_window_cross", "prior_failed_n", "prior_rows_n", "prior_row", "prior_countries",
-        books["merchant_country"].decode(words("geo", "merchant_country")).alias("prior_geography"),
-        books["merchant_category"].decode(words("cat", "merchant_category"))
-        .alias("prior_categories"),
-        books["channel"].decode(words("chn", "channel")).alias("prior_channels"),
-        (F.col(first[0]) == 1).alias("category_unseen"),
-        (F.col(first[1]) == 1).alias("channel_unseen"))
+    folded = line.scan(sums, marks, lasts).fold(keep)
+    values = [books[column].decode([F.col(f"prior_{name}_{word}")
+                                    for word in range(books[column].words)]).alias(f"prior_{name}")
+              for name, (column, _) in sets.items()]
+    counts = [F.col(f"prior_{name}") for name in [*sums, *lasts]]
+    counts += [F.col(f"prior_{name}_n") for name, (_, window) in sets.items() if window]
+    unseen = [(F.col(mark) == 1).alias(mark.removeprefix("_mark_").removesuffix("_None") + "_unseen")
+              for mark in keep]
+    return folded.select(*rows, *counts, *values, *unseen)
 
 
 # -- the rules ----------------------------------------------------------------------------------
@@ -252,7 +267,7 @@ def cross_border(cfg):
                      F.lit(" prior cross-border events in the window.")),
             {"prior_cross_border_count": crossed,
              "current_cross_border_ratio": F.bround(ratio, 4),
-             "distinct_prior_countries": F.col("prior_countries"),
+             "distinct_prior_countries": F.col("prior_geography_n"),
              "current_merchant_country": F.col("merchant_country"),
              "historical_customer_geography": F.col("prior_geography"),
              "window_days": F.lit(int(cfg["cross_border_window_days"])),
@@ -317,7 +332,7 @@ def due_diligence(cfg):
 def merchant_channel(cfg):
     category = member("merchant_category", cfg["high_risk_merchant_categories"])
     channel = member("channel", cfg["high_risk_channels"])
-    novel = ((F.col("prior_rows_n") >= 3) & F.col("category_unseen") & F.col("channel_unseen"))
+    novel = ((F.col("prior_rows_n") >= 3) & F.col("merchant_category_unseen") & F.col("channel_unseen"))
     return (category | channel | novel,
             F.lit("Merchant or channel activity matched a configured or novel pattern."),
             {"merchant_category": F.col("merchant_category"), "channel": F.col("channel"),

@@ -80,8 +80,8 @@ class Bank:
     def aml_prepared(self) -> DataFrame:
         return rules.prepare(self.tables, self.features, self.hot["hot_customers"])
 
-    def rule_history(self) -> DataFrame:
-        return rules.with_history(self.aml_prepared(), self.aml_cfg, self.books, **self.hot,
+    def rule_history(self, only: list | None = None) -> DataFrame:
+        return rules.with_history(self.aml_prepared(), self.aml_cfg, only, self.books, **self.hot,
                                   source=self.tables["transactions"])
 
     @cached_property

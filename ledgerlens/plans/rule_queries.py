@@ -12,7 +12,7 @@ _COLUMNS = ["alert_id", "transaction_id", "account_id", "customer_id", "rule_id"
 def _rule(rule):
     def query(spark, sf_dir):
         b = bank(spark, sf_dir)
-        return shape(rules.evaluate(b.rule_history(), b.aml_cfg, [rule]).select(*_COLUMNS))
+        return shape(rules.evaluate(b.rule_history([rule]), b.aml_cfg, [rule]).select(*_COLUMNS))
     return query
 
 
