@@ -36,8 +36,22 @@ def round_even(column: Column, digits: int) -> Column:
 
 
 def fixed2(column: Column, digits: int = 2) -> Column:
-    """Text with a fixed number of decimals; exact ties go to the even digit."""
-    return F.format_string(f"%.{digits}f", F.bround(column, digits))
+    """Text with a fixed number of decimals, rounded on the exact binary value, ties to even.
+
+    The JVM formatter rounds the shortest decimal text half up instead, which differs when that
+    text ends in a 5.  Splitting the number in two halves makes its distance to such a tie exact.
+    """
+    column = column.cast("double")
+    scale = float(10 ** (digits + 1))
+    shifted = column * 134217729.0
+    high = shifted - (shifted - column)
+    whole = F.rint(column * scale)
+    excess = (high * scale - whole) + (column - high) * scale
+    near_tie = (F.abs(F.pmod(whole, F.lit(10.0)) - 5.0) < 0.5) & (F.abs(excess) < 1e-3)
+    down = F.floor(whole / 10.0)
+    up = (excess > 0) | ((excess == 0) & (F.pmod(down, F.lit(2)) == 1))
+    settled = (down + up.cast("int")) / float(10 ** digits)
+    return F.format_string(f"%.{digits}f", F.when(near_tie, settled).otherwise(column))
 
 
 def iso_timestamp(column: Column) -> Column:

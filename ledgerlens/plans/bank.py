@@ -9,10 +9,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import aggregates, features, rules
+from ..operators import aggregates, evaluation, features, model, position, risk, rules
+from ..settings import MODEL
 from ..sources import banking
 from ..workspace import fresh_folder, prepare
 from .fixtures import AML_T, CASES_T, FEATURES_T, MONITOR_T, RISK_T
+from .scorecard import scorecard
 
 _BANKS: dict = {}
 
@@ -92,3 +94,57 @@ class Bank:
     def aml_summary(self) -> DataFrame:
         return self.publish("aml_customer_summary",
                             rules.customer_summary(self.alerts, self.aml_cfg))
+
+    # -- fraud model ----------------------------------------------------------------------------
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        return self.publish("labelled_features", features.join_labels(
+            self.features, self.tables["fraud_labels"]))
+
+    @cached_property
+    def split(self) -> tuple:
+        return position.chronological_split(self.labelled, "transaction_timestamp",
+                                            "transaction_id", MODEL["test_fraction"])
+
+    @cached_property
+    def scorecard(self):
+        return scorecard(self.split[0])
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return self.publish("scored", model.score_linear(self.split[1], self.scorecard))
+
+    @cached_property
+    def threshold(self) -> float:
+        analysis = evaluation.threshold_analysis(self.scored, "fraud_label")
+        return evaluation.select_threshold(analysis, MODEL).first()[0]
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        return self.publish("predictions", model.predictions(self.scored, self.threshold))
+
+    @cached_property
+    def trained(self) -> tuple:
+        train = self.split[0]
+        return model.fit(train, model.predictive_columns(train), "fraud_label")
+
+    # -- customer risk --------------------------------------------------------------------------
+
+    def joined_indicators(self) -> DataFrame:
+        return risk.joined_indicators(
+            risk.without_labels(self.customer_features), self.tables["customers"], self.features,
+            self.predictions, self.aml_summary, self.tables["device_sessions"], self.risk_cfg,
+            check=False)
+
+    @cached_property
+    def indicators(self) -> DataFrame:
+        return self.publish("risk_indicators", risk.fill_indicators(self.joined_indicators()))
+
+    @cached_property
+    def components(self) -> DataFrame:
+        return self.publish("risk_components", risk.component_rows(self.indicators, self.risk_cfg))
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return self.publish("risk_scores", risk.scores(self.indicators, self.risk_cfg))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["feature_queries", "rule_queries"]
+MODULES = ["quality_queries", "feature_queries", "rule_queries", "model_queries", "risk_queries"]
 
 
 def all_queries() -> dict:

@@ -115,7 +115,7 @@ cf_accounts AS (
     greatest(DATE '2026-01-01' - MIN(account_open_date), 0) AS account_tenure_days
   FROM accounts GROUP BY customer_id),
 cf_txn AS (
-  SELECT customer_id, COUNT(*) AS total_transaction_count, SUM(amount) AS total_transaction_amount,
+  SELECT customer_id, COUNT(*) AS total_transaction_count, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_transaction_amount,
     AVG(amount) AS average_transaction_amount, MAX(amount) AS maximum_transaction_amount,
     COUNT(DISTINCT merchant_country) AS unique_merchant_country_count,
     COUNT(DISTINCT device_id) AS unique_device_count,

@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["features", "rules"]
+MODULES = ["quality", "features", "rules", "model", "risk"]
 
 
 def all_sql() -> dict:
