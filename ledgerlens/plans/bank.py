@@ -7,10 +7,12 @@ lost executors and gives the optimizer real sizes.
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import aggregates, evaluation, features, model, position, risk, rules
-from ..settings import MODEL
+from ..functions.columns import iso_timestamp
+from ..operators import (aggregates, cases, evaluation, explain, features, model, position, risk,
+                         rules)
+from ..settings import LABEL_COLUMNS, MODEL
 from ..sources import banking
 from ..workspace import fresh_folder, prepare
 from .fixtures import AML_T, CASES_T, FEATURES_T, MONITOR_T, RISK_T
@@ -148,3 +150,72 @@ class Bank:
     @cached_property
     def scores(self) -> DataFrame:
         return self.publish("risk_scores", risk.scores(self.indicators, self.risk_cfg))
+
+    # -- explanations ---------------------------------------------------------------------------
+
+    def explained(self) -> DataFrame:
+        chosen = explain.select_outcomes(self.predictions, self.features, self.scorecard)
+        return explain.with_contributions(chosen, self.scorecard)
+
+    @cached_property
+    def contributions(self) -> DataFrame:
+        rows = explain.contributions(self.explained())
+        outcome = self.predictions.select("transaction_id", "error_type")
+        return self.publish("contributions", rows.join(outcome, "transaction_id"))
+
+    @cached_property
+    def reasons(self) -> DataFrame:
+        return self.publish("reasons", explain.reasons(self.explained()))
+
+    @cached_property
+    def explanations(self) -> DataFrame:
+        return self.publish("explanations", explain.local(self.explained(), self.scorecard))
+
+    def explanation_quality(self) -> DataFrame:
+        return explain.quality(self.explanations, self.scorecard,
+                               [*MODEL["id_columns"], *MODEL["excluded_feature_columns"],
+                                *LABEL_COLUMNS])
+
+    # -- investigation cases --------------------------------------------------------------------
+
+    def _text_ids(self, df: DataFrame) -> DataFrame:
+        """Case texts quote transactions, so they carry printable ids."""
+        return df.withColumn("transaction_id", F.concat(F.lit("TXN-"), F.lpad(
+            F.col("transaction_id").cast("string"), 9, "0")))
+
+    @cached_property
+    def selected(self) -> DataFrame:
+        return self.publish("selected_cases", cases.select(self.scores, self.cases_cfg))
+
+    @cached_property
+    def case_inputs(self) -> dict:
+        explanations = self._text_ids(self.explanations).withColumn(
+            "transaction_timestamp", iso_timestamp(F.col("transaction_timestamp")))
+        return {"alerts": self._text_ids(self.alerts), "explanations": explanations,
+                "reasons": self._text_ids(self.reasons)}
+
+    @cached_property
+    def packets(self) -> DataFrame:
+        inputs = self.case_inputs
+        return self.publish("packets", cases.packets(
+            self.selected, self.components, inputs["alerts"], self.aml_summary,
+            inputs["explanations"], inputs["reasons"], self.explanation_quality(),
+            self.cases_cfg))
+
+    @cached_property
+    def case_references(self) -> DataFrame:
+        inputs = self.case_inputs
+        best = cases.top_explanations(self.selected, inputs["explanations"], self.cases_cfg)
+        return self.publish("case_references", cases.references(
+            self.selected, inputs["alerts"], best, self.cases_cfg))
+
+    @cached_property
+    def grounded(self) -> DataFrame:
+        return self.publish("grounding", cases.grounding(
+            self.packets, cases.summaries(self.packets, self.cases_cfg),
+            cases.drafts(self.packets, self.cases_cfg), self.case_references, self.cases_cfg))
+
+    @cached_property
+    def case_rows(self) -> DataFrame:
+        return self.publish("cases", cases.with_status(
+            cases.summaries(self.packets, self.cases_cfg), self.grounded))

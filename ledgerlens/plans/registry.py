@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["quality_queries", "feature_queries", "rule_queries", "model_queries", "risk_queries"]
+MODULES = ["quality_queries", "feature_queries", "rule_queries", "model_queries", "risk_queries",
+           "explain_queries", "case_queries"]
 
 
 def all_queries() -> dict:

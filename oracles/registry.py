@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["quality", "features", "rules", "model", "risk"]
+MODULES = ["quality", "features", "rules", "model", "risk", "explain", "cases"]
 
 
 def all_sql() -> dict:
