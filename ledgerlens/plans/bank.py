@@ -10,8 +10,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import iso_timestamp
-from ..operators import (aggregates, cases, evaluation, explain, features, model, position, risk,
-                         rules)
+from ..operators import (aggregates, cases, evaluation, explain, features, model, monitor,
+                         position, risk, rules)
 from ..settings import LABEL_COLUMNS, MODEL
 from ..sources import banking
 from ..workspace import fresh_folder, prepare
@@ -219,3 +219,59 @@ class Bank:
     def case_rows(self) -> DataFrame:
         return self.publish("cases", cases.with_status(
             cases.summaries(self.packets, self.cases_cfg), self.grounded))
+
+    # -- monitoring -----------------------------------------------------------------------------
+
+    @cached_property
+    def monitored(self) -> DataFrame:
+        """The feature table split into two periods; a literal filter, so nothing is stored."""
+        return monitor.periods(self.features)
+
+    @cached_property
+    def numeric_drift(self) -> DataFrame:
+        return self.publish("numeric_drift", monitor.numeric_drift(self.monitored,
+                                                                   self.monitor_cfg))
+
+    @cached_property
+    def categorical_drift(self) -> DataFrame:
+        return self.publish("categorical_drift", monitor.categorical_drift(self.monitored,
+                                                                           self.monitor_cfg))
+
+    def rule_monitoring(self) -> DataFrame:
+        return monitor.rule_monitoring(self.alerts, self.features.count(), self.scores.count(),
+                                       self.monitor_cfg)
+
+    def grounding_monitoring(self) -> DataFrame:
+        return monitor.grounding(cases.grounding_quality(self.grounded),
+                                 cases.payloads(self.packets, self.cases_cfg), self.monitor_cfg)
+
+    @cached_property
+    def health(self) -> DataFrame:
+        return self.publish("table_health", monitor.table_health({
+            "transaction_features": (self.features, "transaction_timestamp"),
+            "aml_alerts": (self.alerts, "transaction_timestamp"),
+            "fraud_predictions": (self.predictions, "transaction_timestamp"),
+            "customer_risk_scores": (self.scores, None),
+            "investigation_cases": (self.case_rows, None),
+            "model_registry": (None, None),
+        }, self.monitor_cfg))
+
+    @cached_property
+    def controls(self) -> DataFrame:
+        cfg = self.monitor_cfg
+        return self.publish("controls", monitor.control_rows({
+            "data_quality": monitor.data_quality(self.monitored, cfg),
+            "numeric_drift": self.numeric_drift,
+            "categorical_drift": self.categorical_drift,
+            "fraud_model": monitor.fraud_monitoring(monitor.fraud_performance(self.predictions),
+                                                    cfg),
+            "aml": self.rule_monitoring(),
+            "customer_risk": monitor.risk_monitoring(self.scores, self.components, cfg),
+            "explainability": monitor.explainability(self.explanation_quality(), cfg),
+            "genai": self.grounding_monitoring(),
+            "pipeline": self.health,
+        }))
+
+    @cached_property
+    def monitoring_alerts(self) -> DataFrame:
+        return self.publish("monitoring_alerts", monitor.alerts(self.controls, self.monitor_cfg))

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ["quality_queries", "feature_queries", "rule_queries", "model_queries", "risk_queries",
-           "explain_queries", "case_queries"]
+           "explain_queries", "case_queries", "monitor_queries"]
 
 
 def all_queries() -> dict:

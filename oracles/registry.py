@@ -1,6 +1,6 @@
 from importlib import import_module
 
-MODULES = ["quality", "features", "rules", "model", "risk", "explain", "cases"]
+MODULES = ["quality", "features", "rules", "model", "risk", "explain", "cases", "monitor"]
 
 
 def all_sql() -> dict:
