@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import iso_timestamp
 from ..operators import (aggregates, cases, evaluation, explain, features, model, monitor,
-                         position, risk, rules)
+                         position, profile, risk, rules, star)
 from ..settings import LABEL_COLUMNS, MODEL
 from ..sources import banking
 from ..workspace import fresh_folder, prepare
@@ -275,3 +275,50 @@ class Bank:
     @cached_property
     def monitoring_alerts(self) -> DataFrame:
         return self.publish("monitoring_alerts", monitor.alerts(self.controls, self.monitor_cfg))
+
+    # -- reporting ------------------------------------------------------------------------------
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return self.publish("feature_profile", profile.profile_all(self.feature_tables))
+
+    @cached_property
+    def feature_tables(self) -> dict:
+        return {"transaction_features": self.labelled, "account_features": self.account_features,
+                "customer_features": self.customer_features}
+
+    @cached_property
+    def dimensions(self) -> dict:
+        t = self.tables
+        return {
+            "dim_customer": star.dim_customer(t["customers"], self.scores),
+            "dim_account": star.dim_account(t["accounts"], t["customers"]),
+            "dim_date": star.dim_date(self.features, self.alerts),
+            "dim_time": star.dim_time(self.spark),
+            "dim_aml_rule": star.dim_rule(rules.rule_table(self.spark, self.aml_cfg)),
+            "dim_risk_band": star.dim_band(self.spark),
+            "dim_monitoring_control": star.dim_control(self.monitoring_alerts),
+        }
+
+    @cached_property
+    def facts(self) -> dict:
+        t = self.tables
+        return {
+            "fact_transactions": star.fact_transactions(self.features, t["customers"],
+                                                        t["accounts"]),
+            "fact_fraud_predictions": star.fact_fraud(self.predictions, self.features),
+            "fact_aml_alerts": star.fact_alerts(self.alerts, t["customers"], t["accounts"]),
+            "fact_customer_risk": star.fact_risk(self.scores),
+            "fact_risk_components": star.fact_components(self.components),
+            "fact_model_explanations": star.fact_explanations(self.contributions, self.reasons,
+                                                              self.explanations),
+            "fact_investigation_cases": star.fact_cases(self.case_rows),
+            "fact_monitoring_alerts": star.fact_monitoring(self.monitoring_alerts),
+            "fact_pipeline_health": star.fact_pipeline(self.health),
+        }
+
+    def report_sources(self) -> dict:
+        """The table whose number of rows each fact must match."""
+        return {"fact_transactions": self.features, "fact_aml_alerts": self.alerts,
+                "fact_customer_risk": self.scores, "fact_investigation_cases": self.case_rows,
+                "fact_monitoring_alerts": self.monitoring_alerts}

@@ -3,7 +3,8 @@
 from importlib import import_module
 
 MODULES = ["quality_queries", "feature_queries", "rule_queries", "model_queries", "risk_queries",
-           "explain_queries", "case_queries", "monitor_queries"]
+           "explain_queries", "case_queries", "monitor_queries",
+           "star_queries"]
 
 
 def all_queries() -> dict:

@@ -1,6 +1,7 @@
 from importlib import import_module
 
-MODULES = ["quality", "features", "rules", "model", "risk", "explain", "cases", "monitor"]
+MODULES = ["quality", "features", "rules", "model", "risk", "explain", "cases", "monitor",
+           "star"]
 
 
 def all_sql() -> dict:
