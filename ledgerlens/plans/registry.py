@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = ["quality_queries", "feature_queries", "rule_queries", "model_queries", "risk_queries",
            "explain_queries", "case_queries", "monitor_queries",
-           "star_queries"]
+           "star_queries", "stream_queries"]
 
 
 def all_queries() -> dict:

@@ -1,7 +1,7 @@
 from importlib import import_module
 
 MODULES = ["quality", "features", "rules", "model", "risk", "explain", "cases", "monitor",
-           "star"]
+           "star", "stream"]
 
 
 def all_sql() -> dict:
