@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import differs, flag, lookup, member, safe_ratio, truthy
 from ..settings import FEATURES
 from .features import ELEVATED_SIGNALS
-from .sweep import MONEY
+
+MONEY = "decimal(24,6)"  # exact totals, whatever the order of the rows
 
 # Fixed ordinal codes.
 STATUS_CODES = {"Active": 0, "Dormant": 1, "Restricted": 2}

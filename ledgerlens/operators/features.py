@@ -50,29 +50,29 @@ def monetary(df: DataFrame, cfg: dict = FEATURES) -> DataFrame:
 
 
 def _against_average(prior_sum, prior_count):
-    average = prior_sum.cast("double") / F.nullif(prior_count, F.lit(0))
+    average = sweep.amount_of(prior_sum) / F.nullif(prior_count, F.lit(0))
     ratio = F.col("amount") / F.nullif(average, F.lit(0.0))
     return F.coalesce(ratio, F.lit(1.0))
 
 
 def _account_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
-    money = F.col("amount").cast(sweep.MONEY)
+    money = sweep.money(F.col("amount"))
     line = sweep.unfold(df, "account_id", "transaction_timestamp", "transaction_id",
                         {"velocity": sweep.hours(cfg["velocity_window_hours"])}, hot, ["amount"])
-    line.scan({"acc_rows": (F.lit(1), None), "acc_sum": (money, None, sweep.MONEY),
-               "acc_n": (F.lit(1), "velocity"), "acc_amount": (money, "velocity", sweep.MONEY)})
+    line.scan({"acc_rows": (F.lit(1), None), "acc_sum": (money, None),
+               "acc_n": (F.lit(1), "velocity"), "acc_amount": (money, "velocity")})
     return line.fold().select(
         *df.columns,
         _against_average(F.col("prior_acc_sum"), F.col("prior_acc_rows"))
         .alias("amount_vs_account_average"),
         F.col("prior_acc_n").alias("transaction_count_account_24h"),
-        F.greatest(F.col("prior_acc_amount").cast("double"), F.lit(0.0))
+        F.greatest(sweep.amount_of(F.col("prior_acc_amount")), F.lit(0.0))
         .alias("transaction_amount_account_24h"))
 
 
 def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys, source: DataFrame) -> DataFrame:
     """All customer-level history in one timeline: one exchange, several passes over it."""
-    money = F.col("amount").cast(sweep.MONEY)
+    money = sweep.money(F.col("amount"))
     line = sweep.unfold(
         df, "customer_id", "transaction_timestamp", "transaction_id",
         {"velocity": sweep.hours(cfg["velocity_window_hours"]),
@@ -85,8 +85,8 @@ def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys, source: DataFrame) ->
     crossing = flag(truthy(F.col("is_cross_border")))
     failed = flag(differs(F.col("transaction_status"), F.lit("Approved")))
     line.scan(
-        sums={"cust_rows": (F.lit(1), None), "cust_sum": (money, None, sweep.MONEY),
-              "cust_n": (F.lit(1), "velocity"), "cust_amount": (money, "velocity", sweep.MONEY),
+        sums={"cust_rows": (F.lit(1), None), "cust_sum": (money, None),
+              "cust_n": (F.lit(1), "velocity"), "cust_amount": (money, "velocity"),
               "cust_cross": (crossing, "behaviour"), "cust_failed": (failed, "velocity")},
         marks={"cust_countries": ("merchant_country", "behaviour"),
                "cust_categories": ("merchant_category", "behaviour")},
@@ -96,7 +96,7 @@ def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys, source: DataFrame) ->
     rapid_us = int(cfg["rapid_transaction_minutes"]) * 60_000_000
     rapid = flag(time_us - F.col("prior_cust_time") <= rapid_us).cast("bigint")
     count = F.col("prior_cust_n")
-    amount = F.greatest(F.col("prior_cust_amount").cast("double"), F.lit(0.0))
+    amount = F.greatest(sweep.amount_of(F.col("prior_cust_amount")), F.lit(0.0))
     return folded.select(
         *df.columns,
         _against_average(F.col("prior_cust_sum"), F.col("prior_cust_rows"))

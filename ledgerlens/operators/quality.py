@@ -44,17 +44,25 @@ def null_counts(df: DataFrame, fields: list) -> DataFrame:
     ).select("r.*")
 
 
-def key_nulls(dataset: str, df: DataFrame, fields: list) -> DataFrame:
+def _exploded(row: DataFrame, checks: list) -> DataFrame:
+    return row.select(F.explode(F.array(*checks)).alias("r")).select("r.*")
+
+
+def _null_parts(dataset: str, df: DataFrame, fields: list):
     fields = [f for f in fields if f in df.columns]
-    row = df.agg(*[F.count_if(F.col(f).isNull()).alias(f"n_{f}") for f in fields])
+    counts = [F.count_if(F.col(f).isNull()).alias(f"n_{f}") for f in fields]
     found = F.array_compact(F.array(*[
         F.when(F.col(f"n_{f}") > 0, F.concat(F.lit(f"'{f}': "), F.col(f"n_{f}").cast("string")))
         for f in fields]))
     bad = F.concat(F.lit("Null values found in key fields: {"), F.array_join(found, ", "),
                    F.lit("}"))
-    return row.select(_row("key_field_nulls", dataset, F.size(found) == 0,
-                           "No null values found in key fields.", bad, "completeness")
-                      .alias("r")).select("r.*")
+    return counts, [_row("key_field_nulls", dataset, F.size(found) == 0,
+                         "No null values found in key fields.", bad, "completeness")]
+
+
+def key_nulls(dataset: str, df: DataFrame, fields: list) -> DataFrame:
+    counts, checks = _null_parts(dataset, df, fields)
+    return _exploded(df.agg(*counts), checks)
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:
@@ -106,39 +114,47 @@ def foreign_key(child_name, child, child_column, parent_name, parent, parent_col
                  _text(F.col("examples"))), "relationship").alias("r")).select("r.*")
 
 
-def positive_amount(transactions: DataFrame) -> DataFrame:
-    if "amount" not in transactions.columns:
-        return _literal(transactions.sparkSession, "transaction_amount_positive", "transactions",
-                        False, "Missing amount column.", "validity")
+def _amount_parts():
     value = F.expr("try_cast(amount as double)")
-    n = F.col("n")
-    bad = transactions.agg(
-        F.count_if(value.isNull() | F.isnan(value) | (value <= 0)).alias("n"))
-    return bad.select(_row(
+    counts = [F.count_if(value.isNull() | F.isnan(value) | (value <= 0)).alias("bad_amounts")]
+    n = F.col("bad_amounts")
+    return counts, [_row(
         "transaction_amount_positive", "transactions", n == 0,
         "All transaction amounts are numeric and positive.",
         F.concat(F.lit("Found "), n.cast("string"),
-                 F.lit(" transactions with invalid amounts.")), "validity")
-        .alias("r")).select("r.*")
+                 F.lit(" transactions with invalid amounts.")), "validity")]
+
+
+def positive_amount(transactions: DataFrame) -> DataFrame:
+    if "amount" not in transactions.columns:
+        return _literal(transactions.sparkSession, "transaction_amount_positive", "transactions",
+                        False, "Missing amount column.", "validity")
+    counts, checks = _amount_parts()
+    return _exploded(transactions.agg(*counts), checks)
+
+
+def _time_parts(dataset: str, df: DataFrame, columns: list):
+    present = [c for c in columns if c in df.columns]
+    counts = [F.count_if(F.expr(f"try_to_timestamp(cast(`{c}` as string))").isNull())
+              .alias(f"t_{c}") for c in present]
+    checks = [_row(f"{c}_timestamp_parseable", dataset, F.col(f"t_{c}") == 0,
+                   f"All values in {c} are parseable.",
+                   F.concat(F.lit("Found "), F.col(f"t_{c}").cast("string"),
+                            F.lit(f" unparseable values in {c}.")), "validity") for c in present]
+    return counts, checks
+
+
+def _absent_times(dataset: str, df: DataFrame, columns: list) -> list:
+    return [_literal(df.sparkSession, f"{c}_timestamp_parseable", dataset, False,
+                     f"Missing timestamp/date column: {c}", "validity")
+            for c in columns if c not in df.columns]
 
 
 def timestamps(dataset: str, df: DataFrame, columns: list) -> DataFrame:
     """Unparseable (or missing) times, all columns of a table in one scan."""
-    parts = []
-    present = [c for c in columns if c in df.columns]
-    if present:
-        row = df.agg(*[F.count_if(F.expr(f"try_to_timestamp(cast(`{c}` as string))").isNull())
-                       .alias(f"n_{c}") for c in present])
-        checks = [_row(f"{c}_timestamp_parseable", dataset, F.col(f"n_{c}") == 0,
-                       f"All values in {c} are parseable.",
-                       F.concat(F.lit("Found "), F.col(f"n_{c}").cast("string"),
-                                F.lit(f" unparseable values in {c}.")), "validity")
-                  for c in present]
-        parts.append(row.select(F.explode(F.array(*checks)).alias("r")).select("r.*"))
-    parts += [_literal(df.sparkSession, f"{c}_timestamp_parseable", dataset, False,
-                       f"Missing timestamp/date column: {c}", "validity")
-              for c in columns if c not in df.columns]
-    return union(parts)
+    counts, checks = _time_parts(dataset, df, columns)
+    parts = [_exploded(df.agg(*counts), checks)] if counts else []
+    return union(parts + _absent_times(dataset, df, columns))
 
 
 def unexpected_values(df: DataFrame, domains: dict) -> DataFrame:
@@ -183,22 +199,27 @@ def union(parts: list) -> DataFrame:
 
 
 def report(tables: dict) -> DataFrame:
-    """All checks over the six tables."""
+    """All checks over the six tables; gaps, times and amounts of a table share one scan."""
     parts = []
     for name in S.TABLES:
         df = tables[name]
         parts.append(required_columns(name, df, S.TABLES[name].fieldNames()))
-        parts.append(key_nulls(name, df, S.KEY_FIELDS[name]))
+        times = S.TIME_COLUMNS.get(name, [])
+        scans = [_null_parts(name, df, S.KEY_FIELDS[name]), _time_parts(name, df, times)]
+        if name == "transactions" and "amount" in df.columns:
+            scans.append(_amount_parts())
+        parts.append(_exploded(df.agg(*[c for counts, _ in scans for c in counts]),
+                               [c for _, checks in scans for c in checks]))
+        parts += _absent_times(name, df, times)
         parts.append(duplicate_primary_key(name, df, S.PRIMARY_KEYS[name]))
-        if name in S.TIME_COLUMNS:
-            parts.append(timestamps(name, df, S.TIME_COLUMNS[name]))
         domains = {c: v for (t, c), v in S.DOMAINS.items() if t == name}
         if domains:
             parts.append(allowed_values(name, df, domains))
     for child, child_column, parent, parent_column in S.FOREIGN_KEYS:
         parts.append(foreign_key(child, tables[child], child_column, parent, tables[parent],
                                  parent_column))
-    parts.append(positive_amount(tables["transactions"]))
+    if "amount" not in tables["transactions"].columns:
+        parts.append(positive_amount(tables["transactions"]))
     return union(parts)
 
 

@@ -138,14 +138,14 @@ def with_history(prepared: DataFrame, cfg: dict, rules: list | None = None,
 
 def _customer_history(df, cfg, wanted, books, hot, source):
     rows = list(df.columns)
-    money = F.col("amount").cast(sweep.MONEY)
+    money = sweep.money(F.col("amount"))
     small = F.col("amount") < float(cfg["structuring_reporting_threshold"])
     failed = flag(differs(F.col("transaction_status"), F.lit("Approved")))
     windows, sums, lasts, sets, keep = {}, {}, {}, {}, []
     if "AML002" in wanted:
-        windows["structuring"] = sweep.hours(cfg["structuring_window_hours"])
+        windows["structuring"] = (sweep.hours(cfg["structuring_window_hours"]), small)
         sums["small_n"] = (flag(small), "structuring")
-        sums["small_sum"] = (F.when(small, money), "structuring", sweep.MONEY)
+        sums["small_sum"] = (F.when(small, money), "structuring")
     if "AML003" in wanted:
         lasts["row"] = F.struct(F.col("_at").alias("at"), "amount", "channel", "merchant_country")
     if "AML005" in wanted:
@@ -154,7 +154,7 @@ def _customer_history(df, cfg, wanted, books, hot, source):
         sums["window_cross"] = (flag(F.col("is_cross_border")), "crossing")
         sets["geography"] = ("merchant_country", "crossing")
     if "AML007" in wanted:
-        windows["failing"] = sweep.hours(cfg["failed_transaction_window_hours"])
+        windows["failing"] = (sweep.hours(cfg["failed_transaction_window_hours"]), failed == 1)
         sums["failed_n"] = (failed, "failing")
     if "AML010" in wanted:
         sums["rows_n"] = (F.lit(1), None)
@@ -210,7 +210,7 @@ def structuring(cfg):
     aggregate = float(cfg["structuring_aggregate_threshold"])
     window = int(cfg["structuring_window_hours"])
     count = F.col("prior_small_n") + 1
-    total = (F.col("prior_small_sum") + F.col("amount").cast(sweep.MONEY)).cast("double")
+    total = sweep.amount_of(F.col("prior_small_sum") + sweep.money(F.col("amount")))
     fires = ((F.col("amount") < reporting)
              & (count >= int(cfg["structuring_minimum_transaction_count"])) & (total >= aggregate))
     return (fires,

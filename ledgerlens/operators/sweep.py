@@ -22,9 +22,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-MONEY = "decimal(24,6)"  # running totals are exact: adding and taking off leaves no residue
-_START = -(2 ** 62)
-_NULL_SPREAD = 1024
+# Amounts run as whole 1/10000 units (no currency has finer minor units): adding and taking off
+# leaves no residue, and totals up to 9e14 fit a long; beyond that the sum fails loudly.
+_UNITS = 10_000
+
+
+def money(column: Column) -> Column:
+    return F.round(column * _UNITS).cast("bigint")
+
+
+def amount_of(units: Column) -> Column:
+    return units / float(_UNITS)
+
+
+_START = -(2 ** 62)  # before any time
+_NULL_SPREAD = 1024  # rows without a key are spread, their results are fixed
 
 
 @dataclass(frozen=True)
@@ -163,14 +175,14 @@ class Timeline:
     def scan(self, sums: dict, marks: dict | None = None, lasts: dict | None = None) -> "Timeline":
         """One pass per key over everything asked for.
 
-        sums:  name -> (value, window) or (value, window, sql type): prior total of ``value``.
+        sums:  name -> (value, window): prior total of the whole-number ``value``.
         marks: name -> (value column, window) or (value column, window, weight): how many values
                are present; with a weight, the sum of the weights of the values present.
         lasts: name -> column: the value on the key's immediately preceding row.
         """
         marks, lasts = marks or {}, lasts or {}
-        plain = {n: (self.delta(s[0], s[1]), s[2] if len(s) > 2 else "bigint")
-                 for n, s in sums.items()}
+        plain = {n: (self.delta(value, window), "bigint")
+                 for n, (value, window) in sums.items()}
         weights = {n: (m[2] if len(m) > 2 else F.lit(1)) for n, m in marks.items()}
         marked = {n: (F.col(f"_mark_{m[0]}_{m[1]}") * weights[n], "bigint")
                   for n, m in marks.items()}
@@ -214,11 +226,13 @@ def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, hot
         F.col(key), *[F.col(c) for c in carry], F.col(row_id).alias("_id"),
         F.unix_micros(F.col(time).cast("timestamp")).alias("_t"),
         *([F.struct(*[F.col(c) for c in payload]).alias("_row")] if payload else []))
-    kinds = F.array(*[F.lit(i) for i in range(1 + len(windows))])
-    events = base.withColumn("_kind", F.explode(kinds) if windows else F.lit(0))
-    at = F.when(F.col("_kind") == 0, F.col("_t"))
-    for index, length in enumerate(windows.values()):
-        at = at.when(F.col("_kind") == 1 + index, F.col("_t") + F.lit(int(length)))
+    kinds, at = [F.lit(0)], F.when(F.col("_kind") == 0, F.col("_t"))
+    for index, window in enumerate(windows.values(), start=1):
+        length, matters = window if isinstance(window, tuple) else (window, None)
+        kinds.append(F.lit(index) if matters is None else F.when(matters, F.lit(index)))
+        at = at.when(F.col("_kind") == index, F.col("_t") + F.lit(int(length)))
+    events = base.withColumn("_kind", F.explode(F.array_compact(F.array(*kinds)))
+                             if windows else F.lit(0))
     events = (events.withColumn("_at", at)
               .withColumn("_phase", F.when(F.col("_kind") == 0, 0).otherwise(1)).drop("_t"))
     if payload:
@@ -235,7 +249,8 @@ def unfold(df: DataFrame, key: str, time: str, row_id: str, windows: dict | None
            source: DataFrame | None = None) -> Timeline:
     """Lay the rows of every ``key`` out on a timeline.
 
-    ``windows`` maps a name to a length in microseconds.  ``carry`` lists the input columns that
+    ``windows`` maps a name to a length in microseconds, or to (length, condition) when only the
+    rows that meet the condition are ever counted in it: the others need no expiry.  ``carry`` lists the input columns that
     measures refer to: leaving events need them too; every other column travels only with the row
     itself.  ``source`` may name a cheaper frame with the same rows (key, time, id and carried
     columns) from which the segment totals of hot keys are taken.

@@ -44,7 +44,9 @@ class Bank:
 
     @cached_property
     def tables(self) -> dict:
-        return banking.banking_tables(self.spark, self.sf_dir)
+        """The six base tables, landed once as every later stage reads them."""
+        return {name: self.publish(name, df)
+                for name, df in banking.banking_tables(self.spark, self.sf_dir).items()}
 
     @cached_property
     def hot(self) -> dict:

@@ -52,10 +52,11 @@ def ft_velocity_ties(spark, sf_dir):
                         {"half_year": sweep.days(180)}, hot, ["amount", "merchant_category"])
     line.appearances("merchant_category", ["half_year"])
     line.scan({"n": (F.lit(1), "half_year"),
-               "amount": (F.col("amount").cast(sweep.MONEY), "half_year", sweep.MONEY)},
+               "amount": (sweep.money(F.col("amount")), "half_year")},
               {"categories": ("merchant_category", "half_year")})
-    return shape(line.fold().select("transaction_id", "prior_n", "prior_amount",
-                                    "prior_categories"), _AMOUNTS)
+    return shape(line.fold().select(
+        "transaction_id", "prior_n",
+        sweep.amount_of(F.col("prior_amount")).alias("prior_amount"), "prior_categories"), _AMOUNTS)
 
 
 def ft_transaction_features(spark, sf_dir):

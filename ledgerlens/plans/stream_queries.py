@@ -155,19 +155,20 @@ def sm_prior_velocity(spark, sf_dir):
 def _alerts(df):
     return df.where(F.col("amount") > 200).select(
         prefixed_digest("AML-", 16, F.lit("AML001"), F.col("transaction_id")).alias("alert_id"),
-        "transaction_id", "customer_id", "amount")
+        "transaction_id", "customer_id", "amount", F.to_date("occurred_at").alias("event_date"))
 
 
 def sm_replay(spark, sf_dir):
     """Stream all events into the alert table, then replay ten days: no alert appears twice."""
     folder = fresh_folder(spark, "stream-replay")
     stream = events.valid(_clean(spark, sf_dir))
-    queries.idempotent_sink(_alerts(stream), f"{folder}/alerts", f"{folder}/checkpoint", "alert_id")
+    queries.idempotent_sink(_alerts(stream), f"{folder}/alerts", f"{folder}/checkpoint", "alert_id",
+                            "event_date")
     home = (spark.sparkContext.applicationId, sf_dir, "clean")
     captured = events.valid(events.parse(spark.read.text(_FOLDERS[home])))
     again = queries.replay_range(captured, "2024-01-05", "2024-01-15")
-    queries.append_new(_alerts(again), f"{folder}/alerts", "alert_id")
-    return shape(spark.read.parquet(f"{folder}/alerts"))
+    queries.append_new(_alerts(again), f"{folder}/alerts", "alert_id", "event_date")
+    return shape(spark.read.parquet(f"{folder}/alerts").drop("event_date"))
 
 
 QUERIES = {

@@ -86,21 +86,35 @@ def enrich(stream: DataFrame, customers: DataFrame, accounts: DataFrame) -> Data
 # -- idempotent sinks ---------------------------------------------------------------------------
 
 
-def append_new(batch: DataFrame, path: str, key: str) -> None:
+def _day_span(batch: DataFrame, date_column: str):
+    row = batch.agg(F.min(date_column).alias("lo"), F.max(date_column).alias("hi")).first()
+    return F.col(date_column).between(F.lit(row["lo"]), F.lit(row["hi"]))
+
+
+def append_new(batch: DataFrame, path: str, key: str, date_column: str) -> None:
     """Append the rows whose key the table does not hold yet.
 
-    Keys are deterministic digests, so a retried or replayed batch adds nothing twice.
+    Keys are deterministic digests, so a retried or replayed batch adds nothing twice.  The table
+    is partitioned by day and only the days of the batch are looked at.
     """
-    spark = batch.sparkSession
     fresh = batch.dropDuplicates([key])
-    if exists(spark, path):
-        known = spark.read.schema(batch.schema).parquet(path).select(key)
-        fresh = fresh.join(known, key, "left_anti")
-    fresh.write.mode("append").parquet(path)
+    if exists(batch.sparkSession, path):
+        known = batch.sparkSession.read.schema(batch.schema).parquet(path).where(
+            _day_span(batch, date_column))
+        fresh = fresh.join(known.select(key), key, "left_anti")
+    fresh.write.mode("append").partitionBy(date_column).parquet(path)
 
 
-def idempotent_sink(stream: DataFrame, path: str, checkpoint: str, key: str) -> None:
-    run(stream.writeStream.foreachBatch(lambda batch, _: append_new(batch, path, key)), checkpoint)
+def idempotent_sink(stream: DataFrame, path: str, checkpoint: str, key: str,
+                    date_column: str) -> None:
+    def write(batch, _):
+        batch.persist()
+        try:
+            append_new(batch, path, key, date_column)
+        finally:
+            batch.unpersist()
+
+    run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
 def split_sink(stream: DataFrame, good, bad, good_path: str, bad_path: str,
@@ -127,49 +141,46 @@ def split_sink(stream: DataFrame, good, bad, good_path: str, bad_path: str,
 def velocity_batch(batch: DataFrame, curated: str, window_us: int, hot=sweep.NONE) -> DataFrame:
     """Prior-only trailing count and amount of the batch's rows.
 
-    The curated table is the state: only the dates that the window can reach are read, and only for
+    The curated table is the state: only the days that the window can reach are read, and only for
     customers in the batch.  The same sweep as in batch runs over both, so a busy customer is cut
     into segments here too.
     """
-    spark = batch.sparkSession
     rows = batch.withColumn("_new", F.lit(True))
-    if exists(spark, curated):
-        start = batch.agg(F.min("occurred_at").alias("m")).first()["m"]
-        if start is not None:
-            reach = F.timestamp_micros(F.unix_micros(F.lit(start)) - F.lit(window_us))
-            old = spark.read.schema(f"{_curated_schema(batch)}, event_date date").parquet(curated) \
-                .where((F.col("event_date") >= F.to_date(reach)) & (F.col("occurred_at") >= reach)) \
-                .drop("event_date")
-            old = old.join(batch.select("transaction_id").distinct(), "transaction_id",
-                           "left_anti")  # a retried batch may already be there
-            old = old.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
-            rows = rows.unionByName(old.withColumn("_new", F.lit(False)))
+    first = batch.agg(F.min("occurred_at").alias("m")).first()["m"]
+    if first is not None and exists(batch.sparkSession, curated):
+        reach = F.timestamp_micros(F.unix_micros(F.lit(first)) - F.lit(window_us))
+        old = batch.sparkSession.read.schema(batch.schema).parquet(curated).where(
+            (F.col("event_date") >= F.to_date(reach)) & (F.col("occurred_at") >= reach))
+        # a retried batch may already be in the table
+        old = old.join(batch.select("transaction_id"), "transaction_id", "left_anti")
+        old = old.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
+        rows = rows.unionByName(old.withColumn("_new", F.lit(False)))
     line = sweep.unfold(rows, "customer_id", "occurred_at", "transaction_id",
                         {"velocity": window_us}, hot, ["amount"])
     line.scan({"n": (F.lit(1), "velocity"),
-               "amount": (F.col("amount").cast(sweep.MONEY), "velocity", sweep.MONEY)})
+               "amount": (sweep.money(F.col("amount")), "velocity")})
     return line.fold().where("_new").select(
         "transaction_id", "customer_id", "occurred_at", F.col("prior_n").alias("prior_count"),
-        F.col("prior_amount").cast("double").alias("prior_amount"))
-
-
-def _curated_schema(batch: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
+        sweep.amount_of(F.col("prior_amount")).alias("prior_amount"))
 
 
 def prior_velocity(stream: DataFrame, folder: str, window_us: int) -> str:
-    """Online velocity: compute the batch's rows against the curated table, then extend it."""
+    """Online velocity: compute the batch's rows against the curated table, then extend it.
+
+    The stream carries transaction_id, customer_id, occurred_at and amount.
+    """
     curated, out = f"{folder}/curated", f"{folder}/velocity"
 
     def write(batch, number):
-        velocity_batch(batch, curated, window_us).write.mode("overwrite").parquet(
-            f"{out}/batch={number}")
-        dated = batch.withColumn("event_date", F.to_date("occurred_at"))
-        if exists(batch.sparkSession, curated):
-            held = batch.sparkSession.read.schema(
-                f"{_curated_schema(batch)}, event_date date").parquet(curated)
-            dated = dated.join(held.select("transaction_id"), "transaction_id", "left_anti")
-        dated.write.mode("append").partitionBy("event_date").parquet(curated)
+        dated = batch.withColumn("event_date", F.to_date("occurred_at")).persist()
+        try:
+            time_us = F.unix_micros("occurred_at")
+            hot = sweep.find_hot_keys(dated, "customer_id", time_us)
+            velocity_batch(dated, curated, window_us, hot).write.mode("overwrite").parquet(
+                f"{out}/batch={number}")
+            append_new(dated, curated, "transaction_id", "event_date")
+        finally:
+            dated.unpersist()
 
     run(stream.writeStream.foreachBatch(write), f"{folder}/checkpoint")
     return out

@@ -59,7 +59,7 @@ def test_matches_replay(spark, hot):
                         ["amount", "v"])
     line.appearances("v", ["w", None])
     line.scan({"n": (F.lit(1), "w"),
-               "s": (F.col("amount").cast(sweep.MONEY), "w", sweep.MONEY),
+               "s": (sweep.money(F.col("amount")), "w"),
                "all": (F.lit(1), None)},
               {"d": ("v", "w")}, {"last": F.struct("amount")})
     got = {r.transaction_id: r for r in line.fold(keep=["_mark_v_None"]).collect()}
@@ -67,7 +67,7 @@ def test_matches_replay(spark, hot):
     assert len(got) == len(rows)
     for key, (n, s, d, everything, last, new) in want.items():
         r = got[key]
-        assert (r.prior_n, round(float(r.prior_s), 2), r.prior_d, r.prior_all) == (n, s, d, everything)
+        assert (r.prior_n, round(r.prior_s / 10000, 2), r.prior_d, r.prior_all) == (n, s, d, everything)
         assert (r.prior_last.amount if r.prior_last else None) == last
         if new is not None:
             assert r._mark_v_None == new
