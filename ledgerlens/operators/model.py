@@ -158,7 +158,7 @@ def fit(train: DataFrame, columns: list, target: str, cfg: dict = MODEL) -> tupl
     design = train.select(F.col(target).cast("double").alias("label"), weight.alias("weight"),
                           design_vector(shape).alias("features"))
     solver = LogisticRegression(weightCol="weight", regParam=1.0 / n, elasticNetParam=0.0,
-                                standardization=False, fitIntercept=False, tol=1e-9,
+                                standardization=False, fitIntercept=False, tol=1e-6,
                                 maxIter=int(cfg["max_iterations"]))
     solved = solver.fit(design)
     weights = solved.coefficients.toArray()

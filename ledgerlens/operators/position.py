@@ -49,6 +49,8 @@ def kth(df: DataFrame, order: list, k: int, limit: int = LIMIT) -> tuple:
             k -= hit["upto"] - hit["n"]
             remaining = hit["n"]
             keys = keys.where(bucket == F.lit(hit["b"]))
+    if remaining is not None and remaining > limit:  # every level is spent: all rows are equal
+        return tuple(keys.first())
     rows = keys.orderBy(*keys.columns).limit(k).select(
         F.max(F.struct(*keys.columns)).alias("m")).first()
     return tuple(rows["m"])
@@ -120,7 +122,8 @@ def quantiles(df: DataFrame, wanted: dict, limit: int = LIMIT) -> dict:
                       for c in columns]).first()
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
                         for c in columns])
-    if max(counts) <= limit:
+    # one reducer keeps a value -> count map per column
+    if max(counts) <= limit and sum(counts) <= 8 * limit:
         row = clean.agg(*[F.percentile(c, F.array(*[F.lit(float(q)) for q in wanted[c]])).alias(c)
                           for c in columns]).first()
         return {c: (list(row[c]) if row[c] is not None else [None] * len(wanted[c]))

@@ -26,7 +26,8 @@ SEVERITIES = ["low", "medium", "high", "critical"]
 _WORD = 62
 
 
-def prepare(tables: dict, features: DataFrame, hot: HotKeys = NONE) -> DataFrame:
+def prepare(tables: dict, features: DataFrame, hot: HotKeys = NONE,
+            hot_accounts: HotKeys = NONE) -> DataFrame:
     """Transactions with session, customer, account, feature and watchlist context.
 
     An orphan customer counts as politically exposed and an orphan session as a successful login:
@@ -47,7 +48,7 @@ def prepare(tables: dict, features: DataFrame, hot: HotKeys = NONE) -> DataFrame
     df = tables["transactions"].withColumn("is_cross_border", truthy(F.col("is_cross_border")))
     df = lookup_join(df, sessions, "session_id")
     df = lookup_join(df, customers, "customer_id", hot, F.col("transaction_id"))
-    df = lookup_join(df, accounts, "account_id")
+    df = lookup_join(df, accounts, "account_id", hot_accounts, F.col("transaction_id"))
     df = df.join(extra, "transaction_id", "left")
     return df.withColumns({
         "new_device_flag": F.coalesce("new_device_flag", F.lit(0)).cast("bigint"),

@@ -20,7 +20,6 @@ so no task ever holds more than one segment and the result is exactly that of th
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 # Amounts run as whole 1/10000 units (no currency has finer minor units): adding and taking off
 # leaves no residue, and totals up to 9e14 fit a long; beyond that the sum fails loudly.
@@ -76,148 +75,179 @@ def find_hot_keys(df: DataFrame, key: str, time_us: Column, min_rows: int = 2_00
 
 @dataclass
 class Timeline:
-    """Rows of one key unfolded into enter/leave events; metrics are added, then rows folded back."""
+    """Rows of one key unfolded into enter/leave events.
+
+    :meth:`appearances` and :meth:`scan` say what is wanted; :meth:`fold` computes it in one
+    exchange and returns to one row per input row.
+    """
 
     events: DataFrame
     key: str
     windows: dict
     hot: HotKeys
     hot_events: DataFrame | None  # narrow events of the hot keys only, for segment totals
-    metrics: list = field(default_factory=list)
-    presence: dict = field(default_factory=dict)
+    values: list = field(default_factory=list)  # (column, windows) whose presence is tracked
+    sums: dict = field(default_factory=dict)
+    marks: dict = field(default_factory=dict)
+    lasts: dict = field(default_factory=dict)
+
+    # -- what to compute ------------------------------------------------------------------------
+
+    def appearances(self, value: str, windows: list) -> "Timeline":
+        """Track, per window, where ``value`` appears (+1) or vanishes (-1) for the key.
+
+        The mark ``_mark_<value>_<window>`` can be summed in :meth:`scan` or kept by :meth:`fold`.
+        A missing value counts as one more value.  With window None the mark is 1 on the first row
+        that ever carries the value.
+        """
+        self.values.append((value, windows))
+        return self
+
+    def scan(self, sums: dict, marks: dict | None = None, lasts: dict | None = None) -> "Timeline":
+        """What :meth:`fold` adds as ``prior_<name>``, over the strictly earlier events of the key.
 
-    def kind(self, window: str) -> int:
-        return 1 + list(self.windows).index(window)
+        sums:  name -> (value, window): prior total of the whole-number ``value``.
+        marks: name -> (value column, window) or (value column, window, weight): how many values
+               are present; with a weight, the sum of the weights of the values present.
+        lasts: name -> column: the value on the key's immediately preceding row.
+        """
+        self.sums, self.marks, self.lasts = sums, marks or {}, lasts or {}
+        return self
 
-    def delta(self, value: Column, window: str | None) -> Column:
+    # -- pieces ---------------------------------------------------------------------------------
+
+    def _change(self, value: Column, window: str | None) -> Column:
         """+value when the row enters, -value when it leaves ``window`` (None: it never leaves)."""
         change = F.when(F.col("_kind") == 0, value)
         if window is not None:
-            change = change.when(F.col("_kind") == self.kind(window), -value)
-        return F.coalesce(change, F.lit(0))
+            kind = 1 + list(self.windows).index(window)
+            change = change.when(F.col("_kind") == kind, -value)
+        return F.coalesce(change, F.lit(0)).cast("bigint")
+
+    def _weight(self, name: str) -> Column:
+        spec = self.marks[name]
+        return spec[2] if len(spec) > 2 else F.lit(1)
 
-    # -- segment openings (hot keys only) -------------------------------------------------------
+    def _presence(self, value: str, windows: list) -> dict:
+        return {f"n_{value}_{w}": self._change(F.lit(1), w) for w in windows}
+
+    # -- openings of the segments of hot keys ---------------------------------------------------
 
     def _segment_totals(self, by: list, sums: dict, lasts: dict) -> DataFrame:
         """Totals per (hot key, segment), combined on the map side before the shuffle."""
-        aggregates = [F.sum(delta.cast(kind)).cast(kind).alias(f"_d_{name}")
-                      for name, (delta, kind) in sums.items()]
+        aggregates = [F.sum(change).alias(f"_d_{name}") for name, change in sums.items()]
         aggregates += [
             F.max(F.when(F.col("_kind") == 0, F.struct("_at", "_id", value.alias("v"))))
             .getField("v").alias(f"_l_{name}") for name, value in lasts.items()]
         return self.hot_events.groupBy(*by, "_segment").agg(*aggregates)
 
     @staticmethod
-    def _openings(totals: DataFrame, by: list, sums: dict, lasts: dict) -> DataFrame:
+    def _before(totals: DataFrame, by: list, sums: list, lasts: list) -> DataFrame:
         """What each segment starts from: the totals of all earlier segments of its group."""
         earlier = (Window.partitionBy(*by).orderBy("_segment")
                    .rowsBetween(Window.unboundedPreceding, -1))
-        columns = {f"_o_{name}": F.coalesce(F.sum(f"_d_{name}").over(earlier), F.lit(0)).cast(kind)
-                   for name, (_, kind) in sums.items()}
-        columns |= {f"_o_{name}": F.last(f"_l_{name}", ignorenulls=True).over(earlier)
-                    for name in lasts}
+        columns = {f"_o_{n}": F.coalesce(F.sum(f"_d_{n}").over(earlier), F.lit(0)) for n in sums}
+        columns |= {f"_o_{n}": F.last(f"_l_{n}", ignorenulls=True).over(earlier) for n in lasts}
         return totals.withColumns(columns)
 
-    def _run(self, by: list, sums: dict, lasts: dict, openings: DataFrame | None) -> None:
-        """Add ``prior_<name>``: the total (or last value) over the strictly earlier events."""
-        events = self.events.withColumns(
-            {f"_d_{name}": delta.cast(kind) for name, (delta, kind) in sums.items()}
-            | {f"_l_{name}": F.when(F.col("_kind") == 0, value) for name, value in lasts.items()})
-        if openings is not None:
-            opening_rows = openings.select(
-                *by, "_segment", F.lit(_START).alias("_at"), F.lit(-1).alias("_phase"),
-                F.lit(-1).alias("_kind"),
-                *[F.col(f"_o_{name}").alias(f"_d_{name}") for name in sums],
-                *[F.col(f"_o_{name}").alias(f"_l_{name}") for name in lasts])
-            events = events.unionByName(opening_rows, allowMissingColumns=True)
-        window = (Window.partitionBy(self.key, "_segment", *[c for c in by if c != self.key])
-                  .orderBy("_at", "_phase", "_id")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        added = {f"prior_{name}": F.coalesce(F.sum(f"_d_{name}").over(window), F.lit(0))
-                 for name in sums}
-        added |= {f"prior_{name}": F.last(f"_l_{name}", ignorenulls=True).over(window)
-                  for name in lasts}
-        events = events.withColumns(added).drop(
-            *[f"_d_{name}" for name in sums], *[f"_l_{name}" for name in lasts])
-        self.events = events.where(F.col("_phase") >= 0) if openings is not None else events
-
-    # -- metrics --------------------------------------------------------------------------------
+    @staticmethod
+    def _opening_rows(before: DataFrame, by: list, sums: list, lasts: list) -> DataFrame:
+        return before.select(
+            *by, "_segment", F.lit(_START).alias("_at"), F.lit(-1).alias("_phase"),
+            F.lit(-1).alias("_kind"), *[F.col(f"_o_{n}").alias(f"_d_{n}") for n in sums],
+            *[F.col(f"_o_{n}").alias(f"_l_{n}") for n in lasts])
 
-    def appearances(self, value: str, windows: list) -> "Timeline":
-        """Mark, per window, where ``value`` appears (+1) or vanishes (-1) for the key.
+    def _openings(self) -> list:
+        """Opening rows of every pass, all from segment totals: no pass is computed twice.
 
-        Adds ``_mark_<value>_<window>``; a missing value counts as one more value.  With window
-        None the mark is 1 on the first row that ever carries the value.
+        How many values are present when a segment starts follows from the totals per (key, value,
+        segment): a value is present where its total so far is above zero.
         """
-        by = [self.key, value]
-        names = {window: f"n_{value}_{window}" for window in windows}
-        sums = {names[w]: (self.delta(F.lit(1), w), "bigint") for w in windows}
-        openings = None
-        if self.hot:
-            openings = self._openings(self._segment_totals(by, sums, {}), by, sums, {})
-            for window, name in names.items():
-                before = F.col(f"_o_{name}")
-                after = before + F.col(f"_d_{name}")
-                self.presence[value, window] = openings.select(
-                    *by, "_segment", ((after > 0).cast("bigint") - (before > 0).cast("bigint"))
+        rows, changes = [], {}
+        for value, windows in self.values:
+            by, sums = [self.key, value], self._presence(value, windows)
+            before = self._before(self._segment_totals(by, sums, {}), by, list(sums), [])
+            rows.append(self._opening_rows(before, by, list(sums), []))
+            for window, name in zip(windows, sums):
+                start = F.col(f"_o_{name}")
+                end = start + F.col(f"_d_{name}")
+                changes[value, window] = before.select(
+                    *by, "_segment", ((end > 0).cast("bigint") - (start > 0).cast("bigint"))
                     .alias("_change"))
-        self._run(by, sums, {}, openings)
-        marks = {}
-        for window, name in names.items():
-            before = F.col(f"prior_{name}")
-            mark = F.when((F.col("_kind") == 0) & (before == 0), 1)
-            if window is not None:
-                mark = mark.when((F.col("_kind") == self.kind(window)) & (before == 1), -1)
-            marks[f"_mark_{value}_{window}"] = F.coalesce(mark, F.lit(0))
-        self.events = self.events.withColumns(marks).drop(*[f"prior_{n}" for n in names.values()])
-        return self
-
-    def scan(self, sums: dict, marks: dict | None = None, lasts: dict | None = None) -> "Timeline":
-        """One pass per key over everything asked for.
-
-        sums:  name -> (value, window): prior total of the whole-number ``value``.
-        marks: name -> (value column, window) or (value column, window, weight): how many values
-               are present; with a weight, the sum of the weights of the values present.
-        lasts: name -> column: the value on the key's immediately preceding row.
-        """
-        marks, lasts = marks or {}, lasts or {}
-        plain = {n: (self.delta(value, window), "bigint")
-                 for n, (value, window) in sums.items()}
-        weights = {n: (m[2] if len(m) > 2 else F.lit(1)) for n, m in marks.items()}
-        marked = {n: (F.col(f"_mark_{m[0]}_{m[1]}") * weights[n], "bigint")
-                  for n, m in marks.items()}
-        openings = None
+        by = [self.key]
+        plain = {n: self._change(v, w) for n, (v, w) in self.sums.items()}
+        totals = self._segment_totals(by, plain, self.lasts)
+        for name, spec in self.marks.items():
+            moved = changes[spec[0], spec[1]].groupBy(*by, "_segment").agg(
+                F.sum(F.col("_change") * self._weight(name)).cast("bigint").alias(f"_d_{name}"))
+            totals = totals.unionByName(moved, allowMissingColumns=True)
+        names = [*self.sums, *self.marks]
+        if self.marks:
+            totals = totals.groupBy(*by, "_segment").agg(
+                *[F.sum(f"_d_{n}").alias(f"_d_{n}") for n in names],
+                *[F.first(f"_l_{n}", ignorenulls=True).alias(f"_l_{n}") for n in self.lasts])
+        before = self._before(totals, by, names, list(self.lasts))
+        rows.append(self._opening_rows(before, by, names, list(self.lasts)))
+        return rows
+
+    # -- computation ----------------------------------------------------------------------------
+
+    def _prepared(self) -> DataFrame:
+        """Events with their changes, plus the opening rows, grouped by one exchange."""
+        columns = {f"_d_{n}": self._change(v, w) for n, (v, w) in self.sums.items()}
+        for value, windows in self.values:
+            columns |= {f"_d_{n}": c for n, c in self._presence(value, windows).items()}
+        columns |= {f"_l_{n}": F.when(F.col("_kind") == 0, v) for n, v in self.lasts.items()}
+        events = self.events.withColumns(columns)
         if self.hot:
-            by = [self.key]
-            totals = self._segment_totals(by, plain, lasts)
-            for name, spec in marks.items():
-                changes = self.presence[spec[0], spec[1]]
-                totals = totals.unionByName(
-                    changes.groupBy(*by, "_segment").agg(
-                        F.sum(F.col("_change") * weights[name]).cast("bigint")
-                        .alias(f"_d_{name}")), allowMissingColumns=True)
-            if marks:
-                totals = totals.groupBy(*by, "_segment").agg(
-                    *[F.sum(f"_d_{n}").cast(k).alias(f"_d_{n}")
-                      for n, (_, k) in {**plain, **marked}.items()],
-                    *[F.first(f"_l_{n}", ignorenulls=True).alias(f"_l_{n}") for n in lasts])
-            openings = self._openings(totals, by, {**plain, **marked}, lasts)
-        self._run([self.key], {**plain, **marked}, lasts, openings)
-        self.metrics += [f"prior_{name}" for name in [*sums, *marks, *lasts]]
-        return self
+            for opening in self._openings():
+                events = events.unionByName(opening, allowMissingColumns=True)
+        # Hash on key and segment once; every pass below only refines that grouping.
+        return events.repartition(F.col(self.key), F.col("_segment"))
+
+    def _over(self, *refinement: str):
+        return (Window.partitionBy(self.key, "_segment", *refinement)
+                .orderBy("_at", "_phase", "_id").rowsBetween(Window.unboundedPreceding, -1))
 
     def fold(self, keep: list | None = None) -> DataFrame:
-        """Back to one row per input row with the metric columns; a null key has no history."""
-        metrics = []
-        for name in self.metrics:
-            column = F.col(name)
-            if isinstance(self.events.schema[name].dataType, (T.LongType, T.DecimalType)):
-                column = F.when(F.col(self.key).isNull(), F.lit(0)).otherwise(column)
-            else:
-                column = F.when(F.col(self.key).isNotNull(), column)
-            metrics.append(column.alias(name))
-        return (self.events.where(F.col("_kind") == 0)
-                .select("_row.*", *metrics, *[F.col(mark) for mark in keep or []]))
+        """One row per input row with ``prior_<name>`` for everything asked for.
+
+        ``keep`` lists marks to keep as they are.  A row without key has no history.
+        """
+        events = self._prepared()
+        for value, windows in self.values:
+            names = self._presence(value, windows)
+            counts = {f"_c_{n}": F.coalesce(F.sum(f"_d_{n}").over(self._over(value)), F.lit(0))
+                      for n in names}
+            marks = {}
+            for window, name in zip(windows, names):
+                count = F.col(f"_c_{name}")
+                mark = F.when((F.col("_kind") == 0) & (count == 0), 1)
+                if window is not None:
+                    kind = 1 + list(self.windows).index(window)
+                    mark = mark.when((F.col("_kind") == kind) & (count == 1), -1)
+                marks[f"_mark_{value}_{window}"] = F.coalesce(mark, F.lit(0))
+            events = events.withColumns(counts).withColumns(marks).drop(
+                *counts, *[f"_d_{n}" for n in names])
+        totals = {n: F.sum(f"_d_{n}") for n in self.sums}
+        for name, spec in self.marks.items():
+            change = (F.col(f"_mark_{spec[0]}_{spec[1]}") * self._weight(name)).cast("bigint")
+            # opening rows already carry the sum of the marks before their segment
+            totals[name] = F.sum(F.when(F.col("_phase") < 0, F.col(f"_d_{name}")).otherwise(change)
+                                 if self.hot else change)
+        over = self._over()
+        known = F.col(self.key).isNotNull()
+        results = {f"prior_{n}": F.coalesce(total.over(over), F.lit(0))
+                   for n, total in totals.items()}
+        results |= {f"prior_{n}": F.last(f"_l_{n}", ignorenulls=True).over(over)
+                    for n in self.lasts}
+        if results:
+            events = events.withColumns(results)
+        out = [F.when(known, F.col(f"prior_{n}")).otherwise(F.lit(0)).alias(f"prior_{n}")
+               for n in totals]
+        out += [F.when(known, F.col(f"prior_{n}")).alias(f"prior_{n}") for n in self.lasts]
+        return (events.where(F.col("_kind") == 0)
+                .select("_row.*", *out, *[F.col(mark) for mark in keep or []]))
 
 
 def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, hot: HotKeys,
@@ -262,8 +292,6 @@ def unfold(df: DataFrame, key: str, time: str, row_id: str, windows: dict | None
     if hot:
         rows = (source if source is not None else df).where(F.col(key).isin(list(hot.values)))
         hot_events = _lay_out(rows, key, time, row_id, windows, hot, carry, [])
-    # Hash on the key (and segment) once; every later pass refines that grouping in place.
-    events = events.repartition(F.col(key), F.col("_segment"))
     return Timeline(events, key, windows, hot, hot_events)
 
 

@@ -84,7 +84,8 @@ class Bank:
         return rules.codebooks(self.tables["transactions"])
 
     def aml_prepared(self) -> DataFrame:
-        return rules.prepare(self.tables, self.features, self.hot["hot_customers"])
+        return rules.prepare(self.tables, self.features, self.hot["hot_customers"],
+                             self.hot["hot_accounts"])
 
     def rule_history(self, only: list | None = None) -> DataFrame:
         return rules.with_history(self.aml_prepared(), self.aml_cfg, only, self.books, **self.hot,
