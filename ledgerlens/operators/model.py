@@ -144,8 +144,10 @@ def fit(train: DataFrame, columns: list, target: str, cfg: dict = MODEL) -> tupl
     """Class-balanced L2 logistic regression with C = 1; (LinearModel, Spark model).
 
     The constant is one more penalised column, which is the objective of the usual linear solver
-    for this penalty.  ``regParam`` is 1/n because Spark divides the loss by the weight sum, and
-    balanced weights sum to n.
+    for this penalty.  Spark ignores a column without variance, so half of the rows (by hash) enter
+    with label and inputs both negated: the logistic loss of a row does not change, and the constant
+    becomes a column of +1 and -1.  ``regParam`` is 1/n because Spark divides the loss by the weight
+    sum, and balanced weights sum to n.
     """
     counts = validate_target(train, target)
     n = counts["rows"]
@@ -155,8 +157,12 @@ def fit(train: DataFrame, columns: list, target: str, cfg: dict = MODEL) -> tupl
             n / (2.0 * counts["negatives"]))
     else:
         weight = F.lit(1.0)
-    design = train.select(F.col(target).cast("double").alias("label"), weight.alias("weight"),
-                          design_vector(shape).alias("features"))
+    side = F.when(F.pmod(F.xxhash64(target, *columns), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+    inputs = F.transform(F.concat(shape.values(), F.array(F.lit(1.0))), lambda v: v * F.col("side"))
+    label = F.col(target).cast("double")
+    design = train.withColumn("side", side).select(
+        F.when(F.col("side") > 0, label).otherwise(1.0 - label).alias("label"),
+        weight.alias("weight"), array_to_vector(inputs).alias("features"))
     solver = LogisticRegression(weightCol="weight", regParam=1.0 / n, elasticNetParam=0.0,
                                 standardization=False, fitIntercept=False, tol=1e-6,
                                 maxIter=int(cfg["max_iterations"]))
