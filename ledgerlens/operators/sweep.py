@@ -53,7 +53,7 @@ NONE = HotKeys()
 
 
 def find_hot_keys(df: DataFrame, key: str, time_us: Column, min_rows: int = 2_000_000,
-                  max_keys: int = 1024) -> HotKeys:
+                  max_keys: int = 20_000) -> HotKeys:
     """Keys with more rows than one task should sort.
 
     The threshold rises with the table, so at most ``max_keys`` keys can pass it; the list that

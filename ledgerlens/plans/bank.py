@@ -5,6 +5,8 @@ per session and folder and written to the shared folder; reading it back cuts th
 lost executors and gives the optimizer real sizes.
 """
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,17 +16,36 @@ from ..operators import (aggregates, cases, evaluation, explain, features, model
                          position, profile, risk, rules, star)
 from ..settings import LABEL_COLUMNS, MODEL
 from ..sources import banking
-from ..workspace import fresh_folder, prepare
+from ..workspace import fresh_folder, prepare, size_shuffles
 from .fixtures import AML_T, CASES_T, FEATURES_T, MONITOR_T, RISK_T
 from .scorecard import scorecard
 
 _BANKS: dict = {}
 
 
+class Lazy(Mapping):
+    """Named tables that are built when first asked for."""
+
+    def __init__(self, builders: dict):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name):
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
 def bank(spark: SparkSession, sf_dir: str) -> "Bank":
     prepare(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BANKS:
+        size_shuffles(spark, sf_dir)
         _BANKS[key] = Bank(spark, sf_dir)
     return _BANKS[key]
 
@@ -45,8 +66,7 @@ class Bank:
     @cached_property
     def tables(self) -> dict:
         """The six base tables, landed once as every later stage reads them."""
-        return {name: self.publish(name, df)
-                for name, df in banking.banking_tables(self.spark, self.sf_dir).items()}
+        return self.publish_all(banking.banking_tables(self.spark, self.sf_dir))
 
     @cached_property
     def hot(self) -> dict:
@@ -57,6 +77,12 @@ class Bank:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def publish_all(self, tables: dict) -> dict:
+        """Independent tables, written by concurrent jobs."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            written = pool.map(lambda item: (item[0], self.publish(*item)), tables.items())
+            return dict(written)
+
     # -- lazy results (nothing published) -------------------------------------------------------
 
     def lazy_features(self) -> DataFrame:
@@ -291,34 +317,35 @@ class Bank:
                 "customer_features": self.customer_features}
 
     @cached_property
-    def dimensions(self) -> dict:
+    def dimensions(self) -> Mapping:
         t = self.tables
-        return {
-            "dim_customer": star.dim_customer(t["customers"], self.scores),
-            "dim_account": star.dim_account(t["accounts"], t["customers"]),
-            "dim_date": star.dim_date(self.features, self.alerts),
-            "dim_time": star.dim_time(self.spark),
-            "dim_aml_rule": star.dim_rule(rules.rule_table(self.spark, self.aml_cfg)),
-            "dim_risk_band": star.dim_band(self.spark),
-            "dim_monitoring_control": star.dim_control(self.monitoring_alerts),
-        }
-
-    @cached_property
-    def facts(self) -> dict:
+        return Lazy({
+            "dim_customer": lambda: star.dim_customer(t["customers"], self.scores),
+            "dim_account": lambda: star.dim_account(t["accounts"], t["customers"]),
+            "dim_date": lambda: star.dim_date(self.features, self.alerts),
+            "dim_time": lambda: star.dim_time(self.spark),
+            "dim_aml_rule": lambda: star.dim_rule(rules.rule_table(self.spark, self.aml_cfg)),
+            "dim_risk_band": lambda: star.dim_band(self.spark),
+            "dim_monitoring_control": lambda: star.dim_control(self.monitoring_alerts),
+        })
+
+    @cached_property
+    def facts(self) -> Mapping:
         t = self.tables
-        return {
-            "fact_transactions": star.fact_transactions(self.features, t["customers"],
+        return Lazy({
+            "fact_transactions": lambda: star.fact_transactions(self.features, t["customers"],
+                                                                t["accounts"]),
+            "fact_fraud_predictions": lambda: star.fact_fraud(self.predictions, self.features),
+            "fact_aml_alerts": lambda: star.fact_alerts(self.alerts, t["customers"],
                                                         t["accounts"]),
-            "fact_fraud_predictions": star.fact_fraud(self.predictions, self.features),
-            "fact_aml_alerts": star.fact_alerts(self.alerts, t["customers"], t["accounts"]),
-            "fact_customer_risk": star.fact_risk(self.scores),
-            "fact_risk_components": star.fact_components(self.components),
-            "fact_model_explanations": star.fact_explanations(self.contributions, self.reasons,
-                                                              self.explanations),
-            "fact_investigation_cases": star.fact_cases(self.case_rows),
-            "fact_monitoring_alerts": star.fact_monitoring(self.monitoring_alerts),
-            "fact_pipeline_health": star.fact_pipeline(self.health),
-        }
+            "fact_customer_risk": lambda: star.fact_risk(self.scores),
+            "fact_risk_components": lambda: star.fact_components(self.components),
+            "fact_model_explanations": lambda: star.fact_explanations(
+                self.contributions, self.reasons, self.explanations),
+            "fact_investigation_cases": lambda: star.fact_cases(self.case_rows),
+            "fact_monitoring_alerts": lambda: star.fact_monitoring(self.monitoring_alerts),
+            "fact_pipeline_health": lambda: star.fact_pipeline(self.health),
+        })
 
     def report_sources(self) -> dict:
         """The table whose number of rows each fact must match."""

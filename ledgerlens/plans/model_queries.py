@@ -2,15 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluation, model
+from ..operators import evaluation, model, profile
 from ..settings import MODEL
 from .bank import bank
 from .shape import shape
 
 
 def ml_leakfree_projection(spark, sf_dir):
-    labelled = bank(spark, sf_dir).labelled
-    columns = model.predictive_columns(labelled)
+    b = bank(spark, sf_dir)
+    labelled = b.labelled
+    columns = model.predictive_columns(labelled, unsafe=profile.unsafe_columns(b.profile))
     return shape(labelled.select(*columns), {"transaction_amount_customer_24h": 4,
                                              "transaction_amount_account_24h": 4})
 

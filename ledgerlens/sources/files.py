@@ -71,16 +71,14 @@ def write_table(df: DataFrame, path: str, kind: str = "parquet",
                 partition_by: list | None = None) -> str:
     """Publish a table as parquet, CSV or JSON lines; facts may be partitioned by their date key.
 
-    With a partition column the rows are first clustered by it and a spread number, so that one
-    busy date is written by several tasks and a quiet one does not leave a file per task.
+    With a partition column the rows are rebalanced by it first: adaptive execution splits a busy
+    date over as many tasks as its size needs and merges quiet ones into few files.
     """
     out = _flat(df) if kind == "csv" else df
     if kind == "json":
         out = sorted_keys(out)
     if partition_by:
-        spread = F.pmod(F.xxhash64(*out.columns), F.lit(8))
-        out = (out.withColumn("_spread", spread).repartition(*partition_by, "_spread")
-               .drop("_spread"))
+        out = out.hint("rebalance", *partition_by)
     micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the text formats keep milliseconds by default
     writer = out.write.mode("overwrite")
     if kind in ("csv", "json"):

@@ -17,6 +17,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+GROWTH = 6  # decoded rows and expiry events against compressed input
+
+
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Raise the number of shuffle partitions with the size of the input; never lower it.
+
+    Adaptive execution merges partitions that turn out small, but it cannot split a shuffle that
+    was planned too coarse.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = files.getContentSummary(target).getLength()
+    wanted = min(200_000, -(-size * GROWTH // PARTITION_BYTES))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Where stage tables live: the folder the cluster names, never a machine-local one.
 
