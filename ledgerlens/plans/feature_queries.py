@@ -8,7 +8,8 @@ from .bank import bank
 from .shape import shape
 
 _AMOUNTS = {"transaction_amount_customer_24h": 4, "transaction_amount_account_24h": 4,
-            "total_transaction_amount": 4, "average_transaction_amount": 10, "prior_amount": 2}
+            "total_transaction_amount": 4, "average_transaction_amount": 10, "prior_amount": 2,
+            "amount_vs_account_average": 10, "amount_vs_customer_average": 10}
 
 
 def _history(*columns):

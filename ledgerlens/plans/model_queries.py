@@ -12,8 +12,9 @@ def ml_leakfree_projection(spark, sf_dir):
     b = bank(spark, sf_dir)
     labelled = b.labelled
     columns = model.predictive_columns(labelled, unsafe=profile.unsafe_columns(b.profile))
-    return shape(labelled.select(*columns), {"transaction_amount_customer_24h": 4,
-                                             "transaction_amount_account_24h": 4})
+    return shape(labelled.select(*columns), {
+        "transaction_amount_customer_24h": 4, "transaction_amount_account_24h": 4,
+        "amount_vs_account_average": 10, "amount_vs_customer_average": 10})
 
 
 def ml_validate_target(spark, sf_dir):

@@ -73,8 +73,8 @@ FEATURE_COLUMNS = """
   currency, is_cross_border, transaction_status, device_id, session_id,
   transaction_hour, transaction_day_of_week, is_weekend, is_night_transaction,
   round(log_transaction_amount, 6) AS log_transaction_amount, high_value_transaction_flag,
-  round(amount_vs_account_average, 6) AS amount_vs_account_average,
-  round(amount_vs_customer_average, 6) AS amount_vs_customer_average,
+  round(amount_vs_account_average, 10) AS amount_vs_account_average,
+  round(amount_vs_customer_average, 10) AS amount_vs_customer_average,
   transaction_count_customer_24h,
   round(transaction_amount_customer_24h, 4) AS transaction_amount_customer_24h,
   transaction_count_account_24h,
@@ -192,8 +192,8 @@ SQL = {
         FROM transactions"""),
     "ft_calendar": _feat("transaction_hour, transaction_day_of_week, is_weekend, is_night_transaction"),
     "ft_monetary": _feat("round(log_transaction_amount, 6) AS log_transaction_amount, high_value_transaction_flag"),
-    "ft_amount_vs_avg": _feat("round(amount_vs_account_average, 6) AS amount_vs_account_average, "
-                              "round(amount_vs_customer_average, 6) AS amount_vs_customer_average"),
+    "ft_amount_vs_avg": _feat("round(amount_vs_account_average, 10) AS amount_vs_account_average, "
+                              "round(amount_vs_customer_average, 10) AS amount_vs_customer_average"),
     "ft_velocity_24h": _feat(
         "transaction_count_customer_24h, round(transaction_amount_customer_24h, 4) AS transaction_amount_customer_24h, "
         "transaction_count_account_24h, round(transaction_amount_account_24h, 4) AS transaction_amount_account_24h"),

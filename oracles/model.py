@@ -103,8 +103,8 @@ SQL = {
     "ml_leakfree_projection": sql(SPLIT, select="""SELECT * EXCLUDE (transaction_id, account_id, customer_id,
         device_id, session_id, transaction_timestamp, transaction_status, fraud_label, fraud_typology,
         label_confidence, label_source) REPLACE (round(log_transaction_amount, 6) AS log_transaction_amount,
-        round(amount_vs_account_average, 6) AS amount_vs_account_average,
-        round(amount_vs_customer_average, 6) AS amount_vs_customer_average,
+        round(amount_vs_account_average, 10) AS amount_vs_account_average,
+        round(amount_vs_customer_average, 10) AS amount_vs_customer_average,
         round(transaction_amount_customer_24h, 4) AS transaction_amount_customer_24h,
         round(transaction_amount_account_24h, 4) AS transaction_amount_account_24h,
         round(transaction_velocity_score, 6) AS transaction_velocity_score) FROM labelled"""),

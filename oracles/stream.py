@@ -44,7 +44,7 @@ SQL = {
     "sm_dedup": sql(RAW, select="SELECT DISTINCT event_id, '1' AS processing_version FROM sent"),
     "sm_velocity_hopping": sql("""
 hops AS (SELECT account_id, amount, date_trunc('minute', transaction_timestamp) + to_minutes(i) AS window_end
-  FROM transactions, range(1, 6) r(i)),
+  FROM transactions, range(1, 6) r(i) WHERE amount > 0),
 mark AS (SELECT date_trunc('millisecond', MAX(transaction_timestamp)) - INTERVAL 10 MINUTES AS w FROM transactions)""",
         select="""SELECT CAST(account_id AS VARCHAR) AS account_id, strftime(window_end, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
         COUNT(*) AS transaction_count_5m, CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS transaction_amount_5m
@@ -56,7 +56,8 @@ mark AS (SELECT date_trunc('millisecond', MAX(transaction_timestamp)) - INTERVAL
         c.country AS customer_country, kyc_status, pep_flag, account_status FROM good g
         LEFT JOIN customers c ON c.customer_id = g.customer_id LEFT JOIN accounts a ON a.account_id = g.account_id"""),
     "sm_prior_velocity": """SELECT t.event_id AS transaction_id, COUNT(p.event_id) AS prior_count, round(COALESCE(SUM(p.value), 0), 4) AS prior_amount
-        FROM events t LEFT JOIN events p ON p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 24 HOURS
+        FROM (SELECT * FROM events WHERE value > 0) t
+        LEFT JOIN (SELECT * FROM events WHERE value > 0) p ON p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 24 HOURS
           AND (p.ts < t.ts OR (p.ts = t.ts AND p.event_id < t.event_id)) GROUP BY t.event_id""",
     "sm_replay": """SELECT 'AML-' || upper(substr(sha256('AML001|' || event_id), 1, 16)) AS alert_id, CAST(event_id AS VARCHAR) AS transaction_id,
         CAST(user_id AS VARCHAR) AS customer_id, value AS amount FROM events WHERE value > 200""",
