@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.workspace import fresh_folder
 
-from . import hilbert, quality, rules, simhash, suffixdedup, wavelet
-from .common import documents
+from . import bpe, hilbert, licenses, maxscore, merges, quality, rules, simhash, suffixdedup, wavelet
+from .common import documents, reach
 
 
 def vocabulary(name: str) -> str:
@@ -22,6 +22,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(documents(spark, sf_dir))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "token-files")
     wavelet.write(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), folder)
@@ -38,6 +42,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"))
 
 
+def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reach(spark)
+    return maxscore.top(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (suffixdedup.remove_repeats(spark, documents(spark, sf_dir))
             .select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
@@ -48,12 +57,24 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(spark, documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merges.token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (bpe.encode(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"))
+            .select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (simhash.near_duplicates(spark, documents(spark, sf_dir))
             .select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_quality_rules, op4_packing, op6_suffix_dedup,
-                                   op7_quality_classifier, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_files, op3_quality_rules, op4_packing, op5_maxscore,
+                                   op6_suffix_dedup, op7_quality_classifier, op8_token_counts, op9_byte_bpe,
+                                   op10_simhash_dedup)}
 #: DuckDB SQL where it can express the query.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_maxscore": maxscore.SQL}
