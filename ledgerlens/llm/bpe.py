@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SpanHashes, flat, mixed, ragged, slices
-from .pretokens import distinct, split
+from .pretokens import WORDS_BYTES, distinct, split
 
-REMEMBERED = 500_000  # merged pre-tokens that a worker keeps
+REMEMBERED = 250_000  # merged pre-tokens that a worker keeps
 
 
 class PerfectHash:
@@ -169,7 +169,7 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def rows(batches):
         model = ranks(path)
-        for part in slices(batches):
+        for part in slices(batches, limit=WORDS_BYTES):
             ids, first = model.encode(*flat(part.column("text")))
             data, cuts = model.decode(ids, first)
             yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -13,11 +14,15 @@ from pyspark.sql import functions as F
 
 from ledgerlens.workspace import fresh_folder
 
-SLICE_BYTES = 4 << 20  # text handled at once inside a task; one longer text is handled alone
+SLICE_BYTES = 1 << 20  # text handled at once inside a task; one longer text is handled alone
+#: Rows and bytes that Spark hands to a Python worker at once, so that a batch of long texts stays small.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def reach(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, wherever they start."""
+    """Let Python workers import this package from where the driver did, and bound their batches."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -51,17 +56,29 @@ def renamed(keep: tuple[str, ...]) -> list:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that a slice holds at most `limit` bytes of `column`, or one row."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
-        first = 0
-        while first < len(ends):
-            before = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
-            yield batch.slice(first, last - first)
-            first = last
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+            ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < len(ends):
+                before = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+                yield batch.slice(first, last - first)
+                first = last
+    finally:
+        trim()
+
+
+def trim() -> None:
+    """Give memory that a task has freed back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def flat(column: pa.Array) -> tuple[bytes, np.ndarray]:
@@ -96,7 +113,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _grown(which: int, factor: int, size: int) -> np.ndarray:
     if len(_powers[which]) < size:
-        grown = np.full(max(size, SLICE_BYTES + (1 << 16)), factor, np.uint64)
+        grown = np.full(max(size, (4 << 20) + (1 << 16)), factor, np.uint64)
         grown[0] = 1
         _powers[which] = np.cumprod(grown)
     return _powers[which]

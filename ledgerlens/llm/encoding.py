@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from .common import ragged
 from .pretokens import distinct, split
 
-REMEMBERED = 500_000  # pre-tokens whose ids a worker keeps
+REMEMBERED = 250_000  # pre-tokens whose ids a worker keeps
 
 
 def byte_letters() -> dict[int, str]:

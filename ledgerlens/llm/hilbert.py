@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import SpanHashes, flat, slices, words
 from .encoding import binaries, ended
+from .pretokens import WORDS_BYTES
 
 DIMENSIONS, BITS = 4, 12
 WIDTH = 1024
@@ -117,7 +118,7 @@ def _pieces(path: str, width: int, end: int):
         # The open sequence: documents with ids that no emitted sequence holds yet.
         kept = {"id": pa.array([], pa.int64()), "tokens": np.zeros(0, np.int64)}
         lengths, first_start, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        for part in slices(batches):
+        for part in slices(batches, limit=WORDS_BYTES):
             new, begin = ended(path, *flat(part.column("text")), end)
             n = np.diff(begin)
             docs = {"id": pa.concat_arrays([kept["id"], part.column("doc_id")]), "tokens": np.concatenate([kept["tokens"], n])}

@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 BLOCK = 1 << 16
-MEMORY = 1 << 22
+MEMORY = 1 << 21
 END_OF_CHUNK = 0xFF  # no UTF-8 text holds this byte
 
 
@@ -53,12 +53,13 @@ def blocks(n: int, size: int = 0) -> Iterator[slice]:
 
 
 def _lexsorted(columns: list[np.ndarray]) -> list[np.ndarray]:
-    order = np.lexsort(columns[::-1])
+    """By the columns but the last, which goes along."""
+    order = np.lexsort(columns[-2::-1])
     return [c[order] for c in columns]
 
 
 def external_sort(scratch: Scratch, parts: Iterable[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
-    """Rows of int64 columns in ascending order, as consecutive pieces.
+    """Rows of int64 columns in ascending order of all but the last, as consecutive pieces.
 
     Pieces that fill the memory are sorted and written as runs; then one range of the first column
     after another is read from all runs.  Equal first columns stay in one range.

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import flat, slices, sums
 from .encoding import byte_letters
-from .pretokens import distinct, split
+from .pretokens import WORDS_BYTES, distinct, split
 
 LIMIT = 512
 NEVER = np.int64(2**31)
@@ -114,7 +114,7 @@ def token_counts(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFra
     """
 
     def rows(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=WORDS_BYTES):
             raw, starts = flat(part.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(starts)), pa.array(text_counts(merges(path), raw, starts))],

@@ -13,6 +13,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
+WORDS_BYTES = 2 << 20  # text split at once: equal pre-tokens are found within it
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # The code points with the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,

@@ -79,13 +79,17 @@ def word_rows(raw: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def add_contexts(table: np.ndarray, rows: np.ndarray, first: np.ndarray) -> None:
     """Add the index vectors of each word's neighbours within `NEAR` words of the same text."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    here, there = [], []
     for gap in range(1, NEAR + 1):
         a, b = rows[:-gap], rows[gap:]
         same = text[:-gap] == text[gap:]
         a, b = a[same], b[same]
-        for here, there in ((a, b), (b, a)):
-            for k in range(len(PLACES)):
-                table += np.bincount(here * DIMS + PLACES[k][there], SIGNS[k][there], ROWS * DIMS).astype(np.int64)
+        here += [a, b]
+        there += [b, a]
+    if here:
+        here, there = np.concatenate(here) * DIMS, np.concatenate(there)
+        cells = np.concatenate([here + PLACES[k][there] for k in range(len(PLACES))])
+        table += np.bincount(cells, np.concatenate([SIGNS[k][there] for k in range(len(PLACES))]), ROWS * DIMS).astype(np.int64)
 
 
 def _contexts(batches):

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SpanHashes, carried, flat, mixed, ragged, slices, stage
+from .common import SpanHashes, carried, flat, mixed, ragged, slices, stage, trim
 from .inducedsort import END_OF_CHUNK, Scratch, sorted_suffixes
 
 LENGTH = 100
 GRAM = 24
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 SEGMENT = 32 << 20  # longer texts are cut into overlapping segments of as many windows
 _LOW = 26
 CHUNKS = "whole boolean, anchor long, chunk long, doc_id long, variant int, at long, windows long"
@@ -156,7 +156,7 @@ def _shard_rows(length: int, memory: int):
                 pending.append(where)
                 cuts.append(cut)
                 held += len(where)
-                if held >= 1 << 20:
+                if held >= 1 << 18:
                     where, cut = np.concatenate(pending), np.concatenate(cuts)
                     last = np.flatnonzero(cut)
                     last = int(last[-1]) if len(last) else 0
@@ -178,12 +178,18 @@ def _shard_rows(length: int, memory: int):
                 [pa.array(ids[c]), pa.array(variants[c]), pa.array(at[c] + offset[head]), pa.array(count)],
                 ["doc_id", "variant", "at", "windows"])
 
-    return rows
+    def trimmed(batches):
+        try:
+            yield from rows(batches)
+        finally:
+            trim()
+
+    return trimmed
 
 
 def _take_bytes(length: int):
     def rows(batches):
-        for batch in batches:
+        for batch in slices(batches, "raw"):
             for doc, variant, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "variant", "raw", "wanted"))):
                 n = len(wanted)
                 yield pa.RecordBatch.from_arrays(
@@ -238,7 +244,7 @@ def _numbered(documents: DataFrame) -> DataFrame:
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
-                   shard_bytes: int = SHARD_BYTES, memory: int = 1 << 22, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, memory: int = 1 << 21, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, spans (removed, begin to end) and kept (binary) for every row, and the columns `keep`.
 
     A byte goes if a string of `length` bytes over it also begins earlier: in a smaller doc_id, or

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import flat, slices
 from .encoding import binaries, ended, encoder
+from .pretokens import WORDS_BYTES
 
 BLOCK = 512  # bits between two running counts
 SHARD_TOKENS = 1 << 20  # a shard is closed once it has as many; one document never spans two
@@ -148,7 +149,7 @@ def _shards(path: str, end: int, shard_tokens: int):
             number, start, held, docs, size = number + 1, start + len(ids), [], [], 0
             return pa.RecordBatch.from_pylist([row], SCHEMA)
 
-        for piece in slices(batches):
+        for piece in slices(batches, limit=WORDS_BYTES):
             ids, begin = ended(path, *flat(piece.column("text")), end)
             column = piece.column("doc_id")
             docs.append((column.fill_null(0).to_numpy(zero_copy_only=False), column.is_null().to_numpy(zero_copy_only=False), np.diff(begin)))
