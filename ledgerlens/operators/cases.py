@@ -2,8 +2,8 @@
 
 There are at most ``maximum_cases`` cases, but one of them may own a large share of all alerts.
 Lists of the top few are cut by a group limit before the shuffle; the full list of related
-transactions is a table of its own (one row per reference) and is also shown inside the packet
-while it is short.
+transactions is a table of its own (one row per reference), of which the packet holds the count and
+the first and last time.
 """
 
 from functools import reduce
@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import fixed2, prefixed_digest
 from ..settings import CASES, PERSONAL_COLUMNS
 
-INLINE_REFERENCES = 10_000
+# Stage tables that a packet is made from; the references are a table of their own.
+EVIDENCE_SOURCES = ["risk_scores", "risk_components", "aml_alerts", "explanations", "reasons",
+                    "case_references"]
 
 # Fixed texts.
 NEXT_STEPS = (
@@ -117,14 +119,10 @@ def packets(selected: DataFrame, components: DataFrame, alerts: DataFrame, summa
     links = references(selected, alerts, best, cfg)
     sizes = links.groupBy("case_id").agg(
         F.count_if(F.col("kind") == "transaction").alias("relevant_transaction_count"),
-        F.count(F.lit(1)).alias("_n"))
-    short = links.join(F.broadcast(sizes.where(F.col("_n") <= INLINE_REFERENCES)
-                                   .select("case_id")), "case_id", "left_semi")
-    inline = short.groupBy("case_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("kind") == "transaction", F.col("value"))))
-        .alias("relevant_transaction_identifiers"),
-        F.sort_array(F.collect_list(F.when(F.col("kind") == "timestamp", F.col("value"))))
-        .alias("relevant_transaction_timestamps"))
+        F.min(F.when(F.col("kind") == "timestamp", F.col("value")))
+        .alias("first_transaction_timestamp"),
+        F.max(F.when(F.col("kind") == "timestamp", F.col("value")))
+        .alias("last_transaction_timestamp"))
 
     exposure = _of_cases(summaries, selected).select(
         "customer_id", F.struct(
@@ -138,7 +136,7 @@ def packets(selected: DataFrame, components: DataFrame, alerts: DataFrame, summa
         .alias("fraud_prediction_summary"))
     for part in (parts, exposure, alert_list, rules, fraud_list, reason_list):
         out = out.join(part, "customer_id", "left")
-    out = out.join(sizes.drop("_n"), "case_id", "left").join(inline, "case_id", "left")
+    out = out.join(sizes, "case_id", "left")
     none = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in
                       ("total_aml_alerts", "distinct_aml_rules", "total_aml_risk_points")])
     out = out.withColumns({
@@ -147,6 +145,7 @@ def packets(selected: DataFrame, components: DataFrame, alerts: DataFrame, summa
                                                      F.array().cast("array<string>")),
         "relevant_transaction_count": F.coalesce("relevant_transaction_count", F.lit(0)),
         "model_explanation_quality_status": quality.select("overall_status").scalar(),
+        "evidence_source_references": F.array(*[F.lit(s) for s in EVIDENCE_SOURCES]),
         "generated_timestamp": F.lit(cfg["deterministic_timestamp"]),
         "synthetic_data_flag": F.lit(True), "human_review_required": F.lit(True)})
     out = out.withColumn("total_aml_risk_points", F.col("aml_alert_summary.total_aml_risk_points"))

@@ -233,21 +233,37 @@ def local(explained: DataFrame, model: LinearModel, cfg: dict = EXPLAIN) -> Data
         F.lit(True).alias("synthetic_data_flag"))
 
 
-def quality(local_rows: DataFrame, model: LinearModel, excluded: list) -> DataFrame:
+def invalid_reasons(reason_rows: DataFrame, model: LinearModel, excluded: list,
+                    cfg: dict = EXPLAIN) -> Column:
+    """Condition on a reason row: no input of the model, an excluded one, or a code that is not the
+    one of its feature and direction, or a direction that its contribution contradicts."""
+    source, way = F.col("source_feature_name"), F.col("reason_direction")
+    allowed = [s for s in model.sources if s not in set(excluded)]
+    expected = reason_code(cfg["reason_code_prefix"], source, way)
+    agrees = F.when(way == "positive", F.col("contribution") > 0).when(
+        way == "negative", F.col("contribution") < 0)
+    return ~F.coalesce(source.isin(allowed) & (F.col("reason_code") == expected) & agrees,
+                       F.lit(False))
+
+
+def quality(local_rows: DataFrame, reason_rows: DataFrame, model: LinearModel, excluded: list,
+            cfg: dict = EXPLAIN) -> DataFrame:
     """Pass counts, largest differences, integrity counts and the overall status."""
     violations = sorted(set(model.sources) & set(excluded))
     failed = F.count_if(F.col("explanation_status") != "passed")
-    return local_rows.agg(
+    invalid = reason_rows.agg(F.count_if(invalid_reasons(reason_rows, model, excluded, cfg))
+                              .alias("n")).scalar()
+    return local_rows.withColumn("_invalid", invalid).agg(
         F.count(F.lit(1)).alias("transactions_explained"),
         F.count_if(F.col("explanation_status") == "passed").alias("explanations_passed"),
         failed.alias("explanations_failed"),
         F.max("decision_score_difference").alias("maximum_decision_score_difference"),
         F.max("probability_difference").alias("maximum_probability_difference"),
-        F.lit(len(violations)).cast("bigint").alias("invalid_reason_code_count"),
+        F.coalesce(F.max("_invalid"), F.lit(0)).cast("bigint").alias("invalid_reason_code_count"),
         F.lit(len(violations)).cast("bigint").alias("excluded_feature_violation_count"),
         F.coalesce(F.sum("missing_feature_count"), F.lit(0)).alias("missing_feature_count"),
-        F.when((failed == 0) & F.lit(not violations), "passed").otherwise("failed")
-        .alias("overall_status"))
+        F.when((failed == 0) & (F.coalesce(F.max("_invalid"), F.lit(0)) == 0)
+               & F.lit(not violations), "passed").otherwise("failed").alias("overall_status"))
 
 
 def error_types(local_rows: DataFrame, contribution_rows: DataFrame,

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import differs, flag, member, truthy
 from ..settings import FEATURES, LABEL_COLUMNS
 from . import sweep
-from .joins import first_per_key, lookup
+from .joins import first_per_key, lookup, require_unique
 from .sweep import NONE, HotKeys
 
 ELEVATED_SIGNALS = ["Medium", "Elevated"]
@@ -162,12 +162,16 @@ def transaction_features(tables: dict, cfg: dict = FEATURES, hot_customers: HotK
                          hot_accounts: HotKeys = NONE, check: bool = True) -> DataFrame:
     """The feature table without any label column."""
     base = prepare(tables["transactions"], check)
+    if check:
+        require_unique(tables["customers"], "customer_id", "customers")
+        require_unique(base, "transaction_id", "transactions")
     df = history(base, cfg, hot_customers, hot_accounts)
     df = session_context(df, tables["device_sessions"], tables["customers"], hot_customers)
     return channels(geography(monetary(calendar(df, cfg), cfg), cfg), cfg)
 
 
 def join_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
-    """Outcomes join only after all features exist; one label row per transaction."""
+    """Outcomes join only after all features exist; one label row per transaction or an error."""
+    require_unique(labels, "transaction_id", "fraud_labels")
     columns = ["transaction_id", *[c for c in LABEL_COLUMNS if c in labels.columns]]
     return features.join(labels.select(*columns), "transaction_id", "left")

@@ -7,6 +7,7 @@ with literals that reaches the parquet scan.
 """
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
@@ -25,10 +26,17 @@ def _sortable(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("bigint")
 
 
-def _levels(kind) -> list:
-    if isinstance(kind, T.StringType):
-        return [lambda c, n=n: F.substring(c, 1, n) for n in _PREFIXES]
-    return [lambda c, n=n: F.shiftright(c, n) for n in _SHIFTS]
+def _levels(kind, keys: DataFrame, column: str):
+    """Ever finer buckets of a column; the last ones hold one value each."""
+    if not isinstance(kind, T.StringType):
+        yield from (lambda c, n=n: F.shiftright(c, n) for n in _SHIFTS)
+        return
+    yield from (lambda c, n=n: F.substring(c, 1, n) for n in _PREFIXES)
+    longest = keys.agg(F.max(F.length(column))).first()[0] or 0  # asked only for long ties
+    n = _PREFIXES[-1]
+    while n < longest:
+        n *= 2
+        yield lambda c, n=n: F.substring(c, 1, n)
 
 
 def kth(df: DataFrame, order: list, k: int, limit: int = LIMIT) -> tuple:
@@ -36,7 +44,7 @@ def kth(df: DataFrame, order: list, k: int, limit: int = LIMIT) -> tuple:
     keys = df.select(*[_sortable(df, c).alias(f"o{i}") for i, c in enumerate(order)])
     remaining = None
     for i in range(len(order)):
-        for level in _levels(keys.schema[f"o{i}"].dataType):
+        for level in _levels(keys.schema[f"o{i}"].dataType, keys, f"o{i}"):
             if remaining is not None and remaining <= limit:
                 break
             bucket = level(F.col(f"o{i}"))
@@ -83,23 +91,43 @@ def split(df: DataFrame, order: list, first_rows: int, limit: int = LIMIT) -> Co
 
 
 def chronological_split(df: DataFrame, time: str, row_id: str, test_fraction: float,
-                        limit: int = LIMIT) -> tuple:
-    """(train, test): the earlier ``int(n * (1 - test_fraction))`` rows and the rest."""
+                        limit: int = LIMIT, target: str | None = None) -> tuple:
+    """(train, test): the earlier ``int(n * (1 - test_fraction))`` rows and the rest.
+
+    A row without time or id has no place and is an error; with ``target``, both sides must hold a
+    positive row.
+    """
     if not 0 < test_fraction < 1:
         raise ValueError("test_fraction must be between 0 and 1")
-    n = df.count()
+    n = _placed(df, [time, row_id])
     if n < 10:
         raise ValueError("at least 10 rows are required for a chronological split")
     train_rows = int(n * (1 - test_fraction))
     if not 0 < train_rows < n:
         raise ValueError("the split leaves one side empty")
     early = split(df, [time, row_id], train_rows, limit)
+    if target is not None:
+        hit = F.expr(f"try_cast({target} as double)") == 1
+        sides = df.agg(F.count_if(hit & early).alias("train"),
+                       F.count_if(hit & ~early).alias("test")).first()
+        for side in ("train", "test"):
+            if not sides[side]:
+                raise ValueError(f"the {side} side of the split holds no positive row")
     return df.where(early), df.where(~early)
 
 
+def _placed(df: DataFrame, order: list) -> int:
+    """Number of rows; raises when one lacks an order column."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(
+        reduce(lambda a, b: a | b, [F.col(c).isNull() for c in order])).alias("lost")).first()
+    if row["lost"]:
+        raise ValueError(f"{row['lost']} rows have no {' or '.join(order)} and cannot be ordered")
+    return row["n"]
+
+
 def halves(df: DataFrame, order: list, limit: int = LIMIT) -> DataFrame:
     """Add ``period``: baseline for the first n // 2 rows in ``order``, current for the rest."""
-    n = df.count()
+    n = _placed(df, order)
     if n < 2:
         raise ValueError("two non-empty periods need at least two rows")
     early = split(df, order, n // 2, limit)

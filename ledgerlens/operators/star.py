@@ -173,11 +173,10 @@ def fact_components(components: DataFrame) -> DataFrame:
         F.col("reason").alias("reason_category"))
 
 
-def fact_explanations(contributions: DataFrame, reasons: DataFrame, local: DataFrame,
-                      cfg: dict = REPORT) -> DataFrame:
-    """Flagged contributions in (transaction, rank) order; the row limit is part of the report."""
-    flagged = contributions.where("included_in_reason_codes").orderBy(
-        "transaction_id", "contribution_rank").limit(int(cfg["maximum_explanation_rows"]))
+def fact_explanations(contributions: DataFrame, reasons: DataFrame,
+                      local: DataFrame) -> DataFrame:
+    """All flagged contributions."""
+    flagged = contributions.where("included_in_reason_codes")
     codes = reasons.select("transaction_id", "source_feature_name",
                            F.col("reason_direction").alias("contribution_direction"),
                            "reason_code").distinct()
@@ -194,9 +193,9 @@ def fact_explanations(contributions: DataFrame, reasons: DataFrame, local: DataF
         "contribution_rank", "reason_code", "explanation_status")
 
 
-def fact_cases(case_rows: DataFrame, cfg: dict = REPORT) -> DataFrame:
-    return case_rows.orderBy(F.desc("total_risk_score"), F.desc("aml_alert_count"), "customer_id") \
-        .limit(int(cfg["maximum_investigation_cases"])).select(
+def fact_cases(case_rows: DataFrame) -> DataFrame:
+    """One row per case; how many cases there are is decided by their selection alone."""
+    return case_rows.select(
         surrogate_key("case", F.col("case_id")).alias("case_key"), "case_id",
         surrogate_key("customer", F.col("customer_id")).alias("customer_key"), "risk_band",
         "review_priority", "aml_alert_count", "maximum_fraud_probability", "primary_risk_driver",

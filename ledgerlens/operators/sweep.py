@@ -22,12 +22,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Amounts run as whole 1/10000 units (no currency has finer minor units): adding and taking off
-# leaves no residue, and totals up to 9e14 fit a long; beyond that the sum fails loudly.
+# leaves no residue, and totals up to 9e14 fit a long; beyond that the sum fails loudly.  So does an
+# amount with finer digits: nothing is rounded away.
 _UNITS = 10_000
 
 
 def money(column: Column) -> Column:
-    return F.round(column * _UNITS).cast("bigint")
+    scaled = column.cast("double") * _UNITS
+    whole = F.round(scaled)
+    # what the binary form of a decimal number with four digits can be off by
+    off = F.abs(scaled - whole) > F.greatest(F.lit(1e-6), F.abs(scaled) * 1e-14)
+    return F.when(off, F.raise_error(F.concat(
+        F.lit("amount finer than 1/10000: "), column.cast("string"))).cast("double")) \
+        .otherwise(whole).cast("bigint")
 
 
 def amount_of(units: Column) -> Column:

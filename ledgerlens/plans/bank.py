@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import iso_timestamp
 from ..operators import (aggregates, cases, evaluation, explain, features, model, monitor,
-                         position, profile, risk, rules, star)
+                         position, profile, quality, risk, rules, star)
 from ..settings import LABEL_COLUMNS, MODEL
-from ..sources import banking
+from ..sources import banking, files
 from ..workspace import fresh_folder, prepare, size_shuffles
 from .fixtures import AML_T, CASES_T, FEATURES_T, MONITOR_T, RISK_T
 from .scorecard import scorecard
@@ -41,12 +41,17 @@ class Lazy(Mapping):
         return len(self._builders)
 
 
-def bank(spark: SparkSession, sf_dir: str) -> "Bank":
+def bank(spark: SparkSession, sf_dir: str, fixed_weights: bool = True) -> "Bank":
+    """Stages of a folder, remembered per session, folder and state of its files.
+
+    The registered queries ask for fixed weights, which SQL can repeat; a :class:`Bank` of its own
+    runs on the trained model.
+    """
     prepare(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, fixed_weights, files.state(spark, sf_dir))
     if key not in _BANKS:
         size_shuffles(spark, sf_dir)
-        _BANKS[key] = Bank(spark, sf_dir)
+        _BANKS[key] = Bank(spark, sf_dir, fixed_weights)
     return _BANKS[key]
 
 
@@ -59,8 +64,8 @@ class Bank:
     features_cfg, aml_cfg, risk_cfg = FEATURES_T, AML_T, RISK_T
     cases_cfg, monitor_cfg = CASES_T, MONITOR_T
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, fixed_weights: bool = False):
+        self.spark, self.sf_dir, self.fixed_weights = spark, sf_dir, fixed_weights
         self.folder = fresh_folder(spark, "stages")
 
     @cached_property
@@ -68,6 +73,12 @@ class Bank:
         """The six base tables, landed once as every later stage reads them."""
         return self.publish_all(banking.banking_tables(self.spark, self.sf_dir))
 
+    @cached_property
+    def admitted(self) -> dict:
+        """The tables behind the validation gate: later stages refuse invalid input."""
+        quality.gate(self.publish("validation_report", quality.report(self.tables)))
+        return self.tables
+
     @cached_property
     def hot(self) -> dict:
         return features.hot_keys(self.tables["transactions"])
@@ -86,8 +97,7 @@ class Bank:
     # -- lazy results (nothing published) -------------------------------------------------------
 
     def lazy_features(self) -> DataFrame:
-        return features.transaction_features(self.tables, self.features_cfg, **self.hot,
-                                             check=False)
+        return features.transaction_features(self.admitted, self.features_cfg, **self.hot)
 
     # -- published stages -----------------------------------------------------------------------
 
@@ -136,11 +146,13 @@ class Bank:
     @cached_property
     def split(self) -> tuple:
         return position.chronological_split(self.labelled, "transaction_timestamp",
-                                            "transaction_id", MODEL["test_fraction"])
+                                            "transaction_id", MODEL["test_fraction"],
+                                            target=MODEL["target_column"])
 
     @cached_property
     def scorecard(self):
-        return scorecard(self.split[0])
+        """The linear model in use: the trained one, or fixed weights where SQL has to follow."""
+        return scorecard(self.split[0]) if self.fixed_weights else self.trained[0]
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -158,15 +170,15 @@ class Bank:
     @cached_property
     def trained(self) -> tuple:
         train = self.split[0]
-        return model.fit(train, model.predictive_columns(train), "fraud_label")
+        unsafe = profile.unsafe_columns(self.profile)
+        return model.fit(train, model.predictive_columns(train, unsafe=unsafe), "fraud_label")
 
     # -- customer risk --------------------------------------------------------------------------
 
     def joined_indicators(self) -> DataFrame:
         return risk.joined_indicators(
             risk.without_labels(self.customer_features), self.tables["customers"], self.features,
-            self.predictions, self.aml_summary, self.tables["device_sessions"], self.risk_cfg,
-            check=False)
+            self.predictions, self.aml_summary, self.tables["device_sessions"], self.risk_cfg)
 
     @cached_property
     def indicators(self) -> DataFrame:
@@ -201,7 +213,7 @@ class Bank:
         return self.publish("explanations", explain.local(self.explained(), self.scorecard))
 
     def explanation_quality(self) -> DataFrame:
-        return explain.quality(self.explanations, self.scorecard,
+        return explain.quality(self.explanations, self.reasons, self.scorecard,
                                [*MODEL["id_columns"], *MODEL["excluded_feature_columns"],
                                 *LABEL_COLUMNS])
 

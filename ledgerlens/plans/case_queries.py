@@ -28,8 +28,9 @@ def iv_packets(spark, sf_dir):
         ids("selected_fraud_model_reason_codes", "reason_code").alias("reason_codes"),
         F.round(F.element_at("component_scores", "kyc"), 4).alias("kyc_score"),
         "relevant_transaction_count",
-        F.size("relevant_transaction_identifiers").alias("inline_transactions"),
-        F.element_at("relevant_transaction_timestamps", 1).alias("first_timestamp"),
+        F.col("first_transaction_timestamp").alias("first_timestamp"),
+        F.col("last_transaction_timestamp").alias("last_timestamp"),
+        F.array_join("evidence_source_references", ",").alias("evidence_sources"),
         "model_explanation_quality_status"))
 
 

@@ -12,21 +12,23 @@ from .shape import shape
 
 
 def _as_text_ids(df, name):
-    """The file schemas use text ids."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[name]])
+    """The file schemas use text ids.  The columns stand the other way round, so that readers must
+    go by name."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in reversed(list(S.TABLES[name]))])
 
 
-def _exported(spark, sf_dir, name):
+def _exported(spark, sf_dir, name, without=(), **extra):
     """Write one derived table as the file format it arrives in, and return its folder."""
     folder = fresh_folder(spark, "files")
     kind = S.FORMATS[name]
-    df = _as_text_ids(bank(spark, sf_dir).tables[name], name)
+    df = _as_text_ids(bank(spark, sf_dir).tables[name], name).withColumns(
+        {c: F.lit(v) for c, v in extra.items()}).drop(*without)
     files.write_table(df, f"{folder}/{name}.{files.EXTENSIONS[kind]}", kind)
     return folder
 
 
 def io_scan_csv(spark, sf_dir):
-    folder = _exported(spark, sf_dir, "accounts")
+    folder = _exported(spark, sf_dir, "accounts", branch_note="n")
     return shape(files.scan_csv(spark, f"{folder}/accounts.csv", S.TABLES["accounts"]))
 
 
@@ -39,7 +41,9 @@ def io_normalise_columns(spark, sf_dir):
     raw = bank(spark, sf_dir).tables["fraud_labels"]
     untidy = raw.select(F.lit("x").alias("extra "), *[F.col(c).alias(f" {c} ")
                                                        for c in reversed(raw.columns)])
-    return shape(files.normalise_columns(untidy, S.TABLES["fraud_labels"].fieldNames()))
+    path = files.write_table(untidy, f"{fresh_folder(spark, 'files')}/untidy.csv", "csv")
+    return shape(files.normalise_columns(files.scan_csv(spark, path, S.TABLES["fraud_labels"]),
+                                         S.TABLES["fraud_labels"].fieldNames()))
 
 
 def io_load_all(spark, sf_dir):
@@ -87,8 +91,11 @@ def _tables(spark, sf_dir):
 
 def dq_required_columns(spark, sf_dir):
     tables = _tables(spark, sf_dir)
+    short = files.load_table(spark, _exported(spark, sf_dir, "accounts", without=["currency"]),
+                             "accounts")
     return quality.union([
         quality.required_columns(n, tables[n], S.TABLES[n].fieldNames()) for n in S.TABLES]
+        + [quality.required_columns("accounts_file", short, S.TABLES["accounts"].fieldNames())]
         + [quality.required_columns("events", spark.read.parquet(f"{sf_dir}/events.parquet"),
                                     ["event_id", "transaction_timestamp"])])
 

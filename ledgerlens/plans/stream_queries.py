@@ -85,7 +85,8 @@ def sm_dead_letter(spark, sf_dir):
     """One read of the stream, two tables: curated events and quarantine."""
     folder = fresh_folder(spark, "stream-split")
     queries.split_sink(
-        _raw(spark, sf_dir), lambda b: events.parse(events.conforming(b)), events.dead_letters,
+        _raw(spark, sf_dir), events.judged, lambda b: events.parse(events.conforming(b)),
+        events.dead_letters,
         f"{folder}/good", f"{folder}/bad", f"{folder}/checkpoint")
     good = spark.read.parquet(f"{folder}/good").agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit("curated").alias("target"), F.lit("").alias("reason"), "rows")
@@ -114,14 +115,24 @@ def _clean(spark, sf_dir):
     return events.parse(queries.text_source(spark, _FOLDERS[home])).drop("payload")
 
 
+def _captured(spark, sf_dir):
+    """The clean events as a table, as they were captured."""
+    home = (spark.sparkContext.applicationId, sf_dir, "clean")
+    return events.parse(spark.read.text(_FOLDERS[home])).drop("payload")
+
+
 def sm_velocity_hopping(spark, sf_dir):
     stream = queries.hopping_velocity(events.valid(_clean(spark, sf_dir)))
-    return shape(queries.collect_table(spark, stream, "hopping"))
+    emitted = queries.collect_table(spark, stream, "hopping")
+    return shape(queries.closed(emitted, events.valid(_captured(spark, sf_dir)),
+                                queries.hopping_velocity, ["account_id", "window_end"],
+                                "5 minutes"))
 
 
 def sm_event_time(spark, sf_dir):
-    return shape(queries.collect_table(spark, queries.hourly_volume(_clean(spark, sf_dir)),
-                                       "hourly"))
+    emitted = queries.collect_table(spark, queries.hourly_volume(_clean(spark, sf_dir)), "hourly")
+    return shape(queries.closed(emitted, _captured(spark, sf_dir), queries.hourly_volume,
+                                ["hour_start"], "1 hour"))
 
 
 def sm_enrich(spark, sf_dir):
@@ -134,7 +145,8 @@ def sm_enrich(spark, sf_dir):
 
 
 def sm_prior_velocity(spark, sf_dir):
-    """Three deliveries in time order; the query stops and resumes in between."""
+    """Three deliveries in time order, each with repeats of earlier events; the query stops and
+    resumes in between."""
     folder = fresh_folder(spark, "stream-velocity")
     t = _rows(spark, sf_dir)
     out = None
@@ -142,7 +154,10 @@ def sm_prior_velocity(spark, sf_dir):
                        ("2024-01-21", "2100-01-01")):
         part = t.where((F.col("transaction_timestamp") >= F.lit(start).cast("timestamp_ntz"))
                        & (F.col("transaction_timestamp") < F.lit(end).cast("timestamp_ntz")))
-        events.envelope(part, F.concat(F.lit("EVT-"), F.col("transaction_id"))) \
+        again = t.where((F.col("transaction_id") % 30 == 0)
+                        & (F.col("transaction_timestamp") < F.lit(end).cast("timestamp_ntz")))
+        events.envelope(part.unionByName(again),
+                        F.concat(F.lit("EVT-"), F.col("transaction_id"))) \
             .write.mode("append").text(f"{folder}/texts")
         stream = events.valid(events.parse(queries.text_source(spark, f"{folder}/texts"))).select(
             F.col("transaction_id").cast("bigint").alias("transaction_id"), "customer_id",
@@ -164,9 +179,7 @@ def sm_replay(spark, sf_dir):
     stream = events.valid(_clean(spark, sf_dir))
     queries.idempotent_sink(_alerts(stream), f"{folder}/alerts", f"{folder}/checkpoint", "alert_id",
                             "event_date")
-    home = (spark.sparkContext.applicationId, sf_dir, "clean")
-    captured = events.valid(events.parse(spark.read.text(_FOLDERS[home])))
-    again = queries.replay_range(captured, "2024-01-05", "2024-01-15")
+    again = queries.replay_range(events.valid(_captured(spark, sf_dir)), "2024-01-05", "2024-01-15")
     queries.append_new(_alerts(again), f"{folder}/alerts", "alert_id", "event_date")
     return shape(spark.read.parquet(f"{folder}/alerts").drop("event_date"))
 

@@ -225,8 +225,6 @@ REPORT = {
     "reference_timestamp": "2026-06-22T00:00:00",
     "reporting_version": "1.0.0",
     "model_version": "1.0.0-baseline",
-    "maximum_explanation_rows": 5000,
-    "maximum_investigation_cases": 10,
 }
 
 PERSONAL_COLUMNS = ["first_name", "last_name", "date_of_birth", "address", "email", "phone"]

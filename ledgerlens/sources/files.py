@@ -9,8 +9,18 @@ EXTENSIONS = {"csv": "csv", "json": "jsonl"}
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, read with an explicit schema and matched to it by column name."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header, matched to a schema by column name, in whatever order the file has them.
+
+    Known columns get their type (a value that does not parse is null), unknown ones stay as text,
+    and a column that the file lacks is absent, for the checks to notice.  A folder whose files
+    disagree about the header is an error.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = spark.read.schema(texts).option("header", True).option("enforceSchema", False).csv(path)
+    types = {f.name: f.dataType for f in schema}
+    return raw.select(*[F.col(f"`{c}`").try_cast(types[c.strip()]).alias(c)
+                        if c.strip() in types else F.col(f"`{c}`") for c in header])
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -32,6 +42,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def state(spark: SparkSession, path: str) -> tuple:
+    """Size and latest change of a folder's files: differs as soon as the input does."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    latest = max((f.getModificationTime() for f in system.listStatus(target)), default=0)
+    return system.getContentSummary(target).getLength(), latest
+
+
 def require(spark: SparkSession, paths: dict) -> dict:
     """All inputs must exist before any of them is used."""
     missing = sorted(name for name, path in paths.items() if not exists(spark, path))

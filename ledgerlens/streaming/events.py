@@ -1,7 +1,5 @@
 """The transaction event contract: parsing, validation, filtering.  Works on streams and tables."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -37,93 +35,93 @@ def valid(parsed: DataFrame) -> DataFrame:
     return parsed.where((F.col("schema_version") == SCHEMA_VERSION) & (F.col("amount") > 0))
 
 
-def _has(field: str, value: str) -> Column:
-    return F.array_contains(F.json_object_keys(value), field)
-
-
-def _amount_is_positive_number(value: str) -> Column:
-    """True only for a JSON number above zero (a quoted number does not count)."""
-    amount = F.try_variant_get(F.try_parse_json(value), "$.transaction.amount", "variant")
-    number = F.schema_of_variant(amount).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    above = F.try_variant_get(F.try_parse_json(value), "$.transaction.amount", "double") > 0
-    return F.coalesce(number & above, F.lit(False))
-
-
-def errors(value: str = "value") -> Column:
-    """Missing envelope fields in alphabetical order, then the amount check."""
-    return F.array_compact(F.array(
-        *[F.when(~F.coalesce(_has(f, value), F.lit(False)), F.lit(f"missing field: {f}"))
-          for f in ENVELOPE_FIELDS],
-        F.when(~_amount_is_positive_number(value),
-               F.lit("transaction.amount must be a positive number"))))
-
-
 def validate(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Validation verdict per event."""
-    found = errors(value)
-    return raw.select(
-        F.get_json_object(value, "$.event_id").alias("event_id"),
-        (F.size(found) == 0).alias("is_valid"), found.alias("errors"),
+    """Validation verdict per event: missing envelope fields by name, then the amount check."""
+    opened = raw.select(
+        F.from_json(F.col(value), T.MapType(_S, _S)).alias("top"),
+        F.try_variant_get(F.try_parse_json(value), "$.transaction.amount", "variant")
+        .alias("amount"))
+    number = F.schema_of_variant("amount").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    positive = F.coalesce(number & (F.try_variant_get("amount", "$", "double") > 0), F.lit(False))
+    found = F.array_compact(F.array(
+        *[F.when(~F.coalesce(F.map_contains_key("top", f), F.lit(False)),
+                 F.lit(f"missing field: {f}")) for f in ENVELOPE_FIELDS],
+        F.when(~positive, F.lit("transaction.amount must be a positive number"))))
+    return opened.select(F.try_element_at("top", F.lit("event_id")).alias("event_id"),
+                         found.alias("errors")).select(
+        "event_id", (F.size("errors") == 0).alias("is_valid"), "errors",
         F.lit(False).alias("network_call_made"))
 
 
-def contract_violations(value: str = "value") -> Column:
-    """Everything the event schema forbids, as a list of texts."""
-    def text(path):
-        return F.get_json_object(value, path)
+def judged(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Adds ``_event_id`` and ``_found``, everything the event schema forbids, as a list of texts.
+
+    A text is opened once: its fields and those of its transaction become two maps of texts, and one
+    variant tells numbers from quoted numbers.
+    """
+    fields = T.MapType(_S, _S)
+    opened = raw.withColumns({"_top": F.from_json(F.col(value), fields),
+                              "_amount": F.try_variant_get(F.try_parse_json(value),
+                                                           "$.transaction.amount", "variant")})
+    opened = opened.withColumn("_body", F.from_json(F.col("_top")["transaction"], fields))
+
+    def text(field, holder="_top"):
+        return F.try_element_at(F.col(holder), F.lit(field))
 
     def absent(field, holder):
-        return ~F.coalesce(F.array_contains(F.json_object_keys(holder), field), F.lit(False))
+        return ~F.coalesce(F.map_contains_key(F.col(holder), field), F.lit(False))
 
-    body = text("$.transaction")
-    missing = [F.when(absent(f, F.col(value)), F.lit(f"missing {f}")) for f in ENVELOPE_FIELDS]
-    missing += [F.when(absent(f, body), F.lit(f"missing transaction.{f}"))
+    missing = [F.when(absent(f, "_top"), F.lit(f"missing {f}")) for f in ENVELOPE_FIELDS]
+    missing += [F.when(absent(f, "_body"), F.lit(f"missing transaction.{f}"))
                 for f in REQUIRED_TRANSACTION_FIELDS]
 
-    def wrong(path, condition, label):
-        return F.when(text(path).isNotNull() & ~condition, F.lit(label))
+    def wrong(column, condition, label):
+        return F.when(column.isNotNull() & ~condition, F.lit(label))
 
+    number = F.schema_of_variant("_amount").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    positive = F.coalesce(number & (F.try_variant_get("_amount", "$", "double") > 0), F.lit(False))
+    currency = text("currency", "_body")
     checks = [
-        wrong("$.schema_version", text("$.schema_version") == SCHEMA_VERSION, "schema_version"),
-        wrong("$.event_type", text("$.event_type") == EVENT_TYPE, "event_type"),
-        wrong("$.event_id", text("$.event_id").rlike(EVENT_ID_PATTERN), "event_id pattern"),
-        wrong("$.transaction.currency", text("$.transaction.currency").rlike(CURRENCY_PATTERN),
-              "currency pattern"),
-        wrong("$.occurred_at", F.try_to_timestamp(text("$.occurred_at")).isNotNull(),
+        wrong(text("schema_version"), text("schema_version") == SCHEMA_VERSION, "schema_version"),
+        wrong(text("event_type"), text("event_type") == EVENT_TYPE, "event_type"),
+        wrong(text("event_id"), text("event_id").rlike(EVENT_ID_PATTERN), "event_id pattern"),
+        wrong(currency, currency.rlike(CURRENCY_PATTERN), "currency pattern"),
+        wrong(text("occurred_at"), F.try_to_timestamp(text("occurred_at")).isNotNull(),
               "occurred_at format"),
-        F.when(text("$.transaction.amount").isNotNull() & ~_amount_is_positive_number(value),
-               F.lit("amount"))]
+        wrong(text("amount", "_body"), positive, "amount")]
 
     def unknown(holder, allowed, prefix):
-        extra = F.array_except(F.coalesce(F.json_object_keys(holder),
-                                          F.array().cast("array<string>")),
+        extra = F.array_except(F.coalesce(F.map_keys(holder), F.array().cast("array<string>")),
                                F.array(*[F.lit(a) for a in allowed]))
         return F.transform(F.sort_array(extra), lambda f: F.concat(F.lit(prefix), f))
 
-    return F.concat(F.array_compact(F.array(*missing, *checks)),
-                    unknown(F.col(value), ENVELOPE_FIELDS, "unknown "),
-                    unknown(body, TRANSACTION_FIELDS, "unknown transaction."))
+    found = F.concat(F.array_compact(F.array(*missing, *checks)),
+                     unknown("_top", ENVELOPE_FIELDS, "unknown "),
+                     unknown("_body", TRANSACTION_FIELDS, "unknown transaction."))
+    return opened.withColumns({"_found": found, "_event_id": text("event_id")}).drop(
+        "_top", "_body", "_amount")
 
 
 def contract_check(raw: DataFrame, value: str = "value") -> DataFrame:
-    found = contract_violations(value)
-    return raw.select(F.get_json_object(value, "$.event_id").alias("event_id"),
-                      found.alias("violations"), (F.size(found) == 0).alias("conforms"))
-
-
-def dead_letters(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Quarantine rows of events that break the contract: reason, payload hash, correlation id."""
-    found = contract_violations(value)
-    return raw.withColumn("_found", found).where(F.size("_found") > 0).select(
-        F.sha2(F.col(value), 256).alias("payload_hash"),
-        F.coalesce(F.get_json_object(value, "$.event_id"),
-                   F.concat(F.lit("sha-"), F.substring(F.sha2(F.col(value), 256), 1, 16)))
+    return judged(raw, value).select(
+        F.col("_event_id").alias("event_id"), F.col("_found").alias("violations"),
+        (F.size("_found") == 0).alias("conforms"))
+
+
+def dead_letters(judged_rows: DataFrame, value: str = "value") -> DataFrame:
+    """Quarantine rows of :func:`judged` events that break the contract: reason, payload hash,
+    correlation id."""
+    digest = F.sha2(F.col(value), 256)
+    return judged_rows.where(F.size("_found") > 0).select(
+        digest.alias("payload_hash"),
+        F.coalesce("_event_id", F.concat(F.lit("sha-"), F.substring(digest, 1, 16)))
         .alias("correlation_id"),
         F.array_join("_found", "; ").alias("reason"), F.col(value).alias("payload"))
 
 
-def conforming(raw: DataFrame, value: str = "value") -> DataFrame:
-    return raw.where(F.size(contract_violations(value)) == 0)
+def conforming(judged_rows: DataFrame, value: str = "value") -> DataFrame:
+    """Texts of :func:`judged` events that keep the contract."""
+    return judged_rows.where(F.size("_found") == 0).select(value)
 
 
 def envelope(transactions: DataFrame, event_id: Column, **overrides: Column) -> DataFrame:

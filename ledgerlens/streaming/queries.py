@@ -14,12 +14,13 @@ from ..workspace import fresh_folder
 LATENESS = "10 minutes"
 
 
-def text_source(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+FILES_PER_BATCH = 1000  # a backlog is worked off in batches of so many files
+
+
+def text_source(spark: SparkSession, folder: str,
+                files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Event texts as they arrive, one per line, from an append-only folder."""
-    reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(folder)
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
 
 
 def run(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -67,6 +68,24 @@ def hopping_velocity(parsed: DataFrame, lateness: str = LATENESS) -> DataFrame:
                           "transaction_count_5m", "transaction_amount_5m")
 
 
+def closed(emitted: DataFrame, events: DataFrame, windows, keys: list, reach: str,
+           lateness: str = LATENESS) -> DataFrame:
+    """All windows of a stream that has ended: those it appended and, now, those still open.
+
+    ``windows`` is the streaming aggregation; it runs once more over the events that the open
+    windows can hold, those at most ``reach`` (a window's length) before the last watermark.
+    """
+    last = events.agg(F.max("occurred_at").alias("m")).first()["m"]
+    if last is None:
+        return emitted
+    start = F.lit(last) - F.expr(f"INTERVAL {lateness}") - F.expr(f"INTERVAL {reach}")
+    start = start - F.expr("INTERVAL 1 SECOND")  # the watermark has milliseconds
+    tail = windows(events.where(F.col("occurred_at") >= start))
+    # windows that begin before the events that were read have all been appended
+    whole = F.col(keys[-1]) >= (start + F.expr(f"INTERVAL {reach}") if "end" in keys[-1] else start)
+    return emitted.unionByName(tail.where(whole).join(emitted.select(*keys), keys, "left_anti"))
+
+
 def hourly_volume(parsed: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Event-time volume; rows later than the watermark are left out."""
     return with_event_time(parsed, lateness).groupBy(F.window("occurred_at", "1 hour")).agg(
@@ -117,20 +136,20 @@ def idempotent_sink(stream: DataFrame, path: str, checkpoint: str, key: str,
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def split_sink(stream: DataFrame, good, bad, good_path: str, bad_path: str,
+def split_sink(stream: DataFrame, judge, good, bad, good_path: str, bad_path: str,
                checkpoint: str) -> None:
     """Route conforming events and quarantine rows from one read of the stream.
 
-    ``good`` and ``bad`` map a batch to the rows of each table.  Each batch owns one folder per
-    table, so a retried batch overwrites its own rows.
+    ``judge`` adds the verdict, once; ``good`` and ``bad`` map judged rows to the rows of each table.
+    Each batch owns one folder per table, so a retried batch overwrites its own rows.
     """
     def write(batch, number):
-        batch.persist()
+        rows = judge(batch).persist()
         try:
-            good(batch).write.mode("overwrite").parquet(f"{good_path}/batch={number}")
-            bad(batch).write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
+            good(rows).write.mode("overwrite").parquet(f"{good_path}/batch={number}")
+            bad(rows).write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -145,8 +164,8 @@ def velocity_batch(batch: DataFrame, curated: str, window_us: int, hot=sweep.NON
     customers in the batch.  The same sweep as in batch runs over both, so a busy customer is cut
     into segments here too.
     """
-    rows = batch.withColumn("_new", F.lit(True))
     first = batch.agg(F.min("occurred_at").alias("m")).first()["m"]
+    rows = batch.withColumn("_new", F.lit(True))
     if first is not None and exists(batch.sparkSession, curated):
         reach = F.timestamp_micros(F.unix_micros(F.lit(first)) - F.lit(window_us))
         old = batch.sparkSession.read.schema(batch.schema).parquet(curated).where(
@@ -167,12 +186,20 @@ def velocity_batch(batch: DataFrame, curated: str, window_us: int, hot=sweep.NON
 def prior_velocity(stream: DataFrame, folder: str, window_us: int) -> str:
     """Online velocity: compute the batch's rows against the curated table, then extend it.
 
-    The stream carries transaction_id, customer_id, occurred_at and amount.
+    The stream carries transaction_id, customer_id, occurred_at and amount.  A transaction counts
+    once however often it is delivered: repeats inside a batch and of earlier batches are left out
+    (a curated row remembers its batch, so a retried batch does not take its own rows for repeats).
     """
     curated, out = f"{folder}/curated", f"{folder}/velocity"
 
     def write(batch, number):
-        dated = batch.withColumn("event_date", F.to_date("occurred_at")).persist()
+        dated = batch.dropDuplicates(["transaction_id"]).withColumns(
+            {"event_date": F.to_date("occurred_at"), "batch": F.lit(number).cast("bigint")})
+        if exists(batch.sparkSession, curated):
+            known = batch.sparkSession.read.schema(dated.schema).parquet(curated).where(
+                _day_span(dated, "event_date") & (F.col("batch") < number))
+            dated = dated.join(known.select("transaction_id"), "transaction_id", "left_anti")
+        dated = dated.persist()
         try:
             time_us = F.unix_micros("occurred_at")
             hot = sweep.find_hot_keys(dated, "customer_id", time_us)

@@ -63,8 +63,9 @@ SQL = {
         (SELECT string_agg(reason_code, ',' ORDER BY pos) FROM top_reasons a WHERE a.case_id = p.case_id) AS reason_codes,
         kyc_risk_score AS kyc_score,
         (SELECT COUNT(*) FROM refs a WHERE a.case_id = p.case_id AND kind = 'transaction') AS relevant_transaction_count,
-        (SELECT COUNT(*) FROM refs a WHERE a.case_id = p.case_id AND kind = 'transaction') AS inline_transactions,
         (SELECT MIN(value) FROM refs a WHERE a.case_id = p.case_id AND kind = 'timestamp') AS first_timestamp,
+        (SELECT MAX(value) FROM refs a WHERE a.case_id = p.case_id AND kind = 'timestamp') AS last_timestamp,
+        'risk_scores,risk_components,aml_alerts,explanations,reasons,case_references' AS evidence_sources,
         'passed' AS model_explanation_quality_status FROM packets p"""),
     "iv_references": sql(*CHAIN, select="SELECT * FROM refs"),
     "iv_summary": sql(*CHAIN, select=f"""SELECT case_id, {_SUMMARY} AS case_summary, primary_risk_reason AS primary_risk_driver,

@@ -3,17 +3,33 @@
 from .base import sql
 from .rules import ALERTS, SUMMARY
 
+# Columns of the six tables.
 COLUMNS = {
-    "customers": "customer_id first_name last_name date_of_birth age_band country customer_segment employment_status "
-                 "annual_income_band onboarding_date kyc_status pep_flag sanctions_screening_status customer_risk_rating",
-    "accounts": "account_id customer_id account_type account_open_date account_status currency branch_region "
-                "average_monthly_balance_band",
-    "transactions": "transaction_id account_id customer_id transaction_timestamp transaction_type channel "
-                    "merchant_category merchant_country amount currency is_cross_border transaction_status device_id session_id",
-    "device_sessions": "session_id customer_id device_id session_timestamp ip_country device_type operating_system "
-                       "login_success authentication_method session_risk_signal",
-    "fraud_labels": "transaction_id fraud_label fraud_typology label_confidence label_source",
-    "aml_watchlist": "watchlist_id customer_id watchlist_type alert_reason alert_severity created_date review_status",
+    "customers": [
+        "customer_id", "first_name", "last_name", "date_of_birth", "age_band", "country",
+        "customer_segment", "employment_status", "annual_income_band", "onboarding_date",
+        "kyc_status", "pep_flag", "sanctions_screening_status", "customer_risk_rating",
+    ],
+    "accounts": [
+        "account_id", "customer_id", "account_type", "account_open_date", "account_status",
+        "currency", "branch_region", "average_monthly_balance_band",
+    ],
+    "transactions": [
+        "transaction_id", "account_id", "customer_id", "transaction_timestamp", "transaction_type",
+        "channel", "merchant_category", "merchant_country", "amount", "currency",
+        "is_cross_border", "transaction_status", "device_id", "session_id",
+    ],
+    "device_sessions": [
+        "session_id", "customer_id", "device_id", "session_timestamp", "ip_country", "device_type",
+        "operating_system", "login_success", "authentication_method", "session_risk_signal",
+    ],
+    "fraud_labels": [
+        "transaction_id", "fraud_label", "fraud_typology", "label_confidence", "label_source",
+    ],
+    "aml_watchlist": [
+        "watchlist_id", "customer_id", "watchlist_type", "alert_reason", "alert_severity",
+        "created_date", "review_status",
+    ],
 }
 KEYS = {
     "customers": ["customer_id"], "accounts": ["account_id", "customer_id"],
@@ -130,7 +146,7 @@ _REPORT.append("SELECT * EXCLUDE (source) FROM (" + _amounts("transactions", "ev
 
 def _text_ids(columns, ids, times=()):
     out = []
-    for c in columns.split():
+    for c in columns:
         if c in ids:
             out.append(f"CAST({c} AS VARCHAR) AS {c}")
         elif c in times:
@@ -144,11 +160,11 @@ _COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS dataset, COUNT(*) AS rows FROM {t
 
 SQL = {
     "io_scan_csv": sql(select="SELECT " + _text_ids(COLUMNS["accounts"], {"account_id", "customer_id"},
-                                                    {"account_open_date": "%Y-%m-%d"}) + " FROM accounts"),
+                                                    {"account_open_date": "%Y-%m-%d"}) + ", 'n' AS branch_note FROM accounts"),
     "io_scan_jsonl": sql(select="SELECT " + _text_ids(
         COLUMNS["transactions"], {"transaction_id", "account_id", "customer_id", "device_id", "session_id"},
         {"transaction_timestamp": "%Y-%m-%d %H:%M:%S.%f"}) + " FROM transactions"),
-    "io_normalise_columns": sql(select="SELECT *, 'x' AS extra FROM fraud_labels"),
+    "io_normalise_columns": sql(select="SELECT " + _text_ids(COLUMNS["fraud_labels"], {"transaction_id"}) + ", 'x' AS extra FROM fraud_labels"),
     "io_load_all": sql(select=_COUNTS),
     "io_require_inputs": sql(ALERTS, select="""SELECT 'transaction_features' AS dataset, COUNT(*) AS rows FROM transactions
         UNION ALL SELECT 'aml_alerts', COUNT(*) FROM alerts"""),
@@ -156,6 +172,7 @@ SQL = {
     "io_sink_jsonl": sql(ALERTS, select="""SELECT transaction_id, MIN(customer_id) AS customer_id, COUNT(*) AS alerts,
         CAST(SUM(risk_points) AS BIGINT) AS points, MIN(rule_id) AS first_rule FROM alerts GROUP BY transaction_id"""),
     "dq_required_columns": sql(select=_union([_required(t) for t in _TABLES] + [
+        _check("required_columns", "accounts_file", "FALSE", "", "'Missing required columns: [''currency'']'", "schema"),
         _check("required_columns", "events", "FALSE", "",
                "'Missing required columns: [''transaction_timestamp'']'", "schema")])),
     "dq_key_nulls": sql(DOC_QUALITY, select=_union([_nulls(t) for t in _TABLES] + [_nulls("doc_quality", "documents")])),

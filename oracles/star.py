@@ -69,7 +69,7 @@ fact_model_explanations AS (
   SELECT {key('transaction', 'r.transaction_id')} AS transaction_key, {key('customer', 'p.customer_id')} AS customer_key,
     round(p.fraud_probability, 6) AS fraud_probability, p.error_type AS prediction_outcome, source_feature_name AS source_feature,
     d AS contribution_direction, round(contribution, 6) AS contribution_value, rk AS contribution_rank, reason_code, 'passed' AS explanation_status
-  FROM (SELECT * FROM reason_rows ORDER BY transaction_id, rk LIMIT 5000) r JOIN predictions p ON p.transaction_id = r.transaction_id),
+  FROM reason_rows r JOIN predictions p ON p.transaction_id = r.transaction_id),
 fact_investigation_cases AS (
   SELECT {key('case', 'case_id')} AS case_key, case_id, {key('customer', 'customer_id')} AS customer_key, risk_band, review_priority,
     total_aml_alerts AS aml_alert_count, round(maximum_fraud_probability, 6) AS maximum_fraud_probability, primary_risk_reason AS primary_risk_driver,

@@ -44,14 +44,12 @@ SQL = {
     "sm_dedup": sql(RAW, select="SELECT DISTINCT event_id, '1' AS processing_version FROM sent"),
     "sm_velocity_hopping": sql("""
 hops AS (SELECT account_id, amount, date_trunc('minute', transaction_timestamp) + to_minutes(i) AS window_end
-  FROM transactions, range(1, 6) r(i) WHERE amount > 0),
-mark AS (SELECT date_trunc('millisecond', MAX(transaction_timestamp)) - INTERVAL 10 MINUTES AS w FROM transactions)""",
+  FROM transactions, range(1, 6) r(i) WHERE amount > 0)""",
         select="""SELECT CAST(account_id AS VARCHAR) AS account_id, strftime(window_end, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
         COUNT(*) AS transaction_count_5m, CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS transaction_amount_5m
-        FROM hops WHERE window_end <= (SELECT w FROM mark) GROUP BY account_id, window_end"""),
+        FROM hops GROUP BY account_id, window_end"""),
     "sm_event_time": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S.%f') AS hour_start, COUNT(*) AS events FROM events
-        GROUP BY date_trunc('hour', ts) HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
-          <= (SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL 10 MINUTES FROM events)""",
+        GROUP BY date_trunc('hour', ts)""",
     "sm_enrich": sql(RAW, select="""SELECT event_id, CAST(g.customer_id AS VARCHAR) AS customer_id, CAST(g.account_id AS VARCHAR) AS account_id,
         c.country AS customer_country, kyc_status, pep_flag, account_status FROM good g
         LEFT JOIN customers c ON c.customer_id = g.customer_id LEFT JOIN accounts a ON a.account_id = g.account_id"""),

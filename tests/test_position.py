@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import position
@@ -20,6 +21,25 @@ def test_kth_on_ties_and_text_ids(spark):
     assert df.where(~early).count() == 377
 
 
+def test_long_texts_with_one_beginning(spark):
+    texts = [f"{'same beginning ' * 9}{i:02d}" for i in range(10)]
+    df = spark.createDataFrame([(t,) for t in reversed(texts)], "t string")
+    for k in (1, 3, 10):
+        assert position.kth(df, ["t"], k, limit=2) == (texts[k - 1],)
+
+
+def test_rows_without_a_place_or_a_positive_side_are_refused(spark):
+    rows = [(i, i, int(i == 1)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, t bigint, y int")
+    with pytest.raises(ValueError, match="test side"):
+        position.chronological_split(df, "t", "id", 0.25, target="y")
+    gaps = df.withColumn("t", F.when(F.col("id") % 4 > 0, F.col("t")))
+    with pytest.raises(ValueError, match="10 rows have no"):
+        position.chronological_split(gaps, "t", "id", 0.25)
+    with pytest.raises(ValueError, match="cannot be ordered"):
+        position.halves(gaps, ["t", "id"])
+
+
 def test_split_on_timestamps(spark, sf):
     df = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderdate", "o_orderkey")
     train, test = position.chronological_split(df, "o_orderdate", "o_orderkey", 0.25, limit=20)

@@ -44,6 +44,24 @@ def test_values(spark):
         "Unexpected values in id: ['a']"
 
 
+def test_csv_goes_by_name(spark, tmp_path):
+    path = str(tmp_path / "fraud_labels.csv")
+    (tmp_path / "fraud_labels.csv").write_text(
+        "label_source , fraud_label,note,transaction_id\nrule,1,x,T7\nmodel,no,y,T8\n")
+    df = files.load_table(spark, str(tmp_path), "fraud_labels")
+    assert df.columns == ["transaction_id", "fraud_label", "label_source", "note"]
+    assert [tuple(r) for r in df.orderBy("transaction_id").collect()] == [
+        ("T7", 1, "rule", "x"), ("T8", None, "model", "y")]
+    checks = quality.required_columns("fraud_labels", df, S.TABLES["fraud_labels"].fieldNames())
+    assert failed(checks) == ["required_columns"]
+    both = tmp_path / "two"
+    both.mkdir()
+    (both / "a.csv").write_text("transaction_id,fraud_label\nT1,1\n")
+    (both / "b.csv").write_text("fraud_label,transaction_id\n1,T2\n")
+    with pytest.raises(Exception):
+        files.scan_csv(spark, str(both), S.TABLES["fraud_labels"]).collect()
+
+
 def test_round_trip_through_files(spark, tables, tmp_path):
     for name, df in tables.items():
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[name]])

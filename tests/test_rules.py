@@ -48,15 +48,23 @@ def after(**delta):
 
 CASES = {
     "AML001": ([{"amount": 500.0}, {"amount": 500.01, **after(days=90)}], ["T2"]),
-    "AML002": ([{"amount": 110.0}, {"amount": 120.0, **after(hours=1)},
-                {"amount": 130.0, **after(hours=2)}], ["T3"]),
-    "AML003": ([{"amount": 120.0}, {"amount": 150.0, **after(minutes=20)}], ["T2"]),
+    # the window's last hour, the aggregate to the cent, and one amount at the reporting limit
+    "AML002": ([{"amount": 999.99}, {"amount": 1000.0, **after(hours=9)},
+                {"amount": 0.01, **after(hours=719)}, {"amount": 0.01, **after(hours=720)},
+                {"amount": 299.97, **after(hours=721)},
+                {"amount": 0.02, **after(hours=722)}], ["T4", "T5", "T6"]),
+    # the minimum itself at the last minute of the window; one cent or one minute beyond is clear
+    "AML003": ([{"amount": 100.0}, {"amount": 100.0, **after(minutes=1440)},
+                {"amount": 99.99, **after(minutes=1441)},
+                {"amount": 400.0, **after(minutes=2882)}], ["T2"]),
     "AML004": ([{"merchant_country": "BR"}, {"ip_country": "FR", "merchant_country": "DE"},
                 {"ip_country": "FR"}, {"customer_country": None}], ["T1", "T2", "T4"]),
     "AML005": ([{"is_cross_border": True, **after(hours=i)} for i in range(3)], ["T3"]),
-    "AML006": ([{}, {"amount": 250.0, **after(days=90)}], ["T2"]),
-    "AML007": ([{"transaction_status": "Declined"},
-                {"transaction_status": "Reversed", **after(hours=1)}], ["T2"]),
+    "AML006": ([{}, {"amount": 200.0, **after(days=60)}, {"amount": 199.99, **after(days=121)},
+                {"amount": 480.0, **after(days=180, hours=23)}], ["T2"]),
+    "AML007": ([{"transaction_status": "Reversed"},
+                {"transaction_status": "Reversed", **after(hours=720)}, after(hours=800),
+                {"transaction_status": "Declined", **after(hours=1441)}], ["T2"]),
     "AML008": ([{"session_risk_signal": "Elevated"}, {"login_success": False},
                 {"ip_country": "FR"}, {"new_device_flag": 1}], ["T1", "T2", "T3", "T4"]),
     "AML009": ([{"kyc_status": "Pending Review"}, {"pep_flag": True},
