@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -190,7 +191,8 @@ def _shard_rows(length: int, memory: int):
 def _take_bytes(length: int):
     def rows(batches):
         for batch in slices(batches, "raw"):
-            for doc, variant, raw, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "variant", "raw", "wanted"))):
+            asked = batch.filter(pc.is_valid(batch.column("wanted")))
+            for doc, variant, raw, wanted in zip(*(asked.column(c).to_pylist() for c in ("doc_id", "variant", "raw", "wanted"))):
                 n = len(wanted)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w["anchor"] for w in wanted]), pa.array(np.full(n, doc)), pa.array(np.full(n, variant, np.int32)),
@@ -256,7 +258,9 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
     columns, types = carried(documents, keep)
     docs = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("raw"), *columns)
     docs = _numbered(docs)
-    named = docs.where("doc_id IS NOT NULL").select("doc_id", "variant", "raw")
+    # All columns travel on both readings, so that the exchange is the same.
+    dealt = docs.repartition("doc_id")
+    named = docs.where("doc_id IS NOT NULL")
     rows = (named.select("doc_id", "variant", F.col("raw").alias("text")).where(F.length("text") >= length)
             .mapInArrow(_chunk_rows(length, gram), CHUNKS))
     anchors = Window.partitionBy("anchor")
@@ -272,7 +276,8 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
     repeats = judged.where("whole").select("doc_id", "variant", "at", "windows")
     if size:
         listed = wanted.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("anchor", "at", "windows")).alias("wanted"))
-        taken = (named.join(listed, ["doc_id", "variant"]).select("doc_id", "variant", "raw", "wanted")
+        # A left join of the same dealt rows as below: their exchange is done once and read twice.
+        taken = (dealt.join(listed, ["doc_id", "variant"], "left")
                  .mapInArrow(_take_bytes(length), "anchor long, doc_id long, variant int, at long, windows long, bytes binary"))
         found = (taken.repartition(-(-size // shard_bytes), "anchor")
                  .mapInArrow(_shard_rows(length, memory), "doc_id long, variant int, at long, windows long"))
@@ -282,5 +287,5 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
              .agg(F.collect_list(F.shiftleft("at", 31).bitwiseOR(F.col("windows"))).alias("found")))
     extra = [f"keep_{k}" for k in range(len(keep))]
     schema = f"doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept {'string' if as_text else 'binary'}"
-    return (docs.join(spans, ["doc_id", "variant"], "left").select("doc_id", "variant", "raw", "found", *extra)
+    return (dealt.join(spans, ["doc_id", "variant"], "left").select("doc_id", "variant", "raw", "found", *extra)
             .mapInArrow(_remove(length, as_text), schema + types))
