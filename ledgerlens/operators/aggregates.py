@@ -40,6 +40,20 @@ def _distinct(df: DataFrame, key: str, counts: dict) -> DataFrame:
                                    for i, n in enumerate(names)])
 
 
+def distinct_counts(df: DataFrame, keys: list, counts: dict) -> DataFrame:
+    """Distinct non-null values of several columns (name -> Column) per group, all groups kept.
+
+    The same one deduplicated table as above, for any grouping, none included: without keys there is
+    one row.  A group whose values are all missing counts 0.
+    """
+    names = list(counts)
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), counts[n].cast("string").alias("v"))
+                                 for i, n in enumerate(names)])).alias("_p")
+    long = df.select(*keys, values).select(*keys, "_p.c", "_p.v").distinct()
+    return long.groupBy(*keys).agg(*[
+        F.count(F.when(F.col("c") == i, F.col("v"))).alias(n) for i, n in enumerate(names)])
+
+
 def _days_since(reference: str, column):
     return F.greatest(F.datediff(F.lit(reference[:10]).cast("date"), F.to_date(column)),
                       F.lit(0)).cast("bigint")

@@ -72,13 +72,19 @@ def confusion(df: DataFrame, by: list, label: str, prediction: str,
         F.count_if(actual & ~flagged).alias("false_negatives"))
 
 
-def ranking(df: DataFrame, by: list, label: str, probability: str, slices: int = 256) -> DataFrame:
-    """ROC AUC and average precision (step sum) per group.
+SLICE_ROWS = 1_000_000  # rows that one slice holds, about
+MOST_SLICES = 20_000  # 20 TB of scores; bounds what is broadcast
+
+
+def ranking(df: DataFrame, by: list, label: str, probability: str,
+            slices: int | None = None) -> DataFrame:
+    """ROC AUC and average precision (step sum) per group.  Slices grow in number with the rows.
 
     Rows collapse to one per distinct score; score slices of about equal size are summed first, so
     the running totals are computed slice by slice, each starting from the totals of the slices
     above it (at most ``slices`` + 1 rows per group, hence the broadcast).
     """
+    slices = slices or max(256, min(MOST_SLICES, df.count() // SLICE_ROWS))
     distinct = df.groupBy(*by, F.col(probability).alias("s")).agg(
         F.sum(F.col(label).cast("bigint")).alias("p"),
         F.count_if(F.col(label) == 0).alias("n"))

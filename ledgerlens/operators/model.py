@@ -172,6 +172,27 @@ def fit(train: DataFrame, columns: list, target: str, cfg: dict = MODEL) -> tupl
     return shape.with_coefficients(named, weights[-1]), solved
 
 
+def slopes(train: DataFrame, model: LinearModel, target: str, cfg: dict = MODEL) -> DataFrame:
+    """(transformed_feature_name, slope): the derivative of the penalised loss per weighted row.
+
+    All terms come from one pass: the error of a row times its values, summed per term.
+    """
+    counts = validate_target(train, target)
+    n = counts["rows"]
+    balanced = cfg["class_weight"] == "balanced"
+    weight = F.when(F.col(target) == 1, n / (2.0 * counts["positives"]) if balanced else 1.0) \
+        .otherwise(n / (2.0 * counts["negatives"]) if balanced else 1.0)
+    error = weight * (sigmoid(model.decision()) - F.col(target).cast("double"))
+    per_term = (train.select(error.alias("e"), model.values().alias("z"))
+                .select("e", F.posexplode("z").alias("i", "z")).groupBy("i")
+                .agg((F.sum(F.col("e") * F.col("z")) / n).alias("gradient")))
+    terms = train.sparkSession.createDataFrame(
+        [(i, t.name, float(t.coefficient) / n) for i, t in enumerate(model.terms)],
+        "i int, transformed_feature_name string, penalty double")
+    return terms.join(per_term, "i").select(
+        "transformed_feature_name", (F.col("gradient") + F.col("penalty")).alias("slope"))
+
+
 def design_vector(model: LinearModel) -> Column:
     return array_to_vector(F.concat(model.values(), F.array(F.lit(1.0))))
 

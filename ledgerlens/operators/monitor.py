@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.columns import json_text, lookup, prefixed_digest, safe_ratio
 from ..settings import MONITOR, RULE_NAMES
 from . import evaluation, position
+from .aggregates import distinct_counts
 from .quality import duplicates
 
 STATUS_RANK = {"healthy": 0, "warning": 1, "unavailable": 2, "critical": 3}
@@ -293,8 +294,8 @@ def rule_monitoring(alerts: DataFrame, transaction_count: int, customer_count: i
     counted = per_rule.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("alerts"), F.coalesce(F.max("n"), F.lit(0)).alias("top"),
         *[F.coalesce(F.sum(F.when(rule == r, F.col("n"))), F.lit(0)).alias(r) for r in RULE_NAMES])
-    reach = alerts.agg(F.count_distinct("transaction_id").alias("t"),
-                       F.count_distinct("customer_id").alias("c"))
+    reach = distinct_counts(alerts, [], {"t": F.col("transaction_id"),
+                                         "c": F.col("customer_id")})
     row = counted.withColumns({
         "t": reach.select("t").scalar(), "c": reach.select("c").scalar(),
         "copies": duplicates(alerts, "alert_id").scalar()})

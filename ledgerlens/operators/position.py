@@ -151,7 +151,7 @@ def quantiles(df: DataFrame, wanted: dict, limit: int = LIMIT) -> dict:
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
                         for c in columns])
     # one reducer keeps a value -> count map per column
-    if max(counts) <= limit and sum(counts) <= 8 * limit:
+    if sum(counts) <= limit:
         row = clean.agg(*[F.percentile(c, F.array(*[F.lit(float(q)) for q in wanted[c]])).alias(c)
                           for c in columns]).first()
         return {c: (list(row[c]) if row[c] is not None else [None] * len(wanted[c]))
@@ -179,6 +179,7 @@ def quantiles(df: DataFrame, wanted: dict, limit: int = LIMIT) -> dict:
 def _ranked(df: DataFrame, ranks: list, counts: dict, limit: int) -> dict:
     """Value at each (column, 1-based rank)."""
     infinity = float("inf")
+    limit = max(1, limit // max(1, len(ranks)))  # one reducer reads the rows of all ranks
     brackets = {r: (-infinity, infinity, 0, counts[r[0]]) for r in ranks}  # lo, hi, below, inside
 
     def inside(r):

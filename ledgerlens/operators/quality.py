@@ -2,10 +2,11 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
 
+LISTED = 50  # unexpected values that a message lists
 CHECK = ("name string, dataset string, status string, severity string, message string, "
          "category string")
 
@@ -173,9 +174,15 @@ def allowed_values(dataset: str, df: DataFrame, domains: dict) -> DataFrame:
     present = {c: v for c, v in domains.items() if c in df.columns}
     parts = []
     if present:
-        # At most a few unexpected codes per column are listed; all are counted in the list.
-        found = unexpected_values(df, present).groupBy("column").agg(
-            F.sort_array(F.collect_set("value")).alias("bad"))
+        # The first of the unexpected codes of a column are listed, all are counted: a free text in
+        # the wrong column must not end up in one row.
+        strange = unexpected_values(df, present)
+        shown = (strange.withColumn("_rank", F.row_number().over(
+            Window.partitionBy("column").orderBy("value"))).where(F.col("_rank") <= LISTED)
+            .groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("bad")))
+        found = strange.groupBy("column").agg(F.count(F.lit(1)).alias("n")).join(shown, "column")
+        more = F.when(F.col("n") > LISTED, F.concat(
+            F.lit(" and "), (F.col("n") - LISTED).cast("string"), F.lit(" more"))).otherwise("")
         columns = df.sparkSession.createDataFrame([(c,) for c in present], "column string")
         joined = columns.join(found, "column", "left")
         c = F.col("column")
@@ -186,7 +193,7 @@ def allowed_values(dataset: str, df: DataFrame, domains: dict) -> DataFrame:
             F.when(F.col("bad").isNull(), F.concat(
                 F.lit("All values in "), c, F.lit(" are within the expected domain.")))
             .otherwise(F.concat(F.lit("Unexpected values in "), c, F.lit(": "),
-                                _text(F.col("bad")))).alias("message"),
+                                _text(F.col("bad")), more)).alias("message"),
             F.lit("validity").alias("category")))
     parts += [_literal(df.sparkSession, f"{c}_allowed_values", dataset, False,
                        f"Missing categorical column: {c}", "validity")

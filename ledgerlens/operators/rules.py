@@ -13,6 +13,7 @@ from ..functions.columns import (differs, fixed2, flag, iso_timestamp, joined_re
                                  lookup, member, prefixed_digest, truthy)
 from ..settings import AML, RULE_NAMES, RULE_PARAMETERS
 from . import sweep
+from .aggregates import distinct_counts
 from .features import ELEVATED_SIGNALS
 from .joins import first_per_key, lookup as lookup_join
 from .sweep import NONE, HotKeys
@@ -445,10 +446,10 @@ def rule_summary(alerts: DataFrame, transactions: DataFrame, cfg: dict = AML) ->
     """All rules with alert volume, customers and share of distinct transactions."""
     # A rule fires at most once per transaction, so its alerts count distinct transactions unless
     # alert rows were duplicated; count them properly all the same.
-    volume = alerts.groupBy("rule_id").agg(
-        F.count(F.lit(1)).alias("alert_count"),
-        F.count_distinct("customer_id").alias("affected_customer_count"),
-        F.count_distinct("transaction_id").alias("_transactions"))
+    volume = alerts.groupBy("rule_id").agg(F.count(F.lit(1)).alias("alert_count")).join(
+        distinct_counts(alerts, ["rule_id"], {
+            "affected_customer_count": F.col("customer_id"),
+            "_transactions": F.col("transaction_id")}), "rule_id")
     total = transactions.agg(F.count(F.lit(1)).alias("n"))
     joined = rule_table(alerts.sparkSession, cfg).join(volume, "rule_id", "left").na.fill(
         0, ["alert_count", "affected_customer_count", "_transactions"])

@@ -4,6 +4,7 @@ Surrogate keys are pure functions of natural ids, so facts compute their keys in
 them up; a membership join is only needed where a member may be missing.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import differs, surrogate_key
 from ..settings import PERSONAL_COLUMNS, REPORT
+from .aggregates import distinct_counts
 from .quality import orphans
 
 DATE_KEY = "yyyyMMdd"
@@ -225,10 +227,11 @@ def fact_pipeline(health: DataFrame, cfg: dict = REPORT) -> DataFrame:
 
 
 def agg_alerts(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("severity").agg(
-        F.count("alert_key").alias("alert_count"),
-        F.count_distinct("customer_key").alias("affected_customers"),
-        F.count_distinct("transaction_key").alias("affected_transactions"))
+    reach = distinct_counts(facts, ["severity"], {
+        "affected_customers": F.col("customer_key"),
+        "affected_transactions": F.col("transaction_key")}).withColumnRenamed("severity", "_s")
+    volume = facts.groupBy("severity").agg(F.count("alert_key").alias("alert_count"))
+    return volume.join(reach, F.col("severity").eqNullSafe(F.col("_s"))).drop("_s")
 
 
 def agg_risk(facts: DataFrame) -> DataFrame:
@@ -254,8 +257,10 @@ def kpis(facts: dict, accounts: DataFrame, fraud_metrics: DataFrame, status: Dat
                                        .cast("double").alias("value"))
     a = facts["fact_aml_alerts"].agg(
         F.count(F.lit(1)).cast("double").alias("n"),
-        F.count_distinct("transaction_key").alias("t"), F.count_distinct("customer_key").alias("c"),
         F.count_if(F.col("severity").isin("high", "critical")).cast("double").alias("severe"))
+    reach = distinct_counts(facts["fact_aml_alerts"], [], {"t": F.col("transaction_key"),
+                                                           "c": F.col("customer_key")})
+    a = a.withColumns({name: reach.select(name).scalar() for name in ("t", "c")})
     r = facts["fact_customer_risk"].agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.count_if(F.col("risk_band").isin("high", "critical")).cast("double").alias("high"),
@@ -336,7 +341,14 @@ def _outcomes(*names):
     return F.count_if(F.col("error_type").isin(*names))
 
 
-# measure name -> (fact table, aggregate expression); usable under any grouping, cube or rollup
+@dataclass(frozen=True)
+class Distinct:
+    """A measure that counts the different values of a column."""
+
+    column: Column
+
+
+# measure name -> (fact table, aggregate expression or Distinct); usable under any grouping
 MEASURES = {
     "total_transactions": ("fact_transactions", lambda: F.count(F.lit(1))),
     "total_transaction_value": ("fact_transactions", lambda: F.sum(
@@ -355,12 +367,12 @@ MEASURES = {
     "false_positive_rate": ("fact_fraud_predictions", lambda: _ratio(
         _outcomes("false_positive"), _outcomes("false_positive", "true_negative"))),
     "total_aml_alerts": ("fact_aml_alerts", lambda: F.count(F.lit(1))),
-    "alerted_transactions": ("fact_aml_alerts", lambda: F.count_distinct("transaction_key")),
-    "affected_customers": ("fact_aml_alerts", lambda: F.count_distinct("customer_key")),
+    "alerted_transactions": ("fact_aml_alerts", lambda: Distinct(F.col("transaction_key"))),
+    "affected_customers": ("fact_aml_alerts", lambda: Distinct(F.col("customer_key"))),
     "high_severity_alerts": ("fact_aml_alerts", lambda: F.count_if(
         F.col("severity").isin("high", "critical"))),
     "average_customer_risk_score": ("fact_customer_risk", lambda: F.avg("total_risk_score")),
-    "high_or_critical_risk_customers": ("fact_customer_risk", lambda: F.count_distinct(
+    "high_or_critical_risk_customers": ("fact_customer_risk", lambda: Distinct(
         F.when(F.col("risk_band").isin("high", "critical"), F.col("customer_key")))),
     "urgent_review_cases": ("fact_investigation_cases", lambda: F.count_if(
         F.col("review_priority") == "urgent")),
@@ -380,7 +392,7 @@ MEASURES = {
 def evaluate_measures(facts: dict, by: dict | None = None, names: list | None = None) -> DataFrame:
     """(measure, item, value) for every measure, grouped by ``by[fact]`` where given.
 
-    All measures of one fact share one scan.  The alerted transaction rate divides two facts and is
+    All plain measures of one fact share one scan, all distinct counts another.  The alerted transaction rate divides two facts and is
     evaluated from their single rows.
     """
     by = by or {}
@@ -391,12 +403,21 @@ def evaluate_measures(facts: dict, by: dict | None = None, names: list | None =
         if not chosen or fact not in facts:
             continue
         key = by.get(fact)
-        grouped = facts[fact].groupBy(key) if key else facts[fact].groupBy()
-        row = grouped.agg(*[e().cast("double").alias(m) for m, e in chosen.items()])
+        keys = [key] if key else []
+        built = {m: e() for m, e in chosen.items()}
+        plain = {m: e for m, e in built.items() if not isinstance(e, Distinct)}
+        unique = {m: e.column for m, e in built.items() if isinstance(e, Distinct)}
         item = F.col(key).cast("string") if key else F.lit("all")
-        parts.append(row.select(F.explode(F.array(*[
-            F.struct(F.lit(m).alias("measure"), item.alias("item"), F.col(m).alias("value"))
-            for m in chosen])).alias("m")).select("m.*"))
+        rows = []
+        if plain:
+            rows.append((facts[fact].groupBy(*keys).agg(*[e.alias(m) for m, e in plain.items()]),
+                         plain))
+        if unique:
+            rows.append((distinct_counts(facts[fact], keys, unique), unique))
+        parts += [row.select(F.explode(F.array(*[
+            F.struct(F.lit(m).alias("measure"), item.alias("item"),
+                     F.col(m).cast("double").alias("value"))
+            for m in names_of])).alias("m")).select("m.*") for row, names_of in rows]
     out = reduce(lambda a, b: a.unionByName(b), parts)
     if not by and (names is None or "alerted_transaction_rate" in names):
         total = facts["fact_transactions"].agg(F.count(F.lit(1)).alias("n"))
@@ -419,8 +440,10 @@ def column_profile(name: str, df: DataFrame) -> DataFrame:
     """
     keys = [c for c in df.columns if c.endswith("_key")]
     gaps = df.agg(F.count(F.lit(1)).alias("_n"),
-                  *[F.count_if(F.col(c).isNull()).alias(f"g_{c}") for c in df.columns],
-                  *[F.count_distinct(F.col(c)).alias(f"d_{c}") for c in keys])
+                  *[F.count_if(F.col(c).isNull()).alias(f"g_{c}") for c in df.columns])
+    if keys:
+        repeats = {c: df.groupBy(c).agg(F.lit(1)).agg(F.count(c).alias("n")) for c in keys}
+        gaps = gaps.withColumns({f"d_{c}": r.scalar() for c, r in repeats.items()})
     entries = []
     for field in df.schema:
         c = field.name

@@ -344,7 +344,7 @@ class Bank:
     @cached_property
     def facts(self) -> Mapping:
         t = self.tables
-        return Lazy({
+        builders = {
             "fact_transactions": lambda: star.fact_transactions(self.features, t["customers"],
                                                                 t["accounts"]),
             "fact_fraud_predictions": lambda: star.fact_fraud(self.predictions, self.features),
@@ -357,7 +357,10 @@ class Bank:
             "fact_investigation_cases": lambda: star.fact_cases(self.case_rows),
             "fact_monitoring_alerts": lambda: star.fact_monitoring(self.monitoring_alerts),
             "fact_pipeline_health": lambda: star.fact_pipeline(self.health),
-        })
+        }
+        # each is published once, when first asked for, and read by all that use it
+        return Lazy({name: (lambda name=name, build=build: self.publish(name, build()))
+                     for name, build in builders.items()})
 
     def report_sources(self) -> dict:
         """The table whose number of rows each fact must match."""

@@ -43,17 +43,27 @@ def ml_onehot(spark, sf_dir):
 
 
 def ml_fit(spark, sf_dir):
+    """Terms of the trained model, and whether each is at the optimum of the penalised loss."""
     b = bank(spark, sf_dir)
     fitted, _ = b.trained
     table = model.coefficient_table(spark, fitted)
-    return shape(table.withColumn("absolute_coefficient", F.abs("coefficient")))
+    slopes = model.slopes(b.split[0], fitted, MODEL["target_column"])
+    return shape(table.join(slopes, "transformed_feature_name").select(
+        "transformed_feature_name", "source_feature_name", "transform_type",
+        (F.abs("slope") < 1e-3).alias("is_optimal")))
 
 
 def ml_score(spark, sf_dir):
+    """The solver's own scores and those of the term list, per transaction."""
     b = bank(spark, sf_dir)
     fitted, solved = b.trained
-    return shape(model.score(b.split[1], fitted, solved)
-                 .select("transaction_id", "decision_score", "fraud_probability"))
+    by_terms = model.score_linear(model.score(b.split[1], fitted, solved).withColumnsRenamed(
+        {"decision_score": "_decision", "fraud_probability": "_probability"}), fitted)
+    near = (F.abs(F.col("decision_score") - F.col("_decision")) < 1e-9) & (
+        F.abs(F.col("fraud_probability") - F.col("_probability")) < 1e-9)
+    return shape(by_terms.select(
+        "transaction_id", near.alias("paths_agree"),
+        F.col("fraud_probability").between(0, 1).alias("is_probability")))
 
 
 def ml_threshold_analysis(spark, sf_dir):

