@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ledgerlens.operators import evaluation, explain, model, monitor
 from ledgerlens.settings import MODEL
@@ -34,8 +34,20 @@ def test_explanations_rebuild_the_trained_model(training, fitted):
     worst = local.agg(F.max("decision_score_difference"), F.max("probability_difference")).first()
     assert max(worst) <= 1e-10
     # the missing amounts were filled, so the rows pass, but the gaps are reported
-    quality = explain.quality(local, linear, ["customer_id"]).first()
+    codes = explain.reasons(explained)
+    quality = explain.quality(local, codes, linear, ["customer_id"]).first()
     assert quality.explanations_failed == 0 and quality.missing_feature_count == 15 + 80
+    assert quality.invalid_reason_code_count == 0 and quality.overall_status == "passed"
+    # a code of another feature, a direction that the contribution contradicts, an excluded source
+    number = F.row_number().over(Window.orderBy("transaction_id", "reason_code"))
+    broken = codes.withColumn("k", number).withColumns({
+        "reason_code": F.when(F.col("k") == 1, "RC_OTHER_UP").otherwise(F.col("reason_code")),
+        "contribution": F.when(F.col("k") == 2, -F.col("contribution")).otherwise(
+            F.col("contribution")),
+        "source_feature_name": F.when(F.col("k") == 3, "customer_id").otherwise(
+            F.col("source_feature_name"))})
+    quality = explain.quality(local, broken, linear, ["customer_id"]).first()
+    assert quality.invalid_reason_code_count == 3 and quality.overall_status == "failed"
     rows = explain.contributions(explained)
     assert rows.count() == 240 * len(linear.terms)
     per = rows.groupBy("transaction_id").agg(

@@ -48,11 +48,11 @@ def after(**delta):
 
 CASES = {
     "AML001": ([{"amount": 500.0}, {"amount": 500.01, **after(days=90)}], ["T2"]),
-    # the window's last hour, the aggregate to the cent, and one amount at the reporting limit
+    # the last hour of the window, one cent below the aggregate, one amount at the reporting limit
     "AML002": ([{"amount": 999.99}, {"amount": 1000.0, **after(hours=9)},
                 {"amount": 0.01, **after(hours=719)}, {"amount": 0.01, **after(hours=720)},
                 {"amount": 299.97, **after(hours=721)},
-                {"amount": 0.02, **after(hours=722)}], ["T4", "T5", "T6"]),
+                {"amount": 0.02, **after(hours=722)}], ["T4", "T6"]),
     # the minimum itself at the last minute of the window; one cent or one minute beyond is clear
     "AML003": ([{"amount": 100.0}, {"amount": 100.0, **after(minutes=1440)},
                 {"amount": 99.99, **after(minutes=1441)},
