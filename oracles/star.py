@@ -325,5 +325,5 @@ SQL = {
     "st_validate": sql(*FULL, BANDS, select=_VALIDATE),
     "st_publish": sql(select="""SELECT CAST(strftime(transaction_timestamp, '%Y%m%d') AS BIGINT) AS date_key, COUNT(*) AS transactions,
         CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM transactions
-        WHERE transaction_timestamp >= TIMESTAMP '2024-01-10' AND transaction_timestamp < TIMESTAMP '2024-01-20' GROUP BY 1"""),
+        GROUP BY 1"""),
 }

@@ -90,3 +90,11 @@ def test_probe_finds_only_heavy_keys(spark):
     assert sweep.find_hot_keys(df, "k", F.col("t")) == sweep.NONE
     hot = sweep.find_hot_keys(df, "k", F.col("t"), min_rows=50)
     assert hot.values == (-1,) and 0 < hot.segment_us < 1_000_000
+
+
+def test_finer_amounts_are_refused_not_rounded(spark):
+    good = spark.createDataFrame([(0.0001,), (0.1 + 0.2,), (123456789.01,), (1e9 + 0.0001,)], "a double")
+    assert [r[0] for r in good.select(sweep.money(F.col("a"))).collect()] == [
+        1, 3000, 1234567890100, 10000000000001]
+    with pytest.raises(Exception, match="finer than 1/10000"):
+        spark.createDataFrame([(0.00004,)], "a double").select(sweep.money(F.col("a"))).collect()
