@@ -5,7 +5,7 @@
    occurrence form a chunk; chunks with equal bytes around equal anchors are pre-aggregated: a later
    one repeats the first as a whole.  Anchors whose chunks are all equal need nothing more.
 2. Of each remaining anchor the first chunk of every kind goes, with its bytes, to the shard that
-   anchors are hashed to.  A shard's chunks are one text, whose suffixes external induced sorting puts
+   anchors are hashed to (windows of a very busy anchor are dealt over several).  A shard's chunks are one text, whose suffixes external induced sorting puts
    in order with their common prefixes; windows in one run of common prefixes of `length` or more are
    equal, and all but the earliest are repeats.
 3. Repeats are merged into removed spans, document by document.
@@ -29,12 +29,14 @@ GRAM = 24
 SHARD_BYTES = 4 << 20
 SEGMENT = 32 << 20  # longer texts are cut into overlapping segments of as many windows
 _LOW = 26
-CHUNKS = "whole boolean, anchor long, chunk long, doc_id long, variant int, at long, windows long"
+HOT_CHUNKS = 2048  # different chunks of one anchor that one shard takes
+CHUNKS = "whole boolean, anchor long, chunk long, doc_id long, variant int, at long, windows long, ahead int"
 
 
 def chunks(data: np.ndarray, starts: np.ndarray, length: int, gram: int):
-    """Anchor hash, chunk hash, text number, first window (in the text) and windows of every chunk."""
-    none = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))]
+    """Of every chunk: anchor hash, chunk hash, text number, first window (in the text), windows, and
+    how far ahead of the first window the anchor lies."""
+    none = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))]
     if len(data) < length:
         return none
     hashes = SpanHashes(data)
@@ -59,7 +61,7 @@ def chunks(data: np.ndarray, starts: np.ndarray, length: int, gram: int):
     first, anchor = inside[begin], anchor[begin]
     whole = hashes.of(first, first + windows - 1 + length) ^ mixed((anchor - first).astype(np.uint64))
     text = np.searchsorted(starts, first, side="right") - 1
-    return [grams[anchor], whole, text, first - starts[text], windows]
+    return [grams[anchor], whole, text, first - starts[text], windows, anchor - first]
 
 
 def _chunk_rows(length: int, gram: int):
@@ -76,7 +78,7 @@ def _chunk_rows(length: int, gram: int):
 
     def rows(batches):
         for data, starts, (ids, variants), base in segments(batches):
-            anchor, chunk, text, at, windows = chunks(data, starts, length, gram)
+            anchor, chunk, text, at, windows, ahead = chunks(data, starts, length, gram)
             if not len(anchor):
                 continue
             at = at + base
@@ -94,17 +96,17 @@ def _chunk_rows(length: int, gram: int):
                 head = r[new]
                 total = np.add.reduceat(windows[r], np.flatnonzero(new))
                 yield _batch(True, mixed(ids[text[head]].astype(np.uint64) * np.uint64(31) + at[head].astype(np.uint64)),
-                             np.zeros(len(head), np.uint64), ids[text[head]], variants[text[head]], at[head], total)
+                             np.zeros(len(head), np.uint64), ids[text[head]], variants[text[head]], at[head], total, np.zeros(len(head), np.int64))
             k = np.flatnonzero(~repeat)
-            yield _batch(False, anchor[k], chunk[k], ids[text[k]], variants[text[k]], at[k], windows[k])
+            yield _batch(False, anchor[k], chunk[k], ids[text[k]], variants[text[k]], at[k], windows[k], ahead[k])
 
     return rows
 
 
-def _batch(whole, anchor, chunk, ids, variants, at, windows):
+def _batch(whole, anchor, chunk, ids, variants, at, windows, ahead):
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(at), whole)), pa.array(anchor.view(np.int64)), pa.array(chunk.view(np.int64)), pa.array(ids),
-         pa.array(variants), pa.array(at), pa.array(windows)], [f.split()[0] for f in CHUNKS.split(", ")])
+         pa.array(variants), pa.array(at), pa.array(windows), pa.array(ahead.astype(np.int32))], [f.split()[0] for f in CHUNKS.split(", ")])
 
 
 def _shard_rows(length: int, memory: int):
@@ -195,10 +197,10 @@ def _take_bytes(length: int):
             for doc, variant, raw, wanted in zip(*(asked.column(c).to_pylist() for c in ("doc_id", "variant", "raw", "wanted"))):
                 n = len(wanted)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w["anchor"] for w in wanted]), pa.array(np.full(n, doc)), pa.array(np.full(n, variant, np.int32)),
+                    [pa.array([w["shard"] for w in wanted]), pa.array(np.full(n, doc)), pa.array(np.full(n, variant, np.int32)),
                      pa.array([w["at"] for w in wanted]), pa.array([w["windows"] for w in wanted]),
                      pa.array([raw[w["at"]:w["at"] + w["windows"] - 1 + length] for w in wanted], pa.binary())],
-                    ["anchor", "doc_id", "variant", "at", "windows", "bytes"])
+                    ["shard", "doc_id", "variant", "at", "windows", "bytes"])
 
     return rows
 
@@ -245,6 +247,23 @@ def _numbered(documents: DataFrame) -> DataFrame:
             .withColumn("variant", F.coalesce("variant", F.lit(0))).drop("hash"))
 
 
+def _sharded(wanted: DataFrame, span: int) -> DataFrame:
+    """Adds the shard of every chunk: its anchor's, or several for an anchor with very many chunks.
+
+    Equal windows lie equally far before their anchor.  So the windows of a busy anchor are dealt by
+    that distance, 0 to span - 1, in as many ranges as it needs, and a chunk is cut accordingly.
+    """
+    parts = F.least(F.lit(span), F.ceil(F.col("kinds") / HOT_CHUNKS)).cast("int")
+    cut = wanted.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    near = F.ceil(F.col("part") * span / F.col("parts"))
+    far = F.ceil((F.col("part") + 1) * span / F.col("parts")) - 1
+    first = F.greatest(F.lit(0), F.col("ahead") - far).cast("long")
+    last = F.least(F.col("windows") - 1, F.col("ahead") - near).cast("long")
+    return (cut.withColumn("first", first).withColumn("last", last).where("first <= last")
+            .select(F.xxhash64("anchor", "part").alias("shard"), "doc_id", "variant", (F.col("at") + F.col("first")).alias("at"),
+                    (F.col("last") - F.col("first") + 1).alias("windows")))
+
+
 def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
                    shard_bytes: int = SHARD_BYTES, memory: int = 1 << 21, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, spans (removed, begin to end) and kept (binary) for every row, and the columns `keep`.
@@ -269,17 +288,19 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
               .withColumn("place", F.rank().over(same)).withColumn("number", F.row_number().over(same))
               .withColumn("several", F.min("chunk").over(anchors) != F.max("chunk").over(anchors))
               .withColumn("whole", F.col("whole") | (F.col("place") > 1))
-              .where("whole OR (several AND number = 1)").select("whole", "anchor", "doc_id", "variant", "at", "windows"))
+              .withColumn("kinds", F.sum((F.col("number") == 1).cast("int")).over(anchors))
+              .where("whole OR (several AND number = 1)")
+              .select("whole", "anchor", "doc_id", "variant", "at", "windows", "ahead", "kinds"))
     judged = stage(spark, judged, "suffix-chunks")
-    wanted = judged.where("NOT whole")
+    wanted = _sharded(judged.where("NOT whole"), length - gram + 1)
     size = wanted.agg(F.sum(F.col("windows") + length)).first()[0] or 0
     repeats = judged.where("whole").select("doc_id", "variant", "at", "windows")
     if size:
-        listed = wanted.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("anchor", "at", "windows")).alias("wanted"))
+        listed = wanted.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("shard", "at", "windows")).alias("wanted"))
         # A left join of the same dealt rows as below: their exchange is done once and read twice.
         taken = (dealt.join(listed, ["doc_id", "variant"], "left")
-                 .mapInArrow(_take_bytes(length), "anchor long, doc_id long, variant int, at long, windows long, bytes binary"))
-        found = (taken.repartition(-(-size // shard_bytes), "anchor")
+                 .mapInArrow(_take_bytes(length), "shard long, doc_id long, variant int, at long, windows long, bytes binary"))
+        found = (taken.repartition(-(-size // shard_bytes), "shard")
                  .mapInArrow(_shard_rows(length, memory), "doc_id long, variant int, at long, windows long"))
         repeats = repeats.unionByName(found)
     # A place and its windows in one number: texts have fewer than 2^31 bytes.
