@@ -5,8 +5,8 @@
    occurrence form a chunk; chunks with equal bytes around equal anchors are pre-aggregated: a later
    one repeats the first as a whole.  Anchors whose chunks are all equal need nothing more.
 2. Of each remaining anchor the first chunk of every kind goes, with its bytes, to the shard that
-   anchors are hashed to (windows of a very busy anchor are dealt over several).  A shard's chunks are one text, whose suffixes external induced sorting puts
-   in order with their common prefixes; windows in one run of common prefixes of `length` or more are
+   anchors are hashed to (windows of a very busy anchor are dealt by the bytes around it).  A shard's
+   chunks are one text, whose suffixes external induced sorting puts in order with their common prefixes; windows in one run of common prefixes of `length` or more are
    equal, and all but the earliest are repeats.
 3. Repeats are merged into removed spans, document by document.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,8 @@ GRAM = 24
 SHARD_BYTES = 4 << 20
 SEGMENT = 32 << 20  # longer texts are cut into overlapping segments of as many windows
 _LOW = 26
-HOT_CHUNKS = 2048  # different chunks of one anchor that one shard takes
+HOT_CHUNKS = 512  # an anchor with more different chunks is dealt over shards by content
+PARTS = 4
 CHUNKS = "whole boolean, anchor long, chunk long, doc_id long, variant int, at long, windows long, ahead int"
 
 
@@ -190,6 +192,13 @@ def _shard_rows(length: int, memory: int):
     return trimmed
 
 
+def _shard(wanted: dict, raw: bytes) -> int:
+    if wanted["core_from"] is None:
+        return wanted["shard"]
+    key = xxhash.xxh64_intdigest(raw[wanted["core_from"]:wanted["core_to"]], wanted["shard"] % 2**64)
+    return key - 2**64 if key >= 2**63 else key
+
+
 def _take_bytes(length: int):
     def rows(batches):
         for batch in slices(batches, "raw"):
@@ -197,7 +206,7 @@ def _take_bytes(length: int):
             for doc, variant, raw, wanted in zip(*(asked.column(c).to_pylist() for c in ("doc_id", "variant", "raw", "wanted"))):
                 n = len(wanted)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w["shard"] for w in wanted]), pa.array(np.full(n, doc)), pa.array(np.full(n, variant, np.int32)),
+                    [pa.array([_shard(w, raw) for w in wanted]), pa.array(np.full(n, doc)), pa.array(np.full(n, variant, np.int32)),
                      pa.array([w["at"] for w in wanted]), pa.array([w["windows"] for w in wanted]),
                      pa.array([raw[w["at"]:w["at"] + w["windows"] - 1 + length] for w in wanted], pa.binary())],
                     ["shard", "doc_id", "variant", "at", "windows", "bytes"])
@@ -247,21 +256,26 @@ def _numbered(documents: DataFrame) -> DataFrame:
             .withColumn("variant", F.coalesce("variant", F.lit(0))).drop("hash"))
 
 
-def _sharded(wanted: DataFrame, span: int) -> DataFrame:
+def _sharded(wanted: DataFrame, length: int, gram: int) -> DataFrame:
     """Adds the shard of every chunk: its anchor's, or several for an anchor with very many chunks.
 
-    Equal windows lie equally far before their anchor.  So the windows of a busy anchor are dealt by
-    that distance, 0 to span - 1, in as many ranges as it needs, and a chunk is cut accordingly.
+    Equal windows lie equally far before their anchor.  The windows of a busy anchor are cut into
+    PARTS ranges of that distance; all windows of a range hold the same stretch around the anchor, so
+    that stretch's bytes (core_from to core_to) decide the shard as well.
     """
-    parts = F.least(F.lit(span), F.ceil(F.col("kinds") / HOT_CHUNKS)).cast("int")
+    span = length - gram + 1
+    parts = F.when(F.col("kinds") > HOT_CHUNKS, PARTS).otherwise(1)
     cut = wanted.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     near = F.ceil(F.col("part") * span / F.col("parts"))
     far = F.ceil((F.col("part") + 1) * span / F.col("parts")) - 1
-    first = F.greatest(F.lit(0), F.col("ahead") - far).cast("long")
-    last = F.least(F.col("windows") - 1, F.col("ahead") - near).cast("long")
-    return (cut.withColumn("first", first).withColumn("last", last).where("first <= last")
-            .select(F.xxhash64("anchor", "part").alias("shard"), "doc_id", "variant", (F.col("at") + F.col("first")).alias("at"),
-                    (F.col("last") - F.col("first") + 1).alias("windows")))
+    anchor_at, busy = F.col("at") + F.col("ahead"), F.col("parts") > 1
+    cut = cut.withColumns({
+        "first": F.greatest(F.lit(0), F.col("ahead") - far).cast("long"),
+        "last": F.least(F.col("windows") - 1, F.col("ahead") - near).cast("long"),
+        "core_from": F.when(busy, anchor_at - near), "core_to": F.when(busy, anchor_at - far + length)})
+    return cut.where("first <= last").select(
+        F.xxhash64("anchor", "part").alias("shard"), "doc_id", "variant", (F.col("at") + F.col("first")).alias("at"),
+        (F.col("last") - F.col("first") + 1).alias("windows"), "core_from", "core_to")
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -292,11 +306,11 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
               .where("whole OR (several AND number = 1)")
               .select("whole", "anchor", "doc_id", "variant", "at", "windows", "ahead", "kinds"))
     judged = stage(spark, judged, "suffix-chunks")
-    wanted = _sharded(judged.where("NOT whole"), length - gram + 1)
+    wanted = _sharded(judged.where("NOT whole"), length, gram)
     size = wanted.agg(F.sum(F.col("windows") + length)).first()[0] or 0
     repeats = judged.where("whole").select("doc_id", "variant", "at", "windows")
     if size:
-        listed = wanted.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("shard", "at", "windows")).alias("wanted"))
+        listed = wanted.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("shard", "at", "windows", "core_from", "core_to")).alias("wanted"))
         # A left join of the same dealt rows as below: their exchange is done once and read twice.
         taken = (dealt.join(listed, ["doc_id", "variant"], "left")
                  .mapInArrow(_take_bytes(length), "shard long, doc_id long, variant int, at long, windows long, bytes binary"))
