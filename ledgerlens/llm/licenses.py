@@ -9,6 +9,7 @@ counts), `and` is both (the strictest counts), `with` is an exception to the lic
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
@@ -38,7 +39,7 @@ FREEDOM = {"public-domain": 1.0, "cc0": 1.0, "unlicense": 1.0, "mit": 1.0, "bsd"
            "cc-by-nc": 0.2, "cc-by-nc-sa": 0.2, "cc-by-nd": 0.2, "cc-by-nc-nd": 0.1, "all-rights-reserved": 0.0}
 _SEPARATORS = bytes(b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122))
 _NORMAL = bytes.maketrans(_SEPARATORS + bytes(range(65, 91)), b" " * len(_SEPARATORS) + bytes(range(97, 123)))
-_TAG = re.compile(r"(?:spdx[^\w\n]+license[^\w\n]+identifier|licen[sc]e[^\w\n]+expression)[ \t]*[:=][ \t]*([^\n]*)", re.ASCII)
+_TAG = re.compile(r"(?:spdx[^\w\n]+license[^\w\n]+identifier|licen[sc]e[^\w\n]+expression)[ \t]*[:=]", re.ASCII)
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -111,6 +112,14 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
     return labels | ({name} if name else set()), value
 
 
+def expressions(text: str) -> Iterator[str]:
+    """What follows each tag of a lower-case text, up to the next tag or the line's end."""
+    tags = list(_TAG.finditer(text))
+    for m, limit in zip(tags, [*(m.start() for m in tags[1:]), len(text)]):
+        end = text.find("\n", m.end(), limit)
+        yield text[m.end():limit if end < 0 else end]
+
+
 @cache
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
@@ -151,8 +160,7 @@ def scan(text: str | None) -> tuple:
                 at = end - size
                 first, last = at if first is None else min(first, at), at if last is None else max(last, at)
     if tagged:
-        for m in _TAG.finditer(text.lower()):
-            got = evaluate(m[1])
+        for got in map(evaluate, expressions(text.lower())):
             if got:
                 every |= got[0]
                 freedom.append(got[1])

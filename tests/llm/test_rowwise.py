@@ -154,6 +154,16 @@ def test_expressions(expression, want):
     assert licenses.evaluate(expression) == want
 
 
+@pytest.mark.parametrize("text, want", [
+    ("SPDX-License-Identifier: MIT ... SPDX-License-Identifier: GPL-3.0-only", ("gpl,mit", 0.4)),
+    ("/* SPDX-License-Identifier: MIT */ x = 1; // License-Expression=CC-BY-NC-4.0 AND Zlib\nmit", ("cc-by-nc,mit,zlib", 0.2)),
+    ("licence expression: MIT or SPDX-License-Identifier: AGPL-3.0", ("agpl,mit", 0.3)),
+    ("SPDX-License-Identifier:\nSPDX-License-Identifier: ISC SPDX-License-Identifier:", ("isc", 1.0)),
+    ("SPDX-License-Identifier: MIT " * 3000 + "SPDX-License-Identifier: GPL-2.0", ("gpl,mit", 0.4))])
+def test_every_tag_of_a_line_is_read(text, want):
+    assert licenses.scan(text)[5:] == want
+
+
 def test_scan_of_the_corpus(corpus):
     got = licenses.licences(corpus).collect()
     assert sorted(r.n_words for r in got) == sorted(len(places(r.text)[0]) for r in corpus.collect())
