@@ -4,8 +4,9 @@
    equal windows belong to equal anchors, wherever they stand.  Consecutive windows with one anchor
    occurrence form a chunk; chunks with equal bytes around equal anchors are pre-aggregated: a later
    one repeats the first as a whole.  Anchors whose chunks are all equal need nothing more.
-2. Of each remaining anchor the first chunk of every kind goes, with its bytes, to the shard that
-   anchors are hashed to (windows of a very busy anchor are dealt by the bytes around it).  A shard's
+2. Of each remaining anchor the first chunk of every kind goes, with its bytes (once for each different
+   text under its doc_id), to the shard that anchors are hashed to (windows of a very busy anchor are
+   dealt by the bytes around it).  A shard's
    chunks are one text, whose suffixes external induced sorting puts in order with their common prefixes; windows in one run of common prefixes of `length` or more are
    equal, and all but the earliest are repeats.
 3. Repeats are merged into removed spans, document by document.
@@ -297,13 +298,16 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
     rows = (named.select("doc_id", "variant", F.col("raw").alias("text")).where(F.length("text") >= length)
             .mapInArrow(_chunk_rows(length, gram), CHUNKS))
     anchors = Window.partitionBy("anchor")
-    same = Window.partitionBy("anchor", "chunk").orderBy("doc_id", "at")
+    same = Window.partitionBy("anchor", "chunk").orderBy("doc_id", "at", "variant")
+    place = F.struct("doc_id", "at")
     judged = (rows.repartition("anchor")
-              .withColumn("place", F.rank().over(same)).withColumn("number", F.row_number().over(same))
+              .withColumn("later", place != F.first(place).over(same)).withColumn("number", F.row_number().over(same))
+              # Different texts under one doc_id may hold the first place: it goes once for each of them.
+              .withColumn("again", F.lag("variant", 1, -1).over(same) == F.col("variant"))
               .withColumn("several", F.min("chunk").over(anchors) != F.max("chunk").over(anchors))
-              .withColumn("whole", F.col("whole") | (F.col("place") > 1))
+              .withColumn("whole", F.col("whole") | F.col("later"))
               .withColumn("kinds", F.sum((F.col("number") == 1).cast("int")).over(anchors))
-              .where("whole OR (several AND number = 1)")
+              .where("whole OR (several AND NOT again)")
               .select("whole", "anchor", "doc_id", "variant", "at", "windows", "ahead", "kinds"))
     judged = stage(spark, judged, "suffix-chunks")
     wanted = _sharded(judged.where("NOT whole"), length, gram)

@@ -80,6 +80,16 @@ def test_different_texts_under_one_id(spark):
     assert kept == sorted((d, bytes(c for c, m in zip(t.encode(), want[d, t]) if not m)) for d, t in rows)
 
 
+def test_equal_places_under_one_id(spark):
+    long = "".join(f"{i * i % 99991:05d}" for i in range(60))
+    rows = [(5, long + "one end"), (5, long + "another end"), (5, long), (5, long), (2, "head" + long[37:231] + "tail"), (7, long[9:])]
+    got = suffixdedup.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = removed(rows, 100)
+    assert all(any(want[d, t]) for d, t in rows if d != 2)
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == sorted(
+        (d, bytes(c for c, m in zip(t.encode(), want[d, t]) if not m)) for d, t in rows)
+
+
 def test_segments_of_long_texts(spark, monkeypatch):
     rng = np.random.default_rng(5)
     letters = "".join(rng.choice(list("abcdefgh"), 3000))
