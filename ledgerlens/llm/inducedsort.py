@@ -7,7 +7,7 @@ move to disk when `memory` tuples are held: since each queue is filled in order,
 the priority queue of the scan.  Recursion on the seeds' names has too large an alphabet for that and
 uses a heap with sorted runs on disk, unless the names fit in memory.
 
-Common prefixes are carried up to `cap`.  Two neighbours in a queue share one symbol more than the
+Common prefixes are carried up to `cap`, in as many bytes as it needs.  Two neighbours in a queue share one symbol more than the
 least common prefix between the tuples that induced them.
 """
 
@@ -333,8 +333,8 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarr
 class Queues:
     """256 first-in-first-out queues of (position, common prefix), on disk above `memory` tuples."""
 
-    def __init__(self, scratch: Scratch):
-        self.scratch, self.held = scratch, 0
+    def __init__(self, scratch: Scratch, kind: np.dtype):
+        self.scratch, self.kind, self.held = scratch, kind, 0
         self.parts = [[] for _ in range(256)]  # arrays, or (file, offset) once written
         self.ends = [[] for _ in range(256)]  # tuples up to the end of each part
 
@@ -354,7 +354,7 @@ class Queues:
                 if k < len(parts):
                     at, shared = (np.concatenate(x) for x in zip(*parts[k:]))
                     parts[k:], ends[k:] = [(path, f.tell())], ends[-1:]
-                    f.write(at.astype(np.int64).tobytes() + shared.tobytes())
+                    f.write(at.astype(np.int64).tobytes() + shared.astype(self.kind, copy=False).tobytes())
         self.held = 0
 
     def count(self, byte: int) -> int:
@@ -372,8 +372,9 @@ class Queues:
                 with open(where, "rb") as f:
                     f.seek(offset + 8 * (low - begin))
                     at = np.frombuffer(f.read(8 * (stop - low)), np.int64)
-                    f.seek(offset + 8 * (ends[k] - begin) + low - begin)
-                    got.append((at, np.frombuffer(f.read(stop - low), np.uint8)))
+                    wide = self.kind.itemsize
+                    f.seek(offset + 8 * (ends[k] - begin) + wide * (low - begin))
+                    got.append((at, np.frombuffer(f.read(wide * (stop - low)), self.kind)))
             else:
                 got.append((where[low - begin:stop - begin], offset[low - begin:stop - begin]))
             low, k = stop, k + 1
@@ -385,7 +386,9 @@ class _Scan:
 
     def __init__(self, text: np.ndarray, into: Queues, cap: int, induces: Callable):
         self.text, self.into, self.cap, self.induces = text, into, cap, induces
-        self.least = np.full(256, 255, np.uint8)  # least common prefix since the last push to each queue
+        self.kind = into.kind
+        self.most = np.iinfo(self.kind).max
+        self.least = np.full(256, self.most, self.kind)  # least common prefix since the last push to each queue
         self.started = np.zeros(256, bool)
 
     def take(self, at: np.ndarray, shared: np.ndarray, rising: bool) -> None:
@@ -408,7 +411,7 @@ class _Scan:
         def least(low, high):
             """Least of shared[low..high], high not before low."""
             level = np.frexp((high - low + 1).astype(np.float64))[1] - 1
-            out = np.empty(len(low), np.uint8)
+            out = np.empty(len(low), self.kind)
             for k in np.unique(level):
                 i = level == k
                 out[i] = np.minimum(table[k][low[i]], table[k][high[i] - (1 << int(k)) + 1])
@@ -423,7 +426,7 @@ class _Scan:
         got = least(low, place)
         heads = byte[first]
         got[first] = np.minimum(got[first], self.least[heads])
-        value = np.minimum(got.astype(np.int64) + 1, self.cap).astype(np.uint8)
+        value = np.minimum(got.astype(np.int64) + 1, self.cap).astype(self.kind)
         firsts = np.flatnonzero(first)
         value[firsts[~self.started[heads]]] = 0
         source = at[place] - 1
@@ -433,7 +436,7 @@ class _Scan:
         self.started[heads] = True
         np.minimum(self.least, shared.min(), out=self.least)
         tail = place[ends - 1] + 1
-        rest = np.full(len(heads), 255, np.uint8)
+        rest = np.full(len(heads), self.most, self.kind)
         inside = tail < len(shared)
         if inside.any():
             rest[inside] = least(tail[inside], np.full(int(inside.sum()), len(shared) - 1))
@@ -451,7 +454,7 @@ def sorted_suffixes(scratch: Scratch, text: np.ndarray, cap: int = 255) -> Itera
     n = len(text)
     if not n:
         return
-    cap = min(cap, 255)
+    kind = np.min_scalar_type(cap)
     seed = seeds(scratch, text)
     rank, different = names(scratch, text, seed)
     order = scratch.array(len(seed), np.int64)
@@ -461,23 +464,23 @@ def sorted_suffixes(scratch: Scratch, text: np.ndarray, cap: int = 255) -> Itera
     elif len(seed):
         order = suffix_order(scratch, rank)
     # The seeds in order, with their common prefixes, in one queue for each first byte.
-    ready = Queues(scratch)
+    ready = Queues(scratch, kind)
     before = -1
     for b in blocks(len(order), 1 << 18):
         at = seed[order[b]]
         left = np.append(before, at[:-1])
-        shared = common(text, np.where(left < 0, n, left), at, cap).astype(np.uint8)
+        shared = common(text, np.where(left < 0, n, left), at, cap).astype(kind)
         first = text[at]
         cuts = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
         for a, e in zip(cuts, np.append(cuts[1:], len(at))):
             ready.push(int(first[a]), at[a:e], shared[a:e])
         before = int(at[-1])
-    falling = Queues(scratch)
+    falling = Queues(scratch, kind)
     scan = _Scan(text, falling, cap, lambda left, here, _: left >= here)
-    falling.push(int(text[n - 1]), np.array([n - 1]), np.zeros(1, np.uint8))  # induced by the end of the text
+    falling.push(int(text[n - 1]), np.array([n - 1]), np.zeros(1, kind))  # induced by the end of the text
     scan.started[text[n - 1]] = True
     scan.least[:] = 0
-    first_of = np.zeros(1, np.uint8)
+    first_of = np.zeros(1, kind)
     for byte in range(256):
         done = 0
         while done < falling.count(byte):  # what it induces with the same byte comes at its own end
@@ -488,8 +491,8 @@ def sorted_suffixes(scratch: Scratch, text: np.ndarray, cap: int = 255) -> Itera
         joint = _joint(text, falling, ready, byte, cap)
         for part in blocks(ready.count(byte)):
             at, shared = ready.part(byte, part.start, part.stop)
-            scan.take(at, shared if part.start else np.append(np.uint8(joint), shared[1:]), True)
-    rising = Queues(scratch)
+            scan.take(at, shared if part.start else np.append(kind.type(joint), shared[1:]), True)
+    rising = Queues(scratch, kind)
     scan = _Scan(text, rising, cap, lambda left, here, up: (left < here) | ((left == here) & up))
     for byte in range(255, -1, -1):
         done = 0
@@ -501,7 +504,7 @@ def sorted_suffixes(scratch: Scratch, text: np.ndarray, cap: int = 255) -> Itera
         follows = _joint(text, falling, rising, byte, cap, last=True)
         for part in reversed(list(blocks(falling.count(byte)))):
             at, shared = falling.part(byte, part.start, part.stop)
-            scan.take(at[::-1], np.append(np.uint8(follows), shared[:0:-1]), False)
+            scan.take(at[::-1], np.append(kind.type(follows), shared[:0:-1]), False)
             follows = shared[0]
     for byte in range(256):
         for part in blocks(falling.count(byte)):
@@ -511,7 +514,7 @@ def sorted_suffixes(scratch: Scratch, text: np.ndarray, cap: int = 255) -> Itera
         follows = _joint(text, falling, rising, byte, cap, last=True)
         for part in reversed(list(blocks(rising.count(byte)))):
             at, shared = rising.part(byte, part.start, part.stop)
-            yield at[::-1], np.append(np.uint8(follows), shared[:0:-1])
+            yield at[::-1], np.append(kind.type(follows), shared[:0:-1])
             follows = shared[0]
 
 

@@ -90,6 +90,31 @@ def test_equal_places_under_one_id(spark):
         (d, bytes(c for c, m in zip(t.encode(), want[d, t]) if not m)) for d, t in rows)
 
 
+@pytest.mark.parametrize("memory", [64, 1 << 20])
+@pytest.mark.parametrize("cap", [255, 256, 700, 70_000])
+def test_long_prefixes_are_carried(cap, memory):
+    rng = np.random.default_rng(cap)
+    text = rng.integers(0, 3, 400).astype(np.uint8)
+    text = np.concatenate([text, text[50:], np.zeros(600, np.uint8), text])
+    raw = text.tobytes()
+    order = sorted(range(len(raw)), key=lambda i: raw[i:])
+    shared = [0] + [min(cap, next((n for n in range(len(raw)) if raw[a + n:a + n + 1] != raw[b + n:b + n + 1]))) for a, b in zip(order, order[1:])]
+    with inducedsort.Scratch(memory) as scratch:
+        got = list(inducedsort.sorted_suffixes(scratch, text, cap))
+    assert [int(x) for a, _ in got for x in a] == order
+    assert [int(x) for _, b in got for x in b] == shared
+
+
+def test_long_repeats_inside_differing_chunks(spark):
+    long = "".join(f"{i * i % 99991:05d}" for i in range(400))
+    rows = [(0, "ahead " + long[300:1500] + " behind"), (1, long), (2, "x" + long[611:1100])]
+    got = suffixdedup.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), length=400).collect()
+    want = removed(rows, 400)
+    assert any(want[1, long])
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == sorted(
+        (d, bytes(c for c, m in zip(t.encode(), want[d, t]) if not m)) for d, t in rows)
+
+
 def test_segments_of_long_texts(spark, monkeypatch):
     rng = np.random.default_rng(5)
     letters = "".join(rng.choice(list("abcdefgh"), 3000))
