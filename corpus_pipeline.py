@@ -27,14 +27,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates the document with the smallest doc_id.
 
-    Rows without doc_id belong to no group and stay; of rows with one doc_id, one stays.
+    Rows without doc_id belong to no group and stay.  Of rows with one doc_id, one stays for every
+    group whose smallest doc_id it is: the one with the smallest text, then the smallest other columns.
     """
     reach(spark)
-    chosen = simhash.near_duplicates(spark, docs).where("doc_id = component_id").select("doc_id")
-    chosen = stage(spark, chosen, "simhash-chosen")
-    kept = docs.join(chosen.distinct(), "doc_id", "left_semi")
-    if chosen.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
+    found = stage(spark, simhash.grouped(spark, docs).where("doc_id IS NOT NULL"), "simhash-found")
+    chosen = found.where("doc_id = component_id")
+    kept = docs.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.limit(1).count():
+        keep = ("text", *(c for c in docs.columns if c != "text"))
+        rows = simhash.fingerprints(kept.join(repeated, "doc_id", "left_semi"), keep=keep)
+        one = (rows.join(chosen.select("doc_id", "bits", "group_id").distinct(), ["doc_id", "bits"])
+               .groupBy("doc_id", "group_id").agg(F.min(F.struct(*renamed(keep))).alias("row")))
+        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(one.select("row.*"))
     if docs.where("doc_id IS NULL").limit(1).count():
         kept = kept.unionByName(docs.where("doc_id IS NULL"))
     return kept.select(*docs.columns)

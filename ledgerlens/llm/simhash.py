@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, stage
+from .common import carried, slices, stage
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -53,17 +53,19 @@ def fingerprint(raw: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, bits long) for every row; texts without words, and null, have bits 0."""
+def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, bits long) for every row, and the columns `keep`; texts without words, and null, have bits 0."""
+    columns, types = carried(documents, keep)
 
     def rows(batches):
         for batch in slices(batches):
             bits = [fingerprint(x.encode(), shingle_words) if x else 0 for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(bits, np.uint64).view(np.int64))], ["doc_id", "bits"])
+                [batch.column("doc_id"), pa.array(np.array(bits, np.uint64).view(np.int64)), *batch.columns[2:]],
+                ["doc_id", "bits", *batch.schema.names[2:]])
 
-    plain = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInArrow(rows, "doc_id long, bits long")
+    plain = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *columns)
+    return plain.mapInArrow(rows, "doc_id long, bits long" + types)
 
 
 class Forest:
@@ -174,17 +176,34 @@ def links(spark: SparkSession, kept: DataFrame, budget: int = MAXIMUM_BITS, unit
     return dealt.groupBy("top", "unit").applyInArrow(_unit(depth, budget), "a long, b long")
 
 
+def _groups(spark: SparkSession, prints: DataFrame, maximum_bits: int) -> DataFrame:
+    """(bits, group_id, component_id) of every fingerprint: a label of its group, and the group's smallest doc_id."""
+    kept = stage(spark, prints.where("doc_id IS NOT NULL").groupBy("bits").agg(F.min("doc_id").alias("node")), "simhash-kept")
+    if not kept.groupBy("node").count().where("count > 1").limit(1).count():
+        found = components(spark, links(spark, kept, maximum_bits), "simhash")
+        label = F.coalesce("component", "node")
+        return kept.join(found, "node", "left").select("bits", label.alias("group_id"), label.alias("component_id"))
+    # Different texts under one doc_id: the doc_id does not link what they are near to, so nodes are fingerprints.
+    found = components(spark, links(spark, kept.select("bits", F.col("bits").alias("node")), maximum_bits), "simhash")
+    labelled = stage(spark, kept.join(found.withColumnRenamed("node", "bits"), "bits", "left")
+                     .select("bits", F.coalesce("component", "bits").alias("group_id"), "node"), "simhash-labelled")
+    return labelled.join(labelled.groupBy("group_id").agg(F.min("node").alias("component_id")), "group_id").drop("node")
+
+
+def grouped(spark: SparkSession, documents: DataFrame, shingle_words: int = SHINGLE_WORDS,
+            maximum_bits: int = MAXIMUM_BITS) -> DataFrame:
+    """(doc_id, bits, group_id, component_id) for every row; group_id tells groups with one smallest doc_id apart."""
+    prints = stage(spark, fingerprints(documents, shingle_words), "simhash-prints")
+    return (prints.join(_groups(spark, prints, maximum_bits), "bits", "left")
+            .select("doc_id", "bits", *(F.when(F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("group_id", "component_id"))))
+
+
 def near_duplicates(spark: SparkSession, documents: DataFrame, shingle_words: int = SHINGLE_WORDS,
                     maximum_bits: int = MAXIMUM_BITS) -> DataFrame:
     """(doc_id, bits, component_id) for every row.
 
     Null and empty texts have bits 0 and are linked like any other.  Repeated rows come back as often
-    as they came.  A row without doc_id gets its bits and a null component_id and links nothing.
+    as they came; different texts under one doc_id each belong to the group of what they are near to.
+    A row without doc_id gets its bits and a null component_id and links nothing.
     """
-    prints = stage(spark, fingerprints(documents, shingle_words), "simhash-prints")
-    kept = stage(spark, prints.where("doc_id IS NOT NULL").groupBy("bits").agg(F.min("doc_id").alias("node")), "simhash-kept")
-    found = components(spark, links(spark, kept, maximum_bits), "simhash")
-    classes = (kept.join(found, "node", "left")
-               .select("bits", F.coalesce("component", "node").alias("component_id")))
-    return (prints.join(classes, "bits", "left")
-            .select("doc_id", "bits", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+    return grouped(spark, documents, shingle_words, maximum_bits).drop("group_id")

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import corpus_pipeline
+from ledgerlens.llm import simhash
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,17 @@ def test_stages_keep_columns_and_their_work_takes_effect(spark, corpus, folder):
     assert all(r.n_chars == len(r.text) for r in docs.collect() if r.doc_id is not None)
 
 
+def test_texts_under_one_id_are_judged_each(spark, folder):
+    prose = [" ".join(f"{k}w{i * i * k % 997}" for i in range(300)) for k in (3, 5, 7, 11)]
+    near = [t + " end" for t in prose]
+    rows = [(5, prose[0]), (5, prose[1]), (5, prose[1]), (5, prose[2]), (5, near[2]), (2, near[1]), (6, near[0]), (7, prose[3]), (8, near[2]), (None, prose[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.simhash_near_dedup(spark, docs, folder).collect()), key=str)
+    assert got == sorted([(5, prose[0]), (2, near[1]), (5, prose[2]), (7, prose[3]), (None, prose[3])], key=str)
+    groups = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(spark, docs).collect()}
+    assert groups == {(5, 5), (5, 2), (2, 2), (6, 5), (7, 7), (8, 5), (None, None)}
+
+
 def test_run_and_empty_input(spark, folder, nothing):
     assert {"doc_id", "sequence_id", "offset", "ids_crc32"} <= set(corpus_pipeline.run(spark, folder).columns)
     for name, step in corpus_pipeline.STAGES:
