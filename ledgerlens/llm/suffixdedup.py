@@ -246,15 +246,15 @@ def _remove(length: int, as_text: bool):
     return rows
 
 
-def _numbered(documents: DataFrame) -> DataFrame:
-    """Adds variant: 0, or the number of the text among different texts under one doc_id."""
+def _numbered(documents: DataFrame) -> tuple[DataFrame, bool]:
+    """Adds variant: 0, or the number of the text among different texts under one doc_id; and whether a doc_id repeats."""
     repeated = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if not repeated.limit(1).count():
-        return documents.withColumn("variant", F.lit(0))
+        return documents.withColumn("variant", F.lit(0)), False
     kinds = (documents.join(repeated.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.sha2("raw", 256).alias("hash")).distinct()
              .withColumn("variant", F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))))
     return (documents.withColumn("hash", F.sha2("raw", 256)).join(kinds, ["doc_id", "hash"], "left")
-            .withColumn("variant", F.coalesce("variant", F.lit(0))).drop("hash"))
+            .withColumn("variant", F.coalesce("variant", F.lit(0))).drop("hash")), True
 
 
 def _sharded(wanted: DataFrame, length: int, gram: int) -> DataFrame:
@@ -291,23 +291,22 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, length: int = LENG
     """
     columns, types = carried(documents, keep)
     docs = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("raw"), *columns)
-    docs = _numbered(docs)
+    docs, variants = _numbered(docs)
     # All columns travel on both readings, so that the exchange is the same.
     dealt = docs.repartition("doc_id")
     named = docs.where("doc_id IS NOT NULL")
     rows = (named.select("doc_id", "variant", F.col("raw").alias("text")).where(F.length("text") >= length)
             .mapInArrow(_chunk_rows(length, gram), CHUNKS))
     anchors = Window.partitionBy("anchor")
-    same = Window.partitionBy("anchor", "chunk").orderBy("doc_id", "at", "variant")
-    place = F.struct("doc_id", "at")
+    same = Window.partitionBy("anchor", "chunk").orderBy("doc_id", "at")
+    # Different texts under one doc_id may share the first place: it goes once for each of them.
+    first = F.row_number().over(Window.partitionBy("anchor", "chunk", "variant").orderBy("doc_id", "at")) if variants else F.col("number")
     judged = (rows.repartition("anchor")
-              .withColumn("later", place != F.first(place).over(same)).withColumn("number", F.row_number().over(same))
-              # Different texts under one doc_id may hold the first place: it goes once for each of them.
-              .withColumn("again", F.lag("variant", 1, -1).over(same) == F.col("variant"))
+              .withColumn("place", F.rank().over(same)).withColumn("number", F.row_number().over(same)).withColumn("first", first)
               .withColumn("several", F.min("chunk").over(anchors) != F.max("chunk").over(anchors))
-              .withColumn("whole", F.col("whole") | F.col("later"))
+              .withColumn("whole", F.col("whole") | (F.col("place") > 1))
               .withColumn("kinds", F.sum((F.col("number") == 1).cast("int")).over(anchors))
-              .where("whole OR (several AND NOT again)")
+              .where("whole OR (several AND first = 1)")
               .select("whole", "anchor", "doc_id", "variant", "at", "windows", "ahead", "kinds"))
     judged = stage(spark, judged, "suffix-chunks")
     wanted = _sharded(judged.where("NOT whole"), length, gram)
