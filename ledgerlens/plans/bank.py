@@ -55,11 +55,6 @@ def bank(spark: SparkSession, sf_dir: str, fixed_weights: bool = True) -> "Bank"
     return _BANKS[key]
 
 
-def forget() -> None:
-    """Drop all remembered stages, so that the next use computes them again (bench, tests)."""
-    _BANKS.clear()
-
-
 class Bank:
     features_cfg, aml_cfg, risk_cfg = FEATURES_T, AML_T, RISK_T
     cases_cfg, monitor_cfg = CASES_T, MONITOR_T
@@ -74,9 +69,23 @@ class Bank:
         return self.publish_all(banking.banking_tables(self.spark, self.sf_dir))
 
     @cached_property
+    def validation_report(self) -> DataFrame:
+        return self.publish("validation_report", quality.report(self.tables))
+
+    @cached_property
+    def refusal(self) -> Exception | None:
+        """What the validation gate says against these tables; asked once, whatever it says."""
+        try:
+            quality.gate(self.validation_report)
+        except ValueError as error:
+            return error
+        return None
+
+    @property
     def admitted(self) -> dict:
         """The tables behind the validation gate: later stages refuse invalid input."""
-        quality.gate(self.publish("validation_report", quality.report(self.tables)))
+        if self.refusal is not None:
+            raise self.refusal
         return self.tables
 
     @cached_property

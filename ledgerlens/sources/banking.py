@@ -122,7 +122,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("channel"),
         _choose(event % 8, CATEGORIES).alias("merchant_category"),
         "merchant_country",
-        F.col("value").alias("amount"),
+        # an event worth nothing is booked as the smallest amount
+        F.when(F.col("value") == 0, 0.01).otherwise(F.col("value")).alias("amount"),
         _choose(F.col("c_nationkey") % 5, ["GBP", "USD", "EUR", "JPY", "CHF"]).alias("currency"),
         (F.col("merchant_key") != F.col("ip_key")).alias("is_cross_border"),
         F.when((kind == "error") & (F.col("k") % 4 == 0), "Declined")

@@ -67,7 +67,8 @@ transactions AS (
          CASE event_type WHEN 'click' THEN 'Mobile App' WHEN 'view' THEN 'Online Banking'
               WHEN 'signup' THEN 'Branch' WHEN 'purchase' THEN 'POS' ELSE 'ATM' END AS channel,
          {choose('event_id % 8', CATEGORIES)} AS merchant_category,
-         n_name AS merchant_country, value AS amount,
+         n_name AS merchant_country,
+         CASE WHEN value = 0 THEN CAST(0.01 AS DOUBLE) ELSE value END AS amount,
          {choose('c_nationkey % 5', ['GBP', 'USD', 'EUR', 'JPY', 'CHF'])} AS currency,
          k % 25 <> CASE WHEN (user_id * 4 + k % 4) % 5 = 0 THEN (user_id * 4 + k % 4) % 25
                         ELSE c_nationkey END AS is_cross_border,
