@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.workspace import fresh_folder
 
-from . import bpe, hilbert, licenses, maxscore, merges, quality, rules, simhash, suffixdedup, wavelet
+from . import (bestposition, bpe, dialogue, hilbert, jaccardjoin, licenses, maxscore, merges, quality, rules, simhash,
+               suffixdedup, wavelet)
 from .common import documents, reach
 
 
@@ -73,8 +74,23 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dialogue.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    found = dialogue.repair(spark, rows)
+    digests = found.messages.where("role IS NULL").select(F.col("conv_id").alias("c"), F.col("sha256").alias("repaired_sha256"))
+    return found.conversations.join(digests, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+
+
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestposition.rank(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccardjoin.join(spark, documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_files, op3_quality_rules, op4_packing, op5_maxscore,
                                    op6_suffix_dedup, op7_quality_classifier, op8_token_counts, op9_byte_bpe,
-                                   op10_simhash_dedup)}
+                                   op10_simhash_dedup, op11_conversation_repair, op12_best_position, op13_jaccard_join)}
 #: DuckDB SQL where it can express the query.
-SQL: dict[str, str] = {"op5_maxscore": maxscore.SQL}
+SQL: dict[str, str] = {"op5_maxscore": maxscore.SQL, "op12_best_position": bestposition.SQL}
