@@ -3,14 +3,16 @@
 1 - |a & b| / |a | b| is a metric, so a pivot's distances bound those between other documents.
 
 Who can be near to anyone at all: shingles are put in one order, rare ones first.  Two sets that are
-near enough share at least SHARED shingles of their first few in that order (as many as may differ, and SHARED more).
-Documents that share fewer of them with the rest are out before any set is moved.
+near enough share at least SHARED shingles of their heads: their first few in that order, as many as
+may differ and SHARED more.  Documents that share fewer with the rest are out before any set is moved.
+Two heads also give a least distance of their sets, so whole sets move only where that allows a link.
 
-Pivots: of all documents that share one of these shingles, the first is the pivot; each document learns its
-distances to its pivots, and is linked to those near enough.  Any two linked documents share a
-shingle and with it a pivot, so they meet in that pivot's region.  There the triangle inequality
-says who is needed: two documents linked to the pivot are connected already, and a document outside can only be
-linked to those whose distance to the pivot differs by no more than the allowed one.
+Pivots: of all documents that share a shingle of their heads, the first is the pivot; each document
+learns its distances to its pivots (or a least distance, where that rules a link out) and is linked
+to those near enough.  Any two linked documents share a shingle and with it a pivot, so they meet in
+that pivot's region.  There the triangle inequality says who is needed: two documents linked to one
+pivot are connected already, and a document outside can only be linked to those whose distance to
+the pivot is no more than the allowed one below its own.
 
 A region too large for a task is cut again: pivots of its own create Voronoi regions, a document goes
 to its nearest pivot, and as a guest to those that are at most twice the allowed distance further
@@ -25,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, SpanHashes, mixed, reach, slices, stage
+from .common import BLANKS, SpanHashes, mixed, ragged, reach, slices, stage
 from .components import components
 from .simhash import Forest
 
 SHINGLE_WORDS = 3
 PERCENT = 90  # of the union that two linked sets share
-SHARED = 4
+SHARED = 16
 SAMPLE_ROWS = 8000  # documents, about, whose shingles say which are frequent; that affects speed only
 LISTED = 1 << 18  # frequent shingles known to every task
 REGION_SHINGLES = 2 << 20  # of the documents of a region that one task joins
@@ -137,17 +139,18 @@ def _linked(common: Column, n: Column, m: Column, percent: int) -> Column:
 
 
 class _Members:
-    """Documents of one unit: sets laid end to end."""
+    """Documents of one unit: their sets, or the heads of them, laid end to end; `n` is the size of the set."""
 
-    def __init__(self, sizes: np.ndarray, keys: np.ndarray, core: np.ndarray, home: np.ndarray, half: np.ndarray):
-        self.n, self.keys, self.core, self.home, self.half = sizes, keys, core, home, half
-        self.ends = np.cumsum(sizes)
-        self.starts = self.ends - sizes
+    def __init__(self, keys: pa.ListArray, n: np.ndarray, core: np.ndarray, home: np.ndarray, half: np.ndarray):
+        self.n, self.core, self.home, self.half = n, core, home, half
+        self.held = keys.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.keys = keys.flatten().to_numpy(zero_copy_only=False)
+        self.ends = np.cumsum(self.held)
+        self.starts = self.ends - self.held
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = self.n[which]
-        at = np.arange(int(n.sum())) + np.repeat(self.starts[which] - (np.cumsum(n) - n), n)
-        return self.keys[at], np.repeat(np.arange(len(which)), n)
+        held = self.held[which]
+        return self.keys[ragged(self.starts[which], held)], np.repeat(np.arange(len(which)), held)
 
 
 def _common(members: _Members, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -173,8 +176,8 @@ def _common(members: _Members, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _compare(members: _Members, a: np.ndarray, b: np.ndarray, home: np.ndarray, percent: int, forest: Forest) -> None:
-    """Link members a with members b; blocks whose members are connected already, or differ too much in size, are skipped."""
+def _pairs(members: _Members, a: np.ndarray, b: np.ndarray, home: np.ndarray, percent: int, forest: Forest | None = None):
+    """Blocks of members a and b with the pairs to look at: near enough in size and not connected already."""
     a, b = (x[np.argsort(members.n[x], kind="stable")] for x in (a, b))
     for i in range(0, len(a), _LEAF):
         one = a[i:i + _LEAF]
@@ -182,19 +185,26 @@ def _compare(members: _Members, a: np.ndarray, b: np.ndarray, home: np.ndarray,
         near = b[(100 * members.n[b] >= percent * low) & (100 * high >= percent * members.n[b])]
         for j in range(0, len(near), _LEAF):
             other = near[j:j + _LEAF]
-            roots = forest.roots(np.append(one, other))
-            open_ = roots[:len(one), None] != roots[None, len(one):]
+            if forest is None:
+                open_ = one[:, None] != other[None, :]
+            else:
+                roots = forest.roots(np.append(one, other))
+                open_ = roots[:len(one), None] != roots[None, len(one):]
             open_ &= (members.core[one][:, None] < 0) | (members.core[one][:, None] != members.core[other][None, :])
             open_ &= home[one][:, None] | home[other][None, :]
             open_ &= (members.half[one][:, None] < 0) | (members.half[one][:, None] != members.half[other][None, :])
             rows, columns = open_.any(axis=1), open_.any(axis=0)
-            if not rows.any():
-                continue
-            one_, other_ = one[rows], other[columns]
-            common = _common(members, one_, other_)
-            union = members.n[one_][:, None] + members.n[other_][None, :] - common
-            x, y = np.nonzero((100 * common >= percent * union) & open_[np.ix_(rows, columns)])
-            forest.link(one_[x], other_[y])
+            if rows.any():
+                yield one[rows], other[columns], open_[np.ix_(rows, columns)]
+
+
+def _compare(members: _Members, a: np.ndarray, b: np.ndarray, home: np.ndarray, percent: int, forest: Forest) -> None:
+    """Link members a with members b, whole sets at hand."""
+    for one, other, open_ in _pairs(members, a, b, home, percent, forest):
+        common = _common(members, one, other)
+        union = members.n[one][:, None] + members.n[other][None, :] - common
+        x, y = np.nonzero((100 * common >= percent * union) & open_)
+        forest.link(one[x], other[y])
 
 
 def _join(members: _Members, which: np.ndarray, home: np.ndarray, percent: int, forest: Forest) -> None:
@@ -225,30 +235,59 @@ def _join(members: _Members, which: np.ndarray, home: np.ndarray, percent: int,
                 todo.append((which[part], own))
 
 
+def _each(table: pa.Table):
+    """The units of a bucket: unit, nodes, members."""
+    table = table.sort_by([("unit", "ascending"), ("node", "ascending")]).combine_chunks()
+    unit = table.column("unit").to_numpy()
+    edges = np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit))
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = table.slice(low, high - low)
+        core = np.unique(part.column("core").fill_null(0).to_numpy(), return_inverse=True)[1]
+        members = _Members(part.column("keys").combine_chunks(), part.column("n").to_numpy(),
+                           np.where(part.column("core").is_null().to_numpy(), -1, core),
+                           part.column("home").to_numpy(), part.column("half").to_numpy())
+        yield unit[low], part.column("node").to_numpy(), members
+
+
 def _units(percent: int):
     """Join every unit of a bucket; links form a spanning forest of each."""
     def links(table: pa.Table) -> pa.Table:
-        out = []
-        table = table.sort_by([("unit", "ascending"), ("node", "ascending")]).combine_chunks()
-        unit = table.column("unit").to_numpy()
-        edges = np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit))
-        for low, high in zip(edges[:-1], edges[1:]):
-            part = table.slice(low, high - low)
-            lists = part.column("keys").combine_chunks()
-            core = part.column("core").fill_null(-1).to_numpy()
-            core = np.where(part.column("core").is_null().to_numpy(), -1, np.unique(core, return_inverse=True)[1])
-            members = _Members(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy(),
-                               core, part.column("home").to_numpy(), part.column("half").to_numpy())
-            nodes, forest = part.column("node").to_numpy(), Forest(high - low)
-            _join(members, np.arange(high - low), members.home, percent, forest)
-            root = forest.roots(np.arange(high - low))
-            linked = root != np.arange(high - low)
+        out = [pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})]
+        for _, nodes, members in _each(table):
+            forest = Forest(len(nodes))
+            _join(members, np.arange(len(nodes)), members.home, percent, forest)
+            root = forest.roots(np.arange(len(nodes)))
+            linked = root != np.arange(len(nodes))
             out.append(pa.table({"a": nodes[linked], "b": nodes[root[linked]]}))
         return pa.concat_tables(out)
 
     return links
 
 
+def _hopeful(percent: int):
+    """Of every unit the members whose heads allow a link to another one that they aren't connected with."""
+    def rows(table: pa.Table) -> pa.Table:
+        out = [pa.table({"origin": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})]
+        origins = dict(zip(table.column("unit").to_pylist(), table.column("origin").to_pylist()))
+        for unit, nodes, members in _each(table):
+            hope = np.zeros(len(nodes), bool)
+            last = members.keys[members.ends - 1]
+            for one, other, open_ in _pairs(members, np.arange(len(nodes)), np.arange(len(nodes)), members.home, percent):
+                common = _common(members, one, other)
+                # shingles up to the end of the shorter head are all known; of those beyond, all may be equal
+                known = [np.stack([np.searchsorted(members.of(x[k:k + 1])[0], np.minimum(last[x[k]], last[y]), side="right")
+                                   for k in range(len(x))]) for x, y in ((one, other), (other, one))]
+                most = common + np.minimum(members.n[one][:, None] - known[0], members.n[other][None, :] - known[1].T)
+                union = members.n[one][:, None] + members.n[other][None, :] - most
+                x, y = np.nonzero((100 * most >= percent * union) & open_)
+                hope[one[x]] = True
+                hope[other[y]] = True
+            out.append(pa.table({"origin": np.full(int(hope.sum()), origins[unit]), "node": nodes[hope]}))
+        return pa.concat_tables(out)
+
+    return rows
+
+
 # -- across tasks -------------------------------------------------------------------------------
 
 
@@ -275,14 +314,14 @@ def _cut(spark: SparkSession, large: DataFrame, level: int, percent: int) -> tup
     return parts, links
 
 
-def _blocks(members: DataFrame, region_shingles: int) -> DataFrame:
+def _blocks(members: DataFrame, region_shingles: int, *keep: str) -> DataFrame:
     """Units of what no pivot divides: all members of two blocks meet in one unit, those of one block in another."""
     blocks = F.ceil(F.col("size") * 2 / region_shingles)
     dealt = (members.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
     one, two = F.least("block", "other"), F.greatest("block", "other")
     half = F.when(one == two, F.lit(-1).cast("long")).otherwise(F.col("block"))
-    return dealt.select(F.xxhash64("unit", one, two, F.lit(-1)).alias("unit"), "node", "n", "core", "home", half.alias("half"), "keys")
+    return dealt.select(F.xxhash64("unit", one, two, F.lit(-1)).alias("unit"), "node", "n", "core", "home", half.alias("half"), "keys", *keep)
 
 
 def _region_links(spark: SparkSession, members: DataFrame, percent: int, region_shingles: int) -> DataFrame:
@@ -316,51 +355,82 @@ def _region_links(spark: SparkSession, members: DataFrame, percent: int, region_
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(8, -(-total // region_shingles))
     links = (rows.withColumn("bucket", F.pmod(F.xxhash64("unit", F.lit(7)), F.lit(buckets))).groupBy("bucket")
-             .applyInArrow(_bucket(percent), "a long, b long"))
+             .applyInArrow(_units(percent), "a long, b long"))
     for more in found:
         links = links.unionByName(more)
     return links
 
 
-def _bucket(percent: int):
-    units = _units(percent)
-
-    def links(table: pa.Table) -> pa.Table:
-        return units(table.drop_columns(["bucket"]))
-
-    return links
+def _whole_sets(spark: SparkSession, documents: DataFrame, reps: DataFrame, nodes: DataFrame, made, label: str) -> DataFrame:
+    """(node, n, keys): the whole sets of some nodes, made from their texts again."""
+    chosen = reps.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "n", "one", "two")
+    texts = _plain(documents).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = texts.mapInArrow(made, _SCHEMA).join(chosen, ["doc_id", "n", "one", "two"]).select("node", "n", "keys")
+    return stage(spark, sets.dropDuplicates(["node"]), label)
 
 
 def links(spark: SparkSession, documents: DataFrame, reps: DataFrame, listed: np.ndarray, width: int = SHINGLE_WORDS,
           percent: int = PERCENT, shared: int = SHARED, region_shingles: int = REGION_SHINGLES) -> DataFrame:
-    """Links (a, b) between nodes that connect all sets near enough; `reps` has node, doc_id, n, one, two and first keys."""
+    """Links (a, b) between nodes that connect all sets near enough; `reps` has node, doc_id, n, one, two and keys (heads)."""
     entries = reps.select("node", "n", F.explode("keys").alias("key"))
     known = entries.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
     hits = stage(spark, entries.join(known, "key"), "jaccard-hits")
-    least = F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * F.col("n") / 100) / 100)
-    alive = stage(spark, hits.groupBy("node", "n").agg(F.count(F.lit(1)).alias("times"))
-                  .where(F.col("times") >= F.least(F.lit(shared), least)).select("node"), "jaccard-alive")
+    least = F.least(F.lit(shared), F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * F.col("n") / 100) / 100))
+    alive = stage(spark, hits.groupBy("node", "n").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= least)
+                  .select("node"), "jaccard-alive")
     cells = hits.join(alive, "node", "left_semi")
     pivots = cells.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
-    stars = stage(spark, cells.join(pivots, "key").where("node <> pivot").select("node", "pivot").distinct(), "jaccard-stars")
-    chosen = reps.join(alive, "node", "left_semi").drop("keys")
-    texts = _plain(documents).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
-    made = texts.mapInArrow(_sets(listed, width, percent, shared, True), _SCHEMA)
-    sets = stage(spark, made.join(chosen, ["doc_id", "n", "one", "two"]).groupBy("node").agg(
-        F.any_value("n").alias("n"), F.any_value("keys").alias("keys")), "jaccard-sets")
-    right = sets.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("keys").alias("other"))
-    common = F.size(F.array_intersect("keys", "other")).cast("long")
-    met = (stars.join(sets, "node").join(right, "pivot").withColumn("common", common)
-           .select("pivot", "node", "n", _distance(F.col("common"), F.col("n"), F.col("m")).alias("far"),
-                   _linked(F.col("common"), F.col("n"), F.col("m"), percent).alias("linked")))
+    stars = cells.join(pivots, "key").where("node <> pivot").select("node", "pivot").distinct()
+
+    # Least distances to the pivots, from heads.
+    heads = stage(spark, reps.join(alive, "node", "left_semi").select("node", "n", "keys"), "jaccard-heads")
+    right = heads.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("keys").alias("other"))
+    end = F.least(F.element_at("keys", -1), F.element_at("other", -1))
+    most = F.size(F.array_intersect("keys", "other")) + F.least(
+        F.col("n") - F.size(F.filter("keys", lambda k: k <= end)), F.col("m") - F.size(F.filter("other", lambda k: k <= end)))
+    met = (stars.join(heads, "node").join(right, "pivot").withColumn("most", most)
+           .select("pivot", "node", "n", "m", _distance(F.col("most"), F.col("n"), F.col("m")).alias("far"),
+                   _linked(F.col("most"), F.col("n"), F.col("m"), percent).alias("near")))
     met = stage(spark, met, "jaccard-met")
-    direct = met.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    outside = met.where("NOT linked").groupBy("pivot").agg(F.min("far").alias("lo"), F.count(F.lit(1)).alias("outside"))
-    needed = (met.join(outside, "pivot").where(~F.col("linked") | (F.col("far") >= F.col("lo") - (1 - percent / 100) - _SLACK))
-              .select(F.xxhash64("pivot").alias("unit"), "node", "n", F.when(F.col("linked"), F.col("pivot")).alias("core"),
-                      F.lit(True).alias("home"), F.lit(-1).cast("long").alias("half")))
-    members = stage(spark, needed.join(sets.drop("n"), "node"), "jaccard-members")
-    return direct.unionByName(_region_links(spark, members, percent, region_shingles))
+
+    # Distances, from whole sets.
+    made = _sets(listed, width, percent, shared, True)
+    near = met.where("near").select("pivot", "node")
+    sets = _whole_sets(spark, documents, reps, near.unionByName(near.select("pivot", F.col("pivot").alias("node"))), made, "jaccard-sets")
+    common = F.size(F.array_intersect("keys", "other")).cast("long")
+    measured = (near.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("keys").alias("other")), "pivot")
+                .withColumn("common", common).select("pivot", "node", "n", _distance(F.col("common"), F.col("n"), F.col("m")).alias("far"),
+                                                     _linked(F.col("common"), F.col("n"), F.col("m"), percent).alias("linked")))
+    measured = stage(spark, measured.unionByName(met.where("NOT near").select("pivot", "node", "n", "far", F.lit(False).alias("linked"))),
+                     "jaccard-measured")
+    direct = measured.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+
+    # Regions: all outside, and those linked to the pivot that one outside may be near to.
+    homes = measured.where("linked").groupBy("node").agg(F.min_by("pivot", F.struct("far", "pivot")).alias("core"))
+    own = measured.where("linked").select(F.col("pivot").alias("node")).distinct().join(homes, "node", "left_anti")
+    homes = homes.unionByName(own.withColumn("core", F.col("node")))
+    outside = measured.where("NOT linked").groupBy("pivot").agg(F.min("far").alias("lo"), F.count(F.lit(1)).alias("outside"))
+    needed = (measured.join(outside, "pivot").where(~F.col("linked") | (F.col("far") >= F.col("lo") - (1 - percent / 100) - _SLACK)))
+    several = needed.groupBy("pivot").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("pivot")
+    needed = (needed.join(several, "pivot", "left_semi").join(homes, "node", "left")
+              .select(F.col("pivot").alias("unit"), "node", "n", "core", F.lit(True).alias("home"), F.lit(-1).cast("long").alias("half")))
+    needed = stage(spark, needed, "jaccard-needed")
+    members = stage(spark, needed.join(heads.drop("n"), "node"), "jaccard-regions")
+    held = members.withColumn("held", F.size("keys"))
+    sizes = held.groupBy("unit").agg(F.sum("held").alias("size"))
+    sized = members.join(sizes, "unit").withColumn("origin", F.col("unit"))
+    columns = ("origin", "unit", "node", "n", "core", "home", "half", "keys")
+    fit = F.col("size") <= region_shingles
+    dealt = stage(spark, sized.where(fit).select(*columns).unionByName(_blocks(sized.where(~fit), region_shingles, "origin").select(*columns)),
+                  "jaccard-dealt")
+    total = dealt.agg(F.sum(F.size("keys"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("unit", F.lit(7)), F.lit(max(8, -(-total // region_shingles))))
+    hopeful = (dealt.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_hopeful(percent), "origin long, node long")
+               .select(F.col("origin").alias("unit"), "node").distinct())
+    hopeful = stage(spark, hopeful, "jaccard-hopeful")
+    rest = _whole_sets(spark, documents, reps, hopeful, made, "jaccard-rest")
+    final = needed.join(hopeful, ["unit", "node"], "left_semi").join(rest.drop("n"), "node")
+    return direct.unionByName(_region_links(spark, stage(spark, final, "jaccard-members"), percent, region_shingles))
 
 
 def join(spark: SparkSession, documents: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT,

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import jaccardjoin, queries
@@ -107,7 +108,7 @@ def test_units_recurse():
             held.append(np.unique(keys))
     n = np.array([len(h) for h in held])
     no = np.full(len(held), -1)
-    members = jaccardjoin._Members(n, np.concatenate(held), no, np.ones(len(held), bool), no)
+    members = jaccardjoin._Members(pa.array(held, pa.list_(pa.int64())), n, no, np.ones(len(held), bool), no)
     forest = jaccardjoin.Forest(len(held))
     jaccardjoin._join(members, np.arange(len(held)), members.home, 90, forest)
     plain = jaccardjoin.Forest(len(held))
