@@ -361,46 +361,70 @@ def _region_links(spark: SparkSession, members: DataFrame, percent: int, region_
     return links
 
 
-def _whole_sets(spark: SparkSession, documents: DataFrame, reps: DataFrame, nodes: DataFrame, made, label: str) -> DataFrame:
-    """(node, n, keys): the whole sets of some nodes, made from their texts again."""
-    chosen = reps.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "n", "one", "two")
+def _whole_sets(spark: SparkSession, documents: DataFrame, chosen: DataFrame, made) -> DataFrame:
+    """(node, n, keys): the whole sets of some classes, made from their texts again."""
     texts = _plain(documents).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = texts.mapInArrow(made, _SCHEMA).join(chosen, ["doc_id", "n", "one", "two"]).select("node", "n", "keys")
-    return stage(spark, sets.dropDuplicates(["node"]), label)
+    whole = ["doc_id", "n", "one", "two"]
+    sets = texts.mapInArrow(made, _SCHEMA).join(chosen.select("node", *whole), whole).select("node", "n", "keys")
+    sets = stage(spark, sets, "jaccard-sets")
+    if sets.groupBy("node").count().where("count > 1").limit(1).count():  # repeated rows
+        sets = stage(spark, sets.dropDuplicates(["node"]), "jaccard-sets-once")
+    return sets
+
+
+def _cells(hits: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, cell): a document's shared shingles, with its own class of size and the next one.
+
+    Sets near enough are in one class of size or in neighbouring ones, so they share a cell.
+    """
+    band = F.floor(F.log("n") / float(np.log(100 / percent)) + _SLACK).cast("int")
+    return hits.withColumn("cell", F.explode(F.array(band, band + 1)))
 
 
 def links(spark: SparkSession, documents: DataFrame, reps: DataFrame, listed: np.ndarray, width: int = SHINGLE_WORDS,
           percent: int = PERCENT, shared: int = SHARED, region_shingles: int = REGION_SHINGLES) -> DataFrame:
     """Links (a, b) between nodes that connect all sets near enough; `reps` has node, doc_id, n, one, two and keys (heads)."""
+    times = F.count(F.lit(1)).alias("times")
     entries = reps.select("node", "n", F.explode("keys").alias("key"))
-    known = entries.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
+    known = entries.groupBy("key").agg(times).where("times > 1").select("key")
     hits = stage(spark, entries.join(known, "key"), "jaccard-hits")
     least = F.least(F.lit(shared), F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * F.col("n") / 100) / 100))
-    alive = stage(spark, hits.groupBy("node", "n").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= least)
+    enough = hits.groupBy("node", "n").agg(times).where(F.col("times") >= least).select("node")
+    cells = _cells(hits.join(enough, "node", "left_semi"), percent)
+    met = stage(spark, cells.join(cells.groupBy("key", "cell").agg(times).where("times > 1").drop("times"), ["key", "cell"]), "jaccard-cells")
+    alive = stage(spark, met.select("key", "node", "n").distinct().groupBy("node", "n").agg(times).where(F.col("times") >= least)
                   .select("node"), "jaccard-alive")
-    cells = hits.join(alive, "node", "left_semi")
-    pivots = cells.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
-    stars = cells.join(pivots, "key").where("node <> pivot").select("node", "pivot").distinct()
-
-    # Least distances to the pivots, from heads.
-    heads = stage(spark, reps.join(alive, "node", "left_semi").select("node", "n", "keys"), "jaccard-heads")
-    right = heads.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("keys").alias("other"))
+    cells = met.join(alive, "node", "left_semi")
+    first = F.min(F.struct("node", F.col("n").alias("m"))).alias("first")
+    pivots = (cells.groupBy("key", "cell").agg(first, times).where("times > 1")
+              .select("key", "cell", F.col("first.node").alias("pivot"), F.col("first.m").alias("m")))
+    stars = stage(spark, cells.join(pivots, ["key", "cell"]).where("node <> pivot").select("node", "n", "pivot", "m").distinct(), "jaccard-stars")
+
+    # Least distances to the pivots, from sizes and heads.
+    chosen = stage(spark, reps.join(alive, "node", "left_semi"), "jaccard-heads")
+    heads = chosen.select("node", "keys")
+    shorter, longer = F.least("n", "m"), F.greatest("n", "m")
+    alike = 100 * shorter >= percent * longer
+    led = stars.where(alike).select(F.col("pivot").alias("node")).distinct()
+    right = heads.join(led, "node", "left_semi").select(F.col("node").alias("pivot"), F.col("keys").alias("other"))
     end = F.least(F.element_at("keys", -1), F.element_at("other", -1))
     most = F.size(F.array_intersect("keys", "other")) + F.least(
         F.col("n") - F.size(F.filter("keys", lambda k: k <= end)), F.col("m") - F.size(F.filter("other", lambda k: k <= end)))
-    met = (stars.join(heads, "node").join(right, "pivot").withColumn("most", most)
+    met = (stars.where(alike).join(heads, "node").join(right, "pivot").withColumn("most", most.cast("long"))
            .select("pivot", "node", "n", "m", _distance(F.col("most"), F.col("n"), F.col("m")).alias("far"),
                    _linked(F.col("most"), F.col("n"), F.col("m"), percent).alias("near")))
-    met = stage(spark, met, "jaccard-met")
+    met = stage(spark, met.unionByName(stars.where(~alike).select(
+        "pivot", "node", "n", "m", (1 - shorter / longer).alias("far"), F.lit(False).alias("near"))), "jaccard-met")
 
     # Distances, from whole sets.
-    made = _sets(listed, width, percent, shared, True)
-    near = met.where("near").select("pivot", "node")
-    sets = _whole_sets(spark, documents, reps, near.unionByName(near.select("pivot", F.col("pivot").alias("node"))), made, "jaccard-sets")
+    sets = _whole_sets(spark, documents, chosen, _sets(listed, width, percent, shared, True))
+    near = met.where("near").select("pivot", "m", "node", "n")
+    led = near.select(F.col("pivot").alias("node")).distinct()
+    right = sets.join(led, "node", "left_semi").select(F.col("node").alias("pivot"), F.col("keys").alias("other"))
     common = F.size(F.array_intersect("keys", "other")).cast("long")
-    measured = (near.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("keys").alias("other")), "pivot")
-                .withColumn("common", common).select("pivot", "node", "n", _distance(F.col("common"), F.col("n"), F.col("m")).alias("far"),
-                                                     _linked(F.col("common"), F.col("n"), F.col("m"), percent).alias("linked")))
+    measured = (near.join(sets.drop("n"), "node").join(right, "pivot").withColumn("common", common)
+                .select("pivot", "node", "n", _distance(F.col("common"), F.col("n"), F.col("m")).alias("far"),
+                        _linked(F.col("common"), F.col("n"), F.col("m"), percent).alias("linked")))
     measured = stage(spark, measured.unionByName(met.where("NOT near").select("pivot", "node", "n", "far", F.lit(False).alias("linked"))),
                      "jaccard-measured")
     direct = measured.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
@@ -411,13 +435,12 @@ def links(spark: SparkSession, documents: DataFrame, reps: DataFrame, listed: np
     homes = homes.unionByName(own.withColumn("core", F.col("node")))
     outside = measured.where("NOT linked").groupBy("pivot").agg(F.min("far").alias("lo"), F.count(F.lit(1)).alias("outside"))
     needed = (measured.join(outside, "pivot").where(~F.col("linked") | (F.col("far") >= F.col("lo") - (1 - percent / 100) - _SLACK)))
-    several = needed.groupBy("pivot").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("pivot")
+    several = needed.groupBy("pivot").agg(times).where("times > 1").select("pivot")
     needed = (needed.join(several, "pivot", "left_semi").join(homes, "node", "left")
               .select(F.col("pivot").alias("unit"), "node", "n", "core", F.lit(True).alias("home"), F.lit(-1).cast("long").alias("half")))
     needed = stage(spark, needed, "jaccard-needed")
-    members = stage(spark, needed.join(heads.drop("n"), "node"), "jaccard-regions")
-    held = members.withColumn("held", F.size("keys"))
-    sizes = held.groupBy("unit").agg(F.sum("held").alias("size"))
+    members = needed.join(heads.withColumn("held", F.size("keys")), "node")
+    sizes = needed.join(heads.select("node", F.size("keys").alias("held")), "node").groupBy("unit").agg(F.sum("held").alias("size"))
     sized = members.join(sizes, "unit").withColumn("origin", F.col("unit"))
     columns = ("origin", "unit", "node", "n", "core", "home", "half", "keys")
     fit = F.col("size") <= region_shingles
@@ -428,8 +451,7 @@ def links(spark: SparkSession, documents: DataFrame, reps: DataFrame, listed: np
     hopeful = (dealt.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_hopeful(percent), "origin long, node long")
                .select(F.col("origin").alias("unit"), "node").distinct())
     hopeful = stage(spark, hopeful, "jaccard-hopeful")
-    rest = _whole_sets(spark, documents, reps, hopeful, made, "jaccard-rest")
-    final = needed.join(hopeful, ["unit", "node"], "left_semi").join(rest.drop("n"), "node")
+    final = needed.join(hopeful, ["unit", "node"], "left_semi").join(sets.drop("n"), "node")
     return direct.unionByName(_region_links(spark, stage(spark, final, "jaccard-members"), percent, region_shingles))
 
 
