@@ -34,8 +34,8 @@ from .simhash import Forest
 SHINGLE_WORDS = 3
 PERCENT = 90  # of the union that two linked sets share
 SHARED = 16
-SAMPLE_ROWS = 8000  # documents, about, whose shingles say which are frequent; that affects speed only
-LISTED = 1 << 18  # frequent shingles known to every task
+SAMPLE_SHARE = 0.125  # of the documents, whose shingles say which are frequent; that affects speed only
+LISTED = 1 << 20  # frequent shingles known to every task, at most
 REGION_SHINGLES = 2 << 20  # of the documents of a region that one task joins
 PIVOTS = 16
 _LEAF = 64
@@ -73,8 +73,8 @@ def _plain(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def frequent(documents: DataFrame, width: int = SHINGLE_WORDS, rows: int = SAMPLE_ROWS, most: int = LISTED) -> np.ndarray:
-    """Order keys, by hash, of at most `most` shingles that occur more than once in about `rows` documents.
+def frequent(documents: DataFrame, width: int = SHINGLE_WORDS, share: float = SAMPLE_SHARE, most: int = LISTED) -> np.ndarray:
+    """Order keys, by hash, of at most `most` shingles that occur more than once in a share of the documents.
 
     They rank behind all other shingles.  Any list gives the same results.
     """
@@ -82,7 +82,7 @@ def frequent(documents: DataFrame, width: int = SHINGLE_WORDS, rows: int = SAMPL
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array(_shingles(batch.column("text").to_pylist(), width)[0].view(np.int64))], ["h"])
 
-    some = _plain(documents).sample(min(1.0, rows / max(1, documents.count())), 13).mapInArrow(hashes, "h long")
+    some = _plain(documents).sample(share, 13).mapInArrow(hashes, "h long")
     found = (some.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "h").limit(most)).toArrow()
     h = found.column("h").to_numpy().view(np.uint64)
     level = np.minimum(15, np.log2(np.maximum(found.column("n").to_numpy(), 1)).astype(np.uint64))
