@@ -5,8 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import differs, flag, member, truthy
 from ..settings import FEATURES, LABEL_COLUMNS
 from . import sweep
-from .joins import first_per_key, lookup, require_unique
-from .sweep import NONE, HotKeys
+from .joins import crowded, first_per_key, lookup, require_unique
 
 ELEVATED_SIGNALS = ["Medium", "Elevated"]
 
@@ -55,10 +54,10 @@ def _against_average(prior_sum, prior_count):
     return F.coalesce(ratio, F.lit(1.0))
 
 
-def _account_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
+def _account_side(df: DataFrame, cfg: dict) -> DataFrame:
     money = sweep.money(F.col("amount"))
     line = sweep.unfold(df, "account_id", "transaction_timestamp", "transaction_id",
-                        {"velocity": sweep.hours(cfg["velocity_window_hours"])}, hot, ["amount"])
+                        {"velocity": sweep.hours(cfg["velocity_window_hours"])}, ["amount"])
     line.scan({"acc_rows": (F.lit(1), None), "acc_sum": (money, None),
                "acc_n": (F.lit(1), "velocity"), "acc_amount": (money, "velocity")})
     return line.fold().select(
@@ -70,13 +69,13 @@ def _account_side(df: DataFrame, cfg: dict, hot: HotKeys) -> DataFrame:
         .alias("transaction_amount_account_24h"))
 
 
-def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys, source: DataFrame) -> DataFrame:
+def _customer_side(df: DataFrame, cfg: dict, source: DataFrame) -> DataFrame:
     """All customer-level history in one timeline: one exchange, several passes over it."""
     money = sweep.money(F.col("amount"))
     line = sweep.unfold(
         df, "customer_id", "transaction_timestamp", "transaction_id",
         {"velocity": sweep.hours(cfg["velocity_window_hours"]),
-         "behaviour": sweep.days(cfg["behaviour_window_days"])}, hot,
+         "behaviour": sweep.days(cfg["behaviour_window_days"])},
         ["amount", "merchant_country", "merchant_category", "device_id", "is_cross_border",
          "transaction_status"], source)
     line.appearances("merchant_country", ["behaviour"])
@@ -112,19 +111,18 @@ def _customer_side(df: DataFrame, cfg: dict, hot: HotKeys, source: DataFrame) ->
         F.col("_mark_device_id_None").cast("bigint").alias("new_device_flag"))
 
 
-def history(df: DataFrame, cfg: dict = FEATURES, hot_customers: HotKeys = NONE,
-            hot_accounts: HotKeys = NONE) -> DataFrame:
+def history(df: DataFrame, cfg: dict = FEATURES) -> DataFrame:
     """Prior averages, velocity, distinct counts, conditional counts, rapid flag, device novelty."""
-    return _customer_side(_account_side(df, cfg, hot_accounts), cfg, hot_customers, df)
+    return _customer_side(_account_side(df, cfg), cfg, df)
 
 
 def session_context(df: DataFrame, sessions: DataFrame, customers: DataFrame,
-                    hot_customers: HotKeys = NONE) -> DataFrame:
+                    crowded_customers: DataFrame | None = None) -> DataFrame:
     """Session and home-country context; a missing country counts as a mismatch."""
     context = first_per_key(sessions.select("session_id", "ip_country", "session_risk_signal"),
                             "session_id", ["ip_country", "session_risk_signal"])
     home = customers.select("customer_id", F.col("country").alias("customer_country"))
-    joined = lookup(lookup(df, context, "session_id"), home, "customer_id", hot_customers,
+    joined = lookup(lookup(df, context, "session_id"), home, "customer_id", crowded_customers,
                     F.col("transaction_id"))
     home_country = F.col("customer_country")
     return joined.withColumns({
@@ -151,22 +149,22 @@ def channels(df: DataFrame, cfg: dict = FEATURES) -> DataFrame:
     })
 
 
-def hot_keys(transactions: DataFrame) -> dict:
-    """Both skew probes of the transaction table (counts only)."""
-    time_us = F.unix_micros(F.col("transaction_timestamp").cast("timestamp"))
-    return {"hot_customers": sweep.find_hot_keys(transactions, "customer_id", time_us),
-            "hot_accounts": sweep.find_hot_keys(transactions, "account_id", time_us)}
+def crowded_keys(transactions: DataFrame) -> dict:
+    """Customers and accounts with very many transactions (counts only), for lookups."""
+    return {"crowded_customers": crowded(transactions, "customer_id"),
+            "crowded_accounts": crowded(transactions, "account_id")}
 
 
-def transaction_features(tables: dict, cfg: dict = FEATURES, hot_customers: HotKeys = NONE,
-                         hot_accounts: HotKeys = NONE, check: bool = True) -> DataFrame:
+def transaction_features(tables: dict, cfg: dict = FEATURES,
+                         crowded_customers: DataFrame | None = None,
+                         check: bool = True) -> DataFrame:
     """The feature table without any label column."""
     base = prepare(tables["transactions"], check)
     if check:
         require_unique(tables["customers"], "customer_id", "customers")
         require_unique(base, "transaction_id", "transactions")
-    df = history(base, cfg, hot_customers, hot_accounts)
-    df = session_context(df, tables["device_sessions"], tables["customers"], hot_customers)
+    df = history(base, cfg)
+    df = session_context(df, tables["device_sessions"], tables["customers"], crowded_customers)
     return channels(geography(monetary(calendar(df, cfg), cfg), cfg), cfg)
 
 

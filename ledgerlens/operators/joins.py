@@ -1,10 +1,8 @@
-"""Lookup joins: checked keys, first row per key, and salting of hot keys."""
+"""Lookup joins: checked keys, first row per key, and salting of crowded keys."""
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .sweep import NONE, HotKeys
-
-SALT = 64
+from . import sweep
 
 
 def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
@@ -32,20 +30,31 @@ def require_unique(df: DataFrame, key: str, name: str) -> DataFrame:
     return df
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, hot: HotKeys = NONE,
+def crowded(df: DataFrame, key: str) -> DataFrame | None:
+    """(key, parts) of the keys with more rows than one task should join, or None without any.
+
+    They are at most as many as the table has times that number of rows.
+    """
+    rows = sweep.SEGMENT_ROWS
+    if df.count() <= rows:
+        return None
+    found = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+             .where(F.col("_rows") > rows))
+    return found.select(key, F.ceil(F.col("_rows") / rows).alias("_parts"))
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, crowded_keys: DataFrame | None = None,
            spread: Column | None = None) -> DataFrame:
     """Left join to a table with unique ``key``.
 
-    Rows of the hot keys are spread over ``SALT`` tasks; only those keys are repeated on the right.
-    Whether the right side is broadcast is left to the optimizer, which checks its size.
+    Rows of crowded keys are spread over as many tasks as they need; only those keys are repeated
+    on the right.  Whether a side is broadcast is left to the optimizer, which checks its size.
     """
-    if not hot:
+    if crowded_keys is None:
         return left.join(right, key, "left")
-    values = list(hot.values)
-    is_hot = F.coalesce(F.col(key).isin(values), F.lit(False))
-    salt = F.pmod(F.xxhash64(spread if spread is not None else F.monotonically_increasing_id()),
-                  F.lit(SALT)).cast("int")
-    salted = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
-    repeated = right.withColumn("_salt", F.explode(
-        F.when(is_hot, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))))
+    parts = F.coalesce("_parts", F.lit(1))
+    salt = F.pmod(F.xxhash64(spread if spread is not None else F.monotonically_increasing_id()), parts)
+    salted = left.join(crowded_keys, key, "left").withColumn("_salt", salt).drop("_parts")
+    repeated = (right.join(crowded_keys, key, "left")
+                .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("_parts"))
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")

@@ -16,7 +16,6 @@ from . import sweep
 from .aggregates import distinct_counts
 from .features import ELEVATED_SIGNALS
 from .joins import first_per_key, lookup as lookup_join
-from .sweep import NONE, HotKeys
 
 ALERT_COLUMNS = [
     "alert_id", "transaction_id", "account_id", "customer_id", "rule_id", "rule_name",
@@ -27,8 +26,8 @@ SEVERITIES = ["low", "medium", "high", "critical"]
 _WORD = 62
 
 
-def prepare(tables: dict, features: DataFrame, hot: HotKeys = NONE,
-            hot_accounts: HotKeys = NONE) -> DataFrame:
+def prepare(tables: dict, features: DataFrame, crowded_customers: DataFrame | None = None,
+            crowded_accounts: DataFrame | None = None) -> DataFrame:
     """Transactions with session, customer, account, feature and watchlist context.
 
     An orphan customer counts as politically exposed and an orphan session as a successful login:
@@ -48,8 +47,8 @@ def prepare(tables: dict, features: DataFrame, hot: HotKeys = NONE,
     extra = features.select("transaction_id", "new_device_flag", "country_mismatch_flag")
     df = tables["transactions"].withColumn("is_cross_border", truthy(F.col("is_cross_border")))
     df = lookup_join(df, sessions, "session_id")
-    df = lookup_join(df, customers, "customer_id", hot, F.col("transaction_id"))
-    df = lookup_join(df, accounts, "account_id", hot_accounts, F.col("transaction_id"))
+    df = lookup_join(df, customers, "customer_id", crowded_customers, F.col("transaction_id"))
+    df = lookup_join(df, accounts, "account_id", crowded_accounts, F.col("transaction_id"))
     df = df.join(extra, "transaction_id", "left")
     return df.withColumns({
         "new_device_flag": F.coalesce("new_device_flag", F.lit(0)).cast("bigint"),
@@ -121,8 +120,7 @@ _CUSTOMER_RULES = {"AML002", "AML003", "AML005", "AML007", "AML010"}
 
 
 def with_history(prepared: DataFrame, cfg: dict, rules: list | None = None,
-                 books: dict | None = None, hot_customers: HotKeys = NONE,
-                 hot_accounts: HotKeys = NONE, source: DataFrame | None = None) -> DataFrame:
+                 books: dict | None = None, source: DataFrame | None = None) -> DataFrame:
     """The prior-only history that the enabled rules read, and nothing else.
 
     At most one timeline per account and one per customer, whatever the number of rules.
@@ -131,14 +129,14 @@ def with_history(prepared: DataFrame, cfg: dict, rules: list | None = None,
     df = prepared
     if "AML006" in wanted:
         line = sweep.unfold(df, "account_id", "transaction_timestamp", "transaction_id",
-                            {}, hot_accounts, [], source)
+                            {}, [], source)
         df = line.scan({}, {}, {"account_time": F.col("_at")}).fold()
     if wanted & _CUSTOMER_RULES:
-        df = _customer_history(df, cfg, wanted, books or {}, hot_customers, source)
+        df = _customer_history(df, cfg, wanted, books or {}, source)
     return df
 
 
-def _customer_history(df, cfg, wanted, books, hot, source):
+def _customer_history(df, cfg, wanted, books, source):
     rows = list(df.columns)
     money = sweep.money(F.col("amount"))
     small = F.col("amount") < float(cfg["structuring_reporting_threshold"])
@@ -163,7 +161,7 @@ def _customer_history(df, cfg, wanted, books, hot, source):
         sets["categories"] = ("merchant_category", None)
         sets["channels"] = ("channel", None)
     line = sweep.unfold(
-        df, "customer_id", "transaction_timestamp", "transaction_id", windows, hot,
+        df, "customer_id", "transaction_timestamp", "transaction_id", windows,
         ["amount", "merchant_country", "merchant_category", "channel", "is_cross_border",
          "transaction_status"], source)
     marks = {}

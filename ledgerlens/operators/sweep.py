@@ -1,4 +1,4 @@
-"""Prior-only running and trailing metrics that survive hot keys.
+"""Prior-only running and trailing metrics, whatever the keys.
 
 "Prior" means strictly earlier in (time, id) order.  A trailing window of length ``w`` also keeps
 the row that is exactly ``w`` old.  A SQL range frame re-aggregates its whole frame for every row,
@@ -12,15 +12,20 @@ Every metric is then one running total over (time, kind, id): linear, whatever t
 Distinct counts work the same way: a first pass per (key, value) marks the events at which a value
 appears in or vanishes from the window, a second pass sums those marks per key.
 
-A key that holds a large share of all rows is cut into time segments.  Totals of the earlier
-segments are pre-aggregated per (key, segment) and enter each segment as one opening row (kind -1),
-so no task ever holds more than one segment and the result is exactly that of the uncut timeline.
+Work is dealt by ranges of (key, time, id) that hold about equally many events, not by keys.  Cut
+points are every so many events of a hash sample in that order, stored as a table; a key through
+which cuts run falls into segments.  Totals of a key's earlier segments are pre-aggregated, summed
+up in a tree, and enter each segment as one opening row (kind -1).  So no task holds more than a
+range, whether a key is long, bursts at one instant or is one of very many, and the result is
+exactly that of the uncut timeline.
 """
 
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..workspace import fresh_folder
+
 # Amounts run as whole 1/10000 units (no currency has finer minor units): adding and taking off
 # leaves no residue, and totals up to 9e14 fit a long; beyond that the sum fails loudly.  So does an
 # amount with finer digits: nothing is rounded away.
@@ -45,39 +50,68 @@ _START = -(2 ** 62)  # before any time
 _NULL_SPREAD = 1024  # rows without a key are spread, their results are fixed
 
 
+SEGMENT_ROWS = 2_000_000  # events of a range, about
+_SAMPLED = 16  # sampled events per range
+_FAN = 256  # segments that one task of the tree sums up
+BROADCAST_ROWS = 500_000  # cut points, or crowded keys: some 20 MB
+
+
 @dataclass(frozen=True)
-class HotKeys:
-    """Keys to cut into segments.  Which keys are listed affects speed only, never results."""
+class Cuts:
+    """Cut points (time, phase, id) of the keys through which any run: a stored table, or none.
+
+    Where the cuts lie affects speed only, never results.
+    """
 
-    values: tuple = ()
-    segment_us: int = 1
+    table: DataFrame | None = None
+    points: int = 0
+    longest: int = 0  # cut points of one key, at most
 
     def __bool__(self):
-        return bool(self.values)
+        return self.points > 0
 
+    def beside(self, events: DataFrame, key: str, how: str) -> DataFrame:
+        table = F.broadcast(self.table) if self.points <= BROADCAST_ROWS else self.table
+        return events.join(table, key, how)
 
-NONE = HotKeys()
+    def segment(self) -> Column:
+        """How many of the key's cut points lie at or before the event: a binary search."""
+        probe = F.struct("_at", "_phase", "_id")
+        steps = [1 << b for b in reversed(range(self.longest.bit_length()))]
+        return F.aggregate(
+            F.array(*map(F.lit, steps)), F.lit(0),
+            lambda found, step: F.when(F.get("_cuts", found + step - 1) <= probe, found + step)
+            .otherwise(found))
 
 
-def find_hot_keys(df: DataFrame, key: str, time_us: Column, min_rows: int = 2_000_000,
-                  max_keys: int = 20_000) -> HotKeys:
-    """Keys with more rows than one task should sort.
+NONE = Cuts()
 
-    The threshold rises with the table, so at most ``max_keys`` keys can pass it; the list that
-    reaches the driver is bounded whatever the data.  Counting combines on the map side.
+
+def cut_points(rows: DataFrame, key: str, time: str, row_id: str, windows: dict,
+               carry: list) -> Cuts:
+    """Cut points of the events that ``rows`` unfold into.
+
+    Sampled events are range-sorted; every so many of a range give a cut point, so the number of
+    cut points follows the number of events and no key's events meet in one task.
     """
-    total = df.count()
-    threshold = max(min_rows, total // max_keys)
-    if total <= threshold:
-        return NONE
-    rows = (df.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n"), F.min(time_us).alias("lo"),
-                 F.max(time_us).alias("hi"))
-            .where(F.col("n") > threshold).collect())
-    if not rows:
+    size, kinds = SEGMENT_ROWS, 1 + len(windows)
+    if rows.count() * kinds <= size:
         return NONE
-    width = min((row["hi"] - row["lo"]) // max(1, -(-row["n"] // min_rows)) + 1 for row in rows)
-    return HotKeys(tuple(row[key] for row in rows), max(int(width), 1))
+    every = max(1, size // (_SAMPLED * kinds))
+    sample = rows.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(row_id), F.lit(every)) == 0))
+    order = [key, "_at", "_phase", "_id"]
+    ranged = (_lay_out(sample, key, time, row_id, windows, carry, []).select(*order)
+              .repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    points = (ranged.withColumn("_place", place)
+              .where(F.col("_place") % max(2, size // every) == 0)
+              .groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", "_phase", "_id")))
+                                .alias("_cuts")))
+    path = fresh_folder(rows.sparkSession, "cuts")
+    points.write.parquet(path)
+    table = rows.sparkSession.read.parquet(path)
+    found = table.agg(F.sum(F.size("_cuts")), F.max(F.size("_cuts"))).first()
+    return Cuts(table, found[0], found[1]) if found[0] else NONE
 
 
 @dataclass
@@ -91,8 +125,8 @@ class Timeline:
     events: DataFrame
     key: str
     windows: dict
-    hot: HotKeys
-    hot_events: DataFrame | None  # narrow events of the hot keys only, for segment totals
+    cuts: Cuts
+    cut_events: DataFrame | None  # narrow events of the keys that are cut, for segment totals
     values: list = field(default_factory=list)  # (column, windows) whose presence is tracked
     sums: dict = field(default_factory=dict)
     marks: dict = field(default_factory=dict)
@@ -138,24 +172,48 @@ class Timeline:
     def _presence(self, value: str, windows: list) -> dict:
         return {f"n_{value}_{w}": self._change(F.lit(1), w) for w in windows}
 
-    # -- openings of the segments of hot keys ---------------------------------------------------
+    # -- openings of the segments of keys that are cut ------------------------------------------
 
     def _segment_totals(self, by: list, sums: dict, lasts: dict) -> DataFrame:
-        """Totals per (hot key, segment), combined on the map side before the shuffle."""
+        """Totals per (key, segment), combined on the map side before the shuffle."""
         aggregates = [F.sum(change).alias(f"_d_{name}") for name, change in sums.items()]
         aggregates += [
             F.max(F.when(F.col("_kind") == 0, F.struct("_at", "_id", value.alias("v"))))
             .getField("v").alias(f"_l_{name}") for name, value in lasts.items()]
-        return self.hot_events.groupBy(*by, "_segment").agg(*aggregates)
+        return self.cut_events.groupBy(*by, "_segment").agg(*aggregates)
 
     @staticmethod
     def _before(totals: DataFrame, by: list, sums: list, lasts: list) -> DataFrame:
-        """What each segment starts from: the totals of all earlier segments of its group."""
-        earlier = (Window.partitionBy(*by).orderBy("_segment")
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        columns = {f"_o_{n}": F.coalesce(F.sum(f"_d_{n}").over(earlier), F.lit(0)) for n in sums}
-        columns |= {f"_o_{n}": F.last(f"_l_{n}", ignorenulls=True).over(earlier) for n in lasts}
-        return totals.withColumns(columns)
+        """What each segment starts from: the totals of all earlier segments of its group.
+
+        A tree of two levels: earlier segments of the same ``_FAN``, and all of the earlier ones.
+        """
+        totals = totals.withColumn("_fan", F.floor(F.col("_segment") / _FAN))
+
+        def earlier(frame: DataFrame, within: list, order: str, to: str) -> DataFrame:
+            over = (Window.partitionBy(*within).orderBy(order)
+                    .rowsBetween(Window.unboundedPreceding, -1))
+            columns = {f"_{to}_{n}": F.coalesce(F.sum(f"_d_{n}").over(over), F.lit(0))
+                       for n in sums}
+            columns |= {f"_{to}_{n}": F.last(f"_l_{n}", ignorenulls=True).over(over)
+                        for n in lasts}
+            return frame.withColumns(columns)
+
+        near = earlier(totals, [*by, "_fan"], "_segment", "n")
+        fans = totals.groupBy(*by, "_fan").agg(
+            *[F.sum(f"_d_{n}").alias(f"_d_{n}") for n in sums],
+            *[F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), F.col("_segment")))
+              .alias(f"_l_{n}") for n in lasts])
+        far = earlier(fans, by, "_fan", "f").select(
+            *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_fan").alias("_of"),
+            *[f"_f_{n}" for n in [*sums, *lasts]])
+        same = F.col("_fan") == F.col("_of")
+        for i, c in enumerate(by):
+            same &= F.col(c).eqNullSafe(F.col(f"_by_{i}"))
+        opened = {f"_o_{n}": F.col(f"_n_{n}") + F.col(f"_f_{n}") for n in sums}
+        opened |= {f"_o_{n}": F.coalesce(f"_n_{n}", f"_f_{n}") for n in lasts}
+        return near.join(far, same).withColumns(opened).select(
+            *totals.drop("_fan").columns, *opened)
 
     @staticmethod
     def _opening_rows(before: DataFrame, by: list, sums: list, lasts: list) -> DataFrame:
@@ -206,7 +264,7 @@ class Timeline:
             columns |= {f"_d_{n}": c for n, c in self._presence(value, windows).items()}
         columns |= {f"_l_{n}": F.when(F.col("_kind") == 0, v) for n, v in self.lasts.items()}
         events = self.events.withColumns(columns)
-        if self.hot:
+        if self.cuts:
             for opening in self._openings():
                 events = events.unionByName(opening, allowMissingColumns=True)
         # Hash on key and segment once; every pass below only refines that grouping.
@@ -241,7 +299,7 @@ class Timeline:
             change = (F.col(f"_mark_{spec[0]}_{spec[1]}") * self._weight(name)).cast("bigint")
             # opening rows already carry the sum of the marks before their segment
             totals[name] = F.sum(F.when(F.col("_phase") < 0, F.col(f"_d_{name}")).otherwise(change)
-                                 if self.hot else change)
+                                 if self.cuts else change)
         over = self._over()
         known = F.col(self.key).isNotNull()
         results = {f"prior_{n}": F.coalesce(total.over(over), F.lit(0))
@@ -257,8 +315,8 @@ class Timeline:
                 .select("_row.*", *out, *[F.col(mark) for mark in keep or []]))
 
 
-def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, hot: HotKeys,
-             carry: list, payload: list) -> DataFrame:
+def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, carry: list,
+             payload: list) -> DataFrame:
     base = df.select(
         F.col(key), *[F.col(c) for c in carry], F.col(row_id).alias("_id"),
         F.unix_micros(F.col(time).cast("timestamp")).alias("_t"),
@@ -274,32 +332,33 @@ def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, hot
               .withColumn("_phase", F.when(F.col("_kind") == 0, 0).otherwise(1)).drop("_t"))
     if payload:
         events = events.withColumn("_row", F.when(F.col("_kind") == 0, F.col("_row")))
-    segment = F.when(F.col(key).isNull(), F.pmod(F.xxhash64("_id"), F.lit(_NULL_SPREAD)))
-    if hot:
-        segment = segment.when(F.col(key).isin(list(hot.values)),
-                               F.floor(F.col("_at") / F.lit(hot.segment_us)))
-    return events.withColumn("_segment", segment.otherwise(F.lit(0)).cast("bigint"))
+    return events
 
 
 def unfold(df: DataFrame, key: str, time: str, row_id: str, windows: dict | None = None,
-           hot: HotKeys = NONE, carry: list | None = None,
-           source: DataFrame | None = None) -> Timeline:
+           carry: list | None = None, source: DataFrame | None = None) -> Timeline:
     """Lay the rows of every ``key`` out on a timeline.
 
     ``windows`` maps a name to a length in microseconds, or to (length, condition) when only the
-    rows that meet the condition are ever counted in it: the others need no expiry.  ``carry`` lists the input columns that
-    measures refer to: leaving events need them too; every other column travels only with the row
-    itself.  ``source`` may name a cheaper frame with the same rows (key, time, id and carried
-    columns) from which the segment totals of hot keys are taken.
+    rows that meet the condition are ever counted in it: the others need no expiry.  ``carry`` lists
+    the input columns that measures refer to: leaving events need them too; every other column
+    travels only with the row itself.  ``source`` may name a cheaper frame with the same rows (key,
+    time, id and carried columns) from which cut points and segment totals are taken.
     """
     windows = windows or {}
     carry = [c for c in (carry or []) if c != key]
-    events = _lay_out(df, key, time, row_id, windows, hot, carry, list(df.columns))
-    hot_events = None
-    if hot:
-        rows = (source if source is not None else df).where(F.col(key).isin(list(hot.values)))
-        hot_events = _lay_out(rows, key, time, row_id, windows, hot, carry, [])
-    return Timeline(events, key, windows, hot, hot_events)
+    source = df if source is None else source
+    cuts = cut_points(source, key, time, row_id, windows, carry)
+    events = _lay_out(df, key, time, row_id, windows, carry, list(df.columns))
+    spread = F.pmod(F.xxhash64("_id"), F.lit(_NULL_SPREAD)).cast("bigint")
+    cut_events, segment = None, F.lit(0).cast("bigint")
+    if cuts:
+        segment = F.coalesce(cuts.segment(), F.lit(0)).cast("bigint")
+        events = cuts.beside(events, key, "left")
+        narrow = _lay_out(source, key, time, row_id, windows, carry, [])
+        cut_events = cuts.beside(narrow, key, "inner").withColumn("_segment", segment).drop("_cuts")
+    events = events.withColumn("_segment", F.when(F.col(key).isNull(), spread).otherwise(segment))
+    return Timeline(events.drop("_cuts"), key, windows, cuts, cut_events)
 
 
 HOUR_US = 3_600_000_000

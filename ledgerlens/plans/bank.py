@@ -89,8 +89,10 @@ class Bank:
         return self.tables
 
     @cached_property
-    def hot(self) -> dict:
-        return features.hot_keys(self.tables["transactions"])
+    def crowded(self) -> dict:
+        """Keys with very many transactions, published; None without any."""
+        return {name: None if keys is None else self.publish(name, keys)
+                for name, keys in features.crowded_keys(self.tables["transactions"]).items()}
 
     def publish(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -106,7 +108,8 @@ class Bank:
     # -- lazy results (nothing published) -------------------------------------------------------
 
     def lazy_features(self) -> DataFrame:
-        return features.transaction_features(self.admitted, self.features_cfg, **self.hot)
+        return features.transaction_features(self.admitted, self.features_cfg,
+                                             self.crowded["crowded_customers"])
 
     # -- published stages -----------------------------------------------------------------------
 
@@ -129,11 +132,10 @@ class Bank:
         return rules.codebooks(self.tables["transactions"])
 
     def aml_prepared(self) -> DataFrame:
-        return rules.prepare(self.tables, self.features, self.hot["hot_customers"],
-                             self.hot["hot_accounts"])
+        return rules.prepare(self.tables, self.features, **self.crowded)
 
     def rule_history(self, only: list | None = None) -> DataFrame:
-        return rules.with_history(self.aml_prepared(), self.aml_cfg, only, self.books, **self.hot,
+        return rules.with_history(self.aml_prepared(), self.aml_cfg, only, self.books,
                                   source=self.tables["transactions"])
 
     @cached_property

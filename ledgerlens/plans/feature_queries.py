@@ -16,7 +16,7 @@ def _history(*columns):
     def query(spark, sf_dir):
         b = bank(spark, sf_dir)
         base = features.prepare(b.tables["transactions"], check=False)
-        df = features.history(base, b.features_cfg, **b.hot)
+        df = features.history(base, b.features_cfg)
         return shape(df.select("transaction_id", *columns), _AMOUNTS)
     return query
 
@@ -25,7 +25,7 @@ def _context(*columns):
     def query(spark, sf_dir):
         b = bank(spark, sf_dir)
         df = features.session_context(b.tables["transactions"], b.tables["device_sessions"],
-                                      b.tables["customers"], b.hot["hot_customers"])
+                                      b.tables["customers"], b.crowded["crowded_customers"])
         return shape(df.select("transaction_id", *columns))
     return query
 
@@ -47,10 +47,8 @@ def ft_velocity_ties(spark, sf_dir):
     """The trailing window on day-grain data, where many rows share a timestamp."""
     bank(spark, sf_dir)
     df = orders_as_transactions(spark, sf_dir)
-    time_us = F.unix_micros(F.col("transaction_timestamp").cast("timestamp"))
-    hot = sweep.find_hot_keys(df, "customer_id", time_us)
     line = sweep.unfold(df, "customer_id", "transaction_timestamp", "transaction_id",
-                        {"half_year": sweep.days(180)}, hot, ["amount", "merchant_category"])
+                        {"half_year": sweep.days(180)}, ["amount", "merchant_category"])
     line.appearances("merchant_category", ["half_year"])
     line.scan({"n": (F.lit(1), "half_year"),
                "amount": (sweep.money(F.col("amount")), "half_year")},

@@ -169,7 +169,7 @@ def dq_cardinality_join(spark, sf_dir):
         tables["customers"].select("customer_id", "country"), "customer_id", "customers")
     b = bank(spark, sf_dir)
     return shape(joins.lookup(tables["transactions"].select("transaction_id", "customer_id"),
-                              customers, "customer_id", b.hot["hot_customers"],
+                              customers, "customer_id", b.crowded["crowded_customers"],
                               F.col("transaction_id")))
 
 

@@ -157,7 +157,7 @@ def split_sink(stream: DataFrame, judge, good, bad, good_path: str, bad_path: st
 # -- prior velocity -----------------------------------------------------------------------------
 
 
-def velocity_batch(batch: DataFrame, curated: str, window_us: int, hot=sweep.NONE) -> DataFrame:
+def velocity_batch(batch: DataFrame, curated: str, window_us: int) -> DataFrame:
     """Prior-only trailing count and amount of the batch's rows.
 
     The curated table is the state: only the days that the window can reach are read, and only for
@@ -175,7 +175,7 @@ def velocity_batch(batch: DataFrame, curated: str, window_us: int, hot=sweep.NON
         old = old.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
         rows = rows.unionByName(old.withColumn("_new", F.lit(False)))
     line = sweep.unfold(rows, "customer_id", "occurred_at", "transaction_id",
-                        {"velocity": window_us}, hot, ["amount"])
+                        {"velocity": window_us}, ["amount"])
     line.scan({"n": (F.lit(1), "velocity"),
                "amount": (sweep.money(F.col("amount")), "velocity")})
     return line.fold().where("_new").select(
@@ -201,9 +201,7 @@ def prior_velocity(stream: DataFrame, folder: str, window_us: int) -> str:
             dated = dated.join(known.select("transaction_id"), "transaction_id", "left_anti")
         dated = dated.persist()
         try:
-            time_us = F.unix_micros("occurred_at")
-            hot = sweep.find_hot_keys(dated, "customer_id", time_us)
-            velocity_batch(dated, curated, window_us, hot).write.mode("overwrite").parquet(
+            velocity_batch(dated, curated, window_us).write.mode("overwrite").parquet(
                 f"{out}/batch={number}")
             append_new(dated, curated, "transaction_id", "event_date")
         finally:

@@ -75,14 +75,17 @@ def test_round_trip_through_files(spark, tables, tmp_path):
         files.load_all(spark, str(tmp_path / "nowhere"))
 
 
-def test_salted_lookup_equals_plain(spark):
+def test_salted_lookup_equals_plain(spark, monkeypatch):
     left = spark.range(500).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).otherwise(
         F.col("id") % 11).alias("k"))
     left = left.withColumn("k", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("k")))
     right = spark.range(9).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    hot = sweep.HotKeys((7,), 1)
     plain = joins.lookup(left, right, "k").select("id", "k", "v")
-    salted = joins.lookup(left, right, "k", hot, F.col("id")).select("id", "k", "v")
+    assert joins.crowded(left, "k") is None
+    monkeypatch.setattr(sweep, "SEGMENT_ROWS", 40)
+    keys = joins.crowded(left, "k")
+    assert {r.k: r._parts for r in keys.collect()}[7] == 5
+    salted = joins.lookup(left, right, "k", keys, F.col("id")).select("id", "k", "v")
     assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
 
 

@@ -45,17 +45,14 @@ def replay(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [
-    sweep.NONE,
-    sweep.HotKeys(("hot",), 1_800_000_000),
-    sweep.HotKeys(("hot", "a"), 7_000_000_000),
-    sweep.HotKeys(("hot",), 100),
-])
-def test_matches_replay(spark, hot):
+@pytest.mark.parametrize("size", [sweep.SEGMENT_ROWS, 150, 20, 2])
+def test_matches_replay(spark, monkeypatch, size):
+    monkeypatch.setattr(sweep, "SEGMENT_ROWS", size)
+    monkeypatch.setattr(sweep, "_FAN", 4)
     rows = make_rows(7)
     df = spark.createDataFrame(
         rows, "transaction_id string, k string, at timestamp_ntz, amount double, v string")
-    line = sweep.unfold(df, "k", "at", "transaction_id", {"w": WINDOW_S * 1_000_000}, hot,
+    line = sweep.unfold(df, "k", "at", "transaction_id", {"w": WINDOW_S * 1_000_000},
                         ["amount", "v"])
     line.appearances("v", ["w", None])
     line.scan({"n": (F.lit(1), "w"),
@@ -73,23 +70,64 @@ def test_matches_replay(spark, hot):
             assert r._mark_v_None == new
 
 
-def test_hot_keys_never_change_features(spark, sf):
+def test_cuts_never_change_features(spark, sf, monkeypatch):
     tables = banking.banking_tables(spark, sf)
     plain = features.transaction_features(tables, FEATURES_T)
-    customers = sweep.HotKeys((1, 2, 3, 5, 8), 86_400_000_000)
-    accounts = sweep.HotKeys((4, 5, 6, 7), 43_200_000_000)
-    cut = features.transaction_features(tables, FEATURES_T, customers, accounts)
-    assert plain.columns == cut.columns
-    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
-
-
-def test_probe_finds_only_heavy_keys(spark):
-    df = spark.range(1000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
-        (F.col("id") * 1000).alias("t"))
-    assert sweep.find_hot_keys(df, "k", F.col("t")) == sweep.NONE
-    hot = sweep.find_hot_keys(df, "k", F.col("t"), min_rows=50)
-    assert hot.values == (-1,) and 0 < hot.segment_us < 1_000_000
+    whole = sorted(map(str, plain.collect()))
+    monkeypatch.setattr(sweep, "SEGMENT_ROWS", 7)
+    cut = features.transaction_features(tables, FEATURES_T, **{
+        k: v for k, v in features.crowded_keys(tables["transactions"]).items() if k == "crowded_customers"})
+    assert plain.columns == cut.columns and sorted(map(str, cut.collect())) == whole
+
+
+STRESS = {
+    "one key holds nine tenths": lambda i: (-1 if i % 10 else i, i * 1000, i % 7),
+    "all rows at one time": lambda i: (i % 3, 5_000_000, i % 7),
+    "a burst inside a long key": lambda i: (0, 10_000_000 if 200 < i < 900 else i * 20_000, i % 5),
+}
+
+
+def stress_line(df):
+    line = sweep.unfold(df, "k", "at", "id", {"w": 3_000_000, "v": 400_000}, ["amount", "value"])
+    line.appearances("value", ["w", None])
+    line.scan({"n": (F.lit(1), "w"), "few": (F.lit(1), "v"), "s": (sweep.money(F.col("amount")), None)},
+              {"d": ("value", "w")}, {"last": F.col("_at")})
+    return line
+
+
+def shaped(df):
+    return sorted(tuple(r) for r in df.select("id", "prior_n", "prior_few", "prior_s", "prior_d", "prior_last",
+                                              "_mark_value_None").fillna(-1).collect())
+
+
+@pytest.mark.parametrize("name", STRESS)
+def test_stress_equals_the_uncut_plan(spark, monkeypatch, name):
+    rows = [(i, *STRESS[name](i), float(i % 11) + 0.25) for i in range(1500)]
+    df = (spark.createDataFrame(rows, "id long, k long, us long, value long, amount double")
+          .withColumn("at", F.timestamp_micros("us")).repartition(6))
+    want = shaped(stress_line(df).fold(keep=["_mark_value_None"]))
+    monkeypatch.setattr(sweep, "SEGMENT_ROWS", 60)
+    monkeypatch.setattr(sweep, "_FAN", 8)
+    line = stress_line(df)
+    assert line.cuts
+    # no task's share of the events is far above the size that was asked for
+    assert line.events.groupBy("k", "_segment").count().agg(F.max("count")).first()[0] <= 4 * 60
+    assert shaped(line.fold(keep=["_mark_value_None"])) == want
+
+
+def test_very_many_long_keys(spark, monkeypatch):
+    """100,000 keys that are all cut: no list of them reaches the driver or the plan."""
+    df = spark.range(300_000).select("id", (F.col("id") % 100_000).alias("k"), F.lit(1.0).alias("amount"),
+                                     F.timestamp_micros(F.col("id") * 10).alias("at"))
+    monkeypatch.setattr(sweep, "SEGMENT_ROWS", 2)
+    line = sweep.unfold(df, "k", "at", "id", {}, ["amount"])
+    assert line.cuts.table.count() > 90_000
+    folded = line.scan({"n": (F.lit(1), None)}, {}, {"t": F.col("_at")}).fold()
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and "99999" not in plan
+    wrong = folded.where((F.col("prior_n") != F.floor(F.col("id") / 100_000))
+                         | ~F.col("prior_t").eqNullSafe(F.when(F.col("id") >= 100_000, (F.col("id") - 100_000) * 10)))
+    assert wrong.count() == 0
 
 
 def test_finer_amounts_are_refused_not_rounded(spark):
