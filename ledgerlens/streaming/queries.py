@@ -4,6 +4,8 @@ Every function takes and returns streaming (or static) DataFrames; :func:`run` d
 the end of the available input and stops, which is how a scheduled incremental job runs.
 """
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -155,55 +157,149 @@ def split_sink(stream: DataFrame, judge, good, bad, good_path: str, bad_path: st
 
 
 # -- prior velocity -----------------------------------------------------------------------------
+#
+# State is two tables.  ``curated`` holds the rows by day, sorted by time.  ``tiers`` holds totals of
+# them per customer and minute, hour and day.  The window of a row that arrives in
+# minute m, w minutes long, is the earlier rows of m, the later rows of m - w, and whole minutes
+# between, which are a few days, hours and minutes of the tiers.  So a batch reads rows of its own
+# minutes and of those one window earlier, however much traffic lies between.
+
+MINUTE_US = 60_000_000
+TIERS = {"minute": 1, "hour": 60, "day": 1440}  # minutes
+
+
+def _minute(time: str):
+    return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / MINUTE_US).cast("bigint")
+
+
+def tier_totals(rows: DataFrame) -> DataFrame:
+    """Totals of rows per customer, tier and bucket: (customer_id, tier, bucket, n, units, event_date)."""
+    buckets = F.array(*[F.struct(F.lit(tier).alias("tier"), F.floor(_minute("occurred_at") / minutes).cast("bigint").alias("bucket"))
+                        for tier, minutes in TIERS.items()])
+    return (rows.select("customer_id", sweep.money(F.col("amount")).alias("units"), "event_date", F.explode(buckets).alias("b"))
+            .groupBy("customer_id", "b.tier", "b.bucket", "event_date")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("units").alias("units")))
+
+
+def tier_nodes(minutes: DataFrame, window: int) -> DataFrame:
+    """(customer_id, minute, tier, bucket): whole minutes strictly between minute - window and minute."""
+    low, high = F.col("minute") - window + 1, F.col("minute")
+
+    def span(first, last):  # first..last-1, empty if there is none
+        return F.when(first < last, F.sequence(first, last - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def up(column, size):
+        return F.ceil(column / size).cast("bigint")
+
+    def down(column, size):
+        return F.floor(column / size).cast("bigint")
+
+    # minutes up to a full hour, hours up to a full day, days, hours, minutes
+    h0, h1 = up(low, 60), down(high, 60)
+    d0, d1 = up(h0, 24), down(h1, 24)
+    nodes = {
+        "minute": F.when(h0 <= h1, F.concat(span(low, h0 * 60), span(h1 * 60, high))).otherwise(span(low, high)),
+        "hour": F.when(d0 <= d1, F.concat(span(h0, d0 * 24), span(d1 * 24, h1))).otherwise(span(h0, h1)),
+        "day": span(d0, d1)}
+
+    def named(tier):
+        return F.transform(nodes[tier], lambda b: F.struct(F.lit(tier).alias("tier"), b.alias("bucket")))
 
+    every = F.concat(*map(named, nodes))
+    return minutes.select("customer_id", "minute", F.explode(every).alias("b")).select("customer_id", "minute", "b.*")
 
-def velocity_batch(batch: DataFrame, curated: str, window_us: int) -> DataFrame:
-    """Prior-only trailing count and amount of the batch's rows.
 
-    The curated table is the state: only the days that the window can reach are read, and only for
-    customers in the batch.  The same sweep as in batch runs over both, so a busy customer is cut
-    into segments here too.
+def velocity_inputs(batch: DataFrame, curated: str, tiers: str, window_us: int,
+                    number: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """What a batch needs of the state: rows of the edge minutes, and tier totals between them.
+
+    Edges: (edge, customer_id, transaction_id, occurred_at, amount, _new), a row once for every edge
+    minute of the customer that it matters to.  Tiers: (customer_id, minute, n, units), summed.
+    What batch ``number`` itself wrote before a retry is left out.
     """
-    first = batch.agg(F.min("occurred_at").alias("m")).first()["m"]
+    if window_us % MINUTE_US:
+        raise ValueError("the window must be whole minutes")
+    spark, window = batch.sparkSession, window_us // MINUTE_US
+    asked = batch.select("customer_id", _minute("occurred_at").alias("minute")).distinct()
     rows = batch.withColumn("_new", F.lit(True))
-    if first is not None and exists(batch.sparkSession, curated):
-        reach = F.timestamp_micros(F.unix_micros(F.lit(first)) - F.lit(window_us))
-        old = batch.sparkSession.read.schema(batch.schema).parquet(curated).where(
-            (F.col("event_date") >= F.to_date(reach)) & (F.col("occurred_at") >= reach))
-        # a retried batch may already be in the table
-        old = old.join(batch.select("transaction_id"), "transaction_id", "left_anti")
-        old = old.join(batch.select("customer_id").distinct(), "customer_id", "left_semi")
+    totals = tier_totals(batch)
+    span = batch.agg(F.min(_minute("occurred_at")).alias("lo"), F.max(_minute("occurred_at")).alias("hi")).first()
+    earlier = F.lit(True) if number is None else F.col("batch") < number
+    if span["lo"] is not None and exists(spark, curated):
+        # days first, then times: files are sorted by time, so that other row groups are skipped
+        near = F.lit(False)
+        for shift in (window, 0):
+            low, high = span["lo"] - shift, span["hi"] - shift
+            near |= _days(low, high) & F.col("occurred_at").between(
+                F.lit(_moment(low)), F.lit(_moment(high + 1)))
+        old = spark.read.schema(batch.schema).parquet(curated).where(near & earlier)
         rows = rows.unionByName(old.withColumn("_new", F.lit(False)))
-    line = sweep.unfold(rows, "customer_id", "occurred_at", "transaction_id",
-                        {"velocity": window_us}, ["amount"])
-    line.scan({"n": (F.lit(1), "velocity"),
-               "amount": (sweep.money(F.col("amount")), "velocity")})
-    return line.fold().where("_new").select(
-        "transaction_id", "customer_id", "occurred_at", F.col("prior_n").alias("prior_count"),
-        sweep.amount_of(F.col("prior_amount")).alias("prior_amount"))
+    if span["lo"] is not None and exists(spark, tiers):
+        days = _days(span["lo"] - window, span["hi"])
+        stored = spark.read.schema("customer_id string, tier string, bucket bigint, n bigint, units bigint, batch bigint, event_date date")
+        old = stored.parquet(tiers).where(days & earlier)
+        totals = totals.unionByName(old.select(*totals.columns))
+    minute = _minute("occurred_at")
+    edges = (rows.withColumn("minute", F.explode(F.array(minute, minute + window)))
+             .join(asked, ["customer_id", "minute"], "left_semi")
+             .withColumn("_new", F.col("_new") & (F.col("minute") == _minute("occurred_at"))))
+    edge = F.concat_ws(":", F.col("minute").cast("string"), F.col("customer_id").cast("string"))
+    edges = edges.select(edge.alias("edge"), "customer_id", "minute", "transaction_id", "occurred_at", "amount", "_new")
+    between = (tier_nodes(asked, window).join(totals, ["customer_id", "tier", "bucket"])
+               .groupBy("customer_id", "minute").agg(F.sum("n").alias("n"), F.sum("units").alias("units")))
+    return edges, between
+
+
+def _moment(minute: int) -> dt.datetime:
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(minutes=minute)
+
+
+def _days(low: int, high: int):
+    return F.col("event_date").between(F.lit(_moment(low).date()), F.lit(_moment(high).date()))
+
+
+def velocity_batch(batch: DataFrame, curated: str, tiers: str, window_us: int,
+                   number: int | None = None) -> DataFrame:
+    """Prior-only trailing count and amount of the batch's rows, from edge rows and tier totals.
+
+    The edges run through the same sweep as in batch, so that a burst within a minute is cut too.
+    """
+    edges, between = velocity_inputs(batch, curated, tiers, window_us, number)
+    line = sweep.unfold(edges, "edge", "occurred_at", "transaction_id", {"velocity": window_us}, ["amount"])
+    line.scan({"n": (F.lit(1), "velocity"), "amount": (sweep.money(F.col("amount")), "velocity")})
+    folded = line.fold().where("_new").join(between, ["customer_id", "minute"], "left")
+    nobody = batch.where("customer_id IS NULL").select(
+        "transaction_id", "customer_id", "occurred_at", F.lit(0).cast("bigint").alias("prior_count"),
+        F.lit(0.0).alias("prior_amount"))
+    return nobody.unionByName(folded.select(
+        "transaction_id", "customer_id", "occurred_at",
+        (F.col("prior_n") + F.coalesce("n", F.lit(0))).alias("prior_count"),
+        sweep.amount_of(F.col("prior_amount") + F.coalesce("units", F.lit(0))).alias("prior_amount")))
 
 
 def prior_velocity(stream: DataFrame, folder: str, window_us: int) -> str:
-    """Online velocity: compute the batch's rows against the curated table, then extend it.
+    """Online velocity: compute the batch's rows against the state, then extend it.
 
     The stream carries transaction_id, customer_id, occurred_at and amount.  A transaction counts
     once however often it is delivered: repeats inside a batch and of earlier batches are left out
-    (a curated row remembers its batch, so a retried batch does not take its own rows for repeats).
+    (state remembers its batch, so a retried batch does not take its own rows for repeats).  Rows
+    without a customer have no history.
     """
-    curated, out = f"{folder}/curated", f"{folder}/velocity"
+    curated, tiers, out = f"{folder}/curated", f"{folder}/tiers", f"{folder}/velocity"
 
     def write(batch, number):
+        spark = batch.sparkSession
         dated = batch.dropDuplicates(["transaction_id"]).withColumns(
             {"event_date": F.to_date("occurred_at"), "batch": F.lit(number).cast("bigint")})
-        if exists(batch.sparkSession, curated):
-            known = batch.sparkSession.read.schema(dated.schema).parquet(curated).where(
+        if exists(spark, curated):
+            known = spark.read.schema(dated.schema).parquet(curated).where(
                 _day_span(dated, "event_date") & (F.col("batch") < number))
             dated = dated.join(known.select("transaction_id"), "transaction_id", "left_anti")
         dated = dated.persist()
         try:
-            velocity_batch(dated, curated, window_us).write.mode("overwrite").parquet(
+            velocity_batch(dated, curated, tiers, window_us, number).write.mode("overwrite").parquet(
                 f"{out}/batch={number}")
-            append_new(dated, curated, "transaction_id", "event_date")
+            extend_state(dated, curated, tiers, number)
         finally:
             dated.unpersist()
 
@@ -211,6 +307,23 @@ def prior_velocity(stream: DataFrame, folder: str, window_us: int) -> str:
     return out
 
 
+def extend_state(dated: DataFrame, curated: str, tiers: str, number: int) -> None:
+    """Add a batch's rows and totals; what a lost attempt of it wrote already is not written again."""
+    totals = tier_totals(dated).withColumn("batch", F.lit(number).cast("bigint"))
+    _append_rows(totals, tiers, ["tier", "bucket", "customer_id"], ["event_date", "bucket"], number)
+    _append_rows(dated, curated, ["transaction_id"], ["occurred_at"], number)
+
+
+def _append_rows(rows: DataFrame, path: str, key: list, order: list, number: int) -> None:
+    if exists(rows.sparkSession, path):
+        known = rows.sparkSession.read.schema(rows.schema).parquet(path).where(
+            _day_span(rows, "event_date") & (F.col("batch") == number))
+        rows = rows.join(known.select(*key), key, "left_anti")
+    # a task writes a range of time: few files a day, and statistics that skip the rest
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode("append").partitionBy("event_date").parquet(path)
+
+
 def replay_range(events: DataFrame, start: str, end: str) -> DataFrame:
     """An explicit time range of the captured events, for reprocessing."""
     return events.where((F.col("occurred_at") >= F.lit(start).cast("timestamp"))

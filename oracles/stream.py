@@ -53,9 +53,10 @@ hops AS (SELECT account_id, amount, date_trunc('minute', transaction_timestamp)
     "sm_enrich": sql(RAW, select="""SELECT event_id, CAST(g.customer_id AS VARCHAR) AS customer_id, CAST(g.account_id AS VARCHAR) AS account_id,
         c.country AS customer_country, kyc_status, pep_flag, account_status FROM good g
         LEFT JOIN customers c ON c.customer_id = g.customer_id LEFT JOIN accounts a ON a.account_id = g.account_id"""),
-    "sm_prior_velocity": """SELECT t.event_id AS transaction_id, COUNT(p.event_id) AS prior_count, round(COALESCE(SUM(p.value), 0), 4) AS prior_amount
-        FROM (SELECT * FROM events WHERE value > 0) t
-        LEFT JOIN (SELECT * FROM events WHERE value > 0) p ON p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 24 HOURS
+    "sm_prior_velocity": """WITH paid AS (SELECT *, CASE WHEN value = 0 THEN CAST(0.01 AS DOUBLE) ELSE value END AS amount FROM events WHERE value >= 0)
+        SELECT t.event_id AS transaction_id, COUNT(p.event_id) AS prior_count, round(COALESCE(SUM(p.amount), 0), 4) AS prior_amount
+        FROM paid t
+        LEFT JOIN paid p ON p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 24 HOURS
           AND (p.ts < t.ts OR (p.ts = t.ts AND p.event_id < t.event_id)) GROUP BY t.event_id""",
     "sm_replay": """SELECT 'AML-' || upper(substr(sha256('AML001|' || event_id), 1, 16)) AS alert_id, CAST(event_id AS VARCHAR) AS transaction_id,
         CAST(user_id AS VARCHAR) AS customer_id, value AS amount FROM events WHERE value > 200""",

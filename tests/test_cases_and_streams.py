@@ -140,6 +140,52 @@ def test_online_velocity_equals_batch_over_deliveries(spark, sf, tmp_path):
     assert {k: v for k, v in want.items() if k in got} == got and len(got) == len(want)
 
 
+def _velocity_rows(spark, rows):
+    return (spark.createDataFrame(rows, "transaction_id bigint, customer_id string, occurred_at timestamp, amount double")
+            .withColumns({"event_date": F.to_date("occurred_at"), "batch": F.lit(0).cast("bigint")}))
+
+
+def test_tiered_state_equals_a_scan(spark, tmp_path):
+    """Minutes, hours and days of the window's middle, edges on both sides, ties, late and repeated rows."""
+    import random
+    pick, t0 = random.Random(9), dt.datetime(2025, 3, 1)
+    rows = [(i, pick.choice(["A", "B", None]), t0 + dt.timedelta(seconds=pick.choice([1, 30, 60]) * pick.randrange(9000)),
+             round(pick.uniform(1, 90), 2)) for i in range(900)]
+    rows += [(1000 + i, "A", t0 + dt.timedelta(days=2), 1.0) for i in range(5)]
+    pick.shuffle(rows)
+    window = dt.timedelta(hours=50)
+    folder, source, seen, want = str(tmp_path / "v"), str(tmp_path / "in"), [], {}
+    for start in range(0, len(rows), 300):
+        part = rows[start:start + 300]
+        _velocity_rows(spark, part + part[:20] + seen[:20]).drop("event_date", "batch").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("transaction_id bigint, customer_id string, occurred_at timestamp, amount double").parquet(source)
+        out = queries.prior_velocity(stream, folder, sweep.hours(50))
+        seen += part
+        for i, customer, at, _ in part:
+            prior = [r for r in seen if customer is not None and r[1] == customer and r[2] >= at - window and (r[2], r[0]) < (at, i)]
+            want[i] = (len(prior), round(sum(r[3] for r in prior), 2))
+    got = {r.transaction_id: (r.prior_count, round(r.prior_amount, 2)) for r in spark.read.parquet(out).collect()}
+    assert got == want
+
+
+def test_rows_read_do_not_depend_on_the_windows_traffic(spark, tmp_path):
+    t0 = dt.datetime(2025, 3, 2, 12)
+    batch = _velocity_rows(spark, [(1, "A", t0, 5.0), (2, "B", t0, 5.0)])
+    sizes = []
+    for traffic in (10, 3000):
+        curated, tiers = str(tmp_path / f"c{traffic}"), str(tmp_path / f"t{traffic}")
+        middle = _velocity_rows(spark, [(10 + i, "AB"[i % 2], t0 - dt.timedelta(hours=2, seconds=i % 9000), 1.0) for i in range(traffic)])
+        queries.extend_state(middle, curated, tiers, 0)
+        queries.extend_state(middle, curated, tiers, 0)  # a retry of the same batch adds nothing
+        assert spark.read.parquet(curated).count() == traffic
+        edges, _ = queries.velocity_inputs(batch, curated, tiers, sweep.hours(24))
+        nodes = queries.tier_nodes(batch.select("customer_id", queries._minute("occurred_at").alias("minute")), 1440)
+        sizes.append((edges.count(), nodes.count()))
+        got = queries.velocity_batch(batch, curated, tiers, sweep.hours(24)).collect()
+        assert [r.prior_count for r in got] == [traffic // 2] * 2
+    assert sizes[0] == sizes[1] and sizes[0][0] == 2 and sizes[0][1] <= 2 * 164
+
+
 def test_replay_adds_nothing_twice(spark, tmp_path):
     path = str(tmp_path / "alerts")
     rows = spark.range(50).select(F.col("id").cast("string").alias("alert_id"),
