@@ -9,7 +9,7 @@ counts), `and` is both (the strictest counts), `with` is an exception to the lic
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import ahocorasick
@@ -85,14 +85,31 @@ def postfix(tokens: list[str]) -> list[str] | None:
     return out + waiting[::-1]
 
 
+def longest(tokens: Iterable[str]) -> list[str]:
+    """The longest beginning that is a whole expression: one pass, up to the first token that can't go on."""
+    seen, whole, depth, operand = [], 0, 0, True
+    for t in tokens:
+        if t == ")":
+            if operand or not depth:
+                break
+            depth -= 1
+        elif (t in _BINDS) == operand:  # an operator where an operand is due, or the other way round
+            break
+        elif t == "(":
+            depth += 1
+        else:
+            operand = not operand
+        seen.append(t)
+        if not operand and not depth:
+            whole = len(seen)
+    return seen[:whole]
+
+
 def evaluate(expression: str) -> tuple[set[str], float] | None:
     """Labels that an expression names and its freedom; trailing words that don't continue it are left."""
-    tokens = _TOKEN.findall(expression.lower())
-    for end in range(len(tokens), 0, -1):
-        order = postfix(tokens[:end])
-        if order is not None:
-            break
-    else:
+    tokens = longest(m.group() for m in _TOKEN.finditer(expression.lower()))
+    order = postfix(tokens)
+    if order is None:
         return None
     labels: set[str] = set()
     stack: list[tuple[float, str | None]] = []

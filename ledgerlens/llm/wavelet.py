@@ -37,14 +37,19 @@ class WaveletMatrix:
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
         kind = np.uint16 if bits <= 16 else np.uint32
         v, zeros, planes, ranks = values.astype(kind), [], [], []
+        below = np.empty_like(v)
+        words = np.zeros(-(-len(v) // BLOCK) * (BLOCK // 64), np.uint64)  # a plane, filled up to whole blocks
         for k in range(bits - 1, -1, -1):
             bit = (v & kind(1 << k)) != 0
-            planes.append(np.packbits(bit))
-            zeros.append(int(len(v) - np.count_nonzero(bit)))
-            padded = np.zeros(-(-len(v) // BLOCK) * BLOCK, bool)
-            padded[:len(v)] = bit
-            ranks.append(np.concatenate([[0], np.cumsum(np.count_nonzero(padded.reshape(-1, BLOCK), axis=1))]).astype(np.uint32))
-            v = np.concatenate([v[~bit], v[bit]])
+            plane = np.packbits(bit)
+            words.view(np.uint8)[:len(plane)] = plane
+            ones = np.bitwise_count(words).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
+            ranks.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(ones, dtype=np.uint32)]))
+            planes.append(plane)
+            zeros.append(len(v) - int(ranks[-1][-1]))
+            np.compress(bit, v, out=below[zeros[-1]:])
+            np.compress(np.logical_not(bit, out=bit), v, out=below[:zeros[-1]])
+            v, below = below, v
         return cls(len(values), zeros, planes, ranks)
 
     def _bit(self, k: int, i: np.ndarray) -> np.ndarray:
@@ -100,13 +105,31 @@ class WaveletMatrix:
             raise IndexError("no such occurrence")
         i = which + (self._descend(value, [0])[0] if len(which) else 0)
         for k in range(len(self.planes) - 1, -1, -1):
-            bits = np.unpackbits(self.planes[k], count=self.n).astype(bool)
-            if (value >> (len(self.planes) - 1 - k)) & 1:
-                i = np.flatnonzero(bits)[i - self.zeros[k]]
-            else:
-                i = np.flatnonzero(~bits)[i]
+            one = (value >> (len(self.planes) - 1 - k)) & 1
+            i = self._place(k, i - self.zeros[k] if one else i, one)
         return i
 
+    def _place(self, k: int, which: np.ndarray, one: int) -> np.ndarray:
+        """Where plane k has its ones (or zeros) numbered `which`: by the block's count, then the byte's, then the bit."""
+        before = self.ranks[k].astype(np.int64)
+        if not one:
+            before = np.arange(len(before)) * BLOCK - before
+        out = np.empty(len(which), np.int64)
+        whole = np.append(self.planes[k], np.full(BLOCK // 8, 0 if one else 0xFF, np.uint8))
+        for part in range(0, len(which), 1 << 14):  # so many blocks at once
+            asked = which[part:part + (1 << 14)]
+            block = np.searchsorted(before, asked, side="right") - 1
+            left = asked - before[block]
+            held = whole[np.minimum(block[:, None] * (BLOCK // 8) + np.arange(BLOCK // 8), len(whole) - 1)]
+            held = held if one else ~held
+            counts = np.cumsum(np.bitwise_count(held), axis=1, dtype=np.int64)
+            byte = (counts <= left[:, None]).sum(axis=1)
+            rows = np.arange(len(asked))
+            left -= np.where(byte > 0, counts[rows, byte - 1], 0)
+            bits = np.cumsum(np.unpackbits(held[rows, byte][:, None], axis=1), axis=1)
+            out[part:part + len(asked)] = block * BLOCK + byte * 8 + (bits <= left[:, None]).sum(axis=1)
+        return out
+
     def all(self) -> np.ndarray:
         """The whole sequence, by dealing back from the lowest plane up."""
         v = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)

@@ -167,3 +167,21 @@ def test_every_tag_of_a_line_is_read(text, want):
 def test_scan_of_the_corpus(corpus):
     got = licenses.licences(corpus).collect()
     assert sorted(r.n_words for r in got) == sorted(len(places(r.text)[0]) for r in corpus.collect())
+
+
+def test_expressions_take_linear_time():
+    """A million words after one tag, and 100,000 tags on one line."""
+    import time
+
+    def seconds(text):
+        start = time.process_time()
+        for expression in licenses.expressions(text):
+            licenses.evaluate(expression)
+        return time.process_time() - start
+
+    tag = "spdx-license-identifier: "
+    for text in (tag + "mit " + "word " * 1_000_000, tag + "mit or " * 300_000 + "isc", tag + "( " * 500_000,
+                 (tag + "mit and apache-2.0 ") * 100_000):
+        assert seconds(text) < max(2.0, 2 * len(text) / 2**20)
+    assert licenses.evaluate("(mit or isc) and bsd prose (goes on") == licenses.evaluate("(mit or isc) and bsd")
+    assert licenses.evaluate("mit or (isc and") == licenses.evaluate("mit") and licenses.evaluate(") mit") is None
