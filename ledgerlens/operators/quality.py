@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
 
-LISTED = 50  # unexpected values that a message lists
+LISTED = 50  # unexpected values that a message lists; unexpected_table has all of them
 CHECK = ("name string, dataset string, status string, severity string, message string, "
          "category string")
 
@@ -96,23 +96,99 @@ def orphans(child: DataFrame, child_column: str, parent: DataFrame,
     return values.join(known, "value", "left_anti")
 
 
+# -- keys: uniqueness and references from one census ---------------------------------------------
+
+
+def _held_keys(df: DataFrame, primary: list, child: list, parent: list) -> DataFrame:
+    """(relation, key, child, parent) of one table's keys, in one scan.
+
+    ``primary``, ``child`` and ``parent`` list (relation, column); keys compare as text.  A missing
+    key is a value for uniqueness and no reference.
+    """
+    def entry(relation, column, is_child, always):
+        key = F.col(column).cast("string")
+        row = F.struct(F.lit(relation).alias("relation"), key.alias("key"),
+                       F.lit(int(is_child)).cast("bigint").alias("child"),
+                       F.lit(int(not is_child)).cast("bigint").alias("parent"))
+        return row if always else F.when(key.isNotNull(), row)
+
+    entries = [entry(r, c, False, True) for r, c in primary]
+    entries += [entry(r, c, True, False) for r, c in child]
+    entries += [entry(r, c, False, False) for r, c in parent]
+    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+
+
+def key_census(tables: dict, primary: dict, foreign: list) -> DataFrame:
+    """(relation, key, child, parent): how often each key occurs on each side, in one exchange.
+
+    ``primary`` maps a table to its key; ``foreign`` lists (child, column, parent, column).  Counts
+    combine on the map side, so a key with very many rows is one row per task in the exchange.
+    """
+    parts = []
+    for name, df in tables.items():
+        own = [(f"{name} key", primary[name])] if name in primary else []
+        out = [(_reference(f), f[1]) for f in foreign if f[0] == name]
+        into = [(_reference(f), f[3]) for f in foreign if f[2] == name]
+        if own or out or into:
+            parts.append(_held_keys(df, own, out, into))
+    return union(parts).groupBy("relation", "key").agg(
+        F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+
+
+def _reference(foreign: tuple) -> str:
+    child, child_column, parent, parent_column = foreign
+    return f"{child}.{child_column} to {parent}.{parent_column}"
+
+
+def key_checks(tables: dict, primary: dict, foreign: list) -> DataFrame:
+    """Uniqueness of all primary keys and orphans of all references, read off one census."""
+    spark, rows, absent = next(iter(tables.values())).sparkSession, [], []
+    kept, held = {}, []
+    for name, key in primary.items():
+        if key not in tables[name].columns:
+            absent.append(_literal(spark, "duplicate_primary_key", name, False,
+                                   f"Primary key column is missing: {key}", "uniqueness"))
+            continue
+        kept[name] = key
+        rows.append((f"{name} key", "duplicate_primary_key", name, "uniqueness", "Primary key values are unique."))
+    for reference in foreign:
+        child, child_column, parent, parent_column = reference
+        name = f"{child_column}_references_{parent}"
+        if child_column not in tables[child].columns or parent_column not in tables[parent].columns:
+            absent.append(_literal(spark, name, child, False, f"Cannot validate relationship; missing "
+                                   f"{child_column} or {parent_column}.", "relationship"))
+            continue
+        held.append(reference)
+        rows.append((_reference(reference), name, child, "relationship",
+                     f"{child}.{child_column} values all exist in {parent}.{parent_column}."))
+    if not rows:
+        return union(absent)
+    census = key_census(tables, kept, held)
+    orphan = (F.col("child") > 0) & (F.col("parent") == 0)
+    counts = census.groupBy("relation").agg(F.count_if(orphan).alias("orphans"),
+                                            F.sum(F.col("parent") - 1).alias("again"))
+    # Five examples are the feature; a ranking limit keeps five per task before the shuffle.
+    place = F.row_number().over(Window.partitionBy("relation").orderBy("key"))
+    examples = (census.where(orphan).withColumn("place", place).where(F.col("place") <= 5)
+                .groupBy("relation").agg(F.sort_array(F.collect_list("key")).alias("examples")))
+    asked = spark.createDataFrame(rows, "relation string, name string, dataset string, category string, good string")
+    unique = F.col("category") == "uniqueness"
+    n = F.coalesce(F.when(unique, F.col("again")).otherwise(F.col("orphans")), F.lit(0))
+    bad = F.when(unique, F.concat(F.lit("Found "), n.cast("string"), F.lit(" duplicate primary key values."))).otherwise(
+        F.concat(F.lit("Found "), n.cast("string"), F.lit(" invalid references. Examples: "), _text(F.col("examples"))))
+    found = asked.join(counts, "relation", "left").join(examples, "relation", "left").select(
+        "name", "dataset", F.when(n == 0, "passed").otherwise("failed").alias("status"),
+        F.lit("critical").alias("severity"), F.when(n == 0, F.col("good")).otherwise(bad).alias("message"), "category")
+    return union([found, *absent])
+
+
+def duplicate_primary_key(dataset: str, df: DataFrame, key: str) -> DataFrame:
+    return key_checks({dataset: df}, {dataset: key}, [])
+
+
 def foreign_key(child_name, child, child_column, parent_name, parent, parent_column) -> DataFrame:
-    name = f"{child_column}_references_{parent_name}"
-    if child_column not in child.columns or parent_column not in parent.columns:
-        return _literal(child.sparkSession, name, child_name, False,
-                        f"Cannot validate relationship; missing {child_column} or "
-                        f"{parent_column}.", "relationship")
-    missing = orphans(child, child_column, parent, parent_column)
-    # Five examples are the feature; the count covers all of them.
-    examples = missing.orderBy("value").limit(5).agg(
-        F.sort_array(F.collect_list("value")).alias("examples"))
-    total = missing.agg(F.count(F.lit(1)).alias("n"))
-    n = F.col("n")
-    return total.withColumn("examples", examples.scalar()).select(_row(
-        name, child_name, n == 0,
-        f"{child_name}.{child_column} values all exist in {parent_name}.{parent_column}.",
-        F.concat(F.lit("Found "), n.cast("string"), F.lit(" invalid references. Examples: "),
-                 _text(F.col("examples"))), "relationship").alias("r")).select("r.*")
+    return key_checks({child_name: child, parent_name: parent}, {},
+                      [(child_name, child_column, parent_name, parent_column)])
 
 
 def _amount_parts():
@@ -159,7 +235,7 @@ def timestamps(dataset: str, df: DataFrame, columns: list) -> DataFrame:
 
 
 def unexpected_values(df: DataFrame, domains: dict) -> DataFrame:
-    """(column, value) pairs outside the allowed values: one scan, deduplicated on the map side."""
+    """(column, value, rows) outside the allowed values: one scan, counted on the map side."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
         for c in domains])).alias("p")
@@ -167,22 +243,33 @@ def unexpected_values(df: DataFrame, domains: dict) -> DataFrame:
     inside = reduce(lambda acc, c: acc | ((F.col("column") == c)
                                           & F.col("value").isin(allowed[c])),
                     allowed, F.lit(False))
-    return (df.select(pairs).select("p.*").where(F.col("value").isNotNull() & ~inside).distinct())
+    return (df.select(pairs).select("p.*").where(F.col("value").isNotNull() & ~inside)
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def unexpected_table(tables: dict, domains: dict) -> DataFrame:
+    """(dataset, column, value, rows): every value outside its domain, whole; ``domains`` goes by (table, column)."""
+    parts = []
+    for name, df in tables.items():
+        own = {c: v for (t, c), v in domains.items() if t == name and c in df.columns}
+        if own:
+            parts.append(unexpected_values(df, own).select(F.lit(name).alias("dataset"), "column", "value", "rows"))
+    return union(parts)
 
 
-def allowed_values(dataset: str, df: DataFrame, domains: dict) -> DataFrame:
+def allowed_values(dataset: str, df: DataFrame, domains: dict, listed: int = LISTED) -> DataFrame:
     present = {c: v for c, v in domains.items() if c in df.columns}
     parts = []
     if present:
-        # The first of the unexpected codes of a column are listed, all are counted: a free text in
-        # the wrong column must not end up in one row.
+        # A message lists the first of a column's unexpected codes and counts all: a free text in the
+        # wrong column must not end up in one row.  The whole list is unexpected_table.
         strange = unexpected_values(df, present)
         shown = (strange.withColumn("_rank", F.row_number().over(
-            Window.partitionBy("column").orderBy("value"))).where(F.col("_rank") <= LISTED)
+            Window.partitionBy("column").orderBy("value"))).where(F.col("_rank") <= listed)
             .groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("bad")))
         found = strange.groupBy("column").agg(F.count(F.lit(1)).alias("n")).join(shown, "column")
-        more = F.when(F.col("n") > LISTED, F.concat(
-            F.lit(" and "), (F.col("n") - LISTED).cast("string"), F.lit(" more"))).otherwise("")
+        more = F.when(F.col("n") > listed, F.concat(
+            F.lit(" and "), (F.col("n") - listed).cast("string"), F.lit(" more"))).otherwise("")
         columns = df.sparkSession.createDataFrame([(c,) for c in present], "column string")
         joined = columns.join(found, "column", "left")
         c = F.col("column")
@@ -218,13 +305,10 @@ def report(tables: dict) -> DataFrame:
         parts.append(_exploded(df.agg(*[c for counts, _ in scans for c in counts]),
                                [c for _, checks in scans for c in checks]))
         parts += _absent_times(name, df, times)
-        parts.append(duplicate_primary_key(name, df, S.PRIMARY_KEYS[name]))
         domains = {c: v for (t, c), v in S.DOMAINS.items() if t == name}
         if domains:
             parts.append(allowed_values(name, df, domains))
-    for child, child_column, parent, parent_column in S.FOREIGN_KEYS:
-        parts.append(foreign_key(child, tables[child], child_column, parent, tables[parent],
-                                 parent_column))
+    parts.append(key_checks(tables, {name: S.PRIMARY_KEYS[name] for name in S.TABLES}, S.FOREIGN_KEYS))
     if "amount" not in tables["transactions"].columns:
         parts.append(positive_amount(tables["transactions"]))
     return union(parts)

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schema as S
 from ..functions.columns import iso_timestamp
 from ..operators import (aggregates, cases, evaluation, explain, features, model, monitor,
                          position, profile, quality, risk, rules, star)
@@ -72,6 +73,11 @@ class Bank:
     def validation_report(self) -> DataFrame:
         return self.publish("validation_report", quality.report(self.tables))
 
+    @cached_property
+    def unexpected_values(self) -> DataFrame:
+        """Beside the report, whose messages list only the first ones of a column."""
+        return self.publish("unexpected_values", quality.unexpected_table(self.tables, S.DOMAINS))
+
     @cached_property
     def refusal(self) -> Exception | None:
         """What the validation gate says against these tables; asked once, whatever it says."""

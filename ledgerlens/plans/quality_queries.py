@@ -155,6 +155,11 @@ def dq_allowed_values(spark, sf_dir):
     return quality.union(parts)
 
 
+def dq_unexpected_values(spark, sf_dir):
+    """Every value outside its domain with its rows: what a message only lists the first of."""
+    return quality.unexpected_table(_tables(spark, sf_dir), {**S.DOMAINS, ("transactions", "channel"): ["ATM", "POS"]})
+
+
 def dq_report(spark, sf_dir):
     return quality.overview(quality.report(_tables(spark, sf_dir)))
 
@@ -189,6 +194,7 @@ QUERIES = {
     "dq_required_columns": dq_required_columns, "dq_key_nulls": dq_key_nulls,
     "dq_duplicate_pk": dq_duplicate_pk, "dq_foreign_key": dq_foreign_key,
     "dq_positive_amount": dq_positive_amount, "dq_timestamp_parse": dq_timestamp_parse,
-    "dq_allowed_values": dq_allowed_values, "dq_report": dq_report, "dq_gate": dq_gate,
+    "dq_allowed_values": dq_allowed_values, "dq_unexpected_values": dq_unexpected_values,
+    "dq_report": dq_report, "dq_gate": dq_gate,
     "dq_cardinality_join": dq_cardinality_join, "dq_dedup_lookup": dq_dedup_lookup,
 }

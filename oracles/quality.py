@@ -133,6 +133,12 @@ def _domain(table, column):
              FROM {table} WHERE {column} IS NOT NULL AND CAST({column} AS VARCHAR) NOT IN ({allowed})))"""
 
 
+def _unexpected(table, column):
+    allowed = ", ".join(f"'{v}'" for v in DOMAINS[table, column])
+    return f"""SELECT '{table}' AS dataset, '{column}' AS "column", CAST({column} AS VARCHAR) AS value, COUNT(*) AS "rows"
+        FROM {table} WHERE {column} IS NOT NULL AND CAST({column} AS VARCHAR) NOT IN ({allowed}) GROUP BY ALL"""
+
+
 DOC_QUALITY = "\ndoc_quality AS (SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id))"
 _TABLES = list(COLUMNS)
 _REPORT = []
@@ -182,6 +188,7 @@ SQL = {
         [_amounts("transactions", "events"), _amounts("balances", "balances")])),
     "dq_timestamp_parse": sql(select=_union([c for t in TIMES for c in _times(t)])),
     "dq_allowed_values": sql(select=_union([_domain(*k) for k in DOMAINS])),
+    "dq_unexpected_values": sql(select=_union([_unexpected(*k) for k in DOMAINS])),
     "dq_report": sql(select=f"SELECT status, severity, category, COUNT(*) AS checks FROM ({_union(_REPORT)}) GROUP BY ALL"),
     "dq_gate": sql(select=f"""SELECT CASE WHEN COUNT(*) FILTER (status = 'failed') > 0 THEN 'failed' ELSE 'passed' END AS overall_status,
         COUNT(*) FILTER (status = 'passed') AS passed_checks, COUNT(*) FILTER (status = 'failed') AS failed_checks,

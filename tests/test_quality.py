@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.operators import joins, quality, sweep
+from ledgerlens.plans.bank import bank
 from ledgerlens.sources import banking, files
 
 
@@ -96,3 +97,39 @@ def test_first_per_key_and_uniqueness(spark):
         ("a", 1, "y"), ("b", 5, None)]
     with pytest.raises(ValueError, match="not unique"):
         joins.require_unique(df, "k", "df")
+
+
+def test_one_census_answers_for_all_keys(spark):
+    parents = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "id long")
+    children = spark.createDataFrame([(i, k, o) for i, (k, o) in enumerate(
+        [("1", 5), ("2", 5), ("9", None), ("9", 7), (None, 7), ("30", 7), ("31", 8), ("32", 8), ("33", 8), ("34", 8)])],
+        "cid long, id string, other long")
+    checks = {(r["name"], r["dataset"]): r for r in quality.key_checks(
+        {"p": parents, "c": children}, {"p": "id", "c": "cid"},
+        [("c", "id", "p", "id"), ("c", "other", "c", "other"), ("c", "gone", "p", "id")]).collect()}
+    assert checks["duplicate_primary_key", "p"].message == "Found 2 duplicate primary key values."
+    assert checks["duplicate_primary_key", "c"].status == "passed"
+    assert checks["id_references_p", "c"].message == (
+        "Found 6 invalid references. Examples: ['30', '31', '32', '33', '34']")
+    assert checks["other_references_c", "c"].status == "passed"
+    assert checks["gone_references_p", "c"].message == "Cannot validate relationship; missing gone or id."
+
+
+def test_the_census_scans_a_table_once_and_joins_nothing(spark, sf):
+    tables = {n: df for n, df in bank(spark, sf).tables.items()}
+    census = quality.key_census(tables, S.PRIMARY_KEYS, S.FOREIGN_KEYS)
+    plan = census._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == len(tables) and "Join" not in plan
+    held = {r.relation: (r.rows, r.keys) for r in census.groupBy("relation").agg(
+        F.sum("child").alias("rows"), F.count(F.lit(1)).alias("keys")).collect()}
+    assert len(held) == len(S.PRIMARY_KEYS) + len(S.FOREIGN_KEYS)
+    assert held["transactions.customer_id to customers.customer_id"][0] == tables["transactions"].count()
+
+
+def test_all_unexpected_values_are_published(spark):
+    df = spark.createDataFrame([(f"v{i % 70:02d}",) for i in range(140)] + [("ok",), (None,)], "c string")
+    table = quality.unexpected_table({"t": df}, {("t", "c"): ["ok"], ("u", "c"): []})
+    rows = sorted(tuple(r) for r in table.collect())
+    assert rows == [("t", "c", f"v{i:02d}", 2) for i in range(70)]
+    message = quality.allowed_values("t", df, {"c": ["ok"]}, listed=3).first()["message"]
+    assert message == "Unexpected values in c: ['v00', 'v01', 'v02'] and 67 more"
