@@ -1,8 +1,10 @@
 """Token ids of whole texts by the tokenizers library, every different pre-token once per worker.
 
 The texts of a slice are split by array operations, equal pre-tokens are found by Arrow, and the
-library's model is asked only for those that the worker has not met (the memory of met ones is
-bounded).  A vocabulary that is not plain byte-level BPE is encoded text by text.
+library's model is asked only for those that the worker has not met lately.  The memory of met ones
+has two halves: what is asked for stays in the younger one, and once that is full the older one goes,
+so it is bounded and frequent pre-tokens never leave.  A vocabulary that is not plain byte-level BPE
+is encoded text by text.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from tokenizers import Tokenizer
 from .common import ragged
 from .pretokens import distinct, split
 
-REMEMBERED = 250_000  # pre-tokens whose ids a worker keeps
+REMEMBERED = 300_000  # pre-tokens in each half of a worker's memory
 
 
 def byte_letters() -> dict[int, str]:
@@ -28,6 +30,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def plain(values: pa.Array) -> list[bytes]:
+    """The binary values as bytes, cut from their one buffer (boxing each costs ten times as much)."""
+    _, offsets, data = values.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[values.offset:values.offset + len(values) + 1].tolist()
+    held = data.to_pybytes() if data is not None else b""
+    return [held[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -40,23 +50,46 @@ class Encoder:
                       and not config["truncation"] and not config["padding"]
                       and not any(a["single_word"] or a["lstrip"] or a["rstrip"] for a in added))
         self.special = added[0]["content"].encode() if added else None
-        self.known = {}
-        if added:
-            self.special_ids = np.array([added[0]["id"]], np.uint32)
+        self.special_id = added[0]["id"] if added else None
+        self.younger: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.letters = byte_letters()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def _of(self, word: bytes) -> np.ndarray:
-        got = self.known.get(word)
-        if got is None:
+    def _tokenize(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as little-endian 32-bit numbers, by the library's model."""
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        found, sizes = [], []
+        for word in words:
             if word == self.special:
-                got = self.special_ids
+                found.append(self.special_id)
+                sizes.append(1)
+            else:
+                tokens = tokenize(word.decode("latin-1").translate(letters))
+                found += [t.id for t in tokens]
+                sizes.append(len(tokens))
+        data = np.array(found, "<u4").tobytes()
+        ends = (4 * np.cumsum(sizes)).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of the (different) words, remembered or asked for."""
+        if len(self.younger) >= REMEMBERED:
+            self.younger, self.older = {}, self.younger
+        got = list(map(self.younger.get, words))
+        absent = [i for i, ids in enumerate(got) if ids is None]
+        unmet = []
+        for i in absent:
+            ids = self.older.get(words[i])
+            if ids is None:
+                unmet.append(i)
             else:
-                tokens = self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))
-                got = np.array([t.id for t in tokens], np.uint32)
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = got
+                got[i] = self.younger[words[i]] = ids
+        for part in range(0, len(unmet), REMEMBERED):
+            some = unmet[part:part + REMEMBERED]
+            asked = [words[i] for i in some]
+            for i, word, ids in zip(some, asked, self._tokenize(asked)):
+                got[i] = self.younger[word] = ids
         return got
 
     def ids(self, raw: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,10 +103,10 @@ class Encoder:
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(starts), np.int64)
         words, which = distinct(raw, begin)
-        each = [self._of(w) for w in words.to_pylist()]
-        size = np.fromiter(map(len, each), np.int64, len(each))
+        each = self.of(plain(words))
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         at = np.cumsum(size) - size
-        ids = np.concatenate(each)[ragged(at[which], size[which])]
+        ids = np.frombuffer(b"".join(each), "<u4")[ragged(at[which], size[which])]
         ends = np.concatenate([[0], np.cumsum(size[which])])
         return ids, ends[first]
 

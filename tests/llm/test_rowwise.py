@@ -185,3 +185,20 @@ def test_expressions_take_linear_time():
         assert seconds(text) < max(2.0, 2 * len(text) / 2**20)
     assert licenses.evaluate("(mit or isc) and bsd prose (goes on") == licenses.evaluate("(mit or isc) and bsd")
     assert licenses.evaluate("mit or (isc and") == licenses.evaluate("mit") and licenses.evaluate(") mit") is None
+
+
+def test_memory_of_pretokens_turns_over(monkeypatch, library):
+    """With room for few pre-tokens the halves of the memory change often; ids stay the library's."""
+    monkeypatch.setattr(encoding, "REMEMBERED", 5)
+    encoder = encoding.Encoder(JSON)
+    texts = ["", "a plain line, twice: a plain line", "<|endoftext|> inside <|endoftext|>", "ünï 北京\n\n  x",
+             "a plain word in every text", "7 of 9 don't, we'll; a plain end"] * 4
+    for size in (1, 3, 24):
+        for part in range(0, len(texts), size):
+            some = texts[part:part + size]
+            raw = "".join(some).encode()
+            starts = np.concatenate([[0], np.cumsum([len(t.encode()) for t in some])]).astype(np.int64)
+            ids, first = encoder.ids(raw, starts)
+            assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [
+                library.encode(t, add_special_tokens=False).ids for t in some]
+            assert len(encoder.older) <= 5 + 60
