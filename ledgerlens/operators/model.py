@@ -213,11 +213,14 @@ def score_linear(df: DataFrame, model: LinearModel) -> DataFrame:
 
 
 def coefficient_table(spark, model: LinearModel) -> DataFrame:
-    rows = [(t.name, t.source, "numeric" if t.level is None else "categorical",
-             float(t.coefficient)) for t in model.terms]
+    """One row per term: what fills a gap (number or level), center, scale and coefficient."""
+    rows = [(t.name, t.source, "numeric", float(t.fill), None, float(t.center), float(t.scale),
+             float(t.coefficient)) if t.level is None else
+            (t.name, t.source, "categorical", None, t.fill, None, None, float(t.coefficient))
+            for t in model.terms]
     return spark.createDataFrame(
-        rows, "transformed_feature_name string, source_feature_name string, "
-              "transform_type string, coefficient double")
+        rows, "transformed_feature_name string, source_feature_name string, transform_type string, "
+              "fill_number double, fill_level string, center double, scale double, coefficient double")
 
 
 def predictions(scored: DataFrame, threshold: float, target: str = "fraud_label") -> DataFrame:

@@ -53,6 +53,16 @@ def ex_trained(spark, sf_dir):
     return rows.groupBy("explanation_status").agg(F.count(F.lit(1)).alias("transactions"))
 
 
+def ex_trained_global(spark, sf_dir):
+    """Importance of every term of the trained model."""
+    return explain.global_importance(spark, bank(spark, sf_dir).trained[0])
+
+
+def ex_trained_sources(spark, sf_dir):
+    """Importance of every input column of the trained model."""
+    return explain.source_importance(ex_trained_global(spark, sf_dir))
+
+
 def ex_quality(spark, sf_dir):
     return shape(bank(spark, sf_dir).explanation_quality())
 
@@ -77,6 +87,7 @@ def ex_summary(spark, sf_dir):
 QUERIES = {
     "ex_filter": ex_filter, "ex_global": ex_global, "ex_source_importance": ex_source_importance,
     "ex_contributions": ex_contributions, "ex_reasons": ex_reasons, "ex_local": ex_local,
-    "ex_trained": ex_trained, "ex_quality": ex_quality, "ex_error_types": ex_error_types,
+    "ex_trained": ex_trained, "ex_trained_global": ex_trained_global,
+    "ex_trained_sources": ex_trained_sources, "ex_quality": ex_quality, "ex_error_types": ex_error_types,
     "ex_samples": ex_samples, "ex_summary": ex_summary,
 }

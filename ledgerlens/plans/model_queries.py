@@ -43,27 +43,49 @@ def ml_onehot(spark, sf_dir):
 
 
 def ml_fit(spark, sf_dir):
-    """Terms of the trained model, and whether each is at the optimum of the penalised loss."""
+    """Terms of the trained model with fill, center and scale, and whether each is at the optimum of
+    the penalised loss."""
     b = bank(spark, sf_dir)
     fitted, _ = b.trained
-    table = model.coefficient_table(spark, fitted)
+    table = model.coefficient_table(spark, fitted).drop("coefficient")
     slopes = model.slopes(b.split[0], fitted, MODEL["target_column"])
     return shape(table.join(slopes, "transformed_feature_name").select(
-        "transformed_feature_name", "source_feature_name", "transform_type",
-        (F.abs("slope") < 1e-3).alias("is_optimal")))
+        *table.columns, (F.abs("slope") < 1e-3).alias("is_optimal")))
+
+
+def ml_coefficients(spark, sf_dir):
+    """Terms of the trained model with their coefficients, and its intercept as the last row."""
+    fitted, _ = bank(spark, sf_dir).trained
+    return model.coefficient_table(spark, fitted).unionByName(spark.createDataFrame(
+        [("intercept", "intercept", float(fitted.intercept))],
+        "transformed_feature_name string, transform_type string, coefficient double"),
+        allowMissingColumns=True)
 
 
 def ml_score(spark, sf_dir):
-    """The solver's own scores and those of the term list, per transaction."""
+    """Score and probability by the fixed weights; for the trained model, whether the solver's own
+    scores are those of the term list."""
     b = bank(spark, sf_dir)
     fitted, solved = b.trained
-    by_terms = model.score_linear(model.score(b.split[1], fitted, solved).withColumnsRenamed(
-        {"decision_score": "_decision", "fraud_probability": "_probability"}), fitted)
-    near = (F.abs(F.col("decision_score") - F.col("_decision")) < 1e-9) & (
-        F.abs(F.col("fraud_probability") - F.col("_probability")) < 1e-9)
-    return shape(by_terms.select(
-        "transaction_id", near.alias("paths_agree"),
-        F.col("fraud_probability").between(0, 1).alias("is_probability")))
+
+    def named(df, prefix):
+        return df.withColumnsRenamed({"decision_score": f"{prefix}_score",
+                                      "fraud_probability": f"{prefix}_probability"})
+
+    by_solver = named(model.score(b.split[1], fitted, solved), "solver")
+    by_terms = named(model.score_linear(by_solver, fitted), "terms")
+    near = (F.abs(F.col("terms_score") - F.col("solver_score")) < 1e-9) & (
+        F.abs(F.col("terms_probability") - F.col("solver_probability")) < 1e-9)
+    return shape(model.score_linear(by_terms, b.scorecard).select(
+        "transaction_id", "decision_score", "fraud_probability", near.alias("paths_agree"),
+        F.col("solver_probability").between(0, 1).alias("is_probability")))
+
+
+def ml_probabilities(spark, sf_dir):
+    """Score and probability of every test transaction by the trained model."""
+    b = bank(spark, sf_dir)
+    return model.score(b.split[1], *b.trained).select(
+        "transaction_id", "fraud_label", "decision_score", "fraud_probability")
 
 
 def ml_threshold_analysis(spark, sf_dir):
@@ -92,7 +114,9 @@ QUERIES = {
     "ml_impute_scale": ml_impute_scale,
     "ml_onehot": ml_onehot,
     "ml_fit": ml_fit,
+    "ml_coefficients": ml_coefficients,
     "ml_score": ml_score,
+    "ml_probabilities": ml_probabilities,
     "ml_threshold_analysis": ml_threshold_analysis,
     "ml_select_threshold": ml_select_threshold,
     "ml_metrics": ml_metrics,

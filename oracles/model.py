@@ -124,14 +124,26 @@ SQL = {
     "ml_fit": sql(SPLIT + f""",
 inputs AS (SELECT * EXCLUDE (transaction_id, account_id, customer_id, device_id, session_id, transaction_timestamp,
   transaction_status, fraud_label, fraud_typology, label_confidence, label_source, rn, n) FROM train),
-names AS (
-  SELECT DISTINCT 'numeric__' || c AS transformed_feature_name, c AS source_feature_name, 'numeric' AS transform_type
-  FROM (UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE ({", ".join(CATEGORIES)})) AS DOUBLE) FROM inputs) ON COLUMNS(*) INTO NAME c VALUE v)
+numbers AS (
+  SELECT c, v FROM (SELECT CAST(COLUMNS(* EXCLUDE ({", ".join(CATEGORIES)})) AS DOUBLE) FROM inputs)
+    UNPIVOT INCLUDE NULLS (v FOR c IN (COLUMNS(*)))),
+medians AS (SELECT c, COALESCE(quantile_cont(v, 0.5), 0) AS fill FROM numbers GROUP BY c),
+scales AS (
+  SELECT c, fill, avg(COALESCE(v, fill)) AS center, stddev_pop(COALESCE(v, fill)) AS spread
+  FROM numbers JOIN medians USING (c) GROUP BY c, fill),
+codes AS (
+  SELECT c, v, COUNT(*) AS k FROM (UNPIVOT (SELECT {", ".join(CATEGORIES)} FROM inputs) ON COLUMNS(*) INTO NAME c VALUE v)
+  GROUP BY c, v),
+terms AS (
+  SELECT 'numeric__' || c AS transformed_feature_name, c AS source_feature_name, 'numeric' AS transform_type,
+    round(fill, 6) AS fill_number, CAST(NULL AS VARCHAR) AS fill_level, round(center, 6) AS center,
+    round(CASE WHEN spread = 0 THEN 1 ELSE spread END, 6) AS scale FROM scales
   UNION ALL
-  SELECT DISTINCT 'categorical__' || c || '_' || v, c, 'categorical'
-  FROM (UNPIVOT (SELECT {", ".join(CATEGORIES)} FROM inputs) ON COLUMNS(*) INTO NAME c VALUE v))""",
-                 select="SELECT *, TRUE AS is_optimal FROM names"),
-    "ml_score": sql(SPLIT, select="SELECT transaction_id, TRUE AS paths_agree, TRUE AS is_probability FROM test"),
+  SELECT 'categorical__' || c || '_' || v, c, 'categorical', NULL,
+    first_value(v) OVER (PARTITION BY c ORDER BY k DESC, v), NULL, NULL FROM codes)""",
+                 select="SELECT *, TRUE AS is_optimal FROM terms"),
+    "ml_score": sql(SCORED, select="""SELECT transaction_id, round(decision_score, 6) AS decision_score,
+        round(fraud_probability, 6) AS fraud_probability, TRUE AS paths_agree, TRUE AS is_probability FROM scored"""),
     "ml_threshold_analysis": sql(ANALYSIS, select="""SELECT threshold, round(precision, 6) AS precision,
         round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, predicted_positive_count FROM analysis"""),
     "ml_select_threshold": sql(ANALYSIS, select="SELECT selected_threshold FROM chosen"),
