@@ -3,7 +3,7 @@
 Each document's hashed word vector is projected to `DIMENSIONS` numbers: every word adds plus or minus
 one to each, by bits of its hash, and the sum is divided by the square root of the words.  The numbers
 are put on a grid and the Hilbert curve through the grid gives one key.  Spark sorts the documents by
-ranges of that key; inside a range their ids are one stream that is cut every `WIDTH` ids, so that
+ranges of that key, cut where about equally many bytes lie between two cuts; inside a range their ids are one stream that is cut every `WIDTH` ids, so that
 neighbours on the curve share sequences.  What is left at the end of a range is cut at powers of two,
 which need no padding.
 """
@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHashes, flat, slices, words
+from .common import SpanHashes, flat, slices, stage, words
 from .encoding import binaries, ended
 from .pretokens import WORDS_BYTES
 
@@ -71,16 +71,85 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, text and the curve key of every row."""
+GRAIN = 1 << 16  # bytes of text per entry of the sample that ranges are cut by
+RANGE_BYTES = 128 << 20  # most text a range should hold
+SMALL_BYTES = 4 << 20  # no more ranges than one per so many bytes
+SAMPLE_ROWS = 1_000_000  # entries of the sample that reach the driver, 16 bytes each
+
+
+def _keys(part: pa.RecordBatch) -> np.ndarray:
+    return hilbert_keys(grid(projections(*flat(part.column("text")))))
+
+
+def _ids(part: pa.RecordBatch) -> np.ndarray:
+    """doc_ids, null as the smallest: Spark sorts it first as well."""
+    return part.column("doc_id").fill_null(-2**63).to_numpy(zero_copy_only=False)
+
+
+def _plain(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def range_cuts(documents: DataFrame, grain: int = GRAIN, range_bytes: int = RANGE_BYTES,
+               small_bytes: int = SMALL_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Places (key, doc_id) on the curve that cut it into ranges of about equally many bytes.
+
+    A task enters a document into the sample once for every `grain` bytes it has passed, so a long text
+    weighs as much as many short ones.  Cuts decide only which task packs a document.
+    """
+
+    def rows(batches):
+        passed = (TaskContext.get().partitionId() * 40503) % grain
+        for part in slices(batches):
+            size = np.diff(flat(part.column("text"))[1])
+            ends = passed + np.cumsum(size)
+            times = ends // grain - (ends - size) // grain
+            passed = int(ends[-1])
+            chosen = np.flatnonzero(times)
+            if len(chosen):
+                some = part.take(pa.array(chosen))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(x, times[chosen])) for x in (_keys(some), _ids(some))], ["key", "id"])
+
+    spark = documents.sparkSession
+    sample = stage(spark, _plain(documents).mapInArrow(rows, "key long, id long"), "curve-sample")
+    entries = sample.count()
+    known = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-entries * grain // range_bytes), min(known, entries * grain // small_bytes))
+    wanted = min(SAMPLE_ROWS, 100 * parts)
+    if entries > wanted:
+        sample = sample.where(F.rand(11) < wanted / entries)
+    found = sample.toArrow()
+    key, doc = (found.column(c).to_numpy() for c in ("key", "id"))
+    order = np.lexsort((doc, key))
+    at = np.unique(np.arange(1, parts) * len(order) // parts) if len(order) else np.zeros(0, np.int64)
+    pairs = np.unique(np.column_stack([key[order[at]], doc[order[at]]]), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def range_of(key: np.ndarray, doc: np.ndarray, cuts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Number of cuts at or before each (key, doc_id)."""
+    low, high = (np.searchsorted(cuts[0], key, side=s) for s in ("left", "right"))
+    out = low.copy()
+    tied = high > low
+    for begin in np.unique(low[tied]):  # cuts inside one key: many copies of a text
+        here = tied & (low == begin)
+        end = high[np.argmax(here)]
+        out[here] = begin + np.searchsorted(cuts[1][begin:end], doc[here], side="right")
+    return out
+
+
+def keyed(documents: DataFrame, cuts: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, text, the curve key and the range of every row."""
 
     def rows(batches):
         for part in slices(batches):
-            key = hilbert_keys(grid(projections(*flat(part.column("text")))))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(key)], ["doc_id", "text", "key"])
+            key = _keys(part)
+            number = range_of(key, _ids(part), cuts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(key), pa.array(number)],
+                                             ["doc_id", "text", "key", "part"])
 
-    plain = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInArrow(rows, "doc_id long, text string, key long")
+    return _plain(documents).mapInArrow(rows, "doc_id long, text string, key long, part int")
 
 
 def _cut(total: int, width: int) -> np.ndarray:
@@ -141,12 +210,13 @@ def _pieces(path: str, width: int, end: int):
     return rows
 
 
-def pack(documents: DataFrame, path: str, width: int = WIDTH, end: int = 0) -> DataFrame:
+def pack(documents: DataFrame, path: str, width: int = WIDTH, end: int = 0, **sizes) -> DataFrame:
     """Pieces (PIECES) of every row's ids in sequences of `width` at most.
 
-    `path` is a tokenizers file that executors can open.  Null and empty texts are the end id alone;
-    texts longer than a sequence go on in the next; repeated rows are packed each; a null doc_id is
-    kept.  Other columns are not looked at.
+    `path` is a tokenizers file that executors can open; `sizes` go to `range_cuts`.  Null and empty texts
+    are the end id alone; texts longer than a sequence go on in the next; repeated rows are packed each; a
+    null doc_id is kept.  Other columns are not looked at.  Rows of one key and doc_id share a range.
     """
-    along = keyed(documents).repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "text")
+    cuts = range_cuts(documents, **sizes)
+    along = keyed(documents, cuts).repartitionById(len(cuts[0]) + 1, "part").sortWithinPartitions("key", "doc_id", "text")
     return along.select("doc_id", "text").mapInArrow(_pieces(path, width, end), PIECES)

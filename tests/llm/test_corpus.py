@@ -222,9 +222,24 @@ def test_empty_inputs(spark, nothing):
     assert maxscore.top(spark, spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-@pytest.mark.parametrize("width", [16, 1024])
-def test_every_id_is_packed_once(spark, corpus, width):
-    got = hilbert.pack(corpus, JSON, width).collect()
+def test_curve_ranges_hold_equal_bytes(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 500, int(n))) for n in rng.pareto(1.2, 600) * 20 + 5]
+    texts += ["one text, many copies of it, a third of all"] * 900  # one key, cut by doc_id
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    cuts = hilbert.range_cuts(docs, grain=64, range_bytes=8000)
+    rows = hilbert.keyed(docs, cuts).collect()
+    assert len(rows) == len(texts) and len(cuts[0]) >= 8
+    ends = list(zip(*(c.tolist() for c in cuts)))
+    assert all(r.part == sum(e <= (r.key, r.doc_id) for e in ends) for r in rows)
+    size = np.bincount([r.part for r in rows], [len(r.text) for r in rows])
+    assert size.max() <= 2 * size.mean() + max(map(len, texts))
+    assert len({r.part for r in rows if r.doc_id >= 600}) > 1
+
+
+@pytest.mark.parametrize("width, sizes", [(16, {}), (1024, {}), (64, {"grain": 16, "range_bytes": 2000})])
+def test_every_id_is_packed_once(spark, corpus, width, sizes):
+    got = hilbert.pack(corpus, JSON, width, **sizes).collect()
     rows = [(r.doc_id, r.text) for r in corpus.collect()]
     pieces = {}
     for r in got:
@@ -252,7 +267,7 @@ def test_hilbert_curve_is_a_path():
 
 
 def test_neighbours_on_the_curve_are_alike(spark, corpus):
-    keys = {r.doc_id: r.key for r in hilbert.keyed(corpus).collect()}
+    keys = {r.doc_id: r.key for r in hilbert.keyed(corpus, hilbert.range_cuts(corpus)).collect()}
     assert keys[0] == keys[7]
 
 
