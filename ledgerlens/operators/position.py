@@ -1,20 +1,20 @@
 """Exact order statistics without a global sort.
 
 A chronological split needs one cut point, not a row number on every row.  The k-th smallest value
-of (time, id) is found by counting coarse buckets, then finer ones inside the bucket that holds it,
-until few enough rows remain to sort.  Only counts travel; the split itself is then a plain filter
-with literals that reaches the parquet scan.
+of (time, id) is found by counting the rows between a few sampled pivots and going on inside the one
+gap that holds it.  Quantiles of any number of columns come from counts of 16-bit digits, in four
+passes.  Only counts travel; a split itself is then a plain filter with literals.
 """
 
 import math
+import struct
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 LIMIT = 500_000  # rows one task may sort
-_SHIFTS = (44, 28, 14, 0)
-_PREFIXES = (3, 6, 9, 12, 15, 18, 24, 32, 64)
+PIVOTS = 31  # rows drawn per pass; a pass leaves about one part in so many
 
 
 def _sortable(df: DataFrame, column: str) -> Column:
@@ -26,42 +26,50 @@ def _sortable(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("bigint")
 
 
-def _levels(kind, keys: DataFrame, column: str):
-    """Ever finer buckets of a column; the last ones hold one value each."""
-    if not isinstance(kind, T.StringType):
-        yield from (lambda c, n=n: F.shiftright(c, n) for n in _SHIFTS)
-        return
-    yield from (lambda c, n=n: F.substring(c, 1, n) for n in _PREFIXES)
-    longest = keys.agg(F.max(F.length(column))).first()[0] or 0  # asked only for long ties
-    n = _PREFIXES[-1]
-    while n < longest:
-        n *= 2
-        yield lambda c, n=n: F.substring(c, 1, n)
+def _gap(key: Column, pivots: list, first: int = 0) -> Column:
+    """2 i for keys between pivots i - 1 and i, 2 i + 1 for keys equal to pivot i: a decision tree."""
+    if not pivots:
+        return F.lit(2 * first)
+    m = len(pivots) // 2
+    return (F.when(key < pivots[m], _gap(key, pivots[:m], first))
+            .when(key == pivots[m], F.lit(2 * (first + m) + 1))
+            .otherwise(_gap(key, pivots[m + 1:], first + m + 1)))
 
 
 def kth(df: DataFrame, order: list, k: int, limit: int = LIMIT) -> tuple:
-    """The k-th (1-based) smallest tuple of the ``order`` columns, exactly."""
+    """The k-th (1-based) smallest tuple of the ``order`` columns, exactly.
+
+    Every pass draws pivots among the rows that are left, so it settles the answer or leaves fewer
+    rows, however long texts are and however many rows are equal.  The draw affects only the number
+    of passes.
+    """
     keys = df.select(*[_sortable(df, c).alias(f"o{i}") for i, c in enumerate(order)])
-    remaining = None
-    for i in range(len(order)):
-        for level in _levels(keys.schema[f"o{i}"].dataType, keys, f"o{i}"):
-            if remaining is not None and remaining <= limit:
+    kinds = [f.dataType for f in keys.schema.fields]
+    key = F.struct(*keys.columns)
+
+    def literal(values):
+        return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(values, kinds, keys.columns)])
+
+    left = keys
+    while True:
+        pivots = sorted({tuple(r) for r in left.orderBy(F.rand(7)).limit(PIVOTS).collect()})
+        known = [literal(p) for p in pivots]
+        counts = dict(left.groupBy(_gap(key, known).alias("g")).count().collect())
+        for gap in sorted(counts):  # at most one per pivot and one per gap
+            if k <= counts[gap]:
                 break
-            bucket = level(F.col(f"o{i}"))
-            counts = keys.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-            # One row per bucket: bounded by the level's width, not by the table.
-            running = F.sum("n").over(Window.orderBy("b").rowsBetween(
-                Window.unboundedPreceding, 0))
-            hit = (counts.withColumn("upto", running).where(F.col("upto") >= k)
-                   .orderBy("b").first())
-            k -= hit["upto"] - hit["n"]
-            remaining = hit["n"]
-            keys = keys.where(bucket == F.lit(hit["b"]))
-    if remaining is not None and remaining > limit:  # every level is spent: all rows are equal
-        return tuple(keys.first())
-    rows = keys.orderBy(*keys.columns).limit(k).select(
-        F.max(F.struct(*keys.columns)).alias("m")).first()
-    return tuple(rows["m"])
+            k -= counts[gap]
+        else:
+            raise ValueError("fewer rows than the rank asked for")
+        if gap % 2:
+            return pivots[gap // 2]
+        i = gap // 2
+        if i > 0:
+            left = left.where(key > known[i - 1])
+        if i < len(known):
+            left = left.where(key < known[i])
+        if counts[gap] <= limit:
+            return tuple(left.orderBy(*keys.columns).limit(k).select(F.max(key).alias("m")).first()["m"])
 
 
 def at_most(df: DataFrame, order: list, cut: tuple) -> Column:
@@ -137,101 +145,84 @@ def halves(df: DataFrame, order: list, limit: int = LIMIT) -> DataFrame:
 # -- exact quantiles ----------------------------------------------------------------------------
 
 
-def quantiles(df: DataFrame, wanted: dict, limit: int = LIMIT) -> dict:
+def _image(value: Column) -> Column:
+    """The bits of a double as a long that sorts like it; null for missing values and NaN.
+
+    Scaling by powers of two is exact, so the bits are those of the number itself; a negative number
+    is the negated image of its opposite.
+    """
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))  # off by one near powers of two
+    scaled = size * F.pow(F.lit(2.0), -guess)
+    exponent = F.when(scaled < 1, guess - 1).when(scaled >= 2, guess + 1).otherwise(guess)
+    digits = F.when(scaled < 1, scaled * 2).when(scaled >= 2, scaled / 2).otherwise(scaled)
+    bits = (F.when(size == float("inf"), F.lit(0x7FF << 52))
+            .when(size < 2.0**-1022, (size * 2.0**1022 * 2.0**52).cast("bigint"))
+            .otherwise((exponent + 1023) * F.lit(1 << 52) + ((digits - 1) * 2.0**52).cast("bigint")))
+    return F.when(~F.isnan(value), F.when(value < 0, -bits).otherwise(bits))
+
+
+def _double(image: int) -> float:
+    size = struct.unpack("<d", struct.pack("<q", abs(image)))[0]
+    return -size if image < 0 else size
+
+
+def _digit_pass(cells: DataFrame, asks: list, shift: int) -> list:
+    """Where each asked rank lies among the 16-bit digits at ``shift`` below its known prefix.
+
+    ``asks`` holds (column, prefix, item, fraction, up, rank); a missing rank follows from the
+    fraction and the column's number of values.  One aggregate, whatever the number of ranks.
+    """
+    wanted = cells.sparkSession.createDataFrame(
+        asks, "c int, prefix bigint, item int, q double, up boolean, k bigint")
+    prefix = F.lit(0).cast("bigint") if shift == 48 else F.shiftright("x", shift + 16)
+    cells = cells.withColumn("prefix", prefix)
+    if shift < 48:  # a few rows per ask
+        cells = cells.join(F.broadcast(wanted.select("c", "prefix").distinct()), ["c", "prefix"],
+                           "left_semi")
+    counts = cells.groupBy("c", "prefix", F.shiftright("x", shift).alias("digit")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    group = Window.partitionBy("c", "prefix")  # at most 65,536 digits
+    placed = counts.withColumns({
+        "total": F.sum("n").over(group),
+        "before": F.sum("n").over(group.orderBy("digit").rowsBetween(
+            Window.unboundedPreceding, 0)) - F.col("n")})
+    at = F.col("q") * (F.col("total") - 1)
+    rank = F.coalesce("k", F.when(F.col("up"), F.ceil(at)).otherwise(F.floor(at)) + 1)
+    return (placed.join(F.broadcast(wanted), ["c", "prefix"]).withColumn("k", rank)
+            .where("k > before AND k <= before + n").collect())
+
+
+def quantiles(df: DataFrame, wanted: dict) -> dict:
     """Exact linear-interpolated quantiles of several columns: {column: [fractions]} -> values.
 
-    A small table is ranked directly.  Otherwise every wanted rank is bracketed by a mergeable
-    sketch, the rows below the bracket are counted, and the bracket shrinks until it holds at most
-    ``limit`` rows (or one value); the exact rank is read there.  All columns share every pass and
-    no pass shuffles rows.  Missing values are ignored; a column without values gives None.
+    Radix selection on the doubles' bits: four passes from the top 16 bits down count digits, for
+    all columns and ranks together; a rank is settled as soon as its digit holds one value.  Missing
+    values and NaN are ignored; a column without values gives None.
     """
     columns = list(wanted)
-    counts = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c)
-                      for c in columns]).first()
-    clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
-                        for c in columns])
-    # one reducer keeps a value -> count map per column
-    if sum(counts) <= limit:
-        row = clean.agg(*[F.percentile(c, F.array(*[F.lit(float(q)) for q in wanted[c]])).alias(c)
-                          for c in columns]).first()
-        return {c: (list(row[c]) if row[c] is not None else [None] * len(wanted[c]))
-                for c in columns}
-    ranks = set()
-    for c in columns:
-        for q in wanted[c]:
-            if counts[c]:
-                place = q * (counts[c] - 1)
-                ranks |= {(c, math.floor(place) + 1), (c, math.ceil(place) + 1)}
-    values = _ranked(clean, sorted(ranks), counts.asDict(), limit)
-    out = {}
-    for c in columns:
-        out[c] = []
-        for q in wanted[c]:
-            if not counts[c]:
-                out[c].append(None)
-                continue
-            place = q * (counts[c] - 1)
-            low, high = values[c, math.floor(place) + 1], values[c, math.ceil(place) + 1]
-            out[c].append(low + (high - low) * (place - math.floor(place)))
-    return out
-
-
-def _ranked(df: DataFrame, ranks: list, counts: dict, limit: int) -> dict:
-    """Value at each (column, 1-based rank)."""
-    infinity = float("inf")
-    limit = max(1, limit // max(1, len(ranks)))  # one reducer reads the rows of all ranks
-    brackets = {r: (-infinity, infinity, 0, counts[r[0]]) for r in ranks}  # lo, hi, below, inside
-
-    def inside(r):
-        lo, hi = brackets[r][:2]
-        return F.col(r[0]).between(F.lit(lo), F.lit(hi))
-
-    while True:
-        wide = [r for r in ranks if brackets[r][3] > limit and brackets[r][0] < brackets[r][1]]
-        if not wide:
-            break
-        sketch = []
-        for i, r in enumerate(wide):
-            _, _, below, n = brackets[r]
-            place, margin = (r[1] - below) / n, 0.002
-            sketch.append(F.percentile_approx(
-                F.when(inside(r), F.col(r[0])),
-                F.array(F.lit(max(0.0, place - margin)), F.lit(min(1.0, place + margin))),
-                F.lit(2000)).alias(f"s{i}"))
-        bounds = df.agg(*sketch).first()
-        tallies = []
-        for i, r in enumerate(wide):
-            lo, hi = bounds[f"s{i}"]
-            tallies += [F.count_if(F.col(r[0]) < lo).alias(f"b{i}"),
-                        F.count_if(F.col(r[0]).between(lo, hi)).alias(f"n{i}")]
-        tally = df.agg(*tallies).first()
-        for i, r in enumerate(wide):
-            (lo, hi), below, n = bounds[f"s{i}"], tally[f"b{i}"], tally[f"n{i}"]
-            if not below < r[1] <= below + n:
-                raise RuntimeError("quantile bracket missed its rank")
-            if n >= brackets[r][3] and (lo, hi) == brackets[r][:2]:
-                # A value that repeats without end fills the bracket: step past its ends.
-                lo, hi, below, n = _peel(df, r, lo, hi, below)
-            brackets[r] = (lo, hi, below, n)
-    out = {r: brackets[r][0] for r in ranks if brackets[r][0] == brackets[r][1]}
-    rest = [r for r in ranks if r not in out]
-    if rest:
-        row = df.agg(*[F.sort_array(F.collect_list(F.when(inside(r), F.col(r[0]))))
-                       [r[1] - brackets[r][2] - 1].alias(f"v{i}")
-                       for i, r in enumerate(rest)]).first()
-        out |= {r: row[f"v{i}"] for i, r in enumerate(rest)}
-    return out
-
-
-def _peel(df, rank, lo, hi, below):
-    """Settle a rank held by an end of the bracket, or drop both ends."""
-    c = F.col(rank[0])
-    row = df.agg(F.count_if(c == lo).alias("lo"), F.count_if(c == hi).alias("hi"),
-                 F.count_if((c > lo) & (c < hi)).alias("mid"),
-                 F.min(F.when((c > lo) & (c < hi), c)).alias("first"),
-                 F.max(F.when((c > lo) & (c < hi), c)).alias("last")).first()
-    if rank[1] <= below + row["lo"]:
-        return lo, lo, below, row["lo"]
-    if rank[1] > below + row["lo"] + row["mid"]:
-        return hi, hi, below + row["lo"] + row["mid"], row["hi"]
-    return row["first"], row["last"], below + row["lo"], row["mid"]
+    numbers = F.array(*[F.col(c).cast("double") for c in columns])
+    cells = (df.select(F.posexplode(numbers).alias("c", "v")).where("v IS NOT NULL AND NOT isnan(v)")
+             .select("c", _image(F.col("v")).alias("x")))
+    asks = [(c, 0, i, float(q), up, None) for c, name in enumerate(columns)
+            for i, q in enumerate(wanted[name]) for up in (False, True)]
+    totals, values = {}, {}
+    for shift in (48, 32, 16, 0):
+        found = _digit_pass(cells, asks, shift) if asks else []
+        asks = []
+        for r in found:
+            totals.setdefault(r["c"], r["total"])
+            if r["low"] == r["high"]:
+                values[r["c"], r["item"], r["up"]] = _double(r["low"])
+            else:
+                asks.append((r["c"], r["low"] >> shift, r["item"], r["q"], r["up"],
+                             r["k"] - r["before"]))
+
+    def at(c, i, q):
+        if c not in totals:
+            return None
+        place, low, high = q * (totals[c] - 1), values[c, i, False], values[c, i, True]
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    return {name: [at(c, i, q) for i, q in enumerate(wanted[name])]
+            for c, name in enumerate(columns)}

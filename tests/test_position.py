@@ -50,20 +50,52 @@ def test_split_on_timestamps(spark, sf):
     assert tuple(last) < tuple(first)
 
 
-def test_quantiles_equal_numpy_on_both_paths(spark):
+def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(5)
     a = rng.lognormal(3, 2, 5000).round(2)
     b = rng.integers(0, 2, 5000).astype(float)
     c = np.full(5000, 7.0)
-    df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)],
-                               "a double, b double, c double").repartition(4)
+    d = 1.0 + rng.integers(0, 3000, 5000) * 2.0**-52  # differ in the last digit only
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(a, b, c, d)],
+                               "a double, b double, c double, d double").repartition(4)
     qs = [i / 10 for i in range(11)]
-    want = {"a": qs, "b": qs, "c": [0.5]}
-    for limit in (50, 1_000_000):
-        got = position.quantiles(df, want, limit)
-        np.testing.assert_allclose(got["a"], np.quantile(a, qs), rtol=1e-12)
-        np.testing.assert_allclose(got["b"], np.quantile(b, qs))
-        assert got["c"] == [7.0]
+    got = position.quantiles(df, {"a": qs, "b": qs, "c": [0.5], "d": qs})
+    np.testing.assert_allclose(got["a"], np.quantile(a, qs), rtol=1e-12)
+    np.testing.assert_allclose(got["b"], np.quantile(b, qs))
+    assert got["c"] == [7.0] and got["d"] == np.quantile(d, qs).tolist()
+
+
+def test_images_are_the_bits_of_doubles(spark):
+    rng = np.random.default_rng(6)
+    bits = rng.integers(0, 0x7FF << 52, 3000)
+    values = [*bits.view(np.float64).tolist(), *(2.0**k for k in range(-1074, 1024)),
+              *(np.nextafter(2.0**k, 0) for k in range(-1073, 1024)),
+              *(np.nextafter(2.0**k, np.inf) for k in range(-1073, 1023)), 0.0, float("inf")]
+    values = [float(v) for v in values]
+    values += [-v for v in values]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+    rows = df.select("v", position._image(F.col("v")).alias("x")).collect()
+    for v, x in rows[:-2]:
+        size = int(np.float64(abs(v)).view(np.int64))
+        assert x == (-size if v < 0 else size) and position._double(x) == v
+    assert [r.x for r in rows[-2:]] == [None, None]
+
+
+def test_one_aggregate_a_pass_whatever_the_ranks(spark, monkeypatch):
+    plans, run = [], position._digit_pass
+
+    def watched(cells, asks, shift):
+        plans.append(len(asks))
+        return run(cells, asks, shift)
+
+    monkeypatch.setattr(position, "_digit_pass", watched)
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1, 2000)
+    df = spark.createDataFrame([(float(v), float(-v)) for v in x], "a double, b double")
+    qs = (np.arange(200) / 199).tolist()
+    got = position.quantiles(df, {"a": qs, "b": qs})
+    np.testing.assert_allclose(got["a"], np.quantile(x, qs), rtol=1e-12)
+    assert 1 <= len(plans) <= 4 and plans[0] == 800
 
 
 def test_quantiles_of_missing_values(spark):
