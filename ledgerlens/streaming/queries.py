@@ -163,6 +163,9 @@ def split_sink(stream: DataFrame, judge, good, bad, good_path: str, bad_path: st
 # minute m, w minutes long, is the earlier rows of m, the later rows of m - w, and whole minutes
 # between, which are a few days, hours and minutes of the tiers.  So a batch reads rows of its own
 # minutes and of those one window earlier, however much traffic lies between.
+#
+# Both sides of every join here grow with the batch, so all are merge joins: one that just fits the
+# broadcast limit would be hashed whole on the driver, several of them at once.
 
 MINUTE_US = 60_000_000
 TIERS = {"minute": 1, "hour": 60, "day": 1440}  # minutes
@@ -241,11 +244,11 @@ def velocity_inputs(batch: DataFrame, curated: str, tiers: str, window_us: int,
         totals = totals.unionByName(old.select(*totals.columns))
     minute = _minute("occurred_at")
     edges = (rows.withColumn("minute", F.explode(F.array(minute, minute + window)))
-             .join(asked, ["customer_id", "minute"], "left_semi")
+             .join(asked.hint("merge"), ["customer_id", "minute"], "left_semi")
              .withColumn("_new", F.col("_new") & (F.col("minute") == _minute("occurred_at"))))
     edge = F.concat_ws(":", F.col("minute").cast("string"), F.col("customer_id").cast("string"))
     edges = edges.select(edge.alias("edge"), "customer_id", "minute", "transaction_id", "occurred_at", "amount", "_new")
-    between = (tier_nodes(asked, window).join(totals, ["customer_id", "tier", "bucket"])
+    between = (tier_nodes(asked, window).join(totals.hint("merge"), ["customer_id", "tier", "bucket"])
                .groupBy("customer_id", "minute").agg(F.sum("n").alias("n"), F.sum("units").alias("units")))
     return edges, between
 
@@ -267,7 +270,7 @@ def velocity_batch(batch: DataFrame, curated: str, tiers: str, window_us: int,
     edges, between = velocity_inputs(batch, curated, tiers, window_us, number)
     line = sweep.unfold(edges, "edge", "occurred_at", "transaction_id", {"velocity": window_us}, ["amount"])
     line.scan({"n": (F.lit(1), "velocity"), "amount": (sweep.money(F.col("amount")), "velocity")})
-    folded = line.fold().where("_new").join(between, ["customer_id", "minute"], "left")
+    folded = line.fold().where("_new").join(between.hint("merge"), ["customer_id", "minute"], "left")
     nobody = batch.where("customer_id IS NULL").select(
         "transaction_id", "customer_id", "occurred_at", F.lit(0).cast("bigint").alias("prior_count"),
         F.lit(0.0).alias("prior_amount"))
@@ -294,7 +297,7 @@ def prior_velocity(stream: DataFrame, folder: str, window_us: int) -> str:
         if exists(spark, curated):
             known = spark.read.schema(dated.schema).parquet(curated).where(
                 _day_span(dated, "event_date") & (F.col("batch") < number))
-            dated = dated.join(known.select("transaction_id"), "transaction_id", "left_anti")
+            dated = dated.join(known.select("transaction_id").hint("merge"), "transaction_id", "left_anti")
         dated = dated.persist()
         try:
             velocity_batch(dated, curated, tiers, window_us, number).write.mode("overwrite").parquet(
@@ -318,7 +321,7 @@ def _append_rows(rows: DataFrame, path: str, key: list, order: list, number: int
     if exists(rows.sparkSession, path):
         known = rows.sparkSession.read.schema(rows.schema).parquet(path).where(
             _day_span(rows, "event_date") & (F.col("batch") == number))
-        rows = rows.join(known.select(*key), key, "left_anti")
+        rows = rows.join(known.select(*key).hint("merge"), key, "left_anti")
     # a task writes a range of time: few files a day, and statistics that skip the rest
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged.write.mode("append").partitionBy("event_date").parquet(path)
