@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import sweep
+from ledgerlens.operators import position, sweep
 from ledgerlens.streaming import queries
 
 
@@ -22,3 +22,14 @@ def test_velocity_joins_nothing_on_the_driver(spark, tmp_path):
     got = {r.transaction_id: r.prior_count for r in out.collect()}
     assert got == {i: i // 2 for i in range(40, 60)}
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_images_of_cells_take_each_step_once(spark):
+    values = [0.0, -0.0, 1.0, 1.9999999999999998, 2.0, -3.5, 5e-324, 2.0**-1022, 1.7e308, float("inf"), float("-inf"),
+              float("nan"), None, 0.1, 1000.01]
+    cells = spark.createDataFrame([(0, v) for v in values], "c int, v double")
+    out = position._images(cells)
+    want = cells.select(position._image(F.col("v")).alias("x")).where("x IS NOT NULL")
+    assert sorted(r.x for r in out.collect()) == sorted(r.x for r in want.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("log2(") == 1 and plan.count("pow") == 1
