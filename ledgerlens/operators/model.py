@@ -5,6 +5,7 @@ and explaining are Column expressions on the feature table; nothing is collected
 """
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from ..settings import LABEL_COLUMNS, MODEL
 from .position import quantiles
 
+_PLAIN_TERMS = 200  # more would nest too deeply as one sum
 OUTCOMES = ["true_positive", "false_positive", "true_negative", "false_negative"]
 
 
@@ -90,6 +92,9 @@ class LinearModel:
                                  for t in self.terms), float(intercept))
 
     def decision(self) -> Column:
+        if len(self.terms) <= _PLAIN_TERMS:  # compiled; a lambda and all that it reads are interpreted
+            return reduce(lambda acc, t: acc + t.value() * F.lit(t.coefficient), self.terms,
+                          F.lit(float(self.intercept)))
         products = F.zip_with(self.values(), F.array(*[F.lit(t.coefficient) for t in self.terms]),
                               lambda v, c: v * c)
         return F.aggregate(products, F.lit(float(self.intercept)), lambda acc, x: acc + x)
@@ -129,11 +134,14 @@ def fit_terms(train: DataFrame, columns: list) -> LinearModel:
     if numeric:
         filled = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
                              F.lit(fills[c])) for c in numeric]
-        row = train.agg(*[x for i, f in enumerate(filled)
-                          for x in (F.avg(f).alias(f"m{i}"), F.stddev_pop(f).alias(f"s{i}"))]).first()
+        # one small aggregate over (column, value), whatever the number of columns
+        cells = train.select(F.array(*filled).alias("_n")).select(
+            F.posexplode_outer("_n").alias("c", "v"))
+        moments = {r["c"]: (r["m"], r["s"]) for r in cells.groupBy("c").agg(
+            F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect()}
         for i, c in enumerate(numeric):
-            terms.append(Term(f"numeric__{c}", c, None, fills[c], row[f"m{i}"],
-                              row[f"s{i}"] or 1.0))
+            center, scale = moments.get(i, (None, None))
+            terms.append(Term(f"numeric__{c}", c, None, fills[c], center, scale or 1.0))
     for c, found in levels(train, categorical).items():
         mode = min(found, key=lambda item: (-item[1], item[0]))[0] if found else ""
         terms += [Term(f"categorical__{c}_{value}", c, value, mode) for value, _ in found]
@@ -158,7 +166,8 @@ def fit(train: DataFrame, columns: list, target: str, cfg: dict = MODEL) -> tupl
     else:
         weight = F.lit(1.0)
     side = F.when(F.pmod(F.xxhash64(target, *columns), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    inputs = F.transform(F.concat(shape.values(), F.array(F.lit(1.0))), lambda v: v * F.col("side"))
+    # plain products: what a lambda reads is interpreted
+    inputs = F.array(*[t.value() * F.col("side") for t in shape.terms], F.lit(1.0) * F.col("side"))
     label = F.col(target).cast("double")
     design = train.withColumn("side", side).select(
         F.when(F.col("side") > 0, label).otherwise(1.0 - label).alias("label"),
@@ -182,9 +191,11 @@ def slopes(train: DataFrame, model: LinearModel, target: str, cfg: dict = MODEL)
     balanced = cfg["class_weight"] == "balanced"
     weight = F.when(F.col(target) == 1, n / (2.0 * counts["positives"]) if balanced else 1.0) \
         .otherwise(n / (2.0 * counts["negatives"]) if balanced else 1.0)
-    error = weight * (sigmoid(model.decision()) - F.col(target).cast("double"))
-    per_term = (train.select(error.alias("e"), model.values().alias("z"))
-                .select("e", F.posexplode("z").alias("i", "z")).groupBy("i")
+    error = F.col("w") * (sigmoid(F.col("score")) - F.col("y"))
+    per_term = (train.select(weight.alias("w"), F.col(target).cast("double").alias("y"),
+                             model.decision().alias("score"), model.values().alias("z"))
+                .select(error.alias("e"), "z")
+                .select("e", F.posexplode_outer("z").alias("i", "z")).groupBy("i")
                 .agg((F.sum(F.col("e") * F.col("z")) / n).alias("gradient")))
     terms = train.sparkSession.createDataFrame(
         [(i, t.name, float(t.coefficient) / n) for i, t in enumerate(model.terms)],

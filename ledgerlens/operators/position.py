@@ -224,7 +224,8 @@ def quantiles(df: DataFrame, wanted: dict) -> dict:
     """
     columns = list(wanted)
     numbers = F.array(*[F.col(c).cast("double") for c in columns])
-    cells = _images(df.select(F.posexplode(numbers).alias("c", "v")))
+    # a column of its own is compiled; what a generator works out itself is interpreted
+    cells = _images(df.select(numbers.alias("_n")).select(F.posexplode_outer("_n").alias("c", "v")))
     asks = [(c, 0, i, float(q), up, None) for c, name in enumerate(columns)
             for i, q in enumerate(wanted[name]) for up in (False, True)]
     totals, values = {}, {}

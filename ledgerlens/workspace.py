@@ -14,6 +14,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # the JVM never compiles a method above 8,000 bytes of bytecode; the pieces that a stage falls apart
+    # into without whole-stage code are below that
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     # windows and seen ids live on disk, not on the executors' heap
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
