@@ -361,10 +361,13 @@ def evaluate(history: DataFrame, cfg: dict = AML, rules: list | None = None) ->
         fired.append(F.when(F.coalesce(condition, F.lit(False)), F.struct(
             F.lit(rule).alias("rule_id"), reason.alias("reason"),
             json_text(evidence).alias("evidence_json"))))
-    common = history.select("transaction_id", "account_id", "customer_id",
-                            iso_timestamp(F.col("transaction_timestamp"))
-                            .alias("transaction_timestamp"),
-                            F.explode(F.array_compact(F.array(*fired))).alias("_alert"))
+    # The array is a column of its own and rules that did not fire are dropped after the explosion: what
+    # a lambda or a generator works out is interpreted, here every reason and evidence.
+    laid = history.select("transaction_id", "account_id", "customer_id",
+                          iso_timestamp(F.col("transaction_timestamp"))
+                          .alias("transaction_timestamp"), F.array(*fired).alias("_fired"))
+    common = (laid.withColumn("_alert", F.explode_outer("_fired")).drop("_fired")
+              .where(F.col("_alert").isNotNull()))
     rule = F.col("_alert.rule_id")
     return common.select(
         prefixed_digest("AML-", 16, rule, F.col("transaction_id")).alias("alert_id"),

@@ -326,8 +326,9 @@ def _lay_out(df: DataFrame, key: str, time: str, row_id: str, windows: dict, car
         length, matters = window if isinstance(window, tuple) else (window, None)
         kinds.append(F.lit(index) if matters is None else F.when(matters, F.lit(index)))
         at = at.when(F.col("_kind") == index, F.col("_t") + F.lit(int(length)))
-    events = base.withColumn("_kind", F.explode(F.array_compact(F.array(*kinds)))
-                             if windows else F.lit(0))
+    # a row that never counts in a window has no expiry there
+    events = (base.withColumn("_kind", F.explode(F.array(*kinds))).where(F.col("_kind").isNotNull())
+              if windows else base.withColumn("_kind", F.lit(0)))
     events = (events.withColumn("_at", at)
               .withColumn("_phase", F.when(F.col("_kind") == 0, 0).otherwise(1)).drop("_t"))
     if payload:

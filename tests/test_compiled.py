@@ -27,6 +27,16 @@ def test_no_method_is_too_long_to_be_compiled(spark):
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
 
 
+def test_fired_rules_are_a_column(spark):
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    df = spark.createDataFrame([tuple({**CLEAR, "transaction_id": f"T{i}", "amount": a}[n] for n in names)
+                                for i, a in enumerate((10.0, 99_000.0))], SCHEMA)
+    only = ["AML001", "AML004"]
+    alerts = rules.evaluate(rules.with_history(df, AML, only), AML, only)
+    assert [(r.transaction_id, r.rule_id) for r in alerts.collect()] == [("T1", "AML001")]
+    assert "Generate explode(_fired#" in plan(alerts)
+
+
 def test_decision_is_a_plain_sum(spark, monkeypatch):
     df = spark.createDataFrame([(0.1,), (None,), (-7.3,), (float("nan"),)], "x double")
     plain = [r[0] for r in df.select(terms(40).decision()).collect()]
@@ -49,3 +59,12 @@ def test_numbers_of_quantiles_are_a_column(spark, monkeypatch):
     df = spark.createDataFrame([(1.0, 4), (2.0, None), (None, 6)], "a double, b int")
     assert position.quantiles(df, {"a": [0.5], "b": [0.0, 1.0]}) == {"a": [1.5], "b": [4.0, 6.0]}
     assert "Generate posexplode(_n#" in seen[0]
+
+
+def test_events_unfold_without_a_lambda(spark):
+    df = spark.createDataFrame([("A", T0, 1, 5.0), ("A", T0, 2, 50.0)],
+                               "k string, t timestamp_ntz, id int, amount double")
+    windows = {"all": sweep.hours(1), "small": (sweep.hours(2), F.col("amount") < 10)}
+    line = sweep.unfold(df, "k", "t", "id", windows, ["amount"])
+    assert sorted((r["_id"], r["_kind"]) for r in line.events.collect()) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1)]
+    assert "lambda" not in plan(line.events)
