@@ -99,18 +99,19 @@ def with_contributions(df: DataFrame, model: LinearModel, cfg: dict = EXPLAIN) -
     entries = []
     for t in model.terms:
         value = t.value()
-        entries.append(F.struct(
+        entry = F.struct(
             F.lit(t.name).alias("transformed_feature_name"),
             F.lit(t.source).alias("source_feature_name"),
             value.alias("transformed_feature_value"), F.lit(t.coefficient).alias("coefficient"),
             (value * F.lit(t.coefficient)).alias("contribution"),
-            _observed(t.source, df).alias("observed_value")))
-    # Sort keys in front: descending magnitude, then name, in the natural order of structs.
-    keyed = F.transform(F.array(*entries), lambda e: F.struct(
-        (-F.abs(e["contribution"])).alias("k"), e["transformed_feature_name"].alias("n"),
-        e.alias("e")))
-    ordered = F.transform(F.array_sort(keyed), lambda k, i: F.struct(
-        k["e"].alias("e"), (i + 1).alias("rank")))
+            _observed(t.source, df).alias("observed_value"))
+        # Sort keys in front: descending magnitude, then name, in the natural order of structs.
+        entries.append(F.struct((-F.abs(value * F.lit(t.coefficient))).alias("k"),
+                                F.lit(t.name).alias("n"), entry.alias("e")))
+    # The sorted array is a column of its own, read twice so that it stays one: a lambda interprets
+    # whatever it reads, here every term of the model.
+    ordered = F.zip_with("_sorted", F.sequence(F.lit(1), F.size("_sorted")),
+                         lambda k, rank: F.struct(k["e"].alias("e"), rank.alias("rank")))
 
     def strong(sign):
         def keep(x):
@@ -118,7 +119,8 @@ def with_contributions(df: DataFrame, model: LinearModel, cfg: dict = EXPLAIN) -
             return ((value > 0) if sign > 0 else (value < 0)) & (F.abs(value) >= minimum)
         return keep
 
-    laid = df.withColumn("_ranked", ordered)
+    laid = df.withColumn("_sorted", F.sort_array(F.array(*entries))) \
+        .withColumn("_ranked", ordered).drop("_sorted")
     return laid.withColumn("_positive", F.slice(F.filter("_ranked", strong(1)), 1,
                                                 int(cfg["top_local_positive_count"]))) \
         .withColumn("_negative", F.slice(F.filter("_ranked", strong(-1)), 1,

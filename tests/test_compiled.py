@@ -61,6 +61,15 @@ def test_numbers_of_quantiles_are_a_column(spark, monkeypatch):
     assert "Generate posexplode(_n#" in seen[0]
 
 
+def test_contributions_are_sorted_outside_the_lambda(spark):
+    df = spark.createDataFrame([("T1", 2.0), ("T2", None)], "transaction_id string, x double")
+    laid = explain.with_contributions(df, terms(6))
+    for row in laid.collect():
+        sizes = [abs(x.e.contribution) for x in row["_ranked"]]
+        assert sizes == sorted(sizes, reverse=True) and [x["rank"] for x in row["_ranked"]] == [1, 2, 3, 4, 5, 6]
+    assert "zip_with(_sorted#" in plan(laid)
+
+
 def test_events_unfold_without_a_lambda(spark):
     df = spark.createDataFrame([("A", T0, 1, 5.0), ("A", T0, 2, 50.0)],
                                "k string, t timestamp_ntz, id int, amount double")
