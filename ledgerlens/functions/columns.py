@@ -88,9 +88,14 @@ def json_text(fields: dict) -> Column:
 
 
 def joined_reasons(conditions, separator: str, fallback: str, limit: int | None = None) -> Column:
-    """Join the texts whose condition holds, in order; a fallback when none does."""
-    texts = F.array(*[F.when(condition, text) for condition, text in conditions])
-    kept = F.array_compact(texts)
+    """Join the texts whose condition holds, in order; a fallback when none does.
+
+    Arrays of one text or none are joined: a filter would be a lambda, whose input is interpreted.
+    """
+    none = F.array().cast("array<string>")
+    kept = F.flatten(F.array(*[
+        F.when(F.coalesce(condition, F.lit(False)) & text.isNotNull(), F.array(text)).otherwise(none)
+        for condition, text in conditions]))
     if limit is not None:
         kept = F.slice(kept, 1, limit)
     return F.when(F.size(kept) == 0, F.lit(fallback)).otherwise(F.array_join(kept, separator))

@@ -247,7 +247,9 @@ def component_rows(indicators: DataFrame, cfg: dict = RISK,
                    names: list | None = None) -> DataFrame:
     """Long table, one row per customer and component; one pass over the indicators."""
     parts = F.array(*[component_struct(n, cfg) for n in names or COMPONENTS])
-    return (reject_labels(indicators).select("customer_id", F.explode(parts).alias("c"))
+    # a column of its own is compiled; what a generator works out itself is interpreted
+    return (reject_labels(indicators).select("customer_id", parts.alias("_parts"))
+            .select("customer_id", F.explode_outer("_parts").alias("c"))
             .select("customer_id", "c.*"))
 
 
