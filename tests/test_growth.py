@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import position, sweep
+from ledgerlens import workspace
+from ledgerlens.operators import features, position, sweep
 from ledgerlens.streaming import queries
 
 
@@ -33,3 +34,38 @@ def test_images_of_cells_take_each_step_once(spark):
     assert sorted(r.x for r in out.collect()) == sorted(r.x for r in want.collect())
     plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
     assert plan.count("log2(") == 1 and plan.count("pow") == 1
+
+
+def test_timeline_moves_no_column_twice_and_no_change(spark):
+    t0 = dt.datetime(2025, 3, 2, 12)
+    rows = [(i, "AB"[i % 2], t0 + dt.timedelta(seconds=7 * i), 1.0 + i, "xyz"[i % 3], f"n{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, k string, at timestamp_ntz, amount double, v string, note string")
+    line = sweep.unfold(df, "k", "at", "id", {"w": sweep.hours(1)}, ["amount", "v"])
+    assert line.events.schema["_row"].dataType.names == ["at", "note"]
+    line.appearances("v", ["w"])
+    out = line.scan({"s": (sweep.money(F.col("amount")), "w")}, {"d": ("v", "w")}, {"t": F.col("_at")}).fold()
+    moved = out._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert len(moved) == 2 and "_d_" in moved[0] and "_d_" not in moved[1] and "_l_" not in moved[1]
+    got = {r.id: r for r in out.collect()}
+    assert out.columns == [*df.columns, "prior_s", "prior_d", "prior_t"]
+    for i, row in enumerate(rows):
+        assert tuple(got[i])[:6] == row
+        assert got[i].prior_s == 10_000 * sum(1 + j for j in range(i % 2, i, 2))
+        assert got[i].prior_d == len({j % 3 for j in range(i % 2, i, 2)})
+
+
+def test_tasks_of_a_shuffle_are_small_enough_for_their_sorts(spark, tmp_path):
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 * 2**20
+    with open(tmp_path / "input", "wb") as f:
+        f.truncate(2**30)  # a hole: only its length counts
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert workspace.size_shuffles(spark, str(tmp_path)) >= 6 * 2**30 // (32 * 2**20)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_labels_are_never_broadcast(spark):
+    rows = spark.createDataFrame([(1, 2.0), (2, 3.0)], "transaction_id long, amount double")
+    labels = spark.createDataFrame([(2, 1)], "transaction_id long, fraud_label long")
+    out = features.join_labels(rows, labels)
+    assert sorted((r.transaction_id, r.fraud_label) for r in out.collect()) == [(1, None), (2, 1)]
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
