@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlens import workspace
-from ledgerlens.operators import features, position, sweep
+from ledgerlens.operators import features, position, star, sweep
 from ledgerlens.streaming import queries
 
 
@@ -69,3 +69,22 @@ def test_labels_are_never_broadcast(spark):
     out = features.join_labels(rows, labels)
     assert sorted((r.transaction_id, r.fraud_label) for r in out.collect()) == [(1, None), (2, 1)]
     assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_are_not_joined_with_the_dimension(spark, tmp_path):
+    def stored(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    members = stored("members", [(1, "a"), (2, "b"), (2, "c"), (None, "d")], "customer_id long, name string")
+    facts = [(10, 1), (11, 2), (11, 2), (12, 3), (13, None), (14, 3)]
+    df = stored("facts", facts, "id long, customer_id long")
+    out = star.checked_key(df, "customer_id", "customer", members, "key")
+    key = {r.c: r.k for r in members.select(F.col("customer_id").alias("c"), star.surrogate_key(
+        "customer", F.col("customer_id")).alias("k")).collect()}
+    got = sorted((r.id, r.key) for r in out.where("key IS NOT NULL").collect())
+    assert got == [(10, key[1]), (11, key[2]), (11, key[2])]
+    assert sorted(r.id for r in out.where("key IS NULL").collect()) == [12, 13, 14]
+    other = star.checked_key(df, "id", "customer", members, "key", "customer_id")
+    assert other.where("key IS NULL").count() == len(facts)
+    assert not set(members.inputFiles()) & set(out.inputFiles())
