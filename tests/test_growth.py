@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlens import workspace
-from ledgerlens.operators import features, position, star, sweep
+from ledgerlens.operators import features, joins, position, star, sweep
 from ledgerlens.streaming import queries
 
 
@@ -88,3 +88,25 @@ def test_facts_are_not_joined_with_the_dimension(spark, tmp_path):
     other = star.checked_key(df, "id", "customer", members, "key", "customer_id")
     assert other.where("key IS NULL").count() == len(facts)
     assert not set(members.inputFiles()) & set(out.inputFiles())
+
+
+def test_nothing_large_is_hashed_on_the_driver_for_a_low_estimate(spark, tmp_path):
+    wide = spark.range(400_000).select("id", *[F.concat(F.lit("a text of some length "), F.col("id") % 3).alias(f"c{i}")
+                                               for i in range(12)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    keys = spark.read.parquet(str(tmp_path / "wide")).select("id")
+    assert int(str(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 2 * 2**20  # rows: 6 MB
+    out = spark.range(0, 4_000_000, 5).join(keys.withColumn("found", F.lit(1)), "id", "left")
+    total = out.agg(F.sum("found"))
+    assert total.collect()[0][0] == 80_000
+    assert "Broadcast" not in total._jdf.queryExecution().executedPlan().toString()
+
+
+def test_crowded_keys_are_broadcast_whatever_their_estimate(spark):
+    left = spark.createDataFrame([(i, 1 + (i > 5)) for i in range(8)], "id long, k long")
+    right = spark.createDataFrame([(1, "x"), (2, "y")], "k long, v string")
+    crowded = spark.range(1, 2_000_000).where("id = 1").select(F.col("id").alias("k"), F.lit(3).alias("_parts"))
+    out = joins.lookup(left, right, "k", crowded, F.col("id"))
+    assert sorted((r.id, r.v) for r in out.collect()) == [(i, "y" if i > 5 else "x") for i in range(8)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=broadcast)") == 2
